@@ -39,16 +39,20 @@ def rnd(col, places: int = 6):
 
     Spark's ``round`` rounds the shortest decimal string HALF_UP while DuckDB
     rounds the binary value; on half-way values they differ.  This form is
-    bit-identical in both engines for identical inputs.
+    bit-identical in both engines for identical inputs.  The relative bias
+    (1e-11) exceeds summation-order noise, so exact decimal ties (common
+    with cent-valued data) round up in both engines whatever the order.
     """
     scale = float(10 ** places)
     c = F.col(col) if isinstance(col, str) else col
-    return F.floor(c * scale + 0.5) / scale
+    y = c * scale
+    return F.floor(y + 0.5 + F.abs(y) * 1e-11) / scale
 
 
 def R(expr: str, places: int = 6) -> str:
     """SQL twin of :func:`rnd`."""
-    return f"(FLOOR(({expr}) * 1e{places} + 0.5) / 1e{places})"
+    y = f"(({expr}) * 1e{places})"
+    return f"(FLOOR({y} + 0.5 + ABS({y}) * 1e-11) / 1e{places})"
 
 
 def round_doubles(df: DataFrame, places: int = 6, overrides: dict[str, int] | None = None) -> DataFrame:
