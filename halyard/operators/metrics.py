@@ -8,32 +8,23 @@ no single task sees the whole score column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from halyard.operators.prefix import running_totals
+
 # Fixed value: the histogram of predicted probabilities has 30 bins.
 HIST_BINS = 30
 
 
-def prefix_sums(df: DataFrame, order_col: str, sum_cols, parts: int = 64,
+def prefix_sums(df: DataFrame, order_col: str, sum_cols, parts: int | None = None,
                 descending: bool = False) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows with order_col <= (>= if descending) this row.
 
     ``df`` must have one row per ``order_col`` value (pre-aggregate first).
     """
     key = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    r = df.repartitionByRange(parts, key).withColumn("_pid", F.spark_partition_id())
-    w_run = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy("_pid")
-    local = r.select("*", *[F.sum(c).over(w_run).alias(f"_run_{c}") for c in sum_cols],
-                     *[F.sum(c).over(w_all).alias(f"_tot_{c}") for c in sum_cols])
-    totals = local.groupBy("_pid").agg(*[F.first(f"_tot_{c}").alias(f"_tot_{c}") for c in sum_cols])
-    # one row per range partition: bounded by ``parts``
-    w_before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_tot_{c}").over(w_before), F.lit(0)).alias(f"_off_{c}")
-                                      for c in sum_cols])
-    out = local.join(F.broadcast(offsets), "_pid")
-    return out.select(*df.columns, *[(F.col(f"_run_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols])
+    return running_totals(df, [], [key], sum_cols, parts=parts)
 
 
 def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -42,7 +33,7 @@ def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"))
 
 
-def auc_score(df: DataFrame, label: str = "churn", score: str = "churn_probability", parts: int = 64) -> DataFrame:
+def auc_score(df: DataFrame, label: str = "churn", score: str = "churn_probability", parts: int | None = None) -> DataFrame:
     """Exact ROC AUC (ties count one half), via the rank-sum identity."""
     counts = _score_counts(df, label, score)
     cum = prefix_sums(counts, score, ["neg"], parts)
@@ -53,7 +44,7 @@ def auc_score(df: DataFrame, label: str = "churn", score: str = "churn_probabili
     return agg.select((F.col("u") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"), "n_pos", "n_neg")
 
 
-def roc_points(df: DataFrame, label: str = "churn", score: str = "churn_probability", parts: int = 64) -> DataFrame:
+def roc_points(df: DataFrame, label: str = "churn", score: str = "churn_probability", parts: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, predicting positive when score >= threshold."""
     counts = _score_counts(df, label, score)
     cum = prefix_sums(counts, score, ["pos", "neg"], parts, descending=True)
