@@ -169,8 +169,9 @@ def user_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
-def gateway_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+def gateway_requests(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    """``src`` may be a streaming events DataFrame (the projection is stream-safe)."""
+    e = src if src is not None else read_table(spark, sf_dir, "events")
     eid = F.col("event_id")
     return e.select(
         eid.alias("request_id"), F.col("ts"), F.col("user_id").alias("client_id"),
@@ -184,8 +185,8 @@ def gateway_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def health_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+def health_checks(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    e = src if src is not None else read_table(spark, sf_dir, "events")
     return e.select(
         _case(F.col("event_id") % 3, [(0, "workload-predictor"), (1, "resource-optimizer")],
               "scheduler-optimizer").alias("service"),
