@@ -16,7 +16,8 @@ round is one set operation over all pending jobs:
 4. residual capacity shrinks by the admitted demand; jobs with no feasible
    node are final (capacity only shrinks); the others retry next round.
 
-Each round ends with a reliable checkpoint so lineage stays flat.  The plan
+Each round's decisions and node state are written to the shared checkpoint
+folder, so lineage stays flat and a lost executor recomputes one round at most.  The plan
 equals the sequential loop when no node is contended in round 1 and scores
 do not depend on earlier placements; otherwise it is a valid, possibly
 different plan.
@@ -135,7 +136,8 @@ def place_jobs(jobs: DataFrame, nodes_state: DataFrame, dims: list[Dim], order:
     for k in range(1, rounds + 1):
         pairs = feasible(pending, state, dims, node_rows, extra() if extra else None)
         chosen = best_node(pairs, score(), job_cols)
-        decided = cut_lineage(admit(chosen, state, dims, order))
+        # written once: both the admitted and the retried jobs are read from it
+        decided = cut_lineage(admit(chosen, state, dims, order), "decided")
         won = decided.where(F.col("admitted")).drop("admitted").withColumn("round", F.lit(k))
         placed.append(won)
         state = cut_lineage(update_state(state, won, dims))
