@@ -100,7 +100,8 @@ def first_choice(jobs: DataFrame, nodes: DataFrame, objective: str = "efficiency
     n = node_rows if node_rows is not None else st.count()
     j = allocation_jobs(jobs)
     pairs = feasible(j, st, DIMS, n)
-    return best_node(pairs, score_for(objective)(), ["request_id", "job_id"])
+    best = best_node(pairs, score_for(objective)())
+    return best.join(j.select("request_id", "job_ordinal", "job_id"), ["request_id", "job_ordinal"])
 
 
 # ---- metrics over a placement -----------------------------------------------------------

@@ -82,12 +82,22 @@ def feasible(jobs: DataFrame, state: DataFrame, dims: list[Dim], node_rows: int,
     return j.join(s, c, "inner")
 
 
-def best_node(pairs: DataFrame, score: Column, job_cols: list[str]) -> DataFrame:
-    """Highest score per job; ties go to the lowest node ordinal."""
+JOB_KEY = ["request_id", "job_ordinal"]
+
+
+def best_node(pairs: DataFrame, score: Column, key_cols: list[str] = JOB_KEY) -> DataFrame:
+    """Highest score per job (``key_cols``); ties go to the lowest node ordinal.
+
+    The arg-max is ``max(struct(score, -ordinal, node_id))``, which Spark runs
+    as a sort-based aggregate; grouping on two long keys keeps that sort
+    narrow, and the partial aggregate collapses each job's pairs in the task
+    that produced them (the broadcast join emits them together), so only one
+    row per job is shuffled.
+    """
     best = F.max(F.struct(score.alias("score"), (-F.col("node_ordinal")).alias("neg_ord"),
                           F.col("node_id").alias("node_id")))
-    return pairs.groupBy(*job_cols).agg(best.alias("_b")).select(
-        *job_cols, F.col("_b.node_id").alias("node_id"), F.col("_b.score").alias("score"))
+    return pairs.groupBy(*key_cols).agg(best.alias("_b")).select(
+        *key_cols, F.col("_b.node_id").alias("node_id"), F.col("_b.score").alias("score"))
 
 
 def admit(chosen: DataFrame, state: DataFrame, dims: list[Dim], order: list[Column]) -> DataFrame:
@@ -128,6 +138,7 @@ def place_jobs(jobs: DataFrame, nodes_state: DataFrame, dims: list[Dim], order:
     ``placements`` has every job column plus node_id, score and round.
     """
     job_cols = jobs.columns
+    narrow = [c for c in JOB_KEY if c in job_cols]
     if node_rows is None:
         node_rows = nodes_state.count()  # size check of the node side (a small table)
     state = cut_lineage(nodes_state)
@@ -135,7 +146,8 @@ def place_jobs(jobs: DataFrame, nodes_state: DataFrame, dims: list[Dim], order:
     placed = []
     for k in range(1, rounds + 1):
         pairs = feasible(pending, state, dims, node_rows, extra() if extra else None)
-        chosen = best_node(pairs, score(), job_cols)
+        # winners (one row per job) get their attributes back by key: no wide sort over the pairs
+        chosen = best_node(pairs, score(), narrow).join(pending, narrow)
         # written once: both the admitted and the retried jobs are read from it
         decided = cut_lineage(admit(chosen, state, dims, order), "decided")
         won = decided.where(F.col("admitted")).drop("admitted").withColumn("round", F.lit(k))

@@ -151,7 +151,7 @@ def q_node_admission(spark, sf):
     j, n = jobs_nodes(spark, sf)
     st = A.allocation_nodes(n)
     aj = A.allocation_jobs(j)
-    chosen = best_node(feasible(aj, st, A.DIMS, st.count()), A.node_score_expr(), aj.columns)
+    chosen = best_node(feasible(aj, st, A.DIMS, st.count()), A.node_score_expr()).join(aj, ["request_id", "job_ordinal"])
     return admit(chosen, st, A.DIMS, A.queue_order("efficiency")).select("request_id", "job_id", "node_id", "admitted")
 
 

@@ -144,7 +144,9 @@ def q_schedule_node_score(spark, sf):
     sj = SC.scheduler_jobs(j)
     st = SC.scheduler_nodes(n)
     pairs = feasible(sj, st, SC.DIMS, st.count(), SC.available_expr())
-    return round_doubles(best_node(pairs, SC.score_expr(), ["request_id", "job_id"]).select("request_id", "job_id", "score"))
+    best = best_node(pairs, SC.score_expr()).join(sj.select("request_id", "job_ordinal", "job_id"),
+                                                   ["request_id", "job_ordinal"])
+    return round_doubles(best.select("request_id", "job_id", "score"))
 
 
 # ---- schedules per policy ----------------------------------------------------------------
