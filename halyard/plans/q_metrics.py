@@ -35,9 +35,9 @@ r AS (SELECT CAST(c AS VARCHAR) AS class, COALESCE(tp / NULLIF(n_pred, 0), 0) AS
              COALESCE(tp / NULLIF(support, 0), 0) AS recall, support FROM t),
 r2 AS (SELECT *, COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0) AS f1 FROM r)
 SELECT class, {R('precision')} AS precision, {R('recall')} AS recall, {R('f1')} AS f1, support FROM r2
-UNION ALL SELECT 'macro avg', {R('AVG(precision)')}, {R('AVG(recall)')}, {R('AVG(f1)')}, SUM(support) FROM r2
+UNION ALL SELECT 'macro avg', {R('AVG(precision)')}, {R('AVG(recall)')}, {R("AVG(f1)")}, CAST(SUM(support) AS BIGINT) FROM r2
 UNION ALL SELECT 'weighted avg', {R('SUM(precision * support) / SUM(support)')}, {R('SUM(recall * support) / SUM(support)')},
-       {R('SUM(f1 * support) / SUM(support)')}, SUM(support) FROM r2
+       {R("SUM(f1 * support) / SUM(support)")}, CAST(SUM(support) AS BIGINT) FROM r2
 UNION ALL SELECT 'accuracy', NULL, NULL, {R('AVG(CASE WHEN y = yhat THEN 1.0 ELSE 0.0 END)')}, COUNT(*) FROM p"""
 
 

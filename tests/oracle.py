@@ -36,13 +36,26 @@ def canon(rows, cols):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
-def compare(spark_df, con, sql):
+SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "BooleanType": "BOOLEAN", "TimestampNTZType": "TIMESTAMP", "DateType": "DATE",
+                 "ShortType": "SMALLINT", "FloatType": "FLOAT"}
+
+
+def type_mismatches(spark_df, description):
+    st = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__) for f in spark_df.schema.fields}
+    dt = {d[0]: str(d[1]) for d in description}
+    return {c: (st[c], dt.get(c)) for c in st if c in dt and st[c] != dt[c] and not st[c].startswith("Array")}
+
+
+def compare(spark_df, con, sql, check_types=True):
     scols = spark_df.columns
     srows = [tuple(r) for r in spark_df.collect()]
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(scols) == sorted(dcols), (scols, dcols)
+    if check_types:
+        assert not type_mismatches(spark_df, res.description), type_mismatches(spark_df, res.description)
     a, b = canon(srows, scols), canon(drows, dcols)
     assert len(a) == len(b), (len(a), len(b))
     assert a == b
