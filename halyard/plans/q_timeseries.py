@@ -233,8 +233,15 @@ def q_feature_correlation(spark, sf):
     return round_doubles(out, 4)
 
 
-@register("timeseries_features_by_series")
+_SERIES_SQL = (_FEATURES_SQL.replace("OVER (ORDER BY idx", "OVER (PARTITION BY series_id ORDER BY idx")
+               .replace(f"ROW_NUMBER() OVER (ORDER BY {TS_COL})", f"ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY {TS_COL})")
+               .replace("FROM workload_hourly)", "FROM workload_hourly_series)")
+               .replace(f"SELECT {TS_COL},", f"SELECT series_id, {TS_COL},", 1)
+               .replace(f"f AS (SELECT {SQL_BASE[0]}", f"f AS (SELECT series_id, {SQL_BASE[0]}", 1))
+
+
+@register("timeseries_features_by_series", _SERIES_SQL, fixtures=("workload_hourly_series",))
 def q_timeseries_features_by_series(spark, sf):
-    """Multi-series variant: one window pass per series_id (rows-only check)."""
+    """Multi-series variant: windows per series_id (blocked within each series)."""
     h = X.workload_hourly(spark, sf, series_col=True)
-    return rounded(TS.timeseries_features(h, TS_COL, series_col="series_id"))
+    return rounded(TS.timeseries_features(h, TS_COL, series_col="series_id").select("series_id", *feature_names()))

@@ -268,6 +268,16 @@ SELECT date_trunc('hour', ts) AS timestamp_h,
        100 AS cluster_size
 FROM events
 GROUP BY date_trunc('hour', ts)""",
+    "workload_hourly_series": """
+SELECT user_id % 4 AS series_id, date_trunc('hour', ts) AS timestamp_h,
+       LEAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) / CAST(COUNT(*) * 10000 AS DOUBLE), 1) AS cpu_usage,
+       LEAST(MAX(value) / 400, 1) AS memory_usage,
+       SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) / CAST(COUNT(*) AS DOUBLE) AS gpu_usage,
+       CAST(COUNT(*) AS BIGINT) AS job_queue_length,
+       CAST(COUNT(DISTINCT user_id) AS BIGINT) AS active_jobs,
+       100 AS cluster_size
+FROM events
+GROUP BY user_id % 4, date_trunc('hour', ts)""",
     "jobs": """
 SELECT CONCAT('job-', CAST(event_id AS VARCHAR(20))) AS job_id, event_id AS job_ordinal, user_id % 10 AS request_id, user_id,
        CAST(1 + event_id % 10 AS INT) AS priority,
