@@ -199,14 +199,24 @@ def unplaced_jobs(jobs: DataFrame, placements: DataFrame) -> DataFrame:
 
 
 def place_balanced(jobs: DataFrame, nodes: DataFrame, rounds: int = 4):
-    """Run the three objectives, pick the best per request; return (placements, summaries, choice)."""
+    """Run the three objectives, pick the best per request; return (placements, summaries, choice).
+
+    The three placements are independent, so they are submitted from three
+    driver threads and share the cluster (Spark's scheduler is thread-safe).
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     j = allocation_jobs(jobs)
     node_rows = allocation_nodes(nodes).count()
-    plans, sums = [], []
-    for o in OBJECTIVES:
+
+    def run(o):
         p, _ = place(j, nodes, o, rounds, node_rows)
-        plans.append(p.withColumn("objective", F.lit(o)))
-        sums.append(plan_summary(p, j, nodes, o))
+        return p.withColumn("objective", F.lit(o)), plan_summary(p, j, nodes, o)
+
+    with ThreadPoolExecutor(max_workers=len(OBJECTIVES)) as pool:
+        results = list(pool.map(run, OBJECTIVES))
+    plans = [r[0] for r in results]
+    sums = [r[1] for r in results]
     allp = plans[0].unionByName(plans[1]).unionByName(plans[2])
     alls = sums[0].unionByName(sums[1]).unionByName(sums[2])
     choice = pick_objective(alls)
