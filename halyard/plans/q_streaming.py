@@ -109,3 +109,11 @@ _HOURLY_COLS = ["timestamp_h", R("cpu_usage") + " AS cpu_usage", R("memory_usage
 @register("stream_workload_hourly", f"SELECT {', '.join(_HOURLY_COLS)} FROM workload_hourly", fixtures=("workload_hourly",))
 def q_stream_workload_hourly(spark, sf):
     return round_doubles(SG.stream_workload_hourly(events(spark, sf), spark))
+
+
+@register("stream_service_absence", """
+, hh AS (SELECT service, ts, LEAD(ts) OVER (PARTITION BY service ORDER BY ts) AS nxt FROM health_checks WHERE status = 'healthy')
+SELECT service, ts + INTERVAL 60 SECOND AS down_from, nxt AS down_until FROM hh
+WHERE nxt IS NOT NULL AND epoch_us(nxt) - epoch_us(ts) > 60000000""", fixtures=HC)
+def q_stream_service_absence(spark, sf):
+    return SG.stream_service_absence(events(spark, sf), spark)

@@ -169,3 +169,33 @@ def stream_workload_hourly(events: DataFrame, spark=None) -> DataFrame:
         (F.col("_clicks") / F.col("_n").cast("double")).alias("gpu_usage"),
         F.col("_n").cast("bigint").alias("job_queue_length"),
         F.size("_users").cast("bigint").alias("active_jobs"), F.lit(100).alias("cluster_size"))
+
+
+def stream_service_absence(events: DataFrame, spark=None, gap_seconds: int = 60) -> DataFrame:
+    """Down intervals: no healthy sample of a service for more than ``gap_seconds``.
+
+    Stream state per service is the time of its last healthy sample (one
+    value); each gap longer than the limit becomes (down_from = last healthy
+    + limit, down_until = next healthy sample).  A gap still open at the end of
+    the input is not reported.
+    """
+    gap_us = gap_seconds * 1_000_000
+    h = X.health_checks(spark, "", src=events).where(F.col("status") == "healthy").select(
+        "service", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
+
+    def track(key, batches, state):
+        last = state.get[0] if state.exists else None
+        times = sorted(pd.concat(list(batches), ignore_index=True)["t_us"].tolist())
+        out = []
+        for t in times:
+            if last is not None and t - last > gap_us:
+                out.append((key[0], last + gap_us, t))
+            last = t if last is None else max(last, t)
+        state.update((last,))
+        yield pd.DataFrame(out, columns=["service", "from_us", "until_us"])
+
+    res = h.groupBy("service").applyInPandasWithState(
+        track, "service string, from_us long, until_us long", "last_us long", "append", GroupStateTimeout.NoTimeout)
+    out = run_append(res, "absence")
+    return out.select("service", F.timestamp_micros("from_us").cast("timestamp_ntz").alias("down_from"),
+                      F.timestamp_micros("until_us").cast("timestamp_ntz").alias("down_until"))
