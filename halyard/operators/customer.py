@@ -133,20 +133,32 @@ def age_group(df: DataFrame) -> DataFrame:
     return df.withColumn("age_group", age_group_expr(F.col("age")))
 
 
-def global_quantiles(df: DataFrame, col: str, probs, approx: bool = False,
+# Exact quantiles keep one buffer entry per distinct value in the final task;
+# above this many distinct values the approximate sketch is used instead.
+EXACT_QUANTILE_MAX_DISTINCT = 2_000_000
+
+
+def use_approx(df: DataFrame, col: str, limit: int = EXACT_QUANTILE_MAX_DISTINCT) -> bool:
+    """Size check for the exact quantile buffer (one HyperLogLog pass, one number to the driver)."""
+    return df.agg(F.approx_count_distinct(col).alias("n")).first()["n"] > limit
+
+
+def global_quantiles(df: DataFrame, col: str, probs, approx: bool | None = False,
                      accuracy: int = 100000) -> DataFrame:
     """One-row table ``q_<p>`` of global quantiles.
 
     Exact mode is ``percentile`` (linear interpolation, like pandas); its
-    buffer holds one entry per distinct value, so for columns with very many
-    distinct values use ``approx=True`` (``percentile_approx``, which returns
-    an observed value and does not interpolate).
+    buffer holds one entry per distinct value.  ``approx=None`` checks the
+    distinct count and switches to ``percentile_approx`` (an observed value,
+    not interpolated) above ``EXACT_QUANTILE_MAX_DISTINCT``.
     """
+    if approx is None:
+        approx = use_approx(df, col)
     fn = (lambda p: F.percentile_approx(col, p, accuracy)) if approx else (lambda p: F.percentile(col, p))
     return df.agg(*[fn(p).alias(f"q_{int(round(p * 100))}") for p in probs])
 
 
-def usage_trend(df: DataFrame, approx: bool = False) -> DataFrame:
+def usage_trend(df: DataFrame, approx: bool | None = None) -> DataFrame:
     """Low / Medium / High by the global .33 / .67 quantiles (right-closed)."""
     if "avg_monthly_usage_gb" not in df.columns:
         return df.withColumn("usage_trend", F.lit("Unknown"))
@@ -158,14 +170,14 @@ def usage_trend(df: DataFrame, approx: bool = False) -> DataFrame:
     return df.crossJoin(F.broadcast(q)).withColumn("usage_trend", trend).drop("q_33", "q_67")
 
 
-def high_value_flag(df: DataFrame, approx: bool = False) -> DataFrame:
+def high_value_flag(df: DataFrame, approx: bool | None = None) -> DataFrame:
     q = global_quantiles(df, "monthly_charges", [HIGH_VALUE_QUANTILE], approx)
     return (df.crossJoin(F.broadcast(q))
             .withColumn("high_value_customer", (F.col("monthly_charges") > F.col("q_75")).cast("int"))
             .drop("q_75"))
 
 
-def derived_features(df: DataFrame, approx: bool = False) -> DataFrame:
+def derived_features(df: DataFrame, approx: bool | None = None) -> DataFrame:
     """All derived churn features in the reference's order."""
     out = tickets_per_month(charges_ratio(df))
     out = usage_trend(out, approx)

@@ -59,8 +59,10 @@ def histogram_quantile(hist: DataFrame, q: float, by: str = "service") -> DataFr
 
 def latency_quantiles(requests: DataFrame, q: float = 0.95, latency: str = "latency_seconds") -> DataFrame:
     """Exact (interpolated) quantile and the bucket-interpolated one per service."""
+    from halyard.operators.customer import use_approx
     r = with_service(requests)
-    exact = r.groupBy("service").agg(F.percentile(latency, q).alias(f"exact_p{int(q * 100)}"))
+    fn = F.percentile_approx(latency, q, 100000) if use_approx(r, latency) else F.percentile(latency, q)
+    exact = r.groupBy("service").agg(fn.alias(f"exact_p{int(q * 100)}"))
     return exact.join(histogram_quantile(latency_histogram(r), q), "service", "left")
 
 
