@@ -185,3 +185,19 @@ def test_workflow_steps_succeed(spark, sf):
     from halyard.plans.workflows import workflow_forecast_schedule
     status, _ = workflow_forecast_schedule(spark, sf)
     assert {r.step: r.status for r in status.collect()} == {"prediction": "success", "scheduling": "success"}
+
+
+def test_salted_node_join_equals_broadcast(spark, sf):
+    from halyard.operators.placement import best_node, feasible
+    j = A.allocation_jobs(X.jobs(spark, sf))
+    st = A.allocation_nodes(X.nodes(spark, sf))
+    small = best_node(feasible(j, st, A.DIMS, node_rows=10), A.node_score_expr())
+    big = best_node(feasible(j, st, A.DIMS, node_rows=10 ** 9), A.node_score_expr())  # forces the salted path
+    assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
+    assert small.count() > 0
+
+
+def test_load_sources_skips_missing(spark, sf, tmp_path):
+    from halyard.sources.ingest import load_sources
+    got = load_sources(spark, {"customer": f"{sf}/customer.parquet", "nope": str(tmp_path / "missing.parquet")})
+    assert set(got) == {"customer"}
