@@ -77,7 +77,7 @@ def rate_limit_flags(requests: DataFrame, limit: int = RATE_LIMIT, window_second
     hot client is spread over many tasks and the counts stay exact.
     """
     win_us = window_seconds * US
-    blk_us = (block_seconds or max(7 * 86400, 16 * window_seconds)) * US
+    blk_us = (block_seconds or max(3600, 16 * window_seconds)) * US  # overlap is 1/16 of a block
     t_us = F.unix_micros(F.col(ts).cast("timestamp"))
     base = requests.withColumn("_t", t_us).withColumn("_blk", F.floor(F.col("_t") / blk_us)).withColumn("_own", F.lit(True))
     carry = (base.where(F.col("_t") - F.col("_blk") * blk_us >= blk_us - win_us)

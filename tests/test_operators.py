@@ -201,3 +201,16 @@ def test_load_sources_skips_missing(spark, sf, tmp_path):
     from halyard.sources.ingest import load_sources
     got = load_sources(spark, {"customer": f"{sf}/customer.parquet", "nope": str(tmp_path / "missing.parquet")})
     assert set(got) == {"customer"}
+
+
+def test_rate_limit_blocks_match_brute_force(spark, sf):
+    reqs = X.gateway_requests(spark, sf)
+    win = 300
+    got = {r.request_id: r.prior_in_window for r in G.rate_limit_flags(reqs, limit=1, window_seconds=win).collect()}
+    rows = sorted(reqs.select("request_id", "client_id", "ts").collect(), key=lambda r: (r.client_id, r.ts, r.request_id))
+    expect = {}
+    for r in rows:
+        expect[r.request_id] = sum(1 for o in rows if o.client_id == r.client_id
+                                   and ((o.ts < r.ts and (r.ts - o.ts).total_seconds() < win)
+                                        or (o.ts == r.ts and o.request_id < r.request_id)))
+    assert got == expect
