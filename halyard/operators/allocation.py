@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halyard.functions.scalar import add_hours
-from halyard.operators.placement import Dim, best_node, feasible, init_state, place_jobs
+from halyard.operators.placement import Dim, best_node, feasible, init_state, place_jobs, with_node_id
 
 DIMS = [
     Dim("cpu_cores_required", "available_cpu_cores", "used_cpu"),
@@ -100,7 +100,7 @@ def first_choice(jobs: DataFrame, nodes: DataFrame, objective: str = "efficiency
     n = node_rows if node_rows is not None else st.count()
     j = allocation_jobs(jobs)
     pairs = feasible(j, st, DIMS, n)
-    best = best_node(pairs, score_for(objective)())
+    best = with_node_id(best_node(pairs, score_for(objective)()), st)
     return best.join(j.select("request_id", "job_ordinal", "job_id"), ["request_id", "job_ordinal"])
 
 

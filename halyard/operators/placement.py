@@ -49,12 +49,20 @@ class Dim:
 ScoreFn = Callable[[], Column]  # expression over columns of the joined pair (job cols + node state cols)
 
 
+# Arg-max key: floor(score * 2^36) in the high bits, (2^23 - 1 - node rank) in the low 23 bits.
+SCORE_SCALE = float(2 ** 36)
+RANK_BITS = 23
+RANK_SPAN = 2 ** RANK_BITS
+
+
 def init_state(nodes: DataFrame, dims: list[Dim], extra_cols=()) -> DataFrame:
+    """Node state: capacities, used amounts (0), placed count, and the node's rank in its request."""
     cols = [F.col("request_id"), F.col("node_id"), F.col("node_ordinal"), *[F.col(c) for c in extra_cols]]
     cols += [F.col(d.capacity) for d in dims]
     cols += [F.lit(0).cast(nodes.schema[d.capacity].dataType).alias(d.used) for d in dims]
     cols.append(F.lit(0).cast("bigint").alias("n_placed"))
-    return nodes.select(*cols)
+    ranked = running_totals(nodes.select(*cols), ["request_id"], [F.col("node_ordinal").asc()], rank_col="node_rank")
+    return ranked
 
 
 def _node_side(state: DataFrame, jobs: DataFrame, node_rows: int):
@@ -88,16 +96,22 @@ JOB_KEY = ["request_id", "job_ordinal"]
 def best_node(pairs: DataFrame, score: Column, key_cols: list[str] = JOB_KEY) -> DataFrame:
     """Highest score per job (``key_cols``); ties go to the lowest node ordinal.
 
-    The arg-max is ``max(struct(score, -ordinal, node_id))``, which Spark runs
-    as a sort-based aggregate; grouping on two long keys keeps that sort
-    narrow, and the partial aggregate collapses each job's pairs in the task
-    that produced them (the broadcast join emits them together), so only one
-    row per job is shuffled.
+    The arg-max is ``max`` of one long: the score quantised to 2^-36
+    (scores within 1.5e-11 count as equal) above the inverted node rank.
+    A long buffer makes it a hash aggregate whose partial step collapses each
+    job's pairs in the task that produced them (the broadcast join emits them
+    together), so only one row per job is shuffled.  Scores lie in [0, 16)
+    and a request has fewer than 2^23 nodes.
     """
-    best = F.max(F.struct(score.alias("score"), (-F.col("node_ordinal")).alias("neg_ord"),
-                          F.col("node_id").alias("node_id")))
-    return pairs.groupBy(*key_cols).agg(best.alias("_b")).select(
-        *key_cols, F.col("_b.node_id").alias("node_id"), F.col("_b.score").alias("score"))
+    key = F.floor(score * SCORE_SCALE).cast("long") * RANK_SPAN + (RANK_SPAN - F.col("node_rank"))
+    g = pairs.groupBy(*key_cols).agg(F.max(key).alias("_k"), F.max(score).alias("score"))
+    return g.select(*key_cols, (RANK_SPAN - F.pmod(F.col("_k"), F.lit(RANK_SPAN))).alias("node_rank"), "score")
+
+
+def with_node_id(best: DataFrame, state: DataFrame) -> DataFrame:
+    """Decode the winning node rank to its id (node side as in the feasibility join)."""
+    ids = state.select("request_id", "node_rank", "node_id")
+    return best.join(ids, ["request_id", "node_rank"]).drop("node_rank")
 
 
 def admit(chosen: DataFrame, state: DataFrame, dims: list[Dim], order: list[Column]) -> DataFrame:
@@ -147,7 +161,7 @@ def place_jobs(jobs: DataFrame, nodes_state: DataFrame, dims: list[Dim], order:
     for k in range(1, rounds + 1):
         pairs = feasible(pending, state, dims, node_rows, extra() if extra else None)
         # winners (one row per job) get their attributes back by key: no wide sort over the pairs
-        chosen = best_node(pairs, score(), narrow).join(pending, narrow)
+        chosen = with_node_id(best_node(pairs, score(), narrow), state).join(pending, narrow)
         # written once: both the admitted and the retried jobs are read from it
         decided = cut_lineage(admit(chosen, state, dims, order), "decided")
         won = decided.where(F.col("admitted")).drop("admitted").withColumn("round", F.lit(k))

@@ -24,7 +24,7 @@ def placement_ctes(jobs_cte: str, state_cte: str, dims, order_sql: str, score_sq
         out.append(f"""{f} AS (SELECT p.*, s.node_id, s.node_ordinal, {score_sql} AS score
     FROM {prev_p} p JOIN {prev_s} s ON p.request_id = s.request_id AND {cond})""")
         out.append(f"""{b} AS (SELECT * EXCLUDE (rn, node_ordinal) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id
-    ORDER BY score DESC, node_ordinal) AS rn FROM {f}) q WHERE rn = 1)""")
+    ORDER BY FLOOR(score * 68719476736.0) DESC, node_ordinal) AS rn FROM {f}) q WHERE rn = 1)""")
         sums = ", ".join(f"SUM({d}) OVER (PARTITION BY request_id, node_id ORDER BY {order_sql} "
                          f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_{d}" for d, _, _, _ in dims)
         out.append(f"{a} AS (SELECT *, {sums} FROM {b})")

@@ -113,10 +113,11 @@ def q_feasible_nodes(spark, sf):
 _FIRST_SQL = BASE_CTES + f"""
 , f AS (SELECT p.request_id, p.job_id, s.node_id, s.node_ordinal, {NODE_SCORE_SQL} AS score
         FROM al_jobs p JOIN al_state s ON p.request_id = s.request_id AND {_FEAS_COND}),
-b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id ORDER BY score DESC, node_ordinal) AS rn FROM f)"""
+b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id ORDER BY FLOOR(score * 68719476736.0) DESC, node_ordinal) AS rn,
+      MAX(score) OVER (PARTITION BY job_id) AS best FROM f)"""
 
 
-@register("node_score", _FIRST_SQL + f"\nSELECT request_id, job_id, {R('score')} AS score FROM b WHERE rn = 1", fixtures=FIX)
+@register("node_score", _FIRST_SQL + f"\nSELECT request_id, job_id, {R('best')} AS score FROM b WHERE rn = 1", fixtures=FIX)
 def q_node_score(spark, sf):
     j, n = jobs_nodes(spark, sf)
     return round_doubles(A.first_choice(j, n, "efficiency").select("request_id", "job_id", "score"))
@@ -147,11 +148,12 @@ for _o in A.OBJECTIVES:
     f"{ROUNDS} AS round", "1 AS round") + """
 SELECT b.request_id, b.job_id, b.node_id, b.job_id IN (SELECT job_id FROM na_x1) AS admitted FROM na_b1 b""", fixtures=FIX)
 def q_node_admission(spark, sf):
-    from halyard.operators.placement import admit, best_node, feasible
+    from halyard.operators.placement import admit, best_node, feasible, with_node_id
     j, n = jobs_nodes(spark, sf)
     st = A.allocation_nodes(n)
     aj = A.allocation_jobs(j)
-    chosen = best_node(feasible(aj, st, A.DIMS, st.count()), A.node_score_expr()).join(aj, ["request_id", "job_ordinal"])
+    chosen = with_node_id(best_node(feasible(aj, st, A.DIMS, st.count()), A.node_score_expr()), st) \
+        .join(aj, ["request_id", "job_ordinal"])
     return admit(chosen, st, A.DIMS, A.queue_order("efficiency")).select("request_id", "job_id", "node_id", "admitted")
 
 

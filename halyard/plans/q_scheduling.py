@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from halyard.operators import scheduling as SC
-from halyard.operators.placement import best_node, feasible
+from halyard.operators.placement import best_node, feasible, with_node_id
 from halyard.operators.prefix import running_totals
 from halyard.plans.placement_sql import placement_ctes
 from halyard.plans.registry import R, register, round_doubles
@@ -137,14 +137,15 @@ _FEAS = " AND ".join(f"s.{c} >= p.{d}" for d, c, _, _ in SQL_DIMS) + " AND s.is_
 @register("schedule_node_score", BASE_CTES + f"""
 , f AS (SELECT p.request_id, p.job_id, s.node_ordinal, {SCORE_SQL} AS score
         FROM sc_jobs p JOIN sc_state s ON p.request_id = s.request_id AND {_FEAS}),
-b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id ORDER BY score DESC, node_ordinal) AS rn FROM f)
-SELECT request_id, job_id, {R('score')} AS score FROM b WHERE rn = 1""", fixtures=FIX)
+b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id ORDER BY FLOOR(score * 68719476736.0) DESC, node_ordinal) AS rn,
+       MAX(score) OVER (PARTITION BY job_id) AS best FROM f)
+SELECT request_id, job_id, {R('best')} AS score FROM b WHERE rn = 1""", fixtures=FIX)
 def q_schedule_node_score(spark, sf):
     j, n, q = inputs(spark, sf)
     sj = SC.scheduler_jobs(j)
     st = SC.scheduler_nodes(n)
     pairs = feasible(sj, st, SC.DIMS, st.count(), SC.available_expr())
-    best = best_node(pairs, SC.score_expr()).join(sj.select("request_id", "job_ordinal", "job_id"),
+    best = with_node_id(best_node(pairs, SC.score_expr()), st).join(sj.select("request_id", "job_ordinal", "job_id"),
                                                    ["request_id", "job_ordinal"])
     return round_doubles(best.select("request_id", "job_id", "score"))
 
