@@ -58,3 +58,37 @@ def running_totals(df: DataFrame, group_cols, order_exprs: list[Column], sum_col
     if rank_col:
         cols.append((F.col("_run__one") + F.col("_off__one")).alias(rank_col))
     return out.select(*cols)
+
+
+def running_max_plus(df: DataFrame, group_cols, order_exprs: list[Column], dur_col: str, rel_col: str,
+                     parts: int | None = None) -> DataFrame:
+    """Sequential start/end times per group without one task per group.
+
+    For rows in order with duration d and release time r:
+    end_i = S_i + max_{j<=i}(r_j - S_{j-1}) with S the running sum of d.
+    Adds ``_end`` and ``_rank`` (1-based).  Same range-partition scheme as
+    ``running_totals``: local running sum and running max per partition,
+    plus per-partition offsets (sum of earlier durations, best earlier max).
+    """
+    group_cols = list(group_cols)
+    ranged = cut_lineage(df.repartitionByRange(_parts(df, parts), *[F.col(c) for c in group_cols], *order_exprs)
+                         .withColumn("_pid", F.spark_partition_id()), "maxplus")
+    grp = ["_pid", *group_cols]
+    w = Window.partitionBy(*grp).orderBy(*order_exprs).rowsBetween(Window.unboundedPreceding, 0)
+    local = (ranged.withColumn("_ls", F.sum(dur_col).over(w))
+             .withColumn("_a", F.col(rel_col) - (F.col("_ls") - F.col(dur_col)))
+             .withColumn("_lm", F.max("_a").over(w))
+             .withColumn("_lr", F.row_number().over(Window.partitionBy(*grp).orderBy(*order_exprs))))
+    totals = ranged.withColumn("_ls", F.sum(dur_col).over(w)) \
+        .withColumn("_a", F.col(rel_col) - (F.col("_ls") - F.col(dur_col))) \
+        .groupBy(*grp).agg(F.sum(dur_col).alias("_ts"), F.max("_a").alias("_tm"), F.count(F.lit(1)).alias("_tn"))
+    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (totals.withColumn("_os", F.coalesce(F.sum("_ts").over(before), F.lit(0)))
+            .withColumn("_on", F.coalesce(F.sum("_tn").over(before), F.lit(0)))
+            .withColumn("_gm", F.col("_tm") - F.col("_os"))
+            .withColumn("_om", F.max("_gm").over(before))
+            .select(*grp, "_os", "_on", "_om"))
+    t = local.join(offs, grp)
+    m = F.greatest(F.coalesce(F.col("_om"), F.col("_lm") - F.col("_os")), F.col("_lm") - F.col("_os"))
+    return t.select(*[F.col(c) for c in df.columns], (F.col("_ls") + F.col("_os") + m).alias("_end"),
+                    (F.col("_lr") + F.col("_on")).alias("_rank"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from halyard.functions.scalar import priority_class
 from halyard.operators.placement import Dim, init_state, place_jobs
-from halyard.operators.prefix import running_totals
+from halyard.operators.prefix import running_max_plus, running_totals
 
 DIMS = [
     Dim("cpu_cores_required", "available_cpu_cores", "used_cpu"),
@@ -124,23 +124,20 @@ def node_timeline(placed: DataFrame, now: DataFrame, order: list[Column]) -> Dat
     """start = max(now, earliest start, end of the previous job on the node); max-plus scan.
 
     end_i = S_i + max_{j<=i}(r_j - S_{j-1}) with S the running runtime and r
-    the release time.  Jobs on one node are bounded by its capacity, so the
-    per-node window stays small.
+    the release time, computed with the skew-safe ``running_max_plus`` so a
+    node holding very many jobs is still spread over many tasks.
     """
-    w = Window.partitionBy("request_id", "node_id").orderBy(F.col("round").asc(), *order)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    d_us = F.col("estimated_runtime_minutes").cast("bigint") * 60_000_000
     now_us = F.unix_micros(F.col("_now").cast("timestamp"))
     rel = F.greatest(now_us, F.coalesce(F.unix_micros(F.col("earliest_start_time").cast("timestamp")), now_us))
-    t = placed.crossJoin(F.broadcast(now)).withColumn("_d", d_us).withColumn("_rel", rel)
-    t = t.withColumn("_S", F.sum("_d").over(run))
-    t = t.withColumn("_M", F.max(F.col("_rel") - (F.col("_S") - F.col("_d"))).over(run))
-    end_us = F.col("_S") + F.col("_M")
+    t = (placed.crossJoin(F.broadcast(now))
+         .withColumn("_d", F.col("estimated_runtime_minutes").cast("bigint") * 60_000_000)
+         .withColumn("_rel", rel))
+    scanned = running_max_plus(t, ["request_id", "node_id"], [F.col("round").asc(), *order], "_d", "_rel")
     ts = lambda us: F.timestamp_micros(us).cast("timestamp_ntz")
-    return t.select(
+    return scanned.select(
         *placed.columns,
-        ts(end_us - F.col("_d")).alias("scheduled_start_time"), ts(end_us).alias("estimated_completion_time"),
-        (F.row_number().over(w) - 1).alias("queue_position"))
+        ts(F.col("_end") - F.col("_d")).alias("scheduled_start_time"), ts(F.col("_end")).alias("estimated_completion_time"),
+        (F.col("_rank") - 1).cast("int").alias("queue_position"))
 
 
 def schedule(jobs: DataFrame, nodes: DataFrame, quotas: DataFrame, policy: str, rounds: int = 4):

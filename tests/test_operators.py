@@ -214,3 +214,20 @@ def test_rate_limit_blocks_match_brute_force(spark, sf):
                                    and ((o.ts < r.ts and (r.ts - o.ts).total_seconds() < win)
                                         or (o.ts == r.ts and o.request_id < r.request_id)))
     assert got == expect
+
+
+def test_running_max_plus_matches_sequential(spark):
+    from halyard.operators.prefix import running_max_plus
+    rows = [(i, i % 2, 10 + (i * 7) % 13, (i * 37) % 500) for i in range(3000)]  # id, group, duration, release
+    df = spark.createDataFrame(rows, "id long, g long, d long, r long")
+    got = {r.id: (r._end, r._rank) for r in running_max_plus(df, ["g"], [F.col("id").asc()], "d", "r", parts=7).collect()}
+    expect = {}
+    for g in (0, 1):
+        end, rank = None, 0
+        for i, gg, d, r in rows:
+            if gg != g:
+                continue
+            start = r if end is None else max(r, end)
+            end, rank = start + d, rank + 1
+            expect[i] = (end, rank)
+    assert got == expect
