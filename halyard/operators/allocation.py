@@ -77,9 +77,11 @@ def score_for(objective: str):
     return power_score_expr if objective == "power" else node_score_expr
 
 
-def place(jobs: DataFrame, nodes: DataFrame, objective: str, rounds: int = 4, node_rows: int | None = None):
-    """Placement for one objective; returns (placements, node state)."""
-    return place_jobs(allocation_jobs(jobs), allocation_nodes(nodes), DIMS, queue_order(objective),
+def place(jobs: DataFrame, nodes: DataFrame, objective: str, rounds: int = 4, node_rows: int | None = None,
+          state: DataFrame | None = None):
+    """Placement for one objective; returns (placements, node state).  ``state`` reuses a built node state."""
+    st = state if state is not None else allocation_nodes(nodes)
+    return place_jobs(allocation_jobs(jobs), st, DIMS, queue_order(objective),
                       score_for(objective), rounds=rounds, node_rows=node_rows)
 
 
@@ -207,10 +209,11 @@ def place_balanced(jobs: DataFrame, nodes: DataFrame, rounds: int = 4):
     from concurrent.futures import ThreadPoolExecutor
 
     j = allocation_jobs(jobs)
-    node_rows = allocation_nodes(nodes).count()
+    state = allocation_nodes(nodes)      # built (and written) once, shared by the three plans
+    node_rows = state.count()
 
     def run(o):
-        p, _ = place(j, nodes, o, rounds, node_rows)
+        p, _ = place(j, nodes, o, rounds, node_rows, state)
         return p.withColumn("objective", F.lit(o)), plan_summary(p, j, nodes, o)
 
     with ThreadPoolExecutor(max_workers=len(OBJECTIVES)) as pool:
