@@ -42,7 +42,8 @@ def bounded_sample(df: DataFrame, bound: int, key: Column, strata: Column | None
     sizes = tagged.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_rows"))
     share = F.least(F.lit(1.0), F.lit(float(bound)) / F.col("_rows"))
     point = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    return tagged.join(sizes, tagged["_stratum"].eqNullSafe(sizes["_stratum"])) \
+    # one row for each stratum, and strata are labels: a broadcast keeps the texts where they are
+    return tagged.join(F.broadcast(sizes), tagged["_stratum"].eqNullSafe(sizes["_stratum"])) \
         .where(point < share).select(*[tagged[c] for c in df.columns])
 
 
