@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import language_id
+from halyard.llm import language_id, quality_rules
 from halyard.session import cut_lineage
 from halyard.sources.tables import read_table
 
@@ -20,8 +20,14 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return known.where(ok).select(*docs.columns)
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents that pass the base rules and look like their language."""
+    return quality_rules.apply_rules(docs).where("_verdict.kept").select(*docs.columns)
+
+
 STAGES = [
     ("language_id", language_stage),
+    ("quality_rules", quality_stage),
 ]
 
 #: The stages run Python on whole texts and learned models; SQL cannot express them.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import language_id
+from halyard.llm import language_id, quality_rules
 from halyard.llm.common import held_out
 from halyard.sources.tables import read_table
 
@@ -29,6 +29,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+@query("op1_quality_rules")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    out = quality_rules.apply_rules(docs, keep=["doc_id"])
+    return out.select("doc_id", *[F.col(f"_q.{c}").alias(c) for c in quality_rules.MEASURES],
+                      *[F.col(f"_verdict.{c}").alias(c) for c in ("base_failed", "kept")])
+
+
 @query("op8_language_id")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
