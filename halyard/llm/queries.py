@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import language_id, quality_rules
+from halyard.llm import language_id, order_minhash, quality_rules, token_count, tree_bpe
 from halyard.llm.common import held_out
 from halyard.sources.tables import read_table
 
@@ -37,9 +38,36 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                       *[F.col(f"_verdict.{c}").alias(c) for c in ("base_failed", "kept")])
 
 
+@query("op2_order_minhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = order_minhash.near_duplicate_classes(spark, documents(spark, sf_dir).select("doc_id", "text"))
+    members = found.where(F.col("key").isNotNull())
+    ids = members.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_rows"))
+    alone = found.where(F.col("key").isNull())
+    return members.join(ids, "class_key").select("doc_id", "class_id", "class_rows") \
+        .unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_rows")))
+
+
+@query("op6_token_count")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    n = token_count.count_tokens(spark, F.col("text"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return docs.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), n.alias("n_tokens")) \
+        .withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 @query("op8_language_id")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     out = language_id.identify(spark, docs)
     return out.select("doc_id", held_out().alias("held_out"), F.col("_language.lang_pred").alias("lang_pred"),
                       F.col("_language.score").alias("score"), F.col("_language.coverage").alias("coverage"))
+
+
+@query("op10_tree_bpe")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tree_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    coded = docs.select("doc_id", tree_bpe.encode(spark, F.col("text"), ranks, public_tokenizers.PATTERN).alias("c"))
+    return coded.select("doc_id", (F.octet_length("c.ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("c.ids", 256).alias("ids_sha256"), F.sha2("c.decoded", 256).alias("decoded_sha256"))
