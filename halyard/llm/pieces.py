@@ -10,11 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-MEMORY = 200_000     # entries of a generation of remembered parts
+MEMORY = 300_000     # entries of a generation of remembered parts
 LONGEST = 64         # longer parts are not remembered
 STRETCH = 1 << 20    # characters of a text that are cut into parts at once
+GROUP = 1 << 23      # characters of all stretches that are handled together
 
 BLANK_IN_RUN = regex.compile(r"\s (?=\s|\Z)")
 LONE_BLANK = regex.compile(r"(?<=\S) (?=\S)")
@@ -48,6 +52,18 @@ class Memory(dict):
         return value
 
 
+def piece_values(part: str, lead: str, pieces: Memory, rest: Memory):
+    """The values of a part's pre-tokens, joined: the part after ``lead`` (a blank or nothing).
+
+    Letters are one pre-token, letters with a full stop or comma behind are two; no pattern is needed there.
+    """
+    if part.isalpha():
+        return pieces[lead + part]
+    if part[-1:] in (".", ",") and part[:-1].isalpha():
+        return pieces[lead + part[:-1]] + pieces[part[-1]]
+    return rest[part]
+
+
 def stretches(text: str) -> Iterator[str]:
     """The text in stretches of about STRETCH characters, cut before lone blanks only."""
     at = 0
@@ -70,3 +86,53 @@ def byte_letters() -> dict[int, str]:
 def byte_spelling(text: str, letters: dict[int, str]) -> str:
     """A text as the byte-level vocabularies spell it."""
     return text.encode().decode("latin-1").translate(letters)
+
+
+class Parts:
+    """The parts of a group of stretches: distinct texts, and which of them stand where.
+
+    ``blank``: cut at every blank, and the part before a stretch's first blank is kept apart (``firsts``);
+    otherwise cut at runs of white space.
+    """
+
+    def __init__(self, group: list[str], blank: bool):
+        strings = pa.array(group, pa.large_string())
+        lists = pc.split_pattern(strings, " ") if blank else pc.utf8_split_whitespace(strings)
+        coded = lists.flatten().dictionary_encode()
+        self.offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+        self.which = np.asarray(coded.indices).astype(np.int64)
+        self.distinct = coded.dictionary.to_pylist()
+        self.firsts = [self.distinct[i] for i in self.which[self.offsets[:-1]]] if blank else []
+        if blank:
+            self.which[self.offsets[:-1]] = len(self.distinct) + np.arange(len(group))
+
+    def sums(self, values: list[int]) -> list[int]:
+        """Of each stretch, the sum of its parts' values (the distinct parts' and then the firsts')."""
+        total = np.concatenate([[0], np.cumsum(np.asarray(values, np.int64)[self.which])])
+        return (total[self.offsets[1:]] - total[self.offsets[:-1]]).tolist()
+
+    def joined(self, values: list[bytes]) -> list[bytes]:
+        """Of each stretch, its parts' values (of 4-byte ids) one after the other."""
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        begins = np.cumsum(sizes) - sizes
+        n = sizes[self.which]
+        ends = np.cumsum(n)
+        ids = np.frombuffer(b"".join(values), "<u4")
+        ids = ids[np.repeat(begins[self.which] - (ends - n), n) + np.arange(int(n.sum()))]
+        at = np.concatenate([[0], ends])[self.offsets]
+        return [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
+
+
+def groups(texts: list[tuple[int, str]]) -> Iterator[tuple[list[int], list[str]]]:
+    """(number, text) pairs as groups of stretches of about GROUP characters in all."""
+    numbers, held, size = [], [], 0
+    for number, text in texts:
+        for stretch in stretches(text):
+            if held and size + len(stretch) > GROUP:
+                yield numbers, held
+                numbers, held, size = [], [], 0
+            numbers.append(number)
+            held.append(stretch)
+            size += len(stretch)
+    if held:
+        yield numbers, held

@@ -27,7 +27,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import types as T
 
 from halyard.llm.common import map_text, small_batches
-from halyard.llm.pieces import BLANK_IN_RUN, Memory, stretches
+from halyard.llm.pieces import BLANK_IN_RUN, Memory, Parts, groups, piece_values
 
 LEAF = 24        # bytes merged directly
 NO_RANK = 1 << 30
@@ -114,18 +114,21 @@ class TreeBpe:
     def _matches(self, text: str) -> bytes:
         return b"".join(map(self._pieces.__getitem__, self.match.findall(text)))
 
-    def encode(self, text: str | None) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if BLANK_IN_RUN.search(text):
-            return b"".join(self._pieces[m.group()] for m in self.match.finditer(text))
-        out = []
-        for stretch in stretches(text):
-            first, *parts = stretch.split(" ")
-            out.append(self._matches(first))
-            out.append(b"".join(map(self._after_blank.__getitem__, parts)))
-        return b"".join(out)
+    def encode(self, texts: list) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        plain = []
+        for i, text in enumerate(texts):
+            if text and BLANK_IN_RUN.search(text):
+                out[i].append(b"".join(self._pieces[m.group()] for m in self.match.finditer(text)))
+            elif text:
+                plain.append((i, text))
+        for numbers, group in groups(plain):
+            parts = Parts(group, blank=True)
+            values = [piece_values(p, " ", self._pieces, self._after_blank) for p in parts.distinct] + [self._matches(p) for p in parts.firsts]
+            for i, ids in zip(numbers, parts.joined(values)):
+                out[i].append(ids)
+        return [b"".join(ids) for ids in out]
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of little-endian ids."""
@@ -145,6 +148,6 @@ def encode(spark: SparkSession, text: Column, ranks: dict[bytes, int], pattern:
 
     def run(texts: list) -> pd.DataFrame:
         bpe = shared.value
-        ids = [bpe.encode(t) for t in texts]
+        ids = bpe.encode(texts)
         return pd.DataFrame({"ids": ids, "decoded": [bpe.decode(i) for i in ids]}, columns=SCHEMA.names)
     return map_text(text, run, SCHEMA)
