@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from halyard.llm.common import small_batches
-from halyard.llm.pieces import AGREED, BLANK_IN_RUN, Memory, byte_letters, byte_spelling, stretches
+from halyard.llm.pieces import AGREED, BLANK_IN_RUN, Memory, Parts, byte_letters, byte_spelling, groups, piece_values
 
 
 def whole_tokens(spec: str, pattern: str) -> frozenset[str]:
@@ -63,18 +63,24 @@ class TokenCounter:
     def _matches(self, text: str) -> int:
         return sum(map(self._pieces.__getitem__, self.match.findall(text)))
 
-    def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        if AGREED.search(text) or any(s in text for s in self.specials):
-            return len(self.library.encode(text, add_special_tokens=False).ids)
-        if BLANK_IN_RUN.search(text):
-            return sum(self._pieces[m.group()] for m in self.match.finditer(text))
-        n = 0
-        for stretch in stretches(text):
-            first, *parts = stretch.split(" ")
-            n += self._matches(first) + sum(map(self._after_blank.__getitem__, parts))
-        return n
+    def count(self, texts: list) -> list[int]:
+        out = [0] * len(texts)
+        plain = []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if AGREED.search(text) or any(s in text for s in self.specials):
+                out[i] = len(self.library.encode(text, add_special_tokens=False).ids)
+            elif BLANK_IN_RUN.search(text):
+                out[i] = sum(self._pieces[m.group()] for m in self.match.finditer(text))
+            else:
+                plain.append((i, text))
+        for numbers, group in groups(plain):
+            parts = Parts(group, blank=True)
+            values = [piece_values(p, " ", self._pieces, self._after_blank) for p in parts.distinct] + [self._matches(p) for p in parts.firsts]
+            for i, n in zip(numbers, parts.sums(values)):
+                out[i] += n
+        return out
 
 
 def count_tokens(spark: SparkSession, text: Column, path: str, pattern: str) -> Column:
@@ -86,6 +92,5 @@ def count_tokens(spark: SparkSession, text: Column, path: str, pattern: str) ->
 
     @F.pandas_udf(T.LongType())
     def run(texts: pd.Series) -> pd.Series:
-        counter = shared.value
-        return pd.Series([counter.count(t) for t in texts], dtype="int64")
+        return pd.Series(shared.value.count(texts.tolist()), dtype="int64")
     return run(text)
