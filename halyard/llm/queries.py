@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import language_id, order_minhash, quality_rules, token_count, tree_bpe
+from halyard.llm import language_id, order_minhash, quality_rules, token_count, token_store, tree_bpe
 from halyard.llm.common import held_out
+from halyard.session import scratch_path
 from halyard.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +67,20 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("_language.score").alias("score"), F.col("_language.coverage").alias("coverage"))
 
 
+@query("op9_token_store")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    token_store.write_store(spark, documents(spark, sf_dir).select("doc_id", "text"), path, spec, end_id=1)
+
+    @F.pandas_udf("long")
+    def crc32(ids: pd.Series) -> pd.Series:
+        return ids.map(zlib.crc32).astype("int64")
+    back = token_store.read_documents(token_store.open_store(spark, path))
+    return back.select("doc_id", "start", "n_tokens", crc32("ids").alias("ids_crc32"))
+
+
 @query("op10_tree_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = tree_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
