@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import language_id, order_minhash, quality_rules, token_count, token_store, tree_bpe
+from halyard.llm import decontaminate, language_id, order_minhash, quality_rules, token_count, token_store, tree_bpe
 from halyard.llm.common import held_out
 from halyard.session import scratch_path
 from halyard.sources.tables import read_table
@@ -59,6 +59,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@query("op7_decontaminate")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(spark, documents(spark, sf_dir).select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query("op8_language_id")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
