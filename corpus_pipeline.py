@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import language_id, quality_rules
+from halyard.llm import decontaminate, language_id, order_minhash, quality_rules, tree_bpe
 from halyard.session import cut_lineage
 from halyard.sources.tables import read_table
 
@@ -25,9 +26,31 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.apply_rules(docs).where("_verdict.kept").select(*docs.columns)
 
 
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each near-duplicate class."""
+    return order_minhash.one_of_each(spark, docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item, or most of 200 characters of one."""
+    return decontaminate.clean(spark, docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and whether they decode to the text's bytes."""
+    ranks = tree_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    coded = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
+        .select("doc_id", "text", tree_bpe.encode(spark, F.col("text"), ranks, public_tokenizers.PATTERN).alias("c"))
+    return coded.select("doc_id", (F.octet_length("c.ids") / 4).cast("long").alias("n_tokens"), F.col("c.ids").alias("ids"),
+                        (F.col("c.decoded") == F.col("text").cast("binary")).alias("exact"))
+
+
 STAGES = [
     ("language_id", language_stage),
     ("quality_rules", quality_stage),
+    ("order_minhash", dedup_stage),
+    ("decontaminate", decontamination_stage),
+    ("tree_bpe", encoding_stage),
 ]
 
 #: The stages run Python on whole texts and learned models; SQL cannot express them.
