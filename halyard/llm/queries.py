@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import decontaminate, language_id, order_minhash, quality_rules, token_count, token_store, tree_bpe
+from halyard.llm import decontaminate, language_id, license_scan, order_minhash, quality_rules, token_count, token_store, tree_bpe
 from halyard.llm.common import held_out
 from halyard.session import scratch_path
 from halyard.sources.tables import read_table
@@ -51,6 +51,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_rows")))
 
 
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(spark, documents(spark, sf_dir).select("doc_id", "text"))
+
+
 @query("op6_token_count")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
