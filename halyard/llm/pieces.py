@@ -15,10 +15,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-MEMORY = 300_000     # entries of a generation of remembered parts
+MEMORY = 150_000     # entries of a generation of remembered parts
 LONGEST = 64         # longer parts are not remembered
 STRETCH = 1 << 20    # characters of a text that are cut into parts at once
-GROUP = 1 << 23      # characters of all stretches that are handled together
+GROUP = 1 << 21      # characters of all stretches that are handled together
 
 BLANK_IN_RUN = regex.compile(r"\s (?=\s|\Z)")
 LONE_BLANK = regex.compile(r"(?<=\S) (?=\S)")
@@ -28,6 +28,17 @@ LONE_BLANK = regex.compile(r"(?<=\S) (?=\S)")
 AGREED = regex.compile(r"[^\x00-\x1B\x20-ɏА-яḀ-ẕ‐-‧€ぁ-ゖァ-ヺ一-龥]")
 
 
+_held: dict[type, tuple] = {}
+
+
+def revive(cls: type, *state):
+    """The worker's ``cls(*state)``: one object of a class is held, so that its memories outlast a task and are
+    not held twice when another broadcast brings the same state."""
+    if cls not in _held or _held[cls][0] != state:
+        _held[cls] = state, cls(*state)
+    return _held[cls][1]
+
+
 class Memory(dict):
     """A dict that fills itself by ``make``.
 

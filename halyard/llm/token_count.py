@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from halyard.llm.common import small_batches
-from halyard.llm.pieces import AGREED, BLANK_IN_RUN, Memory, Parts, byte_letters, byte_spelling, groups, piece_values
+from halyard.llm.pieces import AGREED, BLANK_IN_RUN, Memory, Parts, byte_letters, byte_spelling, groups, piece_values, revive
 
 
 def whole_tokens(spec: str, pattern: str) -> frozenset[str]:
@@ -43,23 +43,15 @@ class TokenCounter:
 
     def __init__(self, spec: str, pattern: str, whole: frozenset[str]):
         self.state = spec, pattern, whole
-        self._start()
-
-    def __getstate__(self):
-        return self.state
-
-    def __setstate__(self, state):
-        self.state = state
-        self._start()
-
-    def _start(self) -> None:
-        spec, pattern, whole = self.state
         self.library, self.match = Tokenizer.from_str(spec), regex.compile(pattern)
         self.specials = [t["content"] for t in json.loads(spec).get("added_tokens", [])]
         self.letters, self.model = byte_letters(), self.library.model
         self._pieces = Memory(lambda piece: 1 if piece in whole else len(self.model.tokenize(byte_spelling(piece, self.letters))))
         self._after_blank = Memory(lambda part: self._matches(" " + part))
 
+    def __reduce__(self):
+        return revive, (TokenCounter, *self.state)
+
     def _matches(self, text: str) -> int:
         return sum(map(self._pieces.__getitem__, self.match.findall(text)))
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from halyard.llm.common import small_batches
-from halyard.llm.pieces import AGREED, Memory, Parts, byte_letters, byte_spelling, groups, piece_values
+from halyard.llm.pieces import AGREED, Memory, Parts, byte_letters, byte_spelling, groups, piece_values, revive
 
 BLOCK = 1 << 16  # ids from which a block is closed
 
@@ -76,18 +76,8 @@ class WordEncoder:
 
     def __init__(self, spec: str):
         self.spec = spec
-        self._start()
-
-    def __getstate__(self):
-        return self.spec
-
-    def __setstate__(self, spec):
-        self.spec = spec
-        self._start()
-
-    def _start(self) -> None:
-        parsed = json.loads(self.spec)
-        self.library = Tokenizer.from_str(self.spec)
+        parsed = json.loads(spec)
+        self.library = Tokenizer.from_str(spec)
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
         self.specials = [t["content"] for t in parsed.get("added_tokens", [])]
         split = next(p for p in parsed["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -96,6 +86,9 @@ class WordEncoder:
         self._words = Memory(self._word)
         self._parts = Memory(lambda part: b"".join(map(self._words.__getitem__, self.match.findall(part))))
 
+    def __reduce__(self):
+        return revive, (WordEncoder, self.spec)
+
     def _word(self, word: str) -> bytes:
         return np.array([t.id for t in self.model.tokenize(byte_spelling(word, self.letters))], "<u4").tobytes()
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import types as T
 
 from halyard.llm.common import map_text, small_batches
-from halyard.llm.pieces import BLANK_IN_RUN, Memory, Parts, groups, piece_values
+from halyard.llm.pieces import BLANK_IN_RUN, Memory, Parts, groups, piece_values, revive
 
 LEAF = 24        # bytes merged directly
 NO_RANK = 1 << 30
@@ -46,22 +46,15 @@ class TreeBpe:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, pattern
-        self._start()
-
-    def __getstate__(self):
-        return self.ranks, self.pattern
-
-    def __setstate__(self, state):
-        self.ranks, self.pattern = state
-        self._start()
-
-    def _start(self) -> None:
         self.bytes_of = {i: b for b, i in self.ranks.items()}
         self.match = regex.compile(self.pattern)
         self._fits: dict[tuple[int, int], bool] = {}
         self._pieces = Memory(self._piece)
         self._after_blank = Memory(lambda part: self._matches(" " + part))
 
+    def __reduce__(self):
+        return revive, (TreeBpe, self.ranks, self.pattern)
+
     def merge(self, piece: bytes) -> list[int]:
         """Merge the neighbouring pair of lowest rank, the first of equals, until none has a rank."""
         rank = self.ranks.get
