@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import decontaminate, language_id, license_scan, order_minhash, quality_rules, token_count, token_store, tree_bpe
+from halyard.llm import decontaminate, language_id, license_scan, order_minhash, quality_rules, token_count, token_store, toxicity, tree_bpe
 from halyard.llm.common import held_out
 from halyard.session import scratch_path
 from halyard.sources.tables import read_table
@@ -56,6 +56,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(spark, documents(spark, sf_dir).select("doc_id", "text"))
 
 
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scorer = toxicity.learn(spark, docs, read_table(spark, sf_dir, "labels"))
+    return scorer.score(spark, docs).select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"),
+                                            (F.col("_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query("op6_token_count")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
