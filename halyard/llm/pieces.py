@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-MEMORY = 150_000     # entries of a generation of remembered parts
+MEMORY = 250_000     # entries of a generation of remembered parts
 LONGEST = 64         # longer parts are not remembered
 STRETCH = 1 << 20    # characters of a text that are cut into parts at once
 GROUP = 1 << 21      # characters of all stretches that are handled together

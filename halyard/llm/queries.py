@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import decontaminate, language_id, license_scan, order_minhash, quality_rules, token_count, token_store, toxicity, tree_bpe
+from halyard.llm import decontaminate, html_density, language_id, license_scan, order_minhash, quality_rules, token_count, token_store, toxicity, tree_bpe
 from halyard.llm.common import held_out
 from halyard.session import scratch_path
 from halyard.sources.tables import read_table
@@ -64,6 +64,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             (F.col("_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query("op5_html_density")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = pages.select("page_id", "url", html_density.main_text(spark, F.col("html")).alias("text"))
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query("op6_token_count")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
