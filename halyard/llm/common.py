@@ -21,6 +21,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def packed(df: DataFrame, *more: Column) -> DataFrame:
+    """``df``'s columns as one struct ``_row`` beside ``more``: names of the caller's columns cannot clash."""
+    return df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"), *more)
+
+
+def unpacked(df: DataFrame, *more: Column) -> DataFrame:
+    return df.select("_row.*", *more)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True where crc32 of the id as text, mod 4, is 2; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))

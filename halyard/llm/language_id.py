@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halyard.llm.common import bounded_sample, map_text, may_train, small_batches
+from halyard.llm.common import bounded_sample, map_text, may_train, packed, small_batches
 
 UNDETERMINED = "und"
 DOCS_PER_LANG = 1500     # bound of the training sample, labelled rows of each language
@@ -143,8 +143,8 @@ def learn(spark: SparkSession, docs: DataFrame, docs_per_lang: int = DOCS_PER_LA
     return BitSlicedFilters({r["lang"]: np.array(r["grams"], np.int64).astype(np.uint64) for r in sets})
 
 
-def predict(spark: SparkSession, docs: DataFrame, model: BitSlicedFilters, text: str = "text") -> Column:
-    """Struct column (lang_pred, score, coverage) for ``docs[text]``.
+def predict(spark: SparkSession, text: Column, model: BitSlicedFilters) -> Column:
+    """Struct column (lang_pred, score, coverage) of whole texts.
 
     ``score`` is the winner's share of all corrected counts, ``coverage`` the share of the text's trigrams
     that the winner knows.
@@ -155,10 +155,9 @@ def predict(spark: SparkSession, docs: DataFrame, model: BitSlicedFilters, text:
     def run(texts: list) -> pd.DataFrame:
         filters = shared.value
         return pd.DataFrame([filters.decide(t) for t in texts], columns=SCHEMA.names)
-    return map_text(docs[text], run, SCHEMA)
+    return map_text(text, run, SCHEMA)
 
 
 def identify(spark: SparkSession, docs: DataFrame, model: BitSlicedFilters | None = None) -> DataFrame:
-    """``docs`` with one more column ``_language`` (struct of lang_pred, score and coverage)."""
-    model = model or learn(spark, docs)
-    return docs.withColumn("_language", predict(spark, docs, model))
+    """The rows of ``docs`` as a struct ``_row`` and the struct ``_language`` (lang_pred, score, coverage)."""
+    return packed(docs, predict(spark, docs["text"], model or learn(spark, docs)).alias("_language"))

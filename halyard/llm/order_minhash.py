@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halyard.llm.common import map_text, small_batches
+from halyard.llm.common import map_text, packed, small_batches, unpacked
 from halyard.session import cut_lineage
 
 WORDS = 5            # words of a k-mer
@@ -219,10 +219,10 @@ def one_of_each(spark: SparkSession, docs: DataFrame, text: str = "text") -> Dat
     repeated = classes.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
     kept = cut_lineage(winner.join(repeated, winner["_id"].eqNullSafe(repeated["_id"]) & (winner["_key"] == repeated["_key"]))
                        .select(winner["_id"], winner["_key"], "_rows"), "kept")
-    own = F.when(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(text))
-    keyed = docs.withColumn("_own", own)
+    own = F.when(docs[text].rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(docs[text]))
+    keyed = packed(docs, own.alias("_own"), docs["doc_id"].alias("_doc"))
 
     def held(part: DataFrame) -> DataFrame:
-        return keyed.join(part, (keyed["_own"] == part["_key"]) & keyed["doc_id"].eqNullSafe(part["_id"]), "left_semi").select(*docs.columns)
-    return held(kept.where("_rows = 1")).unionByName(held(kept.where("_rows > 1")).dropDuplicates(["doc_id", text])) \
-        .unionByName(keyed.where(F.col("_own").isNull()).select(*docs.columns))
+        return keyed.join(part, (keyed["_own"] == part["_key"]) & keyed["_doc"].eqNullSafe(part["_id"]), "left_semi")
+    once, again = held(kept.where("_rows = 1")), held(kept.where("_rows > 1")).dropDuplicates(["_doc", "_own"])
+    return unpacked(once.unionByName(again).unionByName(keyed.where(F.col("_own").isNull())))

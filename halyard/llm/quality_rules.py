@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from halyard.session import cut_lineage
 
-LANG = "lang"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CHARS = 200               # word characters from which the histograms are compared
@@ -53,10 +52,12 @@ def _length(c: str) -> Column:
     return F.char_length(F.col(c)).cast("long")
 
 
-def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the measures in a struct column ``_q`` (the five base figures and both histograms)."""
-    kept = list(docs.columns)
-    d = docs.select("*", F.coalesce(F.col(text), F.lit("")).alias("_t"))
+def measure(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``_row`` (``keep``, by default all columns, of ``docs``), ``_lang`` and ``_q``: the five base figures and
+    both histograms."""
+    kept = ["_row", "_lang"]
+    d = docs.select(F.struct(*[docs[c] for c in keep or docs.columns]).alias("_row"), docs["lang"].alias("_lang"),
+                    F.coalesce(docs["text"], F.lit("")).alias("_t"))
     # character classes: each step removes one class, the difference in length is its count
     blanks = (F.octet_length("_t") - F.octet_length(F.replace("_t", F.lit(" "), F.lit("")))).cast("long")
     d = d.withColumn("_r0", F.regexp_replace("_t", "[a-z ]+", ""))
@@ -98,15 +99,15 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         F.concat("_common", F.array(F.col("_n") - words_listed)).alias("common")).alias("_q"))
 
 
-def references(measured: DataFrame, lang: str = "lang") -> DataFrame:
+def references(measured: DataFrame) -> DataFrame:
     """One row: an array of the languages' reference histograms (as shares).
 
     Sums of counts over each language's documents with enough words and few symbols; one row per bin and
     language leaves the aggregation.  The number of languages is the number of labels, not of documents.
     """
-    fit = measured.where(F.col(lang).isNotNull() & (F.col("_q.n_words") >= MIN_WORDS_IN_REFERENCE)
+    fit = measured.where(F.col("_lang").isNotNull() & (F.col("_q.n_words") >= MIN_WORDS_IN_REFERENCE)
                          & (10 * F.col("_q.n_symbols") < F.col("_q.word_chars")))
-    bins = fit.select(F.col(lang).alias("lang"), F.posexplode(F.concat("_q.classes", "_q.common"))) \
+    bins = fit.select(F.col("_lang").alias("lang"), F.posexplode(F.concat("_q.classes", "_q.common"))) \
         .groupBy("lang", "pos").agg(F.sum("col").alias("n"))
     rows = bins.groupBy("lang").agg(F.expr("transform(sort_array(collect_list(struct(pos, n))), x -> x.n)").alias("n")) \
         .select("lang", _shares(F.slice("n", 1, N_CLASSES)).alias("classes"),
@@ -156,10 +157,11 @@ def judge(measured: DataFrame, refs: DataFrame) -> DataFrame:
 
 
 def apply_rules(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (default: all columns) of ``docs`` with ``_q`` and ``_verdict``.
+    """Per row of ``docs`` (doc_id, text, lang and any others): ``_row`` (``keep``, by default all columns),
+    ``_q`` and ``_verdict``.
 
     The measures are taken once and written to the shared checkpoint folder; the references and the
     verdicts both read them from there.
     """
-    measured = cut_lineage(measure(docs).select(*(keep or docs.columns), "_q", F.col(LANG).alias("_lang")), "quality")
-    return judge(measured, references(measured, "_lang")).drop("_lang")
+    measured = cut_lineage(measure(docs, keep), "quality")
+    return judge(measured, references(measured))

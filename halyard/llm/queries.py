@@ -37,7 +37,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     out = quality_rules.apply_rules(docs, keep=["doc_id"])
-    return out.select("doc_id", *[F.col(f"_q.{c}").alias(c) for c in quality_rules.MEASURES],
+    return out.select("_row.doc_id", *[F.col(f"_q.{c}").alias(c) for c in quality_rules.MEASURES],
                       *[F.col(f"_verdict.{c}").alias(c) for c in ("base_failed", "kept")])
 
 
@@ -60,7 +60,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     scorer = toxicity.learn(spark, docs, read_table(spark, sf_dir, "labels"))
-    return scorer.score(spark, docs).select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"),
+    return scorer.score(spark, docs).select("_row.doc_id", held_out("_row.doc_id").alias("held_out"), F.col("_score").alias("score"),
                                             (F.col("_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
@@ -88,7 +88,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     out = language_id.identify(spark, docs)
-    return out.select("doc_id", held_out().alias("held_out"), F.col("_language.lang_pred").alias("lang_pred"),
+    return out.select("_row.doc_id", held_out("_row.doc_id").alias("held_out"), F.col("_language.lang_pred").alias("lang_pred"),
                       F.col("_language.score").alias("score"), F.col("_language.coverage").alias("coverage"))
 
 

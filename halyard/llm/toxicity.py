@@ -22,11 +22,11 @@ import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halyard.llm.common import bounded_sample, may_train, small_batches
+from halyard.llm.common import bounded_sample, may_train, packed, small_batches
 from halyard.llm.pieces import Memory
 from halyard.session import cut_lineage
 
@@ -159,16 +159,15 @@ def lexicons(train: DataFrame) -> list[tuple[dict, dict]]:
     return out
 
 
-def features(spark: SparkSession, docs: DataFrame, lexicon: list[tuple[dict, dict]], fold: str | None = None) -> DataFrame:
-    """``docs`` with the vector column ``_x``, by the last lexicons or, given ``fold``, by that fold's."""
+def features(spark: SparkSession, text: Column, lexicon: list[tuple[dict, dict]], fold: Column | None = None) -> Column:
+    """Vector column of whole texts, by the last lexicons or, given ``fold``, by that fold's."""
     small_batches(spark)
     shared = spark.sparkContext.broadcast([Features(*both) for both in lexicon])  # at most LEXICON entries each
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def run(texts: pd.Series, folds: pd.Series) -> pd.Series:
         return pd.Series([shared.value[int(f)].row(t) for t, f in zip(texts, folds)], dtype=object)
-    which = F.col(fold) if fold else F.lit(len(lexicon) - 1)
-    return docs.withColumn("_x", array_to_vector(run(F.col("text"), which)))
+    return array_to_vector(run(text, F.lit(len(lexicon) - 1) if fold is None else fold))
 
 
 class Scorer:
@@ -178,13 +177,13 @@ class Scorer:
         self.lexicon, self.trees, self.calibration, self.constant = lexicon, trees, calibration, constant
 
     def score(self, spark: SparkSession, docs: DataFrame) -> DataFrame:
-        """``docs`` with the double column ``_score``."""
+        """The rows of ``docs`` as a struct ``_row`` and the double ``_score``."""
         if self.trees is None:
-            return docs.withColumn("_score", F.lit(self.constant))
-        x = self.trees.transform(features(spark, docs, self.lexicon)).withColumn("_p", vector_to_array("_prob")[1])
-        y = self.calibration.transform(x)
+            return packed(docs, F.lit(self.constant).alias("_score"))
+        x = self.trees.transform(packed(docs, features(spark, docs["text"], self.lexicon).alias("_x")))
+        y = self.calibration.transform(x.withColumn("_p", vector_to_array("_prob")[1]))
         # the calibrated steps, with the trees' order kept inside each step
-        return y.select(*docs.columns, F.least(F.greatest(0.99 * F.col("_iso") + 0.01 * F.col("_p"), F.lit(0.0)), F.lit(1.0)).alias("_score"))
+        return y.select("_row", F.least(F.greatest(0.99 * F.col("_iso") + 0.01 * F.col("_p"), F.lit(0.0)), F.lit(1.0)).alias("_score"))
 
 
 def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Scorer:
@@ -201,7 +200,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: i
     if not share["n"] or share["share"] in (0.0, 1.0):
         return Scorer(None, None, None, float(share["share"] or 0.0))
     lexicon = lexicons(train)
-    x = cut_lineage(features(spark, train, lexicon, "fold").select(F.col("toxic").cast("double").alias("toxic"), "fold", "_x"), "toxic")
+    x = cut_lineage(train.select(F.col("toxic").cast("double").alias("toxic"), "fold", features(spark, F.col("text"), lexicon, F.col("fold")).alias("_x")), "toxic")
     trees = GBTClassifier(featuresCol="_x", labelCol="toxic", predictionCol="_cut",
                           maxIter=30, maxDepth=4, stepSize=0.15, subsamplingRate=0.8, minInstancesPerNode=5, seed=7).setProbabilityCol("_prob").setRawPredictionCol("_raw")
     held = x.where(F.col("fold") == FOLDS - 1)
