@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halyard.llm import decontaminate, language_id, order_minhash, quality_rules, tree_bpe
+from halyard.llm.common import unpacked
 from halyard.session import cut_lineage
 from halyard.sources.tables import read_table
 
@@ -18,12 +19,12 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Keep documents of a recognised language; texts that are null, without letters or mostly unknown go."""
     known = language_id.identify(spark, docs)
     ok = (F.col("_language.lang_pred") != language_id.UNDETERMINED) & (F.col("_language.coverage") >= MIN_COVERAGE)
-    return known.where(ok).select(*docs.columns)
+    return unpacked(known.where(ok))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that pass the base rules and look like their language."""
-    return quality_rules.apply_rules(docs).where("_verdict.kept").select(*docs.columns)
+    return unpacked(quality_rules.apply_rules(docs).where("_verdict.kept"))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
