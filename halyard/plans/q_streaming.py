@@ -97,7 +97,24 @@ def q_stream_health_state(spark, sf):
     return SG.stream_health_state(events(spark, sf), spark)
 
 
-@register("stream_rate_limit")
+# One request a step and client: the accepted times still inside the window, and whether the next is rejected.
+_RATE_SQL = f"""
+WITH RECURSIVE q AS (
+  SELECT event_id AS request_id, user_id AS client_id, ts, epoch_us(ts) AS t,
+         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+step(request_id, client_id, ts, rn, kept, rejected) AS (
+  SELECT request_id, client_id, ts, rn, [t], FALSE FROM q WHERE rn = 1
+  UNION ALL
+  SELECT q.request_id, q.client_id, q.ts, q.rn,
+         CASE WHEN len(list_filter(s.kept, lambda a: q.t - a < {TEST_RATE_WINDOW_S * 1_000_000})) >= {TEST_RATE_LIMIT}
+              THEN list_filter(s.kept, lambda a: q.t - a < {TEST_RATE_WINDOW_S * 1_000_000})
+              ELSE list_append(list_filter(s.kept, lambda a: q.t - a < {TEST_RATE_WINDOW_S * 1_000_000}), q.t) END,
+         len(list_filter(s.kept, lambda a: q.t - a < {TEST_RATE_WINDOW_S * 1_000_000})) >= {TEST_RATE_LIMIT}
+  FROM step s JOIN q ON q.client_id = s.client_id AND q.rn = s.rn + 1)
+SELECT request_id, client_id, ts, rejected FROM step"""
+
+
+@register("stream_rate_limit", _RATE_SQL)
 def q_stream_rate_limit(spark, sf):
     return SG.stream_rate_limit(events(spark, sf), spark, TEST_RATE_LIMIT, TEST_RATE_WINDOW_S)
 

@@ -8,10 +8,11 @@ result with equi self-joins on shifted window starts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from halyard.functions.scalar import error_flag
 from halyard.operators.gateway import LATENCY_BUCKETS, RATE_LIMIT, RATE_WINDOW_SECONDS, with_service
@@ -19,17 +20,28 @@ from halyard.sources import fixtures as X
 from halyard.streaming.runner import run_append, run_update, with_event_time
 
 # Fixed values that must equal the reference's alert rules.
-ERROR_RATE_PER_S, ERROR_WINDOW, ERROR_HOLD_MIN = 0.1, "5 minutes", 2
+ERROR_RATE_PER_S, ERROR_WINDOW_MIN, ERROR_HOLD_MIN = 0.1, 5, 2
 LATENCY_P95_S, LATENCY_HOLD_MIN = 5.0, 2
 DOWN_WINDOW = "1 minute"
-RESTART_WINDOW, RESTART_HOLD_MIN = "15 minutes", 5
-EVAL_STEP = "1 minute"
+RESTART_WINDOW_MIN, RESTART_HOLD_MIN = 15, 5
+MINUTE = "1 minute"
 
 
 def _start(c: str = "window") -> Column:
     return F.col(f"{c}.start").cast("timestamp_ntz").alias("window_start")
 
 
+def sliding(minutes: DataFrame, keys: list[str], length: int, sums: list[str]) -> DataFrame:
+    """Windows of ``length`` minutes, one each minute, from the stream's minute counts.
+
+    The stream keeps one row a minute and key; only these rows, not the events, go into several windows.
+    """
+    back = F.explode(F.sequence(F.lit(0), F.lit(length - 1))).alias("_k")
+    rows = minutes.select(*keys, "window_start", *sums, back)
+    start = F.timestamp_add("MINUTE", -F.col("_k"), F.col("window_start")).alias("window_start")
+    return rows.select(*keys, start, *sums).groupBy("window_start", *keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def held(df: DataFrame, keys: list[str], minutes: int, flag: str = "firing") -> DataFrame:
     """``held``: the flag is true at this evaluation and the ``minutes`` one-minute evaluations before it."""
     fired = df.where(F.col(flag)).select(*keys, "window_start")
@@ -55,9 +67,8 @@ def stream_request_counters(events: DataFrame, spark=None) -> DataFrame:
 
 def stream_error_rate_alert(events: DataFrame, spark=None) -> DataFrame:
     r = with_event_time(X.gateway_requests(spark, "", src=events))
-    agg = r.groupBy(F.window("ts", ERROR_WINDOW, EVAL_STEP)).agg(
-        F.count_if(error_flag(F.col("status"))).alias("n_errors"))
-    out = run_update(agg.select(_start(), "n_errors"), ["window_start"], "error-rate")
+    agg = r.groupBy(F.window("ts", MINUTE)).agg(F.count_if(error_flag(F.col("status"))).alias("n_errors"))
+    out = sliding(run_update(agg.select(_start(), "n_errors"), ["window_start"], "error-rate"), [], ERROR_WINDOW_MIN, ["n_errors"])
     rate = out.withColumn("error_rate", F.col("n_errors") / 300.0) \
         .withColumn("firing", F.col("error_rate") > ERROR_RATE_PER_S)
     return held(rate, [], ERROR_HOLD_MIN)
@@ -84,8 +95,9 @@ def stream_latency_alert(events: DataFrame, spark=None) -> DataFrame:
     names = [f"b{i}" for i in range(len(LATENCY_BUCKETS) + 1)]
     aggs = [F.count_if(F.col("latency_seconds") <= le).alias(names[i]) for i, le in enumerate(LATENCY_BUCKETS)]
     aggs.append(F.count(F.lit(1)).alias(names[-1]))
-    agg = r.groupBy(F.window("ts", ERROR_WINDOW, EVAL_STEP), "service").agg(*aggs)
-    out = run_update(agg.select(_start(), "service", *names), ["window_start", "service"], "latency")
+    agg = r.groupBy(F.window("ts", MINUTE), "service").agg(*aggs)
+    out = sliding(run_update(agg.select(_start(), "service", *names), ["window_start", "service"], "latency"),
+                  ["service"], ERROR_WINDOW_MIN, names)
     p95 = out.withColumn("p95_seconds", quantile_from_buckets(0.95, names, names[-1]))
     flagged = p95.select("window_start", "service", "p95_seconds",
                          (F.coalesce(F.col("p95_seconds"), F.lit(0.0)) > LATENCY_P95_S).alias("firing"))
@@ -103,9 +115,9 @@ def stream_service_down(events: DataFrame, spark=None) -> DataFrame:
 def stream_restart_alert(events: DataFrame, spark=None) -> DataFrame:
     """Restarts = unhealthy samples; rate over 15 min > 0 held for 5 min."""
     h = with_event_time(X.health_checks(spark, "", src=events))
-    agg = h.groupBy(F.window("ts", RESTART_WINDOW, EVAL_STEP), "service").agg(
-        F.count_if(F.col("status") != "healthy").alias("restarts"))
-    out = run_update(agg.select(_start(), "service", "restarts"), ["window_start", "service"], "restarts")
+    agg = h.groupBy(F.window("ts", MINUTE), "service").agg(F.count_if(F.col("status") != "healthy").alias("restarts"))
+    out = sliding(run_update(agg.select(_start(), "service", "restarts"), ["window_start", "service"], "restarts"),
+                  ["service"], RESTART_WINDOW_MIN, ["restarts"])
     return held(out.withColumn("firing", F.col("restarts") > 0), ["service"], RESTART_HOLD_MIN)
 
 
@@ -120,82 +132,70 @@ def stream_health_state(events: DataFrame, spark=None) -> DataFrame:
 
 def stream_rate_limit(events: DataFrame, spark=None, limit: int = RATE_LIMIT,
                       window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
-    """Accepted-only sliding log per client (rejected requests do not count), as stream state.
+    """Accepted-only sliding log per client (rejected requests do not count).
 
-    State per client: the accepted timestamps still inside the window, so it
-    never holds more than ``limit`` entries.  Within a micro-batch a client's
-    rows are ordered by (ts, request_id); micro-batch size is bounded by
-    ``maxFilesPerTrigger`` of the source.
+    A decision depends on the client's accepted requests before it in event time, so the stream only logs
+    requests; when the input has ended, the log is decided in event-time order, whatever order files came in.
+    Rows are sorted by (client, time, request) in Spark and pass through one at a time; what is held is one
+    client's accepted times inside the window, never more than ``limit``.
     """
     win_us = window_seconds * 1_000_000
-    r = X.gateway_requests(spark, "", src=events).select(
-        "request_id", "client_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
-
-    def decide(key, batches, state):
-        accepted = list(state.get[0]) if state.exists else []
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(["t_us", "request_id"])
-        out = []
-        for rid, t in zip(pdf["request_id"].tolist(), pdf["t_us"].tolist()):
-            accepted = [a for a in accepted if t - a < win_us]
-            if len(accepted) >= limit:
-                out.append((rid, key[0], t, True))
-            else:
-                accepted.append(t)
-                out.append((rid, key[0], t, False))
-        state.update((accepted,))
-        yield pd.DataFrame(out, columns=["request_id", "client_id", "t_us", "rejected"])
-
-    res = r.groupBy("client_id").applyInPandasWithState(
-        decide, "request_id long, client_id long, t_us long, rejected boolean", "accepted array<long>",
-        "append", GroupStateTimeout.NoTimeout)
-    out = run_append(res, "rate-limit")
+    log = run_append(X.gateway_requests(spark, "", src=events).select(
+        "request_id", "client_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us")), "rate-limit")
+
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client, accepted = None, []
+        for rows in batches:
+            rejected = []
+            for c, t in zip(rows["client_id"].tolist(), rows["t_us"].tolist()):
+                if c != client:
+                    client, accepted = c, []
+                accepted = [a for a in accepted if t - a < win_us]
+                rejected.append(len(accepted) >= limit)
+                if not rejected[-1]:
+                    accepted.append(t)
+            yield rows.assign(rejected=rejected)
+
+    ordered = log.repartition("client_id").sortWithinPartitions("client_id", "t_us", "request_id")
+    out = ordered.mapInPandas(decide, "request_id long, client_id long, t_us long, rejected boolean")
     return out.select("request_id", "client_id", F.timestamp_micros("t_us").cast("timestamp_ntz").alias("ts"),
                       "rejected")
 
 
 def stream_workload_hourly(events: DataFrame, spark=None) -> DataFrame:
-    """Hourly telemetry rows from the event stream (exact distinct users via per-window sets)."""
+    """Hourly telemetry rows from the event stream; the state is one row an hour and user."""
     e = with_event_time(events)
-    agg = e.groupBy(F.window("ts", "1 hour")).agg(
+    agg = e.groupBy(F.window("ts", "1 hour"), "user_id").agg(
         F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("_cents"), F.count(F.lit(1)).alias("_n"),
-        F.max("value").alias("_vmax"), F.sum(F.when(F.col("event_type") == "click", 1).otherwise(0)).alias("_clicks"),
-        F.collect_set("user_id").alias("_users"))
-    out = run_update(agg.select(_start().alias("timestamp_h"), "_cents", "_n", "_vmax", "_clicks", "_users"),
-                     ["timestamp_h"], "hourly")
+        F.max("value").alias("_vmax"), F.sum(F.when(F.col("event_type") == "click", 1).otherwise(0)).alias("_clicks"))
+    users = run_update(agg.select(_start().alias("timestamp_h"), "user_id", "_cents", "_n", "_vmax", "_clicks"),
+                       ["timestamp_h", "user_id"], "hourly")
+    out = users.groupBy("timestamp_h").agg(
+        F.sum("_cents").alias("_cents"), F.sum("_n").alias("_n"), F.max("_vmax").alias("_vmax"),
+        F.sum("_clicks").alias("_clicks"), F.count("user_id").alias("_users"))
     return out.select(
         "timestamp_h",
         F.least(F.col("_cents") / (F.col("_n") * 10000).cast("double"), F.lit(1.0)).alias("cpu_usage"),
         F.least(F.col("_vmax") / 400, F.lit(1.0)).alias("memory_usage"),
         (F.col("_clicks") / F.col("_n").cast("double")).alias("gpu_usage"),
         F.col("_n").cast("bigint").alias("job_queue_length"),
-        F.size("_users").cast("bigint").alias("active_jobs"), F.lit(100).alias("cluster_size"))
+        F.col("_users").cast("bigint").alias("active_jobs"), F.lit(100).alias("cluster_size"))
 
 
 def stream_service_absence(events: DataFrame, spark=None, gap_seconds: int = 60) -> DataFrame:
     """Down intervals: no healthy sample of a service for more than ``gap_seconds``.
 
-    Stream state per service is the time of its last healthy sample (one
-    value); each gap longer than the limit becomes (down_from = last healthy
-    + limit, down_until = next healthy sample).  A gap still open at the end of
-    the input is not reported.
+    The stream keeps the first and last healthy time of each (service, window of ``gap_seconds``); inside a
+    window no gap can be long enough.  Ordered by window, a gap from one window's last time to the next one's
+    first that exceeds the limit becomes (down_from = last healthy + limit, down_until = next healthy sample).
+    A gap still open at the end of the input is not reported.
     """
-    gap_us = gap_seconds * 1_000_000
-    h = X.health_checks(spark, "", src=events).where(F.col("status") == "healthy").select(
-        "service", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
-
-    def track(key, batches, state):
-        last = state.get[0] if state.exists else None
-        times = sorted(pd.concat(list(batches), ignore_index=True)["t_us"].tolist())
-        out = []
-        for t in times:
-            if last is not None and t - last > gap_us:
-                out.append((key[0], last + gap_us, t))
-            last = t if last is None else max(last, t)
-        state.update((last,))
-        yield pd.DataFrame(out, columns=["service", "from_us", "until_us"])
-
-    res = h.groupBy("service").applyInPandasWithState(
-        track, "service string, from_us long, until_us long", "last_us long", "append", GroupStateTimeout.NoTimeout)
-    out = run_append(res, "absence")
-    return out.select("service", F.timestamp_micros("from_us").cast("timestamp_ntz").alias("down_from"),
-                      F.timestamp_micros("until_us").cast("timestamp_ntz").alias("down_until"))
+    h = with_event_time(X.health_checks(spark, "", src=events).where(F.col("status") == "healthy"))
+    t = F.unix_micros("ts")
+    agg = h.groupBy(F.window("ts", f"{gap_seconds} seconds"), "service").agg(F.min(t).alias("first_us"), F.max(t).alias("last_us"))
+    parts = run_update(agg.select(_start(), "service", "first_us", "last_us"), ["window_start", "service"], "absence")
+    before = F.lag("last_us").over(Window.partitionBy("service").orderBy("window_start"))
+    gaps = parts.select("service", (before + gap_seconds * 1_000_000).alias("from_us"), F.col("first_us").alias("until_us"))
+    return gaps.where("from_us < until_us").select(
+        "service", F.timestamp_micros("from_us").cast("timestamp_ntz").alias("down_from"),
+        F.timestamp_micros("until_us").cast("timestamp_ntz").alias("down_until"))

@@ -4,12 +4,13 @@ Aggregations run in update mode; every micro-batch's updated rows are
 appended (with the batch id) to a parquet log in the shared checkpoint
 folder by ``foreachBatch``.  The final table is the latest row per key.
 This keeps every window (append mode would hold back the windows the last
-watermark has not closed) and nothing is collected to the driver.
+watermark has not closed), no row is dropped as late, and nothing is collected
+to the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halyard.session import scratch_path
@@ -17,43 +18,54 @@ from halyard.sources.tables import table_path
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
-    """``readStream`` over a supplied table (schema taken from the file, no inference pass)."""
-    schema = spark.read.parquet(table_path(sf_dir, name)).schema
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir))
+    """``readStream`` over a supplied table, one file or a folder of part files (schema taken from the files).
 
+    A stream takes a plain path as a folder; as a pattern (its last letter a class) it may be a file as well.
+    """
+    path = table_path(sf_dir, name)
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(f"{path[:-1]}[{path[-1]}]")
 
-def with_event_time(df: DataFrame, ts: str = "ts", watermark: str = "10 minutes") -> DataFrame:
-    """Watermarks need session-zone ``timestamp`` (the parquet column is ``timestamp_ntz``)."""
-    return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+
+def with_event_time(df: DataFrame, ts: str = "ts", watermark: str | None = None) -> DataFrame:
+    """Event time as session-zone ``timestamp`` (the parquet column is ``timestamp_ntz``).
+
+    Without a watermark no row is ever late, whatever order files arrive in: right for an input that ends, and
+    the state is one row a window and key.  An endless stream passes one, and drops rows that come later.
+    """
+    out = df.withColumn(ts, F.col(ts).cast("timestamp"))
+    return out.withWatermark(ts, watermark) if watermark else out
+
+
+def _run(writer, ckpt: str):
+    q = writer.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return sum(p["numInputRows"] for p in q.recentProgress)
 
 
 def run_update(agg: DataFrame, keys: list[str], name: str = "stream") -> DataFrame:
     """Drive an update-mode aggregation to the end of its input; return the final rows per key."""
     spark = agg.sparkSession
     log = scratch_path(spark, f"{name}-log")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+    logged = []
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(log)
+        logged.append(batch_id)
 
-    q = (agg.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    try:
-        rows = spark.read.parquet(log)
-    except Exception:  # noqa: BLE001 - empty input wrote no batch
+    read = _run(agg.writeStream.outputMode("update").foreachBatch(sink), scratch_path(spark, f"{name}-ckpt"))
+    if not logged:
+        if read:
+            raise RuntimeError(f"{name}: {read} rows were read but no batch was logged")
         return spark.createDataFrame([], agg.schema)
-    w = Window.partitionBy(*keys).orderBy(F.col("_batch").desc())  # rows per key <= number of batches
-    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_batch")
+    values = F.struct(*[c for c in agg.columns if c not in keys])
+    last = spark.read.parquet(log).groupBy(*keys).agg(F.max_by(values, "_batch").alias("_v"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_v.{c}").alias(c) for c in agg.columns])
 
 
 def run_append(df: DataFrame, name: str = "stream") -> DataFrame:
     """Drive a stateless or stateful append-mode stream to a parquet sink; read the sink."""
     spark = df.sparkSession
     out = scratch_path(spark, f"{name}-out")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = (df.writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    _run(df.writeStream.outputMode("append").format("parquet").option("path", out), scratch_path(spark, f"{name}-ckpt"))
+    return spark.read.schema(df.schema).parquet(out)
