@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from halyard.operators.quantiles import exact_quantiles
+
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 # Fixed values that must equal the reference's (contract risk map, age bins, thresholds).
@@ -56,15 +58,13 @@ def join_tickets(base: DataFrame, tickets: DataFrame) -> DataFrame:
 
 
 def join_usage(base: DataFrame, usage: DataFrame) -> DataFrame:
-    """Left join of the raw usage table (one row per customer expected)."""
-    return base.join(usage, "customer_id", "left")
-
-
-def assert_unique_key(df: DataFrame, key: str) -> None:
-    """Raise if ``key`` repeats (would fan out a left join)."""
-    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise ValueError(f"{key} is not unique")
+    """Left join of the raw usage table.  Its key must be unique: a repeated one would fan the base out, so
+    the plan fails on it when it runs."""
+    value = F.struct(*[c for c in usage.columns if c != "customer_id"])
+    one = usage.groupBy("customer_id").agg(F.first(value).alias("_u"), F.count(F.lit(1)).alias("_rows"))
+    checked = F.when(F.col("_rows") > 1, F.raise_error(F.concat(F.lit("product usage: customer_id is not unique: "), F.col("customer_id").cast("string")))
+                     .cast(one.schema["_u"].dataType)).otherwise(F.col("_u"))
+    return base.join(one.select("customer_id", checked.alias("_u")).select("customer_id", "_u.*"), "customer_id", "left")
 
 
 def fill_missing(df: DataFrame) -> DataFrame:
@@ -133,36 +133,16 @@ def age_group(df: DataFrame) -> DataFrame:
     return df.withColumn("age_group", age_group_expr(F.col("age")))
 
 
-# Exact quantiles keep one buffer entry per distinct value in the final task;
-# above this many distinct values the approximate sketch is used instead.
-EXACT_QUANTILE_MAX_DISTINCT = 2_000_000
-
-
-def use_approx(df: DataFrame, col: str, limit: int = EXACT_QUANTILE_MAX_DISTINCT) -> bool:
-    """Size check for the exact quantile buffer (one HyperLogLog pass, one number to the driver)."""
-    return df.agg(F.approx_count_distinct(col).alias("n")).first()["n"] > limit
-
-
-def global_quantiles(df: DataFrame, col: str, probs, approx: bool | None = False,
-                     accuracy: int = 100000) -> DataFrame:
-    """One-row table ``q_<p>`` of global quantiles.
-
-    Exact mode is ``percentile`` (linear interpolation, like pandas); its
-    buffer holds one entry per distinct value.  ``approx=None`` checks the
-    distinct count and switches to ``percentile_approx`` (an observed value,
-    not interpolated) above ``EXACT_QUANTILE_MAX_DISTINCT``.
-    """
-    if approx is None:
-        approx = use_approx(df, col)
-    fn = (lambda p: F.percentile_approx(col, p, accuracy)) if approx else (lambda p: F.percentile(col, p))
-    return df.agg(*[fn(p).alias(f"q_{int(round(p * 100))}") for p in probs])
+def global_quantiles(df: DataFrame, col: str, probs) -> DataFrame:
+    """One-row table ``q_<p>`` of exact global quantiles (linear interpolation)."""
+    return exact_quantiles(df, col, probs)
 
 
-def usage_trend(df: DataFrame, approx: bool | None = None) -> DataFrame:
+def usage_trend(df: DataFrame) -> DataFrame:
     """Low / Medium / High by the global .33 / .67 quantiles (right-closed)."""
     if "avg_monthly_usage_gb" not in df.columns:
         return df.withColumn("usage_trend", F.lit("Unknown"))
-    q = global_quantiles(df, "avg_monthly_usage_gb", USAGE_QUANTILES, approx)
+    q = global_quantiles(df, "avg_monthly_usage_gb", USAGE_QUANTILES)
     v = F.col("avg_monthly_usage_gb")
     trend = (F.when(v.isNull(), "nan").when(v <= F.col("q_33"), "Low")
              .when(v <= F.col("q_67"), "Medium").otherwise("High"))
@@ -170,20 +150,20 @@ def usage_trend(df: DataFrame, approx: bool | None = None) -> DataFrame:
     return df.crossJoin(F.broadcast(q)).withColumn("usage_trend", trend).drop("q_33", "q_67")
 
 
-def high_value_flag(df: DataFrame, approx: bool | None = None) -> DataFrame:
-    q = global_quantiles(df, "monthly_charges", [HIGH_VALUE_QUANTILE], approx)
+def high_value_flag(df: DataFrame) -> DataFrame:
+    q = global_quantiles(df, "monthly_charges", [HIGH_VALUE_QUANTILE])
     return (df.crossJoin(F.broadcast(q))
             .withColumn("high_value_customer", (F.col("monthly_charges") > F.col("q_75")).cast("int"))
             .drop("q_75"))
 
 
-def derived_features(df: DataFrame, approx: bool | None = None) -> DataFrame:
+def derived_features(df: DataFrame) -> DataFrame:
     """All derived churn features in the reference's order."""
     out = tickets_per_month(charges_ratio(df))
-    out = usage_trend(out, approx)
+    out = usage_trend(out)
     out = contract_risk(estimated_clv(out))
     out = age_group(out)
-    return high_value_flag(out, approx)
+    return high_value_flag(out)
 
 
 def target_distribution(df: DataFrame, label: str = "churn") -> DataFrame:

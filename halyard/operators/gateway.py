@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from halyard.functions.scalar import error_flag, service_from_path
+from halyard.operators.quantiles import exact_quantiles, quantile_name
 
 # Fixed values that must equal the reference's.
 # Prometheus default histogram buckets (seconds), followed by +Inf.
@@ -59,10 +60,8 @@ def histogram_quantile(hist: DataFrame, q: float, by: str = "service") -> DataFr
 
 def latency_quantiles(requests: DataFrame, q: float = 0.95, latency: str = "latency_seconds") -> DataFrame:
     """Exact (interpolated) quantile and the bucket-interpolated one per service."""
-    from halyard.operators.customer import use_approx
     r = with_service(requests)
-    fn = F.percentile_approx(latency, q, 100000) if use_approx(r, latency) else F.percentile(latency, q)
-    exact = r.groupBy("service").agg(fn.alias(f"exact_p{int(q * 100)}"))
+    exact = exact_quantiles(r, latency, [q], by=["service"]).withColumnRenamed(quantile_name(q), f"exact_p{int(q * 100)}")
     return exact.join(histogram_quantile(latency_histogram(r), q), "service", "left")
 
 
