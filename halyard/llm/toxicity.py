@@ -6,8 +6,8 @@ the second person, capitals, punctuation and obfuscation rates.  Trees (Spark ML
 rows and isotonic regression maps their probability on the rest.  A row's training features come from
 lexicons learned without its fold, so the trees see densities as they are in unseen texts.
 
-Only text and label are learned from, and only the text is scored.  Training rows: labelled, not held out, one
-for each distinct text, at most about TRAIN_ROWS by a hash.  Null and empty texts have all features 0 and get
+Only text and label are learned from, and only the text is scored.  Training rows: labelled, not held out, at
+most about TRAIN_ROWS by a hash of the id, then one for each distinct text.  Null and empty texts have all features 0 and get
 the score of that.  Without rows of both labels every score is the share of toxic rows (0 if none).  Repeated
 rows score alike; rows with a null doc_id are scored, never learned from.
 """
@@ -141,10 +141,10 @@ def lexicons(train: DataFrame) -> list[tuple[dict, dict]]:
     total = {y: sum(n for (_, t), n in sizes.items() if t == y) for y in (0, 1)}
     clean, toxic = (sum(F.col(f"{c}{f}") for f in range(FOLDS)) for c in ("clean", "toxic"))
     odds = F.log((toxic + 0.5) / (total[1] + 1)) - F.log((clean + 0.5) / (total[0] + 1))
-    rows = []
+    rows, strong = [], cut_lineage(counts.where((toxic >= MIN_TOXIC) & (odds >= MIN_LOG_ODDS))
+                                   .withColumn("strength", odds * F.sqrt(toxic.cast("double"))), "terms")
     for kind in ("word", "stem"):
-        rows += counts.where((F.col("kind") == kind) & (toxic >= MIN_TOXIC) & (odds >= MIN_LOG_ODDS)) \
-            .orderBy((odds * F.sqrt(toxic.cast("double"))).desc(), "term").limit(4 * LEXICON).collect()
+        rows += strong.where(F.col("kind") == kind).orderBy(F.col("strength").desc(), "term").limit(4 * LEXICON).collect()
     out = []
     for without in [*range(FOLDS), None]:
         folds = [f for f in range(FOLDS) if f != without]
@@ -190,11 +190,12 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: i
     small_batches(spark)
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)) \
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.where(may_train()).where(F.col("text").isNotNull()).select("doc_id", "text").join(marks, "doc_id")
-    rows = rows.withColumn("key", F.xxhash64("text"))
-    picked = bounded_sample(rows, train_rows, F.col("key"))
+    # the sample is drawn from the marks, so that only the sampled texts move
+    picked = bounded_sample(marks.where(may_train()), train_rows, F.col("doc_id"))
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()) \
+        .join(F.broadcast(picked), "doc_id").withColumn("key", F.xxhash64("text"))
     # one row a distinct text; copies of a text must not weigh more, nor stand in two folds
-    train = cut_lineage(picked.groupBy("key").agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    train = cut_lineage(rows.groupBy("key").agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
                         .withColumn("fold", F.pmod(F.xxhash64("key", F.lit("fold")), F.lit(FOLDS)).cast("int")), "toxic")
     share = train.agg(F.avg("toxic").alias("share"), F.count(F.lit(1)).alias("n")).first()
     if not share["n"] or share["share"] in (0.0, 1.0):
