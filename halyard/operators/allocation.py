@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halyard.functions.scalar import add_hours
-from halyard.operators.placement import Dim, best_node, feasible, init_state, place_jobs, with_node_id
+from halyard.operators.placement import Dim, best_node, demand_vectors, feasible, init_state, place_jobs, still_fitting, vector_key
+from halyard.session import cut_lineage
 
 DIMS = [
     Dim("cpu_cores_required", "available_cpu_cores", "used_cpu"),
@@ -60,12 +61,16 @@ def queue_order(objective: str) -> list[Column]:
 
 
 def node_score_expr() -> Column:
-    """.4 * (1 - |cpu_util - mem_util|) + .4 * node efficiency + .2 * priority / 10, utils after placing."""
+    """.4 * (1 - |cpu_util - mem_util|) + .4 * node efficiency, utils after placing (without the job's part)."""
     cu = (F.col("cpu_cores_required") + F.col("used_cpu")) / F.col("available_cpu_cores")
     mu = (F.col("memory_gb_required") + F.col("used_memory")) / F.col("available_memory_gb")
     balance = 1.0 - F.abs(cu - mu)
-    return balance * W_BALANCE + F.col("node_efficiency_score") * W_NODE_EFF + \
-        (F.col("priority") / 10.0) * W_PRIORITY
+    return balance * W_BALANCE + F.col("node_efficiency_score") * W_NODE_EFF
+
+
+def priority_bonus() -> Column:
+    """.2 * priority / 10: the job's part of the score, the same on every node."""
+    return (F.col("priority") / 10.0) * W_PRIORITY
 
 
 def power_score_expr() -> Column:
@@ -74,36 +79,46 @@ def power_score_expr() -> Column:
 
 
 def score_for(objective: str):
-    return power_score_expr if objective == "power" else node_score_expr
+    """(score, the job's own part or None)."""
+    return (power_score_expr, None) if objective == "power" else (node_score_expr, priority_bonus)
+
 
+def place(jobs: DataFrame, nodes: DataFrame, objective: str):
+    """Placement for one objective; returns (placements, node state)."""
+    score, bonus = score_for(objective)
+    return place_jobs(allocation_jobs(jobs), allocation_nodes(nodes), DIMS, queue_order(objective), score, bonus=bonus)
 
-def place(jobs: DataFrame, nodes: DataFrame, objective: str, rounds: int = 4, node_rows: int | None = None,
-          state: DataFrame | None = None):
-    """Placement for one objective; returns (placements, node state).  ``state`` reuses a built node state."""
-    st = state if state is not None else allocation_nodes(nodes)
-    return place_jobs(allocation_jobs(jobs), st, DIMS, queue_order(objective),
-                      score_for(objective), rounds=rounds, node_rows=node_rows)
 
+def placement_maximality(jobs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Per request and objective the number of unplaced jobs that still fit on a node."""
+    j, out = allocation_jobs(jobs), None
+    requests = j.select("request_id").distinct()
+    for objective in OBJECTIVES:
+        placed, state = place(jobs, nodes, objective)
+        left = still_fitting(j, placed, state, DIMS).groupBy("request_id").agg(F.count(F.lit(1)).alias("n"))
+        rows = requests.join(left, "request_id", "left").select(
+            "request_id", F.lit(objective).alias("objective"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n_still_fitting"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
-# ---- single-round views (feasibility, scores, best node) ---------------------------
 
-def feasible_counts(jobs: DataFrame, nodes: DataFrame, node_rows: int | None = None) -> DataFrame:
-    """Number of feasible nodes per job at empty usage (pairs are aggregated map-side)."""
-    st = allocation_nodes(nodes)
-    n = node_rows if node_rows is not None else st.count()
-    pairs = feasible(allocation_jobs(jobs), st, DIMS, n)
-    return pairs.groupBy("request_id", "job_id").agg(F.count(F.lit(1)).alias("n_feasible_nodes"))
+# ---- views at empty usage (feasibility, scores, best node) ---------------------------
+
+def feasible_counts(jobs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Number of feasible nodes per job at empty usage; nodes are counted per demand vector."""
+    j = allocation_jobs(jobs)
+    per = feasible(demand_vectors(j, DIMS), allocation_nodes(nodes), DIMS) \
+        .groupBy(*vector_key(DIMS)).agg(F.count(F.lit(1)).alias("n_feasible_nodes"))
+    return j.join(per, vector_key(DIMS)).select("request_id", "job_id", "n_feasible_nodes")
 
 
-def first_choice(jobs: DataFrame, nodes: DataFrame, objective: str = "efficiency",
-                 node_rows: int | None = None) -> DataFrame:
-    """Best node and its score per job at empty usage."""
-    st = allocation_nodes(nodes)
-    n = node_rows if node_rows is not None else st.count()
+def first_choice(jobs: DataFrame, nodes: DataFrame, objective: str = "efficiency") -> DataFrame:
+    """Every job with its best node and score at empty usage."""
     j = allocation_jobs(jobs)
-    pairs = feasible(j, st, DIMS, n)
-    best = with_node_id(best_node(pairs, score_for(objective)()), st)
-    return best.join(j.select("request_id", "job_ordinal", "job_id"), ["request_id", "job_ordinal"])
+    score, bonus = score_for(objective)
+    best = best_node(feasible(demand_vectors(j, DIMS), allocation_nodes(nodes), DIMS), DIMS, score())
+    chosen = j.join(best, vector_key(DIMS))
+    return chosen.withColumn("score", F.col("score") + bonus()) if bonus else chosen
 
 
 # ---- metrics over a placement -----------------------------------------------------------
@@ -200,7 +215,7 @@ def unplaced_jobs(jobs: DataFrame, placements: DataFrame) -> DataFrame:
         placements.select("request_id", "job_id"), ["request_id", "job_id"], "left_anti")
 
 
-def place_balanced(jobs: DataFrame, nodes: DataFrame, rounds: int = 4):
+def place_balanced(jobs: DataFrame, nodes: DataFrame):
     """Run the three objectives, pick the best per request; return (placements, summaries, choice).
 
     The three placements are independent, so they are submitted from three
@@ -209,11 +224,9 @@ def place_balanced(jobs: DataFrame, nodes: DataFrame, rounds: int = 4):
     from concurrent.futures import ThreadPoolExecutor
 
     j = allocation_jobs(jobs)
-    state = allocation_nodes(nodes)      # built (and written) once, shared by the three plans
-    node_rows = state.count()
 
     def run(o):
-        p, _ = place(j, nodes, o, rounds, node_rows, state)
+        p, _ = place(j, nodes, o)
         return p.withColumn("objective", F.lit(o)), plan_summary(p, j, nodes, o)
 
     with ThreadPoolExecutor(max_workers=len(OBJECTIVES)) as pool:
@@ -221,16 +234,16 @@ def place_balanced(jobs: DataFrame, nodes: DataFrame, rounds: int = 4):
     plans = [r[0] for r in results]
     sums = [r[1] for r in results]
     allp = plans[0].unionByName(plans[1]).unionByName(plans[2])
-    alls = sums[0].unionByName(sums[1]).unionByName(sums[2])
+    alls = cut_lineage(sums[0].unionByName(sums[1]).unionByName(sums[2]), "summaries")  # one row a request and objective
     choice = pick_objective(alls)
     chosen = allp.join(choice.select("request_id", "objective"), ["request_id", "objective"], "left_semi")
     return chosen, alls, choice
 
 
-def optimize(jobs: DataFrame, nodes: DataFrame, objective: str, rounds: int = 4):
+def optimize(jobs: DataFrame, nodes: DataFrame, objective: str):
     """Objective registry: name -> placement; unknown names fall back to balanced."""
     if objective in OBJECTIVES:
-        p, _ = place(jobs, nodes, objective, rounds)
+        p, _ = place(jobs, nodes, objective)
         return p.withColumn("objective", F.lit(objective))
-    chosen, _, _ = place_balanced(jobs, nodes, rounds)
+    chosen, _, _ = place_balanced(jobs, nodes)
     return chosen

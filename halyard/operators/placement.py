@@ -1,43 +1,43 @@
-"""Round-based placement of many job batches at once (``request_id`` key).
+"""Placement of many job batches at once (``request_id`` key), until nothing pending fits.
 
 The reference places one job at a time against mutable node usage.  Here a
-round is one set operation over all pending jobs:
-
-1. feasible pairs: jobs joined to nodes of the same request whose residual
-   capacity covers the demand in every dimension (equi key + range
-   predicates; nodes are broadcast when their row count is under a checked
-   bound, otherwise both sides are salted on the request key);
-2. best node per job: ``max(struct(score, -node_ordinal))``, a partial
-   aggregate, so the pairs never cross the network;
+round is one set operation over all pending jobs.  Jobs of a request with the
+same demand in every dimension share a *demand vector* and are equal to the
+nodes, so nodes are paired with distinct vectors, not with jobs:
+
+1. feasible pairs: vectors joined to the nodes of the same request whose
+   residual capacity covers the demand in every dimension;
+2. a vector's nodes in order of score (ties: lowest node ordinal) offer as many
+   slots as the vector fits into the residual capacity, up to the vector's
+   pending jobs; its jobs take the slots in queue order;
 3. admission: per node, in queue order, the running demand of the jobs that
-   chose it (``running_totals``, skew-safe) must fit the residual capacity
-   in every dimension.  Running sums include jobs that are not admitted
-   (prefix semantics), so a node is never over-committed;
-4. residual capacity shrinks by the admitted demand; jobs with no feasible
-   node are final (capacity only shrinks); the others retry next round.
-
-Each round's decisions and node state are written to the shared checkpoint
-folder, so lineage stays flat and a lost executor recomputes one round at most.  The plan
-equals the sequential loop when no node is contended in round 1 and scores
-do not depend on earlier placements; otherwise it is a valid, possibly
-different plan.
+   took its slots must fit the residual capacity in every dimension
+   (``running_totals``, skew-safe).  Denied jobs stay pending;
+4. residual capacity shrinks by the admitted demand.
+
+The first job in a chosen node's queue always fits, so every round places jobs,
+and the rounds end when no pending vector fits on any node of its request.
+Capacity only shrinks, so a vector without a node is final.  A vector's jobs are
+ranked once; per vector a pointer tells how far the ranks are handed out, and
+denied jobs go first in the next round, so the queue is never rewritten.
+
+Each round's decisions, node state and pointers are written to the shared
+checkpoint folder: lineage stays flat and a lost executor recomputes one round
+at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halyard.operators.prefix import running_totals
 from halyard.session import cut_lineage
 
-# Broadcast the node side only below this many rows (~100 bytes each).
-BROADCAST_NODE_ROWS = 1_000_000
-SALT_BUCKETS = 32
-
 
 @dataclass(frozen=True)
 class Dim:
@@ -45,132 +45,131 @@ class Dim:
     capacity: str  # node column (capacity at the start)
     used: str      # node state column (placed so far)
 
-
-ScoreFn = Callable[[], Column]  # expression over columns of the joined pair (job cols + node state cols)
-
-
-# Arg-max key: floor(score * 2^36) in the high bits, (2^23 - 1 - node rank) in the low 23 bits.
-SCORE_SCALE = float(2 ** 36)
-RANK_BITS = 23
-RANK_SPAN = 2 ** RANK_BITS
+    @property
+    def residual(self) -> Column:
+        return F.col(self.capacity) - F.col(self.used)
 
 
 def init_state(nodes: DataFrame, dims: list[Dim], extra_cols=()) -> DataFrame:
-    """Node state: capacities, used amounts (0), placed count, and the node's rank in its request."""
+    """Node state: capacities, used amounts (0) and placed count."""
     cols = [F.col("request_id"), F.col("node_id"), F.col("node_ordinal"), *[F.col(c) for c in extra_cols]]
     cols += [F.col(d.capacity) for d in dims]
     cols += [F.lit(0).cast(nodes.schema[d.capacity].dataType).alias(d.used) for d in dims]
     cols.append(F.lit(0).cast("bigint").alias("n_placed"))
-    ranked = running_totals(nodes.select(*cols), ["request_id"], [F.col("node_ordinal").asc()], rank_col="node_rank")
-    return ranked
+    return nodes.select(*cols)
 
 
-def _node_side(state: DataFrame, jobs: DataFrame, node_rows: int):
-    """Pair jobs with nodes: broadcast when the node table is small, salted shuffle otherwise."""
-    s = state.withColumnRenamed("request_id", "s_request_id")
-    if node_rows <= BROADCAST_NODE_ROWS:
-        return jobs, F.broadcast(s), [F.col("request_id") == F.col("s_request_id")]
-    salted_jobs = jobs.withColumn("_salt", F.pmod(F.xxhash64("job_id"), F.lit(SALT_BUCKETS)))
-    salted_nodes = s.withColumn("_s_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
-    return salted_jobs, salted_nodes, [F.col("request_id") == F.col("s_request_id"),
-                                       F.col("_salt") == F.col("_s_salt")]
-
-
-def feasible(jobs: DataFrame, state: DataFrame, dims: list[Dim], node_rows: int,
-             extra: Column | None = None) -> DataFrame:
-    """All (job, node) pairs where the residual capacity covers the demand."""
-    j, s, cond = _node_side(state, jobs, node_rows)
-    for d in dims:
-        cond.append(F.col(d.capacity) - F.col(d.used) >= F.col(d.demand))
-    if extra is not None:
-        cond.append(extra)
-    c = cond[0]
-    for x in cond[1:]:
-        c = c & x
-    return j.join(s, c, "inner")
-
+def vector_key(dims: list[Dim]) -> list[str]:
+    return ["request_id", *[d.demand for d in dims]]
 
-JOB_KEY = ["request_id", "job_ordinal"]
 
+def demand_vectors(jobs: DataFrame, dims: list[Dim]) -> DataFrame:
+    """Distinct demands per request with their number of jobs."""
+    return jobs.groupBy(*vector_key(dims)).agg(F.count(F.lit(1)).alias("_jobs"))
 
-def best_node(pairs: DataFrame, score: Column, key_cols: list[str] = JOB_KEY) -> DataFrame:
-    """Highest score per job (``key_cols``); ties go to the lowest node ordinal.
 
-    The arg-max is ``max`` of one long: the score quantised to 2^-36
-    (scores within 1.5e-11 count as equal) above the inverted node rank.
-    A long buffer makes it a hash aggregate whose partial step collapses each
-    job's pairs in the task that produced them (the broadcast join emits them
-    together), so only one row per job is shuffled.  Scores lie in [0, 16)
-    and a request has fewer than 2^23 nodes.
-    """
-    key = F.floor(score * SCORE_SCALE).cast("long") * RANK_SPAN + (RANK_SPAN - F.col("node_rank"))
-    g = pairs.groupBy(*key_cols).agg(F.max(key).alias("_k"), F.max(score).alias("score"))
-    return g.select(*key_cols, (RANK_SPAN - F.pmod(F.col("_k"), F.lit(RANK_SPAN))).alias("node_rank"), "score")
+def feasible(vectors: DataFrame, state: DataFrame, dims: list[Dim], extra: Column | None = None) -> DataFrame:
+    """(demand vector, node) pairs where the residual capacity covers the demand."""
+    fits = F.col("request_id") == F.col("_request")
+    for d in dims:
+        fits = fits & (d.residual >= F.col(d.demand))
+    if extra is not None:
+        fits = fits & extra
+    return vectors.join(state.withColumnRenamed("request_id", "_request"), fits).drop("_request")
 
 
-def with_node_id(best: DataFrame, state: DataFrame) -> DataFrame:
-    """Decode the winning node rank to its id (node side as in the feasibility join)."""
-    ids = state.select("request_id", "node_rank", "node_id")
-    return best.join(ids, ["request_id", "node_rank"]).drop("node_rank")
+def best_node(pairs: DataFrame, dims: list[Dim], score: Column) -> DataFrame:
+    """Highest score per demand vector; ties go to the lowest node ordinal."""
+    best = F.max(F.struct(score.alias("score"), (-F.col("node_ordinal")).alias("first"), "node_id")).alias("_b")
+    return pairs.groupBy(*vector_key(dims)).agg(best).select(*vector_key(dims), "_b.node_id", "_b.score")
 
 
 def admit(chosen: DataFrame, state: DataFrame, dims: list[Dim], order: list[Column]) -> DataFrame:
     """Jobs whose running demand on their chosen node (queue order) fits its residual capacity."""
     run = running_totals(chosen, ["request_id", "node_id"], order, [d.demand for d in dims])
-    s = state.select("request_id", "node_id", *[(F.col(d.capacity) - F.col(d.used)).alias(f"_res_{d.demand}")
-                                                for d in dims])
-    j = run.join(s, ["request_id", "node_id"])
-    fits = None
+    s = state.select("request_id", "node_id", *[d.residual.alias(f"_res_{d.demand}") for d in dims])
+    fits = F.lit(True)
     for d in dims:
-        f = F.col(f"cum_{d.demand}") <= F.col(f"_res_{d.demand}")
-        fits = f if fits is None else fits & f
-    return j.withColumn("admitted", fits).drop(*[f"cum_{d.demand}" for d in dims],
-                                                *[f"_res_{d.demand}" for d in dims])
+        fits = fits & (F.col(f"cum_{d.demand}") <= F.col(f"_res_{d.demand}"))
+    return run.join(s, ["request_id", "node_id"]).withColumn("admitted", fits) \
+        .drop(*[f"cum_{d.demand}" for d in dims], *[f"_res_{d.demand}" for d in dims])
 
 
 def update_state(state: DataFrame, admitted: DataFrame, dims: list[Dim]) -> DataFrame:
     add = admitted.groupBy("request_id", "node_id").agg(
         *[F.sum(d.demand).alias(f"_add_{d.demand}") for d in dims], F.count(F.lit(1)).alias("_add_n"))
+    added = {d.used: f"_add_{d.demand}" for d in dims} | {"n_placed": "_add_n"}
     out = state.join(add, ["request_id", "node_id"], "left")
-    cols = []
-    for c in state.columns:
-        d = next((d for d in dims if d.used == c), None)
-        if d is not None:
-            cols.append((F.col(c) + F.coalesce(F.col(f"_add_{d.demand}"), F.lit(0))).cast(state.schema[c].dataType).alias(c))
-        elif c == "n_placed":
-            cols.append((F.col(c) + F.coalesce(F.col("_add_n"), F.lit(0))).alias(c))
-        else:
-            cols.append(F.col(c))
-    return out.select(*cols)
+    return out.select(*[(F.col(c) + F.coalesce(F.col(added[c]), F.lit(0))).cast(state.schema[c].dataType).alias(c)
+                        if c in added else F.col(c) for c in state.columns])
+
+
+def slots(pairs: DataFrame, dims: list[Dim], score: Column) -> DataFrame:
+    """One row a slot: the vector's nodes by score, each as often as the vector fits, up to ``_pending`` in all."""
+    key = vector_key(dims)
+    units = F.least(*[F.when(F.col(d.demand) > 0, F.floor(d.residual / F.col(d.demand))).otherwise(F.col("_pending")).cast("bigint")
+                      for d in dims], F.col("_pending"))
+    ranked = Window.partitionBy(*key).orderBy(F.col("score").desc(), F.col("node_ordinal").asc())
+    offered = pairs.select(*key, "node_id", "node_ordinal", "_pending", score.alias("score"), units.alias("_units")) \
+        .withColumn("_before", F.coalesce(F.sum("_units").over(ranked.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return offered.where("_before < _pending").select(
+        *key, "node_id", "score",
+        F.explode(F.sequence(F.col("_before") + 1, F.least(F.col("_before") + F.col("_units"), F.col("_pending")))).alias("_slot"))
 
 
 def place_jobs(jobs: DataFrame, nodes_state: DataFrame, dims: list[Dim], order: list[Column],
-               score: Callable[[], Column], rounds: int = 4, extra: Callable[[], Column] | None = None,
-               node_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Run placement rounds; return (placements, final node state).
+               score: Callable[[], Column], extra: Callable[[], Column] | None = None,
+               bonus: Callable[[], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Place until nothing pending fits; return (placements, final node state).
 
+    ``score`` reads the demand and node columns, ``bonus`` (a job's own part of the score) the job columns.
     ``placements`` has every job column plus node_id, score and round.
     """
-    job_cols = jobs.columns
-    narrow = [c for c in JOB_KEY if c in job_cols]
-    if node_rows is None:
-        node_rows = nodes_state.count()  # size check of the node side (a small table)
-    state = cut_lineage(nodes_state)
-    pending = jobs
-    placed = []
-    for k in range(1, rounds + 1):
-        pairs = feasible(pending, state, dims, node_rows, extra() if extra else None)
-        # winners (one row per job) get their attributes back by key: no wide sort over the pairs
-        chosen = with_node_id(best_node(pairs, score(), narrow), state).join(pending, narrow)
-        # written once: both the admitted and the retried jobs are read from it
+    key, job_cols = vector_key(dims), jobs.columns
+    state = cut_lineage(nodes_state, "nodes")
+    queue = cut_lineage(running_totals(jobs, key, order, rank_col="_rank"), "queue")
+    vectors = cut_lineage(demand_vectors(queue, dims).withColumn("_given", F.lit(0).cast("bigint"))
+                          .withColumn("_denied", F.lit(0).cast("bigint")), "vectors")
+    denied, placed = None, []
+    while True:
+        waiting = vectors.withColumn("_pending", F.col("_jobs") - F.col("_given") + F.col("_denied")).where("_pending > 0")
+        offered = slots(feasible(waiting, state, dims, extra() if extra else None), dims, score()) \
+            .join(vectors.select(*key, "_given", "_denied"), key)
+        fresh = offered.where("_slot > _denied").withColumn("_rank", F.col("_given") + F.col("_slot") - F.col("_denied"))
+        chosen = queue.join(fresh.select(*key, "_rank", "node_id", "score"), [*key, "_rank"]).withColumn("_fresh", F.lit(True))
+        if denied is not None:
+            first = Window.partitionBy(*key).orderBy("_rank")  # at most the last round's slots
+            again = denied.withColumn("_slot", F.row_number().over(first).cast("bigint"))
+            chosen = chosen.unionByName(again.join(offered.where("_slot <= _denied").select(*key, "_slot", "node_id", "score"), [*key, "_slot"])
+                                        .select(*queue.columns, "node_id", "score", F.lit(False).alias("_fresh")))
+        # written once: placements, retries and pointers are read from it
         decided = cut_lineage(admit(chosen, state, dims, order), "decided")
-        won = decided.where(F.col("admitted")).drop("admitted").withColumn("round", F.lit(k))
-        placed.append(won)
-        state = cut_lineage(update_state(state, won, dims))
-        pending = decided.where(~F.col("admitted")).select(*job_cols)
-        if k < rounds and pending.isEmpty():
+        if decided.isEmpty():
             break
+        won = decided.where("admitted")
+        total = F.col("score") + bonus() if bonus else F.col("score")
+        placed.append(won.select(*job_cols, "node_id", total.alias("score"), F.lit(len(placed) + 1).alias("round")))
+        denied = decided.where("not admitted").select(*queue.columns)
+        moved = decided.groupBy(*key).agg(F.count_if("_fresh").alias("_took"), F.count_if(~F.col("admitted")).alias("_no"),
+                                          F.count_if(~F.col("_fresh")).alias("_retried"))
+        # a vector that got no slot has no feasible node any more and drops out
+        pointers = vectors.join(moved, key).select(
+            *key, "_jobs", (F.col("_given") + F.col("_took")).alias("_given"),
+            (F.col("_denied") - F.col("_retried") + F.col("_no")).alias("_denied"))
+        with ThreadPoolExecutor(max_workers=2) as pool:  # two small, independent tables
+            state, vectors = pool.map(cut_lineage, (update_state(state, won, dims), pointers), ("nodes", "vectors"))
+    if not placed:
+        none = jobs.limit(0).crossJoin(nodes_state.limit(0).select("node_id"))
+        return none.select(*job_cols, "node_id", F.lit(0.0).alias("score"), F.lit(0).alias("round")), state
     out = placed[0]
     for p in placed[1:]:
         out = out.unionByName(p)
     return out, state
+
+
+def still_fitting(jobs: DataFrame, placements: DataFrame, state: DataFrame, dims: list[Dim],
+                  extra: Column | None = None) -> DataFrame:
+    """Unplaced jobs that fit on some node of their request in the final state (none after ``place_jobs``)."""
+    left = jobs.join(placements.select("request_id", "job_id"), ["request_id", "job_id"], "left_anti")
+    fits = feasible(demand_vectors(left, dims), state, dims, extra).select(*vector_key(dims)).distinct()
+    return left.join(fits, vector_key(dims), "left_semi")

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halyard.functions.scalar import priority_class
-from halyard.operators.placement import Dim, init_state, place_jobs
+from halyard.operators.placement import Dim, best_node, demand_vectors, feasible, init_state, place_jobs, vector_key
 from halyard.operators.prefix import running_max_plus, running_totals
+from halyard.session import cut_lineage
 
 DIMS = [
     Dim("cpu_cores_required", "available_cpu_cores", "used_cpu"),
@@ -27,11 +28,11 @@ DEFAULT_USER_PRIORITY = 1
 POLICIES = ["fifo", "sjf", "priority", "fair_share", "backfill"]
 DEFAULT_POLICY = "fair_share"
 POLICY_DESCRIPTIONS = {
-    "fifo": "First In, First Out - Jobs are scheduled in submission order",
-    "sjf": "Shortest Job First - Shorter jobs are prioritized",
-    "priority": "Priority-based - Jobs with higher priority are scheduled first",
-    "fair_share": "Fair Share - Resources are distributed fairly among users",
-    "backfill": "Backfill - Small jobs fill gaps left by larger jobs",
+    "fifo": "jobs in the order they were submitted",
+    "sjf": "jobs with the least estimated runtime first",
+    "priority": "jobs of higher priority first, older ones first among equals",
+    "fair_share": "users with few jobs and high priority first, within their quotas",
+    "backfill": "high priorities first, then short jobs",
 }
 
 
@@ -85,23 +86,57 @@ def priority_split(jobs: DataFrame) -> DataFrame:
     return jobs.select("request_id", "job_id", "priority", priority_class(F.col("priority")).alias("priority_class"))
 
 
-def quota_admission(jobs_fair: DataFrame) -> DataFrame:
-    """Keep jobs whose user's running cpu, memory and job count (fair order) stay within quota.
+# Quota column, demand and the name of the user's charged amount; a job counts one.
+QUOTAS = [("max_cpu_cores", "cpu_cores_required", "_cpu"), ("max_memory_gb", "memory_gb_required", "_memory"),
+          ("max_concurrent_jobs", "1", "_jobs")]
+USER = ["request_id", "user_id"]
 
-    Users without a quota row are unlimited.  Running sums use the skew-safe
-    prefix operator, so one user holding many jobs does not make one task.
+
+def charge(jobs: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Per user what ``jobs`` take, added to ``before``."""
+    own = jobs.groupBy(*USER).agg(*[F.sum(F.expr(d)).alias(c) for _, d, c in QUOTAS])
+    both = own if before is None else own.unionByName(before)
+    return both.groupBy(*USER).agg(*[F.sum(c).alias(c) for _, _, c in QUOTAS])
+
+
+def quota_admission(jobs_fair: DataFrame, charged: DataFrame | None = None) -> DataFrame:
+    """Jobs that their user's quota admits one after the other (fair order), skipping those that do not fit.
+
+    Users without a quota row are unlimited.  Per user: jobs that do not fit alone on top of what is charged
+    never will; of the others the longest prefix that fits is admitted and charged, the job after it is
+    skipped, and the rest goes on, until no job is left.  The running sums use the skew-safe prefix operator,
+    so one user holding many jobs does not make one task.
     """
-    limited = jobs_fair.where(F.col("max_concurrent_jobs").isNotNull() | F.col("max_cpu_cores").isNotNull()
-                              | F.col("max_memory_gb").isNotNull())
-    free = jobs_fair.where(F.col("max_concurrent_jobs").isNull() & F.col("max_cpu_cores").isNull()
-                           & F.col("max_memory_gb").isNull())
-    run = running_totals(limited, ["request_id", "user_id"], queue_order("fair_share"),
-                         ["cpu_cores_required", "memory_gb_required"], rank_col="cum_jobs")
-    ok = ((F.col("max_cpu_cores").isNull() | (F.col("cum_cpu_cores_required") <= F.col("max_cpu_cores")))
-          & (F.col("max_memory_gb").isNull() | (F.col("cum_memory_gb_required") <= F.col("max_memory_gb")))
-          & (F.col("max_concurrent_jobs").isNull() | (F.col("cum_jobs") <= F.col("max_concurrent_jobs"))))
-    passed = run.where(ok).select(*jobs_fair.columns)
-    return free.unionByName(passed)
+    limits = [F.col(q) for q, _, _ in QUOTAS]
+    unlimited = F.lit(True)
+    for q in limits:
+        unlimited = unlimited & q.isNull()
+    admitted = [jobs_fair.where(unlimited)]
+    rest = jobs_fair.where(~unlimited)
+    while True:
+        used = rest if charged is None else rest.join(charged, USER, "left")
+        have = {c: F.coalesce(F.col(c), F.lit(0)) if charged is not None else F.lit(0) for _, _, c in QUOTAS}
+        alone = F.lit(True)
+        for q, d, c in QUOTAS:
+            alone = alone & (F.col(q).isNull() | (have[c] + F.expr(d) <= F.col(q)))
+        fitting = used.where(alone).select(*jobs_fair.columns, *[(F.col(q) - have[c]).alias(f"_left{c}") for q, _, c in QUOTAS])
+        run = running_totals(fitting, USER, queue_order("fair_share"), ["cpu_cores_required", "memory_gb_required"], rank_col="_rank")
+        sums = {"_cpu": F.col("cum_cpu_cores_required"), "_memory": F.col("cum_memory_gb_required"), "_jobs": F.col("_rank")}
+        within = F.lit(True)
+        for _, _, c in QUOTAS:
+            within = within & (F.col(f"_left{c}").isNull() | (sums[c] <= F.col(f"_left{c}")))
+        ranked = cut_lineage(run.select(*jobs_fair.columns, "_rank", within.alias("_in")), "quota")
+        taken = ranked.where("_in").select(*jobs_fair.columns)
+        admitted.append(taken)
+        edge = ranked.groupBy(*USER).agg(F.count_if("_in").alias("_edge"))
+        rest = ranked.join(edge, USER).where(F.col("_rank") > F.col("_edge") + 1).select(*jobs_fair.columns)
+        if rest.isEmpty():
+            break
+        charged = cut_lineage(charge(taken, charged), "charged")
+    out = admitted[0]
+    for part in admitted[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def score_expr() -> Column:
@@ -120,6 +155,13 @@ def now_of(jobs: DataFrame) -> DataFrame:
     return jobs.agg(F.max("submission_time").alias("_now"))
 
 
+def first_choice(jobs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Every job with its best node and score at empty usage."""
+    j = scheduler_jobs(jobs)
+    pairs = feasible(demand_vectors(j, DIMS), scheduler_nodes(nodes), DIMS, available_expr())
+    return j.join(best_node(pairs, DIMS, score_expr()), vector_key(DIMS))
+
+
 def node_timeline(placed: DataFrame, now: DataFrame, order: list[Column]) -> DataFrame:
     """start = max(now, earliest start, end of the previous job on the node); max-plus scan.
 
@@ -140,7 +182,36 @@ def node_timeline(placed: DataFrame, now: DataFrame, order: list[Column]) -> Dat
         (F.col("_rank") - 1).cast("int").alias("queue_position"))
 
 
-def schedule(jobs: DataFrame, nodes: DataFrame, quotas: DataFrame, policy: str, rounds: int = 4):
+def place_within_quotas(jobs_fair: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Fair-share placement: a job is charged to its user's quota when it gets a node.
+
+    Jobs that fit on some node now go through the quotas (on top of what is charged) and are placed; those
+    that got no node are out, for capacity only shrinks, and what they held of the quota is free again for
+    the jobs that had to be skipped.  Ends when no job is admitted any more.
+    """
+    order, rest, charged, placed, rounds = queue_order("fair_share"), jobs_fair, None, [], 0
+    key = vector_key(DIMS)
+    while True:
+        open_now = feasible(demand_vectors(rest, DIMS), state, DIMS, available_expr()).select(*key).distinct()
+        rest = cut_lineage(rest.join(open_now, key, "left_semi"), "rest")
+        candidates = cut_lineage(quota_admission(rest, charged), "candidates")
+        if candidates.isEmpty():
+            break
+        got, state = place_jobs(candidates, state, DIMS, order, score_expr, extra=available_expr)
+        got = cut_lineage(got.withColumn("round", F.col("round") + F.lit(rounds)), "placed")
+        placed.append(got)
+        rounds += got.agg(F.coalesce(F.max("round"), F.lit(rounds))).first()[0] - rounds
+        charged = cut_lineage(charge(got, charged), "charged")
+        rest = rest.join(candidates.select("request_id", "job_id"), ["request_id", "job_id"], "left_anti")
+    if not placed:
+        return place_jobs(jobs_fair.limit(0), state, DIMS, order, score_expr, extra=available_expr)
+    out = placed[0]
+    for part in placed[1:]:
+        out = out.unionByName(part)
+    return out, state
+
+
+def schedule(jobs: DataFrame, nodes: DataFrame, quotas: DataFrame, policy: str):
     """Schedule one batch table under ``policy``; unknown names use fair share.
 
     Returns (scheduled rows, jobs table used, node state).
@@ -148,10 +219,11 @@ def schedule(jobs: DataFrame, nodes: DataFrame, quotas: DataFrame, policy: str,
     if policy not in POLICIES:
         policy = DEFAULT_POLICY
     j = with_fair_key(scheduler_jobs(jobs), quotas)
-    candidates = quota_admission(j) if policy == "fair_share" else j
     order = queue_order(policy)
-    placed, state = place_jobs(candidates, scheduler_nodes(nodes), DIMS, order, score_expr, rounds=rounds,
-                               extra=available_expr)
+    if policy == "fair_share":
+        placed, state = place_within_quotas(j, scheduler_nodes(nodes))
+    else:
+        placed, state = place_jobs(j, scheduler_nodes(nodes), DIMS, order, score_expr, extra=available_expr)
     timeline = node_timeline(placed, now_of(jobs), order)
     out = timeline.select(
         "request_id", "job_id", "node_id", "scheduled_start_time", "estimated_completion_time",
@@ -194,21 +266,22 @@ def unscheduled_jobs(jobs: DataFrame, scheduled: DataFrame) -> DataFrame:
                                                     ["request_id", "job_id"], "left_anti")
 
 
-def dependencies_array(deps: DataFrame) -> DataFrame:
-    """Edge rows -> one row per job with ``dependencies`` array (bounded per job)."""
-    return deps.groupBy("job_id").agg(F.collect_list("dependency_id").alias("dependencies"))
-
-
-def missing_dependencies(jobs: DataFrame, dep_arrays: DataFrame) -> DataFrame:
-    """Dependency ids that are not jobs of the same request."""
+def missing_dependencies(jobs: DataFrame, deps: DataFrame) -> DataFrame:
+    """Dependency ids (edge rows job_id, dependency_id) that are not jobs of the same request."""
     j = jobs.select("request_id", "job_id")
-    edges = dep_arrays.join(j, "job_id").select("request_id", "job_id",
-                                                F.explode("dependencies").alias("dependency_id"))
+    edges = deps.join(j, "job_id").select("request_id", "job_id", "dependency_id")
     known = j.select("request_id", F.col("job_id").alias("dependency_id"))
     return edges.join(known, ["request_id", "dependency_id"], "left_anti")
 
 
-def policy_table(spark) -> DataFrame:
-    """The policy registry as rows (name, description, is_default)."""
-    rows = [(p, POLICY_DESCRIPTIONS[p], p == DEFAULT_POLICY) for p in POLICIES]
-    return spark.createDataFrame(rows, "name string, description string, is_default boolean")
+def policy_listing(spark, jobs: DataFrame, quotas: DataFrame) -> DataFrame:
+    """The registered policies (name, description, default) with the job that each puts first per request."""
+    j = with_fair_key(scheduler_jobs(jobs), quotas)
+    out = None
+    for p in POLICIES:
+        first = Window.partitionBy("request_id").orderBy(*queue_order(p))
+        rows = j.withColumn("_place", F.row_number().over(first)).where("_place = 1").select(
+            F.lit(p).alias("policy"), F.lit(POLICY_DESCRIPTIONS[p]).alias("description"),
+            F.lit(p == DEFAULT_POLICY).alias("is_default"), "request_id", F.col("job_id").alias("first_job"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -1,47 +1,90 @@
-"""SQL twin of ``operators.placement.place_jobs`` for the DuckDB oracle.
+"""SQL twins of the placement rounds and of the user quotas, for the DuckDB oracle.
 
-The same rounds, unrolled as a CTE chain: feasible pairs, best node per job,
-per-node running demand in queue order, admission, residual update.
+``placement_ctes`` unrolls rounds as a CTE chain over jobs (not demand
+vectors with pointers): every pending job is ranked among the jobs of its
+demand, nodes offer slots by score, and per-node running demand admits.  Rounds
+after the last useful one place nothing.  ``quota_ctes`` follows the
+one-job-at-a-time rule with a recursive CTE: admit if the user's charged
+amounts and the job stay within the quota, else skip and go on.
 """
 
 from __future__ import annotations
 
 
 def placement_ctes(jobs_cte: str, state_cte: str, dims, order_sql: str, score_sql: str, rounds: int,
-                   extra_sql: str | None = None, tag: str = "pl") -> str:
-    """CTE text (starting with ', ') that defines ``{tag}_placements``.
+                   extra_sql: str | None = None, tag: str = "pl", bonus_sql: str | None = None, first_round: int = 1) -> str:
+    """CTE text (starting with ', ') that defines ``{tag}_placements`` and ``{tag}_state``.
 
     ``dims`` = [(demand, capacity, used, sql_type_of_used)]; ``jobs_cte`` rows carry request_id,
     job_id and the demand columns; ``state_cte`` rows carry request_id,
     node_id, node_ordinal, capacities, used columns and n_placed.
     """
-    out = []
+    out, xs = [], []
+    key = ", ".join(["request_id"] + [d for d, _, _, _ in dims])
+    same = " AND ".join(["j.request_id = o.request_id"] + [f"j.{d} = o.{d}" for d, _, _, _ in dims])
+    cond = " AND ".join([f"s.{c} - s.{u} >= v.{d}" for d, c, u, _ in dims] + ([extra_sql] if extra_sql else []))
+    units = ", ".join(f"CASE WHEN v.{d} > 0 THEN FLOOR((s.{c} - s.{u}) / v.{d}) ELSE v.n END" for d, c, u, _ in dims)
+    sums = ", ".join(f"SUM({d}) OVER (PARTITION BY request_id, node_id ORDER BY {order_sql} "
+                     f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_{d}" for d, _, _, _ in dims)
+    fits = " AND ".join(f"a.cum_{d} <= s.{c} - s.{u}" for d, c, u, _ in dims)
+    drop = ", ".join(["slot"] + [f"cum_{d}" for d, _, _, _ in dims])
+    adds = ", ".join(f"SUM({d}) AS add_{d}" for d, _, _, _ in dims)
+    upd = ", ".join(f"CAST(s.{u} + COALESCE(t.add_{d}, 0) AS {t}) AS {u}" for d, _, u, t in dims)
+    total = f"o.score + {bonus_sql}" if bonus_sql else "o.score"
     prev_p, prev_s = jobs_cte, state_cte
-    xs = []
     for k in range(1, rounds + 1):
-        f, b, a, x, s, p = (f"{tag}_f{k}", f"{tag}_b{k}", f"{tag}_a{k}", f"{tag}_x{k}", f"{tag}_s{k}", f"{tag}_p{k}")
-        cond = " AND ".join([f"s.{c} - s.{u} >= p.{d}" for d, c, u, _ in dims] + ([extra_sql] if extra_sql else []))
-        out.append(f"""{f} AS (SELECT p.*, s.node_id, s.node_ordinal, {score_sql} AS score
-    FROM {prev_p} p JOIN {prev_s} s ON p.request_id = s.request_id AND {cond})""")
-        out.append(f"""{b} AS (SELECT * EXCLUDE (rn, node_ordinal) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id
-    ORDER BY FLOOR(score * 68719476736.0) DESC, node_ordinal) AS rn FROM {f}) q WHERE rn = 1)""")
-        sums = ", ".join(f"SUM({d}) OVER (PARTITION BY request_id, node_id ORDER BY {order_sql} "
-                         f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_{d}" for d, _, _, _ in dims)
-        out.append(f"{a} AS (SELECT *, {sums} FROM {b})")
-        fits = " AND ".join(f"a.cum_{d} <= s.{c} - s.{u}" for d, c, u, _ in dims)
-        cum_cols = ", ".join(f"cum_{d}" for d, _, _, _ in dims)
-        out.append(f"""{x} AS (SELECT a.* EXCLUDE ({cum_cols}), {k} AS round FROM {a} a JOIN {prev_s} s
+        f, o, a, x, s, p = (f"{tag}_{c}{k}" for c in "foaxsp")
+        out.append(f"""{f} AS MATERIALIZED (SELECT v.*, s.node_id, s.node_ordinal, {score_sql} AS score,
+    CAST(LEAST({units}, v.n) AS BIGINT) AS units
+  FROM (SELECT {key}, COUNT(*) AS n FROM {prev_p} GROUP BY {key}) v JOIN {prev_s} s ON v.request_id = s.request_id AND {cond})""")
+        out.append(f"""{o} AS MATERIALIZED (SELECT *, COALESCE(SUM(units) OVER (PARTITION BY {key} ORDER BY score DESC, node_ordinal
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM {f})""")
+        out.append(f"""{a} AS MATERIALIZED (SELECT *, {sums} FROM (SELECT j.*, o.node_id, {total} AS score
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY {order_sql}) AS slot FROM {prev_p}) j
+    JOIN {o} o ON {same} AND j.slot > o.before AND j.slot <= o.before + o.units) c)""")
+        out.append(f"""{x} AS MATERIALIZED (SELECT a.* EXCLUDE ({drop}), {first_round + k - 1} AS round FROM {a} a JOIN {prev_s} s
     ON a.request_id = s.request_id AND a.node_id = s.node_id WHERE {fits})""")
-        adds = ", ".join(f"SUM({d}) AS add_{d}" for d, _, _, _ in dims)
-        upd = ", ".join(f"CAST(s.{u} + COALESCE(t.add_{d}, 0) AS {t}) AS {u}" for d, _, u, t in dims)
-        out.append(f"""{s} AS (SELECT s.* EXCLUDE ({', '.join(u for _, _, u, _ in dims)}, n_placed), {upd},
+        out.append(f"""{s} AS MATERIALIZED (SELECT s.* EXCLUDE ({', '.join(u for _, _, u, _ in dims)}, n_placed), {upd},
     s.n_placed + COALESCE(t.add_n, 0) AS n_placed
-    FROM {prev_s} s LEFT JOIN (SELECT request_id, node_id, {adds}, COUNT(*) AS add_n FROM {x} GROUP BY request_id, node_id) t
+  FROM {prev_s} s LEFT JOIN (SELECT request_id, node_id, {adds}, COUNT(*) AS add_n FROM {x} GROUP BY request_id, node_id) t
     ON s.request_id = t.request_id AND s.node_id = t.node_id)""")
-        out.append(f"""{p} AS (SELECT * FROM {prev_p} WHERE job_id IN (SELECT job_id FROM {b})
-    AND job_id NOT IN (SELECT job_id FROM {x}))""")
+        out.append(f"{p} AS MATERIALIZED (SELECT * FROM {prev_p} WHERE job_id NOT IN (SELECT job_id FROM {x}))")
         xs.append(x)
         prev_p, prev_s = p, s
-    out.append(f"{tag}_placements AS (" + " UNION ALL ".join(f"SELECT * FROM {x}" for x in xs) + ")")
-    out.append(f"{tag}_state AS (SELECT * FROM {prev_s})")
+    out.append(f"{tag}_placements AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM {x}" for x in xs) + ")")
+    out.append(f"{tag}_state AS MATERIALIZED (SELECT * FROM {prev_s})")
     return ",\n" + ",\n".join(out)
+
+
+def still_fitting_sql(jobs_cte: str, tag: str, dims, extra_sql: str | None = None) -> str:
+    """Jobs not in ``{tag}_placements`` that fit on a node in ``{tag}_state``."""
+    cond = " AND ".join([f"s.{c} - s.{u} >= j.{d}" for d, c, u, _ in dims] + ([extra_sql] if extra_sql else []))
+    return f"""SELECT j.request_id, j.job_id FROM {jobs_cte} j WHERE j.job_id NOT IN (SELECT job_id FROM {tag}_placements)
+  AND EXISTS (SELECT 1 FROM {tag}_state s WHERE s.request_id = j.request_id AND {cond})"""
+
+
+def quota_ctes(jobs_cte: str, order_sql: str, tag: str, charged_cte: str | None = None) -> str:
+    """CTE text defining ``{tag}_fair``: the jobs of ``jobs_cte`` that the users' quotas admit one after the other."""
+    free = "max_cpu_cores IS NULL AND max_memory_gb IS NULL AND max_concurrent_jobs IS NULL"
+    charged = f"LEFT JOIN {charged_cte} c ON j.request_id = c.request_id AND j.user_id = c.user_id" if charged_cte else ""
+    have = {c: f"COALESCE(c.{c}, 0)" if charged_cte else "0" for c in ("cpu", "memory", "jobs")}
+
+    def ok(cpu, memory, jobs):
+        return (f"((q.max_cpu_cores IS NULL OR {cpu} + q.cpu_cores_required <= q.max_cpu_cores) AND (q.max_memory_gb IS NULL OR "
+                f"{memory} + q.memory_gb_required <= q.max_memory_gb) AND (q.max_concurrent_jobs IS NULL OR {jobs} + 1 <= q.max_concurrent_jobs))")
+
+    def row(cpu, memory, jobs):
+        y = ok(cpu, memory, jobs)
+        return (f"q.request_id, q.user_id, q.job_id, q.rn, CAST({cpu} + CASE WHEN {y} THEN q.cpu_cores_required ELSE 0 END AS BIGINT), "
+                f"CAST({memory} + CASE WHEN {y} THEN q.memory_gb_required ELSE 0 END AS DOUBLE), "
+                f"CAST({jobs} + CASE WHEN {y} THEN 1 ELSE 0 END AS BIGINT), {y}")
+    return f""",
+{tag}_q AS MATERIALIZED (SELECT j.*, {have['cpu']} AS cpu0, {have['memory']} AS memory0, {have['jobs']} AS jobs0,
+  ROW_NUMBER() OVER (PARTITION BY j.request_id, j.user_id ORDER BY {order_sql}) AS rn FROM {jobs_cte} j {charged} WHERE NOT ({free})),
+{tag}_step(request_id, user_id, job_id, rn, cpu, memory, jobs, ok) AS (
+  SELECT {row('q.cpu0', 'q.memory0', 'q.jobs0')} FROM {tag}_q q WHERE q.rn = 1
+  UNION ALL
+  SELECT {row('p.cpu', 'p.memory', 'p.jobs')} FROM {tag}_step p
+  JOIN {tag}_q q ON q.request_id = p.request_id AND q.user_id = p.user_id AND q.rn = p.rn + 1),
+{tag}_fair AS MATERIALIZED (SELECT * FROM {jobs_cte} WHERE {free}
+  UNION ALL SELECT j.* FROM {jobs_cte} j WHERE j.job_id IN (SELECT job_id FROM {tag}_step WHERE ok))"""

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from halyard.operators import allocation as A
 from halyard.operators.prefix import running_totals
-from halyard.plans.placement_sql import placement_ctes
+from halyard.operators.placement import admit
+from halyard.plans.placement_sql import placement_ctes, still_fitting_sql
 from halyard.plans.registry import R, register, round_doubles
 from halyard.sources import fixtures as X
 
-ROUNDS = 4
+# Rounds that the SQL twins unroll: more than any placement of the test data takes (the engine has no limit).
+TWIN_ROUNDS = 11
 FIX = ("jobs", "nodes")
 # FIXTURES jobs carry no start parameter; allocation times start at this instant.
 ALLOC_START = "2024-02-01 00:00:00"
@@ -33,14 +35,15 @@ ORDER_SQL = {"efficiency": "priority DESC, runtime_hours ASC, job_ordinal ASC",
              "throughput": "cpu_cores_required + memory_gb_required ASC, job_ordinal ASC",
              "power": "power_watts_estimated ASC, job_ordinal ASC"}
 NODE_SCORE_SQL = ("(1.0 - ABS((cpu_cores_required + used_cpu) / available_cpu_cores - "
-                  "(memory_gb_required + used_memory) / available_memory_gb)) * 0.4 + node_efficiency_score * 0.4 + "
-                  "(CAST(priority AS DOUBLE) / 10.0) * 0.2")
+                  "(memory_gb_required + used_memory) / available_memory_gb)) * 0.4 + node_efficiency_score * 0.4")
+BONUS_SQL = "(CAST(priority AS DOUBLE) / 10.0) * 0.2"
 SCORE_SQL = {"efficiency": NODE_SCORE_SQL, "throughput": NODE_SCORE_SQL, "power": "node_efficiency_score"}
 
 
 def plan_sql(objective: str, tag: str | None = None) -> str:
     tag = tag or f"pl_{objective[:3]}"
-    return placement_ctes("al_jobs", "al_state", SQL_DIMS, ORDER_SQL[objective], SCORE_SQL[objective], ROUNDS, tag=tag)
+    return placement_ctes("al_jobs", "al_state", SQL_DIMS, ORDER_SQL[objective], SCORE_SQL[objective], TWIN_ROUNDS, tag=tag,
+                          bonus_sql=None if objective == "power" else BONUS_SQL)
 
 
 def summary_sql(objective: str, tag: str | None = None) -> str:
@@ -92,7 +95,7 @@ def jobs_nodes(spark, sf):
 
 def _placement(spark, sf, objective):
     j, n = jobs_nodes(spark, sf)
-    p, _ = A.place(j, n, objective, ROUNDS)
+    p, _ = A.place(j, n, objective)
     return p, j, n
 
 
@@ -111,13 +114,12 @@ def q_feasible_nodes(spark, sf):
 
 
 _FIRST_SQL = BASE_CTES + f"""
-, f AS (SELECT p.request_id, p.job_id, s.node_id, s.node_ordinal, {NODE_SCORE_SQL} AS score
+, f AS (SELECT p.*, s.node_id, s.node_ordinal, {NODE_SCORE_SQL} AS score, {BONUS_SQL} AS bonus
         FROM al_jobs p JOIN al_state s ON p.request_id = s.request_id AND {_FEAS_COND}),
-b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id ORDER BY FLOOR(score * 68719476736.0) DESC, node_ordinal) AS rn,
-      MAX(score) OVER (PARTITION BY job_id) AS best FROM f)"""
+b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id ORDER BY score DESC, node_ordinal) AS rn FROM f)"""
 
 
-@register("node_score", _FIRST_SQL + f"\nSELECT request_id, job_id, {R('best')} AS score FROM b WHERE rn = 1", fixtures=FIX)
+@register("node_score", _FIRST_SQL + f"\nSELECT request_id, job_id, {R('score + bonus')} AS score FROM b WHERE rn = 1", fixtures=FIX)
 def q_node_score(spark, sf):
     j, n = jobs_nodes(spark, sf)
     return round_doubles(A.first_choice(j, n, "efficiency").select("request_id", "job_id", "score"))
@@ -144,17 +146,18 @@ for _o in A.OBJECTIVES:
     _order_query(_o)
 
 
-@register("node_admission", BASE_CTES + plan_sql("efficiency", "na").split(",\nna_s1 AS")[0].replace(
-    f"{ROUNDS} AS round", "1 AS round") + """
-SELECT b.request_id, b.job_id, b.node_id, b.job_id IN (SELECT job_id FROM na_x1) AS admitted FROM na_b1 b""", fixtures=FIX)
+_CUM_SQL = ", ".join(f"SUM({d}) OVER (PARTITION BY request_id, node_id ORDER BY {ORDER_SQL['efficiency']} "
+                     f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_{d}" for d, _, _, _ in SQL_DIMS)
+
+
+@register("node_admission", _FIRST_SQL + f""",
+c AS (SELECT *, {_CUM_SQL} FROM b WHERE rn = 1)
+SELECT c.request_id, c.job_id, c.node_id, {" AND ".join(f"c.cum_{d} <= s.{cap}" for d, cap, _, _ in SQL_DIMS)} AS admitted
+FROM c JOIN al_state s ON c.request_id = s.request_id AND c.node_id = s.node_id""", fixtures=FIX)
 def q_node_admission(spark, sf):
-    from halyard.operators.placement import admit, best_node, feasible, with_node_id
     j, n = jobs_nodes(spark, sf)
-    st = A.allocation_nodes(n)
-    aj = A.allocation_jobs(j)
-    chosen = with_node_id(best_node(feasible(aj, st, A.DIMS, st.count()), A.node_score_expr()), st) \
-        .join(aj, ["request_id", "job_ordinal"])
-    return admit(chosen, st, A.DIMS, A.queue_order("efficiency")).select("request_id", "job_id", "node_id", "admitted")
+    chosen = A.first_choice(j, n, "efficiency")
+    return admit(chosen, A.allocation_nodes(n), A.DIMS, A.queue_order("efficiency")).select("request_id", "job_id", "node_id", "admitted")
 
 
 # ---- placements per objective ----------------------------------------------------------
@@ -173,6 +176,17 @@ for _o in A.OBJECTIVES:
     _place_query(_o)
 
 
+@register("placement_maximality", BASE_CTES + "".join(plan_sql(o, f"pl_{o[:3]}") for o in A.OBJECTIVES) + ",\nlft AS (" + "\nUNION ALL ".join(
+    f"SELECT *, '{o}' AS objective FROM ({still_fitting_sql('al_jobs', f'pl_{o[:3]}', SQL_DIMS)}) x" for o in A.OBJECTIVES) + """),
+obj AS (SELECT UNNEST(['efficiency', 'throughput', 'power']) AS objective),
+req AS (SELECT DISTINCT request_id FROM al_jobs)
+SELECT r.request_id, o.objective, COUNT(l.job_id) AS n_still_fitting FROM req r CROSS JOIN obj o
+LEFT JOIN lft l ON l.request_id = r.request_id AND l.objective = o.objective GROUP BY ALL""", fixtures=FIX)
+def q_placement_maximality(spark, sf):
+    """Unplaced jobs that still fit on a node of their request: none, for every request and objective."""
+    return A.placement_maximality(*jobs_nodes(spark, sf))
+
+
 def _eff_summary(spark, sf):
     p, j, n = _placement(spark, sf, "efficiency")
     return p, j, n, A.plan_summary(p, j, n, "efficiency")
@@ -244,7 +258,7 @@ pick AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY r
 @register("pick_objective", _ALL_SUMMARIES + "\n" + summary_select("pick"), fixtures=FIX)
 def q_pick_objective(spark, sf):
     j, n = jobs_nodes(spark, sf)
-    _, _, choice = A.place_balanced(j, n, ROUNDS)
+    _, _, choice = A.place_balanced(j, n)
     return round_doubles(choice.select(*SUMMARY_COLS))
 
 
@@ -255,7 +269,7 @@ SELECT a.request_id, a.job_id, a.node_id, a.round, a.objective FROM allp a JOIN
   ON a.request_id = k.request_id AND a.objective = k.objective""", fixtures=FIX)
 def q_place_balanced(spark, sf):
     j, n = jobs_nodes(spark, sf)
-    chosen, _, _ = A.place_balanced(j, n, ROUNDS)
+    chosen, _, _ = A.place_balanced(j, n)
     return chosen.select(*PLACEMENT_OUT, "objective")
 
 
@@ -275,9 +289,15 @@ def q_advice(spark, sf):
     return A.advice(s)
 
 
-@register("objective_registry", BASE_CTES + plan_sql("power", "pp") + """
-SELECT request_id, job_id, node_id, round, 'power' AS objective FROM pp_placements""", fixtures=FIX)
+@register("objective_registry", _ALL_SUMMARIES + """,
+allp AS (SELECT *, 'efficiency' AS objective FROM pe_placements UNION ALL SELECT *, 'throughput' FROM pt_placements
+         UNION ALL SELECT *, 'power' FROM pp_placements)
+SELECT 'power' AS asked, request_id, job_id, node_id, objective FROM allp WHERE objective = 'power'
+UNION ALL SELECT 'no-such-objective', a.request_id, a.job_id, a.node_id, a.objective FROM allp a JOIN pick k
+  ON a.request_id = k.request_id AND a.objective = k.objective""", fixtures=FIX)
 def q_objective_registry(spark, sf):
-    """Dispatch by name through the registry (here: 'power')."""
+    """Dispatch by name: a known objective, and an unknown one that gets the balanced default."""
     j, n = jobs_nodes(spark, sf)
-    return A.optimize(j, n, "power", ROUNDS).select(*PLACEMENT_OUT, "objective")
+    out = [A.optimize(j, n, name).select(F.lit(name).alias("asked"), "request_id", "job_id", "node_id", "objective")
+           for name in ("power", "no-such-objective")]
+    return out[0].unionByName(out[1])

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from halyard.operators import scheduling as SC
-from halyard.operators.placement import best_node, feasible, with_node_id
 from halyard.operators.prefix import running_totals
-from halyard.plans.placement_sql import placement_ctes
+from halyard.plans.placement_sql import placement_ctes, quota_ctes
 from halyard.plans.registry import R, register, round_doubles
 from halyard.sources import fixtures as X
 
-ROUNDS = 4
+# Rounds that the SQL twins unroll, and passes of the fair-share loop: more than the test data takes.
+TWIN_ROUNDS, TWIN_PASSES = 10, 4
 FIX = ("jobs", "nodes", "user_quotas")
 
 SQL_DIMS = [("cpu_cores_required", "available_cpu_cores", "used_cpu", "INT"),
@@ -30,14 +30,7 @@ BASE_CTES = """
 , sc_state AS (SELECT request_id, node_id, node_ordinal, is_available, total_cpu_cores, total_memory_gb, total_gpu_count,
        available_cpu_cores, available_memory_gb, available_gpu_count, CAST(0 AS INT) AS used_cpu,
        CAST(0 AS DOUBLE) AS used_memory, CAST(0 AS INT) AS used_gpu, CAST(0 AS BIGINT) AS n_placed FROM nodes)
-, sc_now AS (SELECT MAX(submission_time) AS now FROM jobs)
-, sc_q AS (SELECT *, SUM(cpu_cores_required) OVER w AS cc, SUM(memory_gb_required) OVER w AS cm, ROW_NUMBER() OVER w AS cn
-  FROM sc_jobs WHERE NOT (max_concurrent_jobs IS NULL AND max_cpu_cores IS NULL AND max_memory_gb IS NULL)
-  WINDOW w AS (PARTITION BY request_id, user_id ORDER BY fair_key, submission_time, job_ordinal
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-, sc_fair AS (SELECT * FROM sc_jobs WHERE max_concurrent_jobs IS NULL AND max_cpu_cores IS NULL AND max_memory_gb IS NULL
-  UNION ALL SELECT * EXCLUDE (cc, cm, cn) FROM sc_q WHERE (max_cpu_cores IS NULL OR cc <= max_cpu_cores)
-    AND (max_memory_gb IS NULL OR cm <= max_memory_gb) AND (max_concurrent_jobs IS NULL OR cn <= max_concurrent_jobs))"""
+, sc_now AS (SELECT MAX(submission_time) AS now FROM jobs)"""
 
 ORDER_SQL = {
     "fifo": "submission_time ASC, job_ordinal ASC",
@@ -52,12 +45,33 @@ SCORE_SQL = ("COALESCE((1.0 - ABS(cpu_cores_required / (available_cpu_cores - us
              "(CASE WHEN n_placed = 0 THEN 1.0 ELSE 0.5 END) * 0.4, 0.0)")
 
 
+_OPEN_SQL = " AND ".join(f"s.{c} - s.{u} >= j.{d}" for d, c, u, _ in SQL_DIMS) + " AND s.is_available"
+
+
+def fair_share_sql(tag: str) -> str:
+    """Passes of: jobs that still fit somewhere, quotas on top of what is charged, placement, charge."""
+    out, rest, state, charged, placed = "", "sc_jobs", "sc_state", None, []
+    for k in range(1, TWIN_PASSES + 1):
+        t = f"{tag}{k}"
+        out += f""",
+{t}_open AS MATERIALIZED (SELECT * FROM {rest} j WHERE EXISTS (SELECT 1 FROM {state} s WHERE s.request_id = j.request_id AND {_OPEN_SQL}))"""
+        out += quota_ctes(f"{t}_open", ORDER_SQL["fair_share"], t, charged)
+        out += placement_ctes(f"{t}_fair", state, SQL_DIMS, ORDER_SQL["fair_share"], SCORE_SQL, TWIN_ROUNDS, extra_sql="s.is_available",
+                              tag=t, first_round=1 + (k - 1) * TWIN_ROUNDS)
+        placed.append(f"SELECT * FROM {t}_placements")
+        out += f""",
+{t}_charged AS MATERIALIZED (SELECT request_id, user_id, SUM(cpu_cores_required) AS cpu, SUM(memory_gb_required) AS memory, COUNT(*) AS jobs
+  FROM ({" UNION ALL ".join(placed)}) p GROUP BY request_id, user_id),
+{t}_rest AS MATERIALIZED (SELECT * FROM {t}_open WHERE job_id NOT IN (SELECT job_id FROM {t}_fair))"""
+        rest, state, charged = f"{t}_rest", f"{t}_state", f"{t}_charged"
+    return out + f",\n{tag}_placements AS MATERIALIZED ({' UNION ALL '.join(placed)})"
+
+
 def schedule_sql(policy: str) -> str:
     """CTEs ending in ``{tag}_sched`` (the schedule rows) for ``policy``."""
     tag = f"s_{policy[:4]}"
-    src = "sc_fair" if policy == "fair_share" else "sc_jobs"
-    ctes = placement_ctes(src, "sc_state", SQL_DIMS, ORDER_SQL[policy], SCORE_SQL, ROUNDS,
-                          extra_sql="s.is_available", tag=tag)
+    ctes = fair_share_sql(tag) if policy == "fair_share" else placement_ctes(
+        "sc_jobs", "sc_state", SQL_DIMS, ORDER_SQL[policy], SCORE_SQL, TWIN_ROUNDS, extra_sql="s.is_available", tag=tag)
     return ctes + f""",
 {tag}_tl AS (SELECT p.*, CAST(SUM(estimated_runtime_minutes) OVER w AS BIGINT) AS cum_min,
        CAST(ROW_NUMBER() OVER w - 1 AS INTEGER) AS queue_position FROM {tag}_placements p
@@ -80,7 +94,7 @@ def inputs(spark, sf):
 
 def run_policy(spark, sf, policy):
     j, n, q = inputs(spark, sf)
-    out, _, _ = SC.schedule(j, n, q, policy, ROUNDS)
+    out, _, _ = SC.schedule(j, n, q, policy)
     return out, j, n
 
 
@@ -126,7 +140,8 @@ def q_quota_lookup(spark, sf):
                                         "max_memory_gb", "max_concurrent_jobs")
 
 
-@register("quota_admission", BASE_CTES + "\nSELECT request_id, job_id, user_id FROM sc_fair", fixtures=FIX)
+@register("quota_admission", BASE_CTES + quota_ctes("sc_jobs", ORDER_SQL["fair_share"], "qa") + "\nSELECT request_id, job_id, user_id FROM qa_fair",
+          fixtures=FIX)
 def q_quota_admission(spark, sf):
     return SC.quota_admission(_fair_jobs(spark, sf)).select("request_id", "job_id", "user_id")
 
@@ -137,17 +152,11 @@ _FEAS = " AND ".join(f"s.{c} >= p.{d}" for d, c, _, _ in SQL_DIMS) + " AND s.is_
 @register("schedule_node_score", BASE_CTES + f"""
 , f AS (SELECT p.request_id, p.job_id, s.node_ordinal, {SCORE_SQL} AS score
         FROM sc_jobs p JOIN sc_state s ON p.request_id = s.request_id AND {_FEAS}),
-b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id ORDER BY FLOOR(score * 68719476736.0) DESC, node_ordinal) AS rn,
-       MAX(score) OVER (PARTITION BY job_id) AS best FROM f)
-SELECT request_id, job_id, {R('best')} AS score FROM b WHERE rn = 1""", fixtures=FIX)
+b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id ORDER BY score DESC, node_ordinal) AS rn FROM f)
+SELECT request_id, job_id, {R('score')} AS score FROM b WHERE rn = 1""", fixtures=FIX)
 def q_schedule_node_score(spark, sf):
-    j, n, q = inputs(spark, sf)
-    sj = SC.scheduler_jobs(j)
-    st = SC.scheduler_nodes(n)
-    pairs = feasible(sj, st, SC.DIMS, st.count(), SC.available_expr())
-    best = with_node_id(best_node(pairs, SC.score_expr()), st).join(sj.select("request_id", "job_ordinal", "job_id"),
-                                                   ["request_id", "job_ordinal"])
-    return round_doubles(best.select("request_id", "job_id", "score"))
+    j, n, _ = inputs(spark, sf)
+    return round_doubles(SC.first_choice(j, n).select("request_id", "job_id", "score"))
 
 
 # ---- schedules per policy ----------------------------------------------------------------
@@ -171,7 +180,7 @@ for _p in SC.POLICIES:
 def q_policy_registry(spark, sf):
     """An unknown policy name dispatches to the default (fair share)."""
     j, n, q = inputs(spark, sf)
-    out, _, _ = SC.schedule(j, n, q, "no-such-policy", ROUNDS)
+    out, _, _ = SC.schedule(j, n, q, "no-such-policy")
     return out.select(*SCHED_COLS)
 
 
@@ -251,5 +260,13 @@ SELECT j.request_id, d.job_id, d.dependency_id FROM job_dependencies d JOIN jobs
 WHERE NOT EXISTS (SELECT 1 FROM jobs k WHERE k.request_id = j.request_id AND k.job_id = d.dependency_id)""",
           fixtures=("jobs", "job_dependencies"))
 def q_missing_dependencies(spark, sf):
-    deps = SC.dependencies_array(X.job_dependencies(spark, sf))
-    return SC.missing_dependencies(X.jobs(spark, sf), deps).select("request_id", "job_id", "dependency_id")
+    return SC.missing_dependencies(X.jobs(spark, sf), X.job_dependencies(spark, sf)).select("request_id", "job_id", "dependency_id")
+
+
+@register("policy_listing", BASE_CTES + "\n" + "\nUNION ALL ".join(f"""SELECT policy, description, is_default, request_id, first_job FROM (
+  SELECT '{p}' AS policy, '{SC.POLICY_DESCRIPTIONS[p]}' AS description, {str(p == SC.DEFAULT_POLICY).upper()} AS is_default, request_id,
+         job_id AS first_job, ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY {ORDER_SQL[p]}) AS rn FROM sc_jobs) x WHERE rn = 1"""
+    for p in SC.POLICIES), fixtures=FIX)
+def q_policy_listing(spark, sf):
+    j, _, q = inputs(spark, sf)
+    return SC.policy_listing(spark, j, q)

@@ -333,4 +333,4 @@ FROM customer""",
 def with_fixtures(sql: str, names) -> str:
     """Prefix ``sql`` with the named fixture derivations as CTEs."""
     ctes = ",\n".join(f"{n} AS ({FIXTURE_SQL[n].strip()})" for n in names)
-    return f"WITH {ctes}\n{sql}"
+    return f"WITH RECURSIVE {ctes}\n{sql}"

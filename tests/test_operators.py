@@ -106,14 +106,14 @@ def test_equal_nodes_lowest_ordinal(spark):
                       "request_id, total_cpu_cores, available_cpu_cores, total_memory_gb, available_memory_gb, "
                       "total_gpu_count, available_gpu_count, available_power_watts, available_network_bandwidth_gbps, "
                       "node_efficiency_score, is_available)")
-    p, _ = A.place(jobs, nodes, "efficiency", rounds=2)
+    p, _ = A.place(jobs, nodes, "efficiency")
     assert [r.node_id for r in p.collect()] == ["n-a"]
 
 
 def test_placement_invariants(spark, sf):
     jobs, nodes = X.jobs(spark, sf), X.nodes(spark, sf)
     for objective in A.OBJECTIVES:
-        p, _ = A.place(jobs, nodes, objective, rounds=3)
+        p, _ = A.place(jobs, nodes, objective)
         assert p.groupBy("job_id").count().where("count > 1").count() == 0
         use = A.node_usage(p).join(nodes, ["request_id", "node_id"])
         over = use.where((F.col("used_cpu") > F.col("available_cpu_cores"))
@@ -138,8 +138,35 @@ def test_quota_edge_equal_limit_passes(spark):
     assert SC.quota_admission(SC.with_fair_key(SC.scheduler_jobs(jobs), tight)).count() == 2
 
 
+def test_quotas_skip_and_go_on(spark, sf):
+    """The set-based admission equals one job at a time: skip what does not fit, go on."""
+    jobs, quotas = X.jobs(spark, sf), X.user_quotas(spark, sf)
+    fair = SC.with_fair_key(SC.scheduler_jobs(jobs), quotas)
+    got = {r.job_id for r in SC.quota_admission(fair).collect()}
+    used, want = {}, set()
+    for r in fair.orderBy(*SC.queue_order("fair_share")).collect():
+        u = used.setdefault((r.request_id, r.user_id), [0, 0.0, 0])
+        if r.max_concurrent_jobs is None or (u[0] + r.cpu_cores_required <= r.max_cpu_cores and u[1] + r.memory_gb_required <= r.max_memory_gb
+                                             and u[2] + 1 <= r.max_concurrent_jobs):
+            want.add(r.job_id)
+            u[0], u[1], u[2] = u[0] + r.cpu_cores_required, u[1] + r.memory_gb_required, u[2] + 1
+    assert got == want
+
+
+def test_fair_share_respects_quotas_and_fills_nodes(spark, sf):
+    jobs, nodes, quotas = X.jobs(spark, sf), X.nodes(spark, sf), X.user_quotas(spark, sf)
+    out, j, state = SC.schedule(jobs, nodes, quotas, "fair_share")
+    mine = out.join(j.select("request_id", "job_id", "user_id"), ["request_id", "job_id"])
+    taken = mine.groupBy("user_id", "request_id").agg(F.sum("allocated_cpu_cores").alias("c"), F.sum("allocated_memory_gb").alias("m"),
+                                                      F.count(F.lit(1)).alias("n")).join(quotas, "user_id")
+    assert taken.where("c > max_cpu_cores or m > max_memory_gb or n > max_concurrent_jobs").count() == 0
+    full, _, end = SC.schedule(jobs, nodes, quotas, "fifo")
+    from halyard.operators.placement import still_fitting
+    assert still_fitting(SC.scheduler_jobs(jobs), full, end, SC.DIMS, SC.available_expr()).count() == 0
+
+
 def test_timeline_is_sequential_per_node(spark, sf):
-    out, jobs, _ = SC.schedule(X.jobs(spark, sf), X.nodes(spark, sf), X.user_quotas(spark, sf), "fifo", rounds=2)
+    out, jobs, _ = SC.schedule(X.jobs(spark, sf), X.nodes(spark, sf), X.user_quotas(spark, sf), "fifo")
     rows = out.orderBy("node_id", "queue_position").collect()
     prev = {}
     for r in rows:
@@ -187,14 +214,21 @@ def test_workflow_steps_succeed(spark, sf):
     assert {r.step: r.status for r in status.collect()} == {"prediction": "success", "scheduling": "success"}
 
 
-def test_salted_node_join_equals_broadcast(spark, sf):
-    from halyard.operators.placement import best_node, feasible
-    j = A.allocation_jobs(X.jobs(spark, sf))
-    st = A.allocation_nodes(X.nodes(spark, sf))
-    small = best_node(feasible(j, st, A.DIMS, node_rows=10), A.node_score_expr())
-    big = best_node(feasible(j, st, A.DIMS, node_rows=10 ** 9), A.node_score_expr())  # forces the salted path
-    assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
-    assert small.count() > 0
+def test_best_node_per_vector_equals_all_pairs(spark, sf):
+    """Pairing distinct demand vectors gives every job the node that all job x node pairs give it."""
+    jobs, nodes = A.allocation_jobs(X.jobs(spark, sf)).collect(), X.nodes(spark, sf).collect()
+    got = {r.job_id: (r.node_id, r.score) for r in A.first_choice(X.jobs(spark, sf), X.nodes(spark, sf)).collect()}
+    want = {}
+    for j in jobs:
+        fits = [n for n in nodes if n.request_id == j.request_id and all(n[d.capacity] >= j[d.demand] for d in A.DIMS)]
+        if fits:
+            def score(n):
+                balance = 1.0 - abs(j.cpu_cores_required / n.available_cpu_cores - j.memory_gb_required / n.available_memory_gb)
+                return balance * .4 + n.node_efficiency_score * .4 + j.priority / 10.0 * .2
+            best = min(fits, key=lambda n: (-(score(n) - j.priority / 10.0 * .2), n.node_ordinal))
+            want[j.job_id] = (best.node_id, score(best))
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-12 for k in want)
 
 
 def test_load_sources_skips_missing(spark, sf, tmp_path):
