@@ -41,7 +41,8 @@ def auc_score(df: DataFrame, label: str = "churn", score: str = "churn_probabili
     contrib = cum.select((F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") * 0.5)).alias("c"),
                          "pos", "neg")
     agg = contrib.agg(F.sum("c").alias("u"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    return agg.select((F.col("u") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"), "n_pos", "n_neg")
+    # one class only: no pair to rank, so no AUC
+    return agg.select(F.try_divide(F.col("u"), F.col("n_pos") * F.col("n_neg")).alias("auc"), "n_pos", "n_neg")
 
 
 def roc_points(df: DataFrame, label: str = "churn", score: str = "churn_probability", parts: int | None = None) -> DataFrame:
@@ -61,32 +62,38 @@ def confusion_matrix(df: DataFrame, label: str = "churn", pred: str = "predictio
 
 
 def classification_report(df: DataFrame, label: str = "churn", pred: str = "prediction") -> DataFrame:
-    """Per-class precision / recall / f1 / support, macro and weighted averages, accuracy."""
-    classes = df.select(F.col(label).alias("cls")).union(df.select(F.col(pred).alias("cls"))).distinct()
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col(label) == F.col(pred)).cast("int")).alias("hits"))
-    per = df.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("support"))
-    predicted = df.groupBy(F.col(pred).alias("cls")).agg(F.count(F.lit(1)).alias("n_pred"))
-    tp = df.where(F.col(label) == F.col(pred)).groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("tp"))
-    t = (classes.join(per, "cls", "left").join(predicted, "cls", "left").join(tp, "cls", "left")
-         .na.fill(0, ["support", "n_pred", "tp"]))
+    """Per-class precision / recall / f1 / support, macro and weighted averages, accuracy.
+
+    Everything comes from the confusion table (one row per pair of classes): the input is read once.
+    """
+    cells = confusion_matrix(df, label, pred)
+    # each cell counts for its actual class and for its predicted one
+    sides = cells.select(F.explode(F.array(
+        F.struct(F.col("actual").alias("cls"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("n_pred"),
+                 F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0).alias("tp")),
+        F.struct(F.col("predicted").alias("cls"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("n_pred"),
+                 F.lit(0).cast("bigint").alias("tp")))).alias("s")).select("s.*")
+    t = sides.groupBy("cls").agg(*[F.sum(c).alias(c) for c in ("support", "n_pred", "tp")])
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("n_pred")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
-    rows = t.select(F.col("cls").cast("string").alias("class"), prec.alias("precision"), rec.alias("recall"),
-                    "support")
+    rows = t.select(F.col("cls").cast("string").alias("class"), prec.alias("precision"), rec.alias("recall"), "support", "tp")
     rows = rows.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
                                                          F.col("precision") + F.col("recall")), F.lit(0.0)))
-    macro = rows.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
-                     F.avg("recall").alias("recall"), F.sum("support").alias("support"), F.avg("f1").alias("f1"))
-    weighted = rows.agg(F.lit("weighted avg").alias("class"),
-                        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision"),
-                        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
-                        F.sum("support").alias("support"),
-                        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"))
-    acc = stats.select(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
-                       F.lit(None).cast("double").alias("recall"), F.col("n").alias("support"),
-                       (F.col("hits") / F.col("n")).alias("f1"))
+    # one row per class: the three summary rows are one aggregate over them, stacked
+    total = F.sum("support")
+
+    def weighted(c: str):
+        return F.try_divide(F.sum(F.col(c) * F.col("support")), total)
+    none = F.lit(None).cast("double")
+    summary = rows.agg(F.array(
+        F.struct(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"), F.avg("recall").alias("recall"),
+                 F.avg("f1").alias("f1"), total.alias("support")),
+        F.struct(F.lit("weighted avg").alias("class"), weighted("precision").alias("precision"), weighted("recall").alias("recall"),
+                 weighted("f1").alias("f1"), total.alias("support")),
+        F.struct(F.lit("accuracy").alias("class"), none.alias("precision"), none.alias("recall"),
+                 F.try_divide(F.sum("tp"), total).alias("f1"), total.alias("support"))).alias("s"))
     cols = ["class", "precision", "recall", "f1", "support"]
-    return rows.select(cols).unionByName(macro.select(cols)).unionByName(weighted.select(cols)).unionByName(acc.select(cols))
+    return rows.select(cols).unionByName(summary.select(F.explode("s").alias("s")).select(*[f"s.{c}" for c in cols]))
 
 
 def score_histogram(df: DataFrame, score: str = "churn_probability", bins: int = HIST_BINS) -> DataFrame:
@@ -102,20 +109,23 @@ def score_histogram(df: DataFrame, score: str = "churn_probability", bins: int =
 
 
 def regression_metrics(df: DataFrame, pairs) -> DataFrame:
-    """mse, mae, r2 per target (``pairs`` = [(target, true_col, pred_col)]) and the uniform average."""
-    parts = []
+    """mse, mae, r2 per target (``pairs`` = [(target, true_col, pred_col)]) and the uniform average.
+
+    One aggregate over the input; r2 is NULL for a target that does not vary.
+    """
+    per = []
     for name, yt, yp in pairs:
-        sub = df.where(F.col(yt).isNotNull() & F.col(yp).isNotNull())
-        err = F.col(yt) - F.col(yp)
-        parts.append(sub.agg(
-            F.lit(name).alias("target"), F.avg(err * err).alias("mse"), F.avg(F.abs(err)).alias("mae"),
-            (1 - F.sum(err * err) / (F.var_pop(yt) * F.count(F.lit(1)))).alias("r2")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    overall = out.agg(F.lit("overall").alias("target"), F.avg("mse").alias("mse"), F.avg("mae").alias("mae"),
-                      F.avg("r2").alias("r2"))
-    return out.unionByName(overall)
+        known = F.col(yt).isNotNull() & F.col(yp).isNotNull()
+        y, err = F.when(known, F.col(yt)), F.when(known, F.col(yt) - F.col(yp))
+        per.append(F.struct(F.lit(name).alias("target"), F.avg(err * err).alias("mse"), F.avg(F.abs(err)).alias("mae"),
+                            (1 - F.try_divide(F.sum(err * err), F.var_pop(y) * F.count(y))).alias("r2")))
+    rows = df.agg(F.array(*per).alias("_m"))
+
+    def mean(field: str):
+        known = F.filter("_m", lambda m: m[field].isNotNull())
+        return F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, m: a + m[field]), F.size(known))
+    overall = F.struct(F.lit("overall").alias("target"), *[mean(f).alias(f) for f in ("mse", "mae", "r2")])
+    return rows.select(F.explode(F.concat("_m", F.array(overall))).alias("_m")).select("_m.*")
 
 
 def anova_f(df: DataFrame, features, label: str = "churn") -> DataFrame:

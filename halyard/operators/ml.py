@@ -80,16 +80,11 @@ def label_encode(df: DataFrame, cols=None, model=None):
 
 
 def unknown_categories(fitted: DataFrame, new: DataFrame, cols) -> DataFrame:
-    """(column, value) pairs present in ``new`` but not in ``fitted``."""
-    parts = []
-    for c in cols:
-        seen = _as_label_text(fitted.select(c), [c]).distinct()
-        now = _as_label_text(new.select(c), [c]).distinct()
-        parts.append(now.join(seen, c, "left_anti").select(F.lit(c).alias("column"), F.col(c).alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(column, value) pairs present in ``new`` but not in ``fitted``: one pass over each, values as rows."""
+    def values(df: DataFrame) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("0")).alias("value")) for c in cols])
+        return df.select(F.explode(pairs).alias("p")).select("p.column", "p.value").distinct()
+    return values(new).join(values(fitted), ["column", "value"], "left_anti")
 
 
 def standard_scale(df: DataFrame, cols=None, stats: DataFrame | None = None):
@@ -118,7 +113,8 @@ def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY, seed: in
     * rest) validation.  The per-class rank uses the skew-safe prefix
     operator: a class holding most rows is still spread over many tasks.
     """
-    h = ((F.col(key) * F.lit(2654435761) + F.lit(seed)) % F.lit(4294967296)).alias("_h")
+    # the key modulo 2^31 first: the product then stays within a long for any key
+    h = (F.pmod(F.col(key), F.lit(2147483648)) * F.lit(2654435761) + F.lit(seed)) % F.lit(4294967296)
     base = df.withColumn("_h", h)
     ranked = running_totals(base, [label], [F.col("_h").asc(), F.col(key).asc()], rank_col="_rk")
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
@@ -210,23 +206,39 @@ def best_model_argmax(leaderboard: DataFrame, order=None) -> DataFrame:
     return leaderboard.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def param_grid(estimator, grid: dict, limit_points: int | None = None):
+def param_grid(estimator, grid: dict, n_rows: int):
+    """Every point of ``grid``; C becomes regParam = 1 / (C * n)."""
     b = ParamGridBuilder()
     for pname, values in grid.items():
         if pname == "C":
-            continue
-        b = b.addGrid(estimator.getParam(pname), values)
-    maps = b.build()
-    return maps[:limit_points] if limit_points else maps
+            b = b.addGrid(estimator.getParam("regParam"), [1.0 / (c * n_rows) for c in values])
+        else:
+            b = b.addGrid(estimator.getParam(pname), values)
+    return b.build()
+
 
+GRIDS = {"random_forest": RF_GRID, "gradient_boosting": GBT_GRID, "logistic_regression": LR_GRID}
 
-def tune_best(estimator, train: DataFrame, grid: dict, folds: int = CV_FOLDS, limit_points: int | None = None,
-              parallelism: int = 4):
-    """k-fold grid search scored by AUC; returns the fitted CrossValidatorModel."""
+
+def tune_best(name: str, train: DataFrame, tune_rows: int | None = None, folds: int = CV_FOLDS, parallelism: int = 4,
+              points: int | None = None):
+    """k-fold search over the grid of model ``name``, scored by AUC; returns the CrossValidatorModel.
+
+    The whole grid unless ``points`` says how many of its first points.  ``tune_rows`` bounds the labelled rows that are searched on (chosen by a hash of the key; None: all).
+    """
+    n = train.count()
+    if tune_rows and n > tune_rows:
+        point = F.pmod(F.xxhash64(KEY, F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
+        train = train.where(point < tune_rows / n)
+    train = train.select(KEY, LABEL, "features").persist()
+    estimator = classifiers(min(n, tune_rows or n))[name]
     ev = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=param_grid(estimator, grid, limit_points),
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=param_grid(estimator, GRIDS[name], min(n, tune_rows or n))[:points],
                         evaluator=ev, numFolds=folds, seed=SEED, parallelism=parallelism)
-    return cv.fit(train)
+    try:
+        return cv.fit(train)
+    finally:
+        train.unpersist()
 
 
 def evaluate_holdout(model, test: DataFrame) -> dict[str, DataFrame]:
@@ -251,11 +263,6 @@ def score_customers(feature_model: PipelineModel, model, customers: DataFrame) -
     return churn_decision(pred.select(KEY, "churn_probability"))
 
 
-def batch_summary(scored: DataFrame) -> DataFrame:
-    return scored.agg(F.count(F.lit(1)).alias("total_customers"),
-                      F.count_if(F.col("risk_level") == "High").alias("high_risk_count"))
-
-
 def save_model(model, path: str, metrics: dict | None = None, version: str = "1.0.0") -> str:
     """Persist the fitted pipeline; metrics and version go to a JSON side file next to it."""
     model.write().overwrite().save(f"{path}/model")
@@ -285,6 +292,7 @@ def retrain_gate(current: DataFrame, candidate: DataFrame, metric: str = "valida
 # ---- workload forecasting ----------------------------------------------------------------
 
 WORKLOAD_TARGETS = ["cpu_usage", "memory_usage", "job_queue_length"]
+FORECAST_TARGETS = [*WORKLOAD_TARGETS, "gpu_usage"]
 
 
 def regressors() -> dict:
@@ -337,47 +345,56 @@ def train_workload_model(features: DataFrame, ts: str, model_type: str = "random
     return WorkloadModel(scaler, models, model_type, cols, m_tr.unionByName(m_te))
 
 
-def auto_select_regressor(features: DataFrame, ts: str, target: str = "cpu_usage", folds: int = CV_FOLDS,
+def auto_select_regressor(features: DataFrame, ts: str, targets=WORKLOAD_TARGETS, folds: int = CV_FOLDS,
                           names=None) -> DataFrame:
-    """Mean k-fold R2 per regressor with contiguous time folds (fold = ntile over time).
+    """Mean k-fold R2 over all targets per regressor, with contiguous time folds; the best one first.
 
     Like the reference, gradient boosting takes no part in auto-selection
     (there it fails on the multi-target fit and is skipped).
     """
-    cols = workload_feature_columns(features, ts)
+    cols = workload_feature_columns(features, ts, targets)
     train = features.where(F.col("split") == "train")
     n = train.count()
     idx = running_totals(train, [], [F.col(ts).asc()], rank_col="_rk")
     folded = idx.withColumn("fold", F.floor((F.col("_rk") - 1) * folds / F.lit(n)).cast("int")).drop("_rk")
     prepared = workload_assembler(cols).fit(folded).transform(folded)
-    ev = RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="r2")
     rows = []
     for name in names or AUTO_SELECT_CANDIDATES:
-        est = regressors()[name].copy().setLabelCol(target).setFeaturesCol("features")
-        cv = CrossValidator(estimator=est, estimatorParamMaps=[{}], evaluator=ev, foldCol="fold", numFolds=folds)
-        try:
-            score = float(cv.fit(prepared).avgMetrics[0])
-        except Exception:  # noqa: BLE001 - a failing model is skipped, as in the reference
-            continue
-        rows.append((name, score))
-    spark = features.sparkSession
-    return spark.createDataFrame(rows, "model string, cv_r2 double")
-
-
-def forecast_workload(wm: WorkloadModel, features: DataFrame, ts: str, horizon: int = 24) -> DataFrame:
-    """Flat multi-step forecast from the latest complete feature row (one row per step)."""
+        scores = []
+        for target in targets:
+            ev = RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="r2")
+            est = regressors()[name].copy().setLabelCol(target).setFeaturesCol("features")
+            cv = CrossValidator(estimator=est, estimatorParamMaps=[{}], evaluator=ev, foldCol="fold", numFolds=folds)
+            scores.append(float(cv.fit(prepared).avgMetrics[0]))
+        rows.append((name, sum(scores) / len(scores), len(scores)))
+    rows.sort(key=lambda r: -r[1])
+    return features.sparkSession.createDataFrame(rows, "model string, cv_r2 double, n_targets int")
+
+
+def forecast_workload(wm: WorkloadModel, features: DataFrame, ts: str, horizon: int = 24, confidence: float = 0.95,
+                      version: str = "1.0.0") -> DataFrame:
+    """Flat multi-step forecast from the latest complete feature row (one row per step).
+
+    ``lower`` and ``upper`` bound cpu use: the forecast and the normal quantile of ``confidence`` times the
+    root of the held-out mean squared error, inside 0 to 1.  ``wm`` needs FORECAST_TARGETS.
+    """
+    from statistics import NormalDist
+
     last = features.agg(F.max(ts).alias("_last"))
     row = features.join(F.broadcast(last), F.col(ts) == F.col("_last")).drop("_last")
     scored = wm.scaler.transform(row)
-    for t in WORKLOAD_TARGETS:
+    for t in FORECAST_TARGETS:
         scored = wm.models[t].transform(scored)
-    steps = scored.select(F.col(ts).alias("_last"), *[F.col(f"pred_{t}") for t in WORKLOAD_TARGETS]) \
+    error = wm.metrics.where("split = 'test' and target = 'cpu_usage'").select(F.sqrt("mse").alias("_rmse"))  # one row
+    steps = scored.select(F.col(ts).alias("_last"), *[F.col(f"pred_{t}") for t in FORECAST_TARGETS]).crossJoin(F.broadcast(error)) \
         .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    cpu, reach = clamp_unit(F.col("pred_cpu_usage")), F.col("_rmse") * NormalDist().inv_cdf((1 + confidence) / 2)
     return steps.select(
-        "step", F.timestamp_add("HOUR", F.col("step"), F.col("_last")).alias("timestamp"),
-        clamp_unit(F.col("pred_cpu_usage")).alias("cpu_usage"),
-        clamp_unit(F.col("pred_memory_usage")).alias("memory_usage"),
-        clamp_count(F.col("pred_job_queue_length")).alias("job_queue_length"))
+        "step", F.timestamp_add("HOUR", F.col("step"), F.col("_last")).alias("timestamp"), cpu.alias("cpu_usage"),
+        clamp_unit(F.col("pred_memory_usage")).alias("memory_usage"), clamp_unit(F.col("pred_gpu_usage")).alias("gpu_usage"),
+        clamp_count(F.col("pred_job_queue_length")).alias("job_queue_length"),
+        F.greatest(F.lit(0.0), cpu - reach).alias("lower"), F.least(F.lit(1.0), cpu + reach).alias("upper"),
+        F.lit(f"{wm.model_type}-{version}").alias("model_version"))
 
 
 def model_info(wm: WorkloadModel, n_train: DataFrame) -> DataFrame:

@@ -44,8 +44,9 @@ def with_row_index(df: DataFrame, ts: str, series_col: str | None = None, chunk_
     """
     keys = _keys(series_col)
     chunk = F.date_trunc(chunk_unit, F.col(ts))
+    ties = [c for c in df.columns if c != ts and c not in keys]  # rows with equal times keep one order in every run
     base = df.withColumn("_chunk", chunk)
-    ranked = base.withColumn("_rk", F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(ts)))
+    ranked = base.withColumn("_rk", F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(ts, *ties)))
     counts = base.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cn"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_chunk", F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_off"))
@@ -164,7 +165,7 @@ def chrono_split(df: DataFrame, ts: str = "timestamp", series_col: str | None =
     indexed = with_row_index(df, ts, series_col)
     n = indexed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else \
         indexed.agg(F.count(F.lit(1)).alias("_n"))
-    joined = indexed.join(F.broadcast(n), keys) if keys else indexed.crossJoin(F.broadcast(n))
+    joined = indexed.join(n, keys) if keys else indexed.crossJoin(F.broadcast(n))
     n_test = F.ceil(F.col("_n") * F.lit(test_size))
     return (joined.withColumn("split", F.when(F.col(IDX) < F.col("_n") - n_test, "train").otherwise("test"))
             .drop("_n", IDX))

@@ -111,7 +111,7 @@ def workflow_churn(spark: SparkSession, sf: str):
 
 def _forecast(spark, sf, model_type):
     feats = QM.workload_features(spark, sf)
-    wm = ML.train_workload_model(feats, "timestamp_h", model_type)
+    wm = ML.train_workload_model(feats, "timestamp_h", model_type, ML.FORECAST_TARGETS)
     return ML.forecast_workload(wm, feats, "timestamp_h", 24)
 
 
