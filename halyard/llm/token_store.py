@@ -18,6 +18,7 @@ other in the order of their ids.  A shard is a range of doc_ids, written by one
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,7 +91,8 @@ class WordEncoder:
         return revive, (WordEncoder, self.spec)
 
     def _word(self, word: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(byte_spelling(word, self.letters))], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(byte_spelling(word, self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each whole text."""

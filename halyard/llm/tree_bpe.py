@@ -19,6 +19,7 @@ the tree.  Tokens in the text that look like special ones are ordinary text.
 from __future__ import annotations
 
 import base64
+import struct
 
 import numpy as np
 import pandas as pd
@@ -102,7 +103,7 @@ class TreeBpe:
         b = piece.encode()
         whole = self.ranks.get(b)
         ids = self.tree(b) if whole is None else [whole]
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _matches(self, text: str) -> bytes:
         return b"".join(map(self._pieces.__getitem__, self.match.findall(text)))
