@@ -1,12 +1,17 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
 Texts are compared as lower-cased letters and digits, every run of other characters one blank.  A benchmark
-item of at most 200 such characters is one pattern; a longer one is cut into patterns of 200, one every 100
-and one at its end.  A pattern of m characters may occur with e = 10 % of m edits.  By the q-gram lemma such
-an occurrence shares at least T = m + 1 - q (e + 1) of the pattern's q-grams (q = 8), all on diagonals (place
-in the text minus place in the pattern) no more than e apart.  Shared q-grams are counted in diagonal bands
-twice that wide that overlap by half, so one band has them all; bands with T or more are aligned, inside the
-region that the band spans, by a bit-parallel semi-global alignment, and occurrences of at most e edits stay.
+item of at most 200 such characters is looked for whole; of a longer one every 200 consecutive characters are,
+from whatever offset.  A window of m characters may occur with e = 10 % of m edits.  By the q-gram lemma such
+an occurrence shares at least T = m + 1 - q (e + 1) of the window's q-grams (q = 8), all on diagonals (place
+in the text minus place in the item) no more than e apart.  Shared q-grams are counted in diagonal bands
+twice that wide that overlap by half, so one band has them all; where T or more places of a band fit one
+window, the windows that hold them are aligned, inside the region that they and the band span, by a
+bit-parallel semi-global alignment, and occurrences of at most e edits stay.  The next window's distance
+differs by at most 1, so windows that cannot reach the budget are skipped without an alignment.
+
+Items are indexed in patterns: a window every 200 characters with the up to 199 characters after it, so each
+window lies in one pattern and a q-gram is indexed at most twice.
 
 Where T would fall below 1 the budget is lowered, down to exact occurrence.  Items of fewer than 8 characters
 never match.  Null texts and items match nothing; an empty benchmark matches nothing.  Equal items are all
@@ -29,8 +34,7 @@ from halyard.session import cut_lineage
 
 Q = 8                 # characters of a q-gram; qgrams() is written for it
 EDITS = 0.10          # edit budget as a share of the pattern
-LONGEST = 200         # characters of a pattern
-STEP = 100
+LONGEST = 200         # characters of a window
 BLOCK = 20_000        # patterns of a block: bounds what is broadcast at once (about 100 MB)
 PIECE = 1 << 20       # characters of a text scanned at once
 TABLE_BITS = 22
@@ -86,13 +90,14 @@ def budget(m: int) -> int:
 class Block:
     """The patterns of some benchmark items and the index of their q-grams."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]]):
-        self.item = [i for i, _ in items]
-        self.text = [_string(a) for _, a in items]
-        size = np.array([len(a) for _, a in items], np.int64)
-        self.edits = np.array([budget(m) for m in size], np.int64)
-        self.least = size + 1 - Q * (self.edits + 1)
-        grams = [qgrams(a) for _, a in items]
+    def __init__(self, items: list[tuple[int, np.ndarray, np.ndarray]]):
+        whole = [np.concatenate([a, after]) for _, a, after in items]
+        self.item = [i for i, _, _ in items]
+        self.text = [_string(a) for a in whole]
+        self.window = np.array([len(a) for _, a, _ in items], np.int64)
+        self.edits = np.array([budget(m) for m in self.window], np.int64)
+        self.least = self.window + 1 - Q * (self.edits + 1)
+        grams = [qgrams(a) for a in whole]
         gram = np.concatenate([*grams, np.empty(0, np.uint64)])
         order = np.argsort(gram, kind="stable")
         self.gram, self.first, self.count = np.unique(gram[order], return_index=True, return_counts=True)
@@ -101,8 +106,9 @@ class Block:
         self.seen = np.zeros(1 << TABLE_BITS, bool)
         self.seen[self.gram >> np.uint64(64 - TABLE_BITS)] = True
 
-    def regions(self, a: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(pattern, from, to): parts of ``a`` whose diagonal band reaches the pattern's threshold."""
+    def regions(self, a: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """(pattern, first, last, from, to): windows of the pattern, by where they start, that share their threshold
+        of q-grams with one diagonal band, and the part of ``a`` that they and the band span."""
         h = qgrams(a)
         at = np.flatnonzero(self.seen[h >> np.uint64(64 - TABLE_BITS)])
         entry = np.minimum(np.searchsorted(self.gram, h[at]), len(self.gram) - 1)
@@ -119,12 +125,28 @@ class Block:
         key = np.concatenate([pattern, pattern]) * (1 << 32) + np.concatenate([band, band - 1]) + (1 << 31)
         place = np.tile(self.place[which], 2)
         keys, count = np.unique(key, return_counts=True)
-        for k in keys[count >= self.least[keys >> 32]].tolist():
-            p, b = k >> 32, (k & ((1 << 32) - 1)) - (1 << 31)
-            if len(np.unique(place[key == k])) < self.least[p]:  # a q-gram of the pattern counts once
-                continue
-            e, m = int(self.edits[p]), len(self.text[p])
-            yield p, max(0, b * (e + 1) - e), min(len(a), (b + 2) * (e + 1) + m + e)
+        dense = np.isin(key, keys[count >= self.least[keys >> 32]])
+        key, place = key[dense], place[dense]
+        order = np.lexsort((place, key))
+        key, place = key[order], place[order]
+        new = np.ones(len(key), bool)  # a q-gram of the pattern counts once
+        new[1:] = (key[1:] != key[:-1]) | (place[1:] != place[:-1])
+        key, place = key[new], place[new]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else []
+        for i, j in zip(starts, [*starts[1:], len(key)]):
+            p, b = int(key[i]) >> 32, (int(key[i]) & ((1 << 32) - 1)) - (1 << 31)
+            e, m, least = int(self.edits[p]), int(self.window[p]), int(self.least[p])
+            first, last = place[i + least - 1:j] - (m - Q), place[i:max(i, j - least + 1)]  # windows that hold ``least`` in a row
+            first, last = np.maximum(first, 0), np.minimum(last, len(self.text[p]) - m)
+            fits = first <= last
+            first, last = first[fits].tolist(), last[fits].tolist()
+            while first:  # windows that overlap or touch are one run
+                n = 1
+                while n < len(first) and first[n] <= last[n - 1] + 1:
+                    n += 1
+                u, v = first[0], last[n - 1]
+                yield p, u, v, max(0, b * (e + 1) + u - e), min(len(a), (b + 2) * (e + 1) + v + m + e)
+                first, last = first[n:], last[n:]
 
 
 def best_end(pattern: str, region: str) -> tuple[int, int]:
@@ -152,8 +174,39 @@ def best_end(pattern: str, region: str) -> tuple[int, int]:
     return best, end
 
 
+def occurrences(block: Block, p: int, first: int, last: int, region: str) -> tuple[int, int, int] | None:
+    """(fewest edits, from, to) in the region of the pattern's windows that start at first to last, or None.
+
+    A window's distance is at most 1 from that of the window before: a distance of d rules out the next
+    d - e - 1 windows for a budget of e.
+    """
+    pattern, m, e = block.text[p], int(block.window[p]), int(block.edits[p])
+    known: dict[int, tuple[int, int]] = {}
+
+    def at(s: int) -> tuple[int, int]:
+        if s not in known:
+            known[s] = best_end(pattern[s:s + m], region)
+        return known[s]
+    while first <= last and at(first)[0] > e:
+        first += at(first)[0] - e
+    if first > last:
+        return None
+    while at(last)[0] > e:
+        last -= at(last)[0] - e
+    best, s = at(first)[0], first
+    while best and s <= last:
+        best = min(best, at(s)[0])
+        s += at(s)[0] - best + 1
+    low, high = len(region), 0
+    for s in {first, last}:
+        end = at(s)[1]
+        _, back = best_end(pattern[s:s + m][::-1], region[:end][::-1])
+        low, high = min(low, end - max(back, 1)), max(high, end)
+    return best, low, high
+
+
 def scan(text: str | None, block: Block) -> list[tuple[int, int, int, int]]:
-    """Per item found: (item_id, fewest edits of a pattern, first and last character of all its occurrences)."""
+    """Per item found: (item_id, fewest edits of a window, first and last character of all its occurrences)."""
     if not text or not len(block.gram):
         return []
     whole, at = normal(text)
@@ -161,31 +214,31 @@ def scan(text: str | None, block: Block) -> list[tuple[int, int, int, int]]:
     overlap = 4 * LONGEST
     for start in range(0, max(1, len(whole)), PIECE):
         a = whole[start:start + PIECE + overlap]
-        done: dict[int, int] = {}  # pattern -> end of the last occurrence
-        for p, low, high in block.regions(a):
-            if done.get(p, -1) >= high - len(block.text[p]) // 2:
+        done: dict[tuple[int, int, int], int] = {}  # pattern and windows -> end of the last occurrence
+        for p, first, last, low, high in block.regions(a):
+            if done.get((p, first, last), -1) >= high - int(block.window[p]) // 2:
                 continue
-            region = _string(a[low:high])
-            edits, end = best_end(block.text[p], region)
-            if edits > block.edits[p]:
+            got = occurrences(block, p, first, last, _string(a[low:high]))
+            if got is None:
                 continue
-            _, back = best_end(block.text[p][::-1], region[:end][::-1])
-            done[p] = low + end
-            first, last = int(at[start + low + end - max(back, 1)]), int(at[start + low + end - 1])
+            edits, begin, end = got
+            done[p, first, last] = low + end
+            begin, end = int(at[start + low + begin]), int(at[start + low + end - 1])
             item = block.item[p]
-            was = found.get(item, (edits, first, last))
-            found[item] = (min(was[0], edits), min(was[1], first), max(was[2], last))
+            was = found.get(item, (edits, begin, end))
+            found[item] = (min(was[0], edits), min(was[1], begin), max(was[2], end))
     return [(item, *v) for item, v in sorted(found.items())]
 
 
-def patterns(item_id: int, text: str | None) -> Iterator[tuple[int, np.ndarray]]:
+def patterns(item_id: int, text: str | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(item_id, window, what follows it up to the last character before the next pattern's window ends)."""
     a = normal(text)[0] if text else np.empty(0, np.uint32)
     a = a[1:] if len(a) and a[0] == 32 else a
     a = a[:-1] if len(a) and a[-1] == 32 else a
     if len(a) < Q:
         return
-    for at in sorted({*range(0, max(1, len(a) - LONGEST), STEP), max(0, len(a) - LONGEST)}):
-        yield item_id, a[at:at + LONGEST]
+    for at in range(0, max(1, len(a) - LONGEST + 1), LONGEST):
+        yield item_id, a[at:at + LONGEST], a[at + LONGEST:at + 2 * LONGEST - 1]
 
 
 def blocks(benchmark: DataFrame) -> Iterator[Block]:
@@ -213,7 +266,7 @@ def hits(spark: SparkSession, text: Column, block: Block) -> Column:
 
 
 def find(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, edits, first, last), one row for each document and item of which a pattern occurs.
+    """(doc_id, item_id, edits, first, last), one row for each document and item of which a window occurs.
 
     One pass over the documents for each block of the benchmark.
     """

@@ -32,6 +32,23 @@ def test_no_occurrence_within_the_budget_is_missed():
         assert i in {h[0] for h in D.scan(doc, block)}
 
 
+def test_excerpts_of_long_items_are_found_at_any_offset():
+    rng = random.Random(5)
+    item = text_of(rng, 110)
+    plain = D._string(D.normal(item)[0])
+    block = D.Block(list(D.patterns(9, item)))
+    for at in range(0, len(plain) - 200 + 1, 3):  # before, offsets of about 25 to 75 after a hundred were missed
+        for edits in (0, 20)[:1 if at % 5 else 2]:
+            part = list(plain[at:at + 200])
+            for i in rng.sample(range(200), edits):
+                part[i] = "z"
+            doc = text_of(rng, 40) + "".join(part) + text_of(rng, 40)
+            assert [h[0] for h in D.scan(doc, block)] == [9], (at, edits)
+    doc = text_of(rng, 40) + " " + item + " " + text_of(rng, 40)
+    (_, edits, first, last), = D.scan(doc, block)
+    assert edits == 0 and doc[first:last + 1] == item
+
+
 def test_strangers_stay():
     rng = random.Random(4)
     block = D.Block([p for i in range(40) for p in D.patterns(i, text_of(rng, 40))])
