@@ -220,11 +220,10 @@ def param_grid(estimator, grid: dict, n_rows: int):
 GRIDS = {"random_forest": RF_GRID, "gradient_boosting": GBT_GRID, "logistic_regression": LR_GRID}
 
 
-def tune_best(name: str, train: DataFrame, tune_rows: int | None = None, folds: int = CV_FOLDS, parallelism: int = 4,
-              points: int | None = None):
-    """k-fold search over the grid of model ``name``, scored by AUC; returns the CrossValidatorModel.
+def tune_best(name: str, train: DataFrame, tune_rows: int | None = None, folds: int = CV_FOLDS, parallelism: int = 4):
+    """k-fold search over the whole grid of model ``name``, scored by AUC; returns the CrossValidatorModel.
 
-    The whole grid unless ``points`` says how many of its first points.  ``tune_rows`` bounds the labelled rows that are searched on (chosen by a hash of the key; None: all).
+    ``tune_rows`` bounds the labelled rows that are searched on (chosen by a hash of the key; None: all).
     """
     n = train.count()
     if tune_rows and n > tune_rows:
@@ -233,7 +232,7 @@ def tune_best(name: str, train: DataFrame, tune_rows: int | None = None, folds:
     train = train.select(KEY, LABEL, "features").persist()
     estimator = classifiers(min(n, tune_rows or n))[name]
     ev = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=param_grid(estimator, GRIDS[name], min(n, tune_rows or n))[:points],
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=param_grid(estimator, GRIDS[name], min(n, tune_rows or n)),
                         evaluator=ev, numFolds=folds, seed=SEED, parallelism=parallelism)
     try:
         return cv.fit(train)
@@ -241,6 +240,22 @@ def tune_best(name: str, train: DataFrame, tune_rows: int | None = None, folds:
         train.unpersist()
 
 
+def best_params(cv) -> dict:
+    """The grid point of the best mean score, the first of equals."""
+    return cv.getEstimatorParamMaps()[max(range(len(cv.avgMetrics)), key=lambda i: cv.avgMetrics[i])]
+
+
+def fit_tuned(name: str, cv, train: DataFrame, tune_rows: int | None = None):
+    """Model ``name`` with the best grid point of ``cv``, fitted on all of ``train``; C keeps its meaning."""
+    n = train.count()
+    estimator = classifiers(n)[name]
+    for param, value in best_params(cv).items():
+        estimator.set(estimator.getParam(param.name), value)
+    if name == "logistic_regression":
+        estimator.setRegParam(estimator.getRegParam() * min(n, tune_rows or n) / n)
+    return estimator.fit(train)
+
+
 def evaluate_holdout(model, test: DataFrame) -> dict[str, DataFrame]:
     pred = positive_probability(model.transform(test)).withColumn("prediction", F.col("prediction").cast("int"))
     return {"auc": M.auc_score(pred, LABEL, "churn_probability"),

@@ -18,9 +18,8 @@ ENC_COLS = ["gender", "contract_type", "payment_method", "internet_service", "la
             "peak_usage_hours", "usage_trend", "age_group"]
 UNKNOWN_COLS = ["gender", "contract_type", "payment_method", "internet_service", "last_transaction_date",
                 "peak_usage_hours"]
-# ``tune_best`` searches whole grids by default; the registered query takes the first points of the forest's
-# (a whole grid is 180 to 405 fits, hours on one machine).
-TUNE_POINTS = 2
+# Labelled rows on which the registered queries search the winner's whole grid (60 to 405 fits).
+TUNE_ROWS = 2000
 
 _DERIVED_SQL = MERGED_SQL + """
 , qq AS (SELECT quantile_cont(avg_monthly_usage_gb, 0.33) AS q_33, quantile_cont(avg_monthly_usage_gb, 0.67) AS q_67 FROM merged),
@@ -130,12 +129,22 @@ def q_best_model_argmax(spark, sf):
     return round_doubles(ML.best_model_argmax(ML.model_leaderboard(spark, feats).leaderboard))
 
 
+def _winner(leaderboard) -> str:
+    return ML.best_model_argmax(leaderboard).first()["model"]
+
+
+def _tune(spark, feats, name):
+    """Search of the whole grid of model ``name``: (CrossValidatorModel, one row a grid point)."""
+    cv = ML.tune_best(name, feats.where("split = 'train'"), tune_rows=TUNE_ROWS)
+    rows = [(name, str({p.name: v for p, v in pm.items()}), float(m)) for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
+    return cv, spark.createDataFrame(rows, "model string, params string, cv_auc double")
+
+
 @register("tune_best")
 def q_tune_best(spark, sf):
+    """The leaderboard winner's whole grid."""
     _, feats = _features(spark, sf)
-    cv = ML.tune_best("random_forest", feats.where("split = 'train'"), points=TUNE_POINTS)
-    rows = [(str({p.name: v for p, v in pm.items()}), float(m)) for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
-    return spark.createDataFrame(rows, "params string, cv_auc double")
+    return _tune(spark, feats, _winner(ML.model_leaderboard(spark, feats).leaderboard))[1].drop("model")
 
 
 def _best_rf(spark, sf):

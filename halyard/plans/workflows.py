@@ -17,7 +17,7 @@ from halyard.operators import scheduling as SC
 from halyard.plans import q_customer as QC
 from halyard.plans import q_ml as QM
 from halyard.plans.registry import R, register, round_doubles
-from halyard.session import scratch_path
+from halyard.session import cut_lineage, scratch_path
 from halyard.sources import fixtures as X
 from halyard.sources.ingest import ingest_json, reuse_or_rebuild, write_processed
 
@@ -100,12 +100,30 @@ def _step(name, fn):
 
 
 def workflow_churn(spark: SparkSession, sf: str):
-    """data -> features -> train -> evaluate; returns (status table, outputs)."""
-    outs, rows = {}, []
-    r, outs["data"] = _step("data", lambda: QC.merged(spark, sf))
-    rows.append(r)
-    r, outs["evaluation"] = _step("train_evaluate", lambda: QM.q_evaluate_holdout(spark, sf))
-    rows.append(r)
+    """data -> features -> train -> tune -> evaluate; returns (status table, outputs).
+
+    The leaderboard winner is tuned over its whole grid, and the tuned model, fitted on all training rows, is evaluated.
+    """
+    outs, rows, held = {}, [], {}
+
+    def tune():
+        held["name"] = QM._winner(outs["leaderboard"])
+        held["cv"], points = QM._tune(spark, outs["features"], held["name"])
+        return points
+
+    def evaluate():
+        feats = outs["features"]
+        model = ML.fit_tuned(held["name"], held["cv"], feats.where("split = 'train'"), QM.TUNE_ROWS)
+        res = ML.evaluate_holdout(model, feats.where("split = 'test'"))
+        return round_doubles(res["report"].crossJoin(res["auc"].select("auc")))
+    for name, out, fn in [
+            ("data", "data", lambda: QC.merged(spark, sf)),
+            ("features", "features", lambda: QM._features(spark, sf)[1]),
+            ("train", "leaderboard", lambda: cut_lineage(ML.model_leaderboard(spark, outs["features"]).leaderboard)),
+            ("tune", "tuning", tune),
+            ("evaluate", "evaluation", evaluate)]:
+        r, outs[out] = _step(name, fn)
+        rows.append(r)
     return spark.createDataFrame(rows, STATUS_SCHEMA), outs
 
 
