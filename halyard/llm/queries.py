@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from halyard.llm import decontaminate, html_density, language_id, license_scan, order_minhash, quality_rules, token_count, token_store, toxicity, tree_bpe
+from halyard.llm import (best_two_fit, decontaminate, html_density, language_id, license_scan, merkle, order_minhash, quality_rules,
+                         token_count, token_store, toxicity, tree_bpe, turn_repair)
 from halyard.llm.common import held_out
 from halyard.session import scratch_path
 from halyard.sources.tables import read_table
@@ -113,3 +117,74 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = docs.select("doc_id", tree_bpe.encode(spark, F.col("text"), ranks, public_tokenizers.PATTERN).alias("c"))
     return coded.select("doc_id", (F.octet_length("c.ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("c.ids", 256).alias("ids_sha256"), F.sha2("c.decoded", 256).alias("decoded_sha256"))
+
+
+def damaged(turns: DataFrame) -> tuple[DataFrame, Column]:
+    """The turns after the contract's damage, and which of them are only there because their row was dropped."""
+    part = F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.coalesce(F.col("turn").cast("string"), F.lit(" "))
+    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"),
+                        (F.crc32(F.concat(part[0], F.lit(":"), part[1])) % 20).alias("harm"))
+    text = F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("harm") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.when(F.col("harm") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), "harm", copies), F.col("harm") == 0
+
+
+@query("op11_turn_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, dropped = damaged(read_table(spark, sf_dir, "conversations"))
+    fixed = turn_repair.repair(rows, gone=dropped)
+
+    def hashed(turns):
+        head, state, first = None, None, True
+        for conv_id, _, role, text, *own in turns:
+            if own[-1] is not None:
+                if head:
+                    yield *head, state.hexdigest()
+                head, state, first = (conv_id, *own), hashlib.sha256(), True
+            else:
+                state.update(("" if first else "\n").encode() + f"{role}:{text}".encode())
+                first = False
+        if head:
+            yield *head, state.hexdigest()
+    own = [fixed.schema[c] for c in ("conv_id", *turn_repair.COUNTS, "audit")]
+    return turn_repair.streamed(fixed.select("conv_id", "place", "role", "text", *turn_repair.COUNTS, "audit"), hashed,
+                                T.StructType([*own, T.StructField("repaired_sha256", T.StringType())]))
+
+
+@query("op12_best_two_fit")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    capacity, width = 1024, best_two_fit.id_width(spec)
+    pieces = best_two_fit.encoded_pieces(spark, documents(spark, sf_dir).select("doc_id", "text"), spec, public_tokenizers.PATTERN, 2, capacity)
+
+    @F.pandas_udf("long")
+    def crc32(ids: pd.Series) -> pd.Series:
+        return ids.map(lambda b: zlib.crc32(np.frombuffer(b, f"<u{width}").astype("<u4"))).astype("int64")
+    rows = pieces.select("task", "nth", "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), crc32("ids").alias("ids_crc32"))
+    return best_two_fit.placed(spark, rows, capacity)
+
+
+@query("op13_merkle_manifest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    fields = ("doc_id", "source", "lang", "n_chars")
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    text = F.col("text")
+    leaves = docs.select(F.col("source").alias("group"), F.col("doc_id").alias("key"), merkle.digest(*map(F.col, fields), text).alias("leaf"),
+                         F.when(tampered, merkle.digest(*map(F.col, fields), F.translate(text, capitals, capitals.lower()))).alias("altered"))
+
+    @F.pandas_udf("proof_sha256 string, folded binary")
+    def folded(leaf: pd.Series, proof: pd.Series, position: pd.Series, size: pd.Series, top_position: pd.Series, top_size: pd.Series) -> pd.DataFrame:
+        rows = [(hashlib.sha256(p.hex().encode()).hexdigest(), merkle.fold(x, p, (i, n), (j, m)))
+                for x, p, i, n, j, m in zip(leaf, proof, position, size, top_position, top_size)]
+        return pd.DataFrame(rows, columns=["proof_sha256", "folded"])
+    out = merkle.proved(leaves)
+    out = out.select("*", folded(F.coalesce("altered", "leaf"), "proof", "position", "size", "top_position", "top_size").alias("f"))
+
+    def text_of(c: str):
+        return F.lower(F.hex(c))
+    return out.select(F.col("key").alias("doc_id"), text_of("leaf").alias("leaf"), text_of("subroot").alias("subroot"), text_of("root").alias("root"),
+                      "f.proof_sha256", text_of("f.folded").alias("folded_root"), (F.col("f.folded") == F.col("root")).alias("verified"))
