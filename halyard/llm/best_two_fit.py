@@ -18,69 +18,61 @@ doc_ids are packed like others.  Only doc_id and text are read; an empty table g
 from __future__ import annotations
 
 import json
-import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from halyard.llm.common import small_batches
-from halyard.llm.pieces import AGREED, BLANK_IN_RUN, Memory, Parts, byte_letters, byte_spelling, groups, piece_values, revive
+from halyard.llm.pieces import AGREED, byte_letters, revive
 from halyard.session import cut_lineage
 
 PIECES = "task int, nth long, doc_id long, piece int, start long, length int, ids binary"
 
 
+def merge_ranks(spec: str) -> dict[bytes, int] | None:
+    """Ranks by which merging the lowest pair first gives the file's ids, if it is a byte-level BPE in which every merge
+    makes the next id; else None."""
+    model = json.loads(spec)["model"]
+    back = {c: b for b, c in byte_letters().items()}
+    vocabulary = {t: i for t, i in model["vocab"].items() if all(c in back for c in t)}
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    first = len(back)
+    if model.get("type") != "BPE" or any(vocabulary.get(c, first) >= first for c in back) or any(vocabulary.get(a + b) != first + i for i, (a, b) in enumerate(pairs)):
+        return None
+    return {bytes(back[c] for c in t): i for t, i in vocabulary.items() if i < first + len(pairs)}
+
+
 class ByteEncoder:
-    """The library's ids for byte-level vocabularies; parts between blanks are encoded once and remembered.
+    """The library's ids for byte-level vocabularies, by the faster merging of another library where it is proved equal.
 
-    Texts with a special token's string, or with characters that the library and the split pattern may class
-    differently, are encoded by the library as they are.
+    Texts with a special token's string, with characters that the two may class differently or with runs of white space
+    too long for the split pattern are encoded by the vocabulary's own library.
     """
 
     def __init__(self, spec: str, pattern: str):
         self.state = spec, pattern
-        self.library, self.match = Tokenizer.from_str(spec), regex.compile(pattern)
+        self.library, ranks = Tokenizer.from_str(spec), merge_ranks(spec)
         self.specials = [t["content"] for t in json.loads(spec).get("added_tokens", [])]
-        self.letters, self.model = byte_letters(), self.library.model
-        self._pieces = Memory(self._piece)
-        self._after_blank = Memory(lambda part: self._matches(" " + part))
+        self.merger = ranks and tiktoken.Encoding("proved", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def __reduce__(self):
         return revive, (ByteEncoder, *self.state)
 
-    def _piece(self, piece: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(byte_spelling(piece, self.letters))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _matches(self, text: str) -> bytes:
-        return b"".join(map(self._pieces.__getitem__, self.match.findall(text)))
-
-    def encode(self, texts: list) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each whole text."""
-        out: list[list[bytes]] = [[] for _ in texts]
-        plain = []
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if AGREED.search(text) or any(s in text for s in self.specials):
-                out[i].append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-            elif BLANK_IN_RUN.search(text):
-                out[i].append(b"".join([self._pieces[m.group()] for m in self.match.finditer(text)]))
-            else:
-                plain.append((i, text))
-        for numbers, group in groups(plain):
-            parts = Parts(group, blank=True)
-            values = [piece_values(p, " ", self._pieces, self._after_blank) for p in parts.distinct] + [self._matches(p) for p in parts.firsts]
-            for i, ids in zip(numbers, parts.joined(values)):
-                out[i].append(ids)
-        return [b"".join(ids) for ids in out]
+    def encode(self, text: str) -> np.ndarray:
+        """Ids (unsigned 32-bit) of the whole text."""
+        if self.merger and not AGREED.search(text) and not any(s in text for s in self.specials):
+            try:
+                return self.merger.encode_to_numpy(text, disallowed_special=())
+            except ValueError:  # the pattern ran out of stack
+                pass
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def cuts(length: int, capacity: int) -> Iterator[tuple[int, int]]:
@@ -167,15 +159,14 @@ def encoded_pieces(spark: SparkSession, docs: DataFrame, spec: str, pattern: str
     """The pieces of ``docs`` (doc_id, text) with their ids (2 bytes each if the vocabulary allows, else 4), written once."""
     small_batches(spark)
     shared = spark.sparkContext.broadcast(ByteEncoder(spec, pattern))
-    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-    narrow = id_width(spec)
+    tail, narrow = np.array([] if end_id is None else [end_id], np.uint32), id_width(spec)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task, seen = shared.value, TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64).tolist()
         for batch in batches:
             rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
-                ids = np.frombuffer(ids + tail, "<u4").astype(f"<u{narrow}").tobytes()
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = np.concatenate([encoder.encode(text or ""), tail]).astype(f"<u{narrow}").tobytes()
                 for piece, (start, length) in enumerate(cuts(len(ids) // narrow, capacity)):
                     rows.append((task, seen[length], doc_id, piece, start, length, ids[start * narrow:(start + length) * narrow]))
                     seen[length] += 1

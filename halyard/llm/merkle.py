@@ -31,8 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from halyard.session import cut_lineage
 
 FANOUT = 16
-DEPTH = 3                 # levels inside a leaf partition
-CHUNK = FANOUT ** DEPTH   # its leaves
+DEPTH = 3  # levels inside a leaf partition of FANOUT ** DEPTH leaves
 
 
 def digest(*fields: Column) -> Column:
@@ -64,11 +63,9 @@ def coordinates(position: int, size: int) -> Iterator[tuple[int, int]]:
         position, size, level = position // FANOUT, -(-size // FANOUT), level + 1
 
 
-def missing(chunk: int, size: int) -> list[tuple[int, int]]:
+def missing(chunk: int, size: int, depth: int = DEPTH) -> list[tuple[int, int]]:
     """The minimal union of coordinates that the proofs of a leaf partition need from outside: the siblings of its top."""
-    if size <= CHUNK:
-        return []
-    return [(level + DEPTH, i) for level, i in coordinates(chunk, -(-size // CHUNK))]
+    return [(level + depth, i) for level, i in coordinates(chunk, -(-size // FANOUT ** depth))]
 
 
 def fold(leaf: bytes, proof: bytes, *trees: tuple[int, int]) -> bytes:
@@ -122,22 +119,22 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 class Forest:
     """One tree a group over ``leaves``: (group, key, leaf (binary), and columns to carry)."""
 
-    def __init__(self, leaves: DataFrame):
-        self.group_type = leaves.schema["group"].dataType
-        self.leaves = positioned(leaves).withColumn("chunk", F.floor(F.col("position") / CHUNK).cast("long"))
+    def __init__(self, leaves: DataFrame, depth: int = DEPTH):
+        self.group_type, self.depth, self.chunk = leaves.schema["group"].dataType, depth, FANOUT ** depth
+        self.leaves = positioned(leaves).withColumn("chunk", F.floor(F.col("position") / self.chunk).cast("long"))
         self.tops = cut_lineage(self._tops(), "tops")
         tallest = self.tops.agg(F.max("size")).first()[0] or 0
-        level, width = DEPTH, -(-tallest // CHUNK)
-        now = self.tops.where(F.col("size") > CHUNK).select("group", "size", F.col("chunk").alias("index"), "node")
+        level, width = depth, -(-tallest // self.chunk)
+        now = self.tops.where(F.col("size") > self.chunk).select("group", "size", F.col("chunk").alias("index"), "node")
         self.nodes = now.select("group", F.lit(level).alias("level"), "index", "node")
-        roots = self.tops.where(F.col("size") <= CHUNK).select("group", "size", "node")
+        roots = self.tops.where(F.col("size") <= self.chunk).select("group", "size", "node")
         while width > 1:  # a level has a sixteenth of the nodes of the one below it; the width is the tallest tree's
             up = now.groupBy("group", "size", F.shiftright("index", 4).alias("parent")) \
                 .agg(F.sort_array(F.collect_list(F.struct("index", "node"))).alias("run"))
             width, level = -(-width // FANOUT), level + 1
             hexes = F.array_join(F.transform("run", lambda x: F.lower(F.hex(x["node"]))), "")
             up = cut_lineage(up.select("group", "size", F.col("parent").alias("index"), F.unhex(F.sha2(hexes, 256)).alias("node")), "level")
-            lone = F.col("size") <= CHUNK * FANOUT ** (level - DEPTH)
+            lone = F.col("size") <= FANOUT ** level
             roots = roots.unionByName(up.where(lone).drop("index"))
             now = up.where(~lone)
             self.nodes = self.nodes.unionByName(now.select("group", F.lit(level).alias("level"), "index", "node"))
@@ -150,13 +147,13 @@ class Forest:
         schema = T.StructType([T.StructField("group", self.group_type), T.StructField("chunk", T.LongType()), T.StructField("size", T.LongType()),
                                T.StructField("node", T.BinaryType()),
                                T.StructField("need", T.ArrayType(T.StructType([T.StructField("level", T.IntegerType()), T.StructField("index", T.LongType())])))])
-        arrow = _arrow(schema)
+        arrow, depth = _arrow(schema), self.depth
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for (group, chunk, size), rows in _runs(batches, 3):
-                need = [{"level": level, "index": i} for level, i in missing(chunk, size)]
-                nodes = levels([r[0] for r in rows], DEPTH)
-                while size > CHUNK and len(nodes) <= DEPTH:  # a last partition of few leaves still has all its levels
+                need = [{"level": level, "index": i} for level, i in missing(chunk, size, depth)]
+                nodes = levels([r[0] for r in rows], depth)
+                while size > FANOUT ** depth and len(nodes) <= depth:  # a last partition of few leaves still has all its levels
                     nodes.append([parent(nodes[-1])])
                 yield _out([(group, chunk, size, nodes[-1][0], need)], arrow)
         dealt = self._dealt(self.leaves, "position")
@@ -188,12 +185,12 @@ class Forest:
         rest = [c for c in self.leaves.columns if c not in (*lead, "position")]
         fields = {f.name: T.StructField(f.name, f.dataType) for f in both.schema}
         schema = T.StructType([fields[c] for c in ["group", "size", "position", "leaf", *rest, *shared]] + [T.StructField("proof", T.BinaryType())])
-        arrow = _arrow(schema)
+        arrow, depth = _arrow(schema), self.depth
 
         def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for (group, chunk), (head, *rows) in _runs(batches, 2):
                 outside, above_all = b"".join(head[1] or ()) + (head[2] or b""), head[3:7]
-                inside = levels([r[8] for r in rows], DEPTH - 1)
+                inside = levels([r[8] for r in rows], depth - 1)
                 out = []
                 for place, row in enumerate(rows):
                     own, at = [], place
@@ -202,7 +199,7 @@ class Forest:
                         own += nodes[first:at]
                         own += nodes[at + 1:first + FANOUT]
                         at //= FANOUT
-                    out.append((group, row[7], chunk * CHUNK + place, *row[8:], *above_all, b"".join(own) + outside))
+                    out.append((group, row[7], chunk * FANOUT ** depth + place, *row[8:], *above_all, b"".join(own) + outside))
                     if len(out) == 1000:
                         yield _out(out, arrow)
                         out = []
@@ -211,14 +208,14 @@ class Forest:
         return self._dealt(both, "late", "position").select(*lead, *rest).mapInArrow(expand, schema)
 
 
-def manifest(leaves: DataFrame) -> tuple[Forest, Forest]:
+def manifest(leaves: DataFrame, depth: int = DEPTH) -> tuple[Forest, Forest]:
     """The trees of the groups of ``leaves`` (group, key, leaf, ...), and the tree of their subroots."""
-    trees = Forest(leaves)
-    return trees, Forest(trees.roots.select(F.lit(0).alias("group"), F.col("group").alias("key"), F.col("node").alias("leaf")))
+    trees = Forest(leaves, depth)
+    return trees, Forest(trees.roots.select(F.lit(0).alias("group"), F.col("group").alias("key"), F.col("node").alias("leaf")), depth)
 
 
-def proved(leaves: DataFrame) -> DataFrame:
+def proved(leaves: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Every leaf with its subroot, the root, its place in both trees and its proof up to the root."""
-    trees, top = manifest(leaves)
+    trees, top = manifest(leaves, depth)
     root = F.broadcast(top.roots.select(F.col("node").alias("root")))  # one row
     return trees.proofs(top.proofs().drop("root").join(root))
