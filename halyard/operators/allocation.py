@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,6 +79,17 @@ def power_score_expr() -> Column:
     return F.col("node_efficiency_score")
 
 
+def node_scores(job: dict, node: dict) -> np.ndarray:
+    """``node_score_expr`` with the job's part, over arrays of nodes."""
+    cu = (job["cpu_cores_required"] + node["used_cpu"]) / node["available_cpu_cores"]
+    mu = (job["memory_gb_required"] + node["used_memory"]) / node["available_memory_gb"]
+    return (1.0 - np.abs(cu - mu)) * W_BALANCE + node["node_efficiency_score"] * W_NODE_EFF + (job["priority"] / 10.0) * W_PRIORITY
+
+
+def power_scores(job: dict, node: dict) -> np.ndarray:
+    return node["node_efficiency_score"]
+
+
 def score_for(objective: str):
     """(score, the job's own part or None)."""
     return (power_score_expr, None) if objective == "power" else (node_score_expr, priority_bonus)
@@ -85,8 +97,8 @@ def score_for(objective: str):
 
 def place(jobs: DataFrame, nodes: DataFrame, objective: str):
     """Placement for one objective; returns (placements, node state)."""
-    score, bonus = score_for(objective)
-    return place_jobs(allocation_jobs(jobs), allocation_nodes(nodes), DIMS, queue_order(objective), score, bonus=bonus)
+    scores = power_scores if objective == "power" else node_scores
+    return place_jobs(allocation_jobs(jobs), allocation_nodes(nodes), DIMS, queue_order(objective), scores)
 
 
 def placement_maximality(jobs: DataFrame, nodes: DataFrame) -> DataFrame:

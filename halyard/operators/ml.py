@@ -17,7 +17,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, UnivariateFeatureS
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -390,25 +390,29 @@ def forecast_workload(wm: WorkloadModel, features: DataFrame, ts: str, horizon:
                       version: str = "1.0.0") -> DataFrame:
     """Flat multi-step forecast from the latest complete feature row (one row per step).
 
-    ``lower`` and ``upper`` bound cpu use: the forecast and the normal quantile of ``confidence`` times the
-    root of the held-out mean squared error, inside 0 to 1.  ``wm`` needs FORECAST_TARGETS.
+    One column for each of FORECAST_TARGETS; null where ``wm`` has no model of it.  ``lower`` and ``upper`` bound cpu
+    use: the forecast and the normal quantile of ``confidence`` times the root of the held-out mean squared error,
+    inside 0 to 1; null without a cpu model.
     """
     from statistics import NormalDist
 
     last = features.agg(F.max(ts).alias("_last"))
     row = features.join(F.broadcast(last), F.col(ts) == F.col("_last")).drop("_last")
     scored = wm.scaler.transform(row)
-    for t in FORECAST_TARGETS:
-        scored = wm.models[t].transform(scored)
-    error = wm.metrics.where("split = 'test' and target = 'cpu_usage'").select(F.sqrt("mse").alias("_rmse"))  # one row
-    steps = scored.select(F.col(ts).alias("_last"), *[F.col(f"pred_{t}") for t in FORECAST_TARGETS]).crossJoin(F.broadcast(error)) \
+    for model in wm.models.values():
+        scored = model.transform(scored)
+    error = wm.metrics.where("split = 'test' and target = 'cpu_usage'").agg(F.sqrt(F.first("mse")).alias("_rmse"))  # one row
+    steps = scored.select(F.col(ts).alias("_last"), *[F.col(f"pred_{t}") for t in wm.models]).crossJoin(F.broadcast(error)) \
         .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    cpu, reach = clamp_unit(F.col("pred_cpu_usage")), F.col("_rmse") * NormalDist().inv_cdf((1 + confidence) / 2)
+
+    def forecast(target: str, clamp) -> Column:
+        return (clamp(F.col(f"pred_{target}")) if target in wm.models else F.lit(None).cast("double")).alias(target)
+    cpu, reach = forecast("cpu_usage", clamp_unit), F.col("_rmse") * NormalDist().inv_cdf((1 + confidence) / 2)
     return steps.select(
-        "step", F.timestamp_add("HOUR", F.col("step"), F.col("_last")).alias("timestamp"), cpu.alias("cpu_usage"),
-        clamp_unit(F.col("pred_memory_usage")).alias("memory_usage"), clamp_unit(F.col("pred_gpu_usage")).alias("gpu_usage"),
-        clamp_count(F.col("pred_job_queue_length")).alias("job_queue_length"),
-        F.greatest(F.lit(0.0), cpu - reach).alias("lower"), F.least(F.lit(1.0), cpu + reach).alias("upper"),
+        "step", F.timestamp_add("HOUR", F.col("step"), F.col("_last")).alias("timestamp"), cpu,
+        forecast("memory_usage", clamp_unit), forecast("gpu_usage", clamp_unit), forecast("job_queue_length", clamp_count),
+        F.when(cpu.isNotNull(), F.greatest(F.lit(0.0), cpu - reach)).alias("lower"),
+        F.when(cpu.isNotNull(), F.least(F.lit(1.0), cpu + reach)).alias("upper"),
         F.lit(f"{wm.model_type}-{version}").alias("model_version"))
 
 

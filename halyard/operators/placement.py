@@ -1,44 +1,54 @@
-"""Placement of many job batches at once (``request_id`` key), until nothing pending fits.
-
-The reference places one job at a time against mutable node usage.  Here a
-round is one set operation over all pending jobs.  Jobs of a request with the
-same demand in every dimension share a *demand vector* and are equal to the
-nodes, so nodes are paired with distinct vectors, not with jobs:
-
-1. feasible pairs: vectors joined to the nodes of the same request whose
-   residual capacity covers the demand in every dimension;
-2. a vector's nodes in order of score (ties: lowest node ordinal) offer as many
-   slots as the vector fits into the residual capacity, up to the vector's
-   pending jobs; its jobs take the slots in queue order;
-3. admission: per node, in queue order, the running demand of the jobs that
-   took its slots must fit the residual capacity in every dimension
-   (``running_totals``, skew-safe).  Denied jobs stay pending;
-4. residual capacity shrinks by the admitted demand.
-
-The first job in a chosen node's queue always fits, so every round places jobs,
-and the rounds end when no pending vector fits on any node of its request.
-Capacity only shrinks, so a vector without a node is final.  A vector's jobs are
-ranked once; per vector a pointer tells how far the ranks are handed out, and
-denied jobs go first in the next round, so the queue is never rewritten.
-
-Each round's decisions, node state and pointers are written to the shared
-checkpoint folder: lineage stays flat and a lost executor recomputes one round
-at most.
+"""Placement of many job batches at once (``request_id`` key), exactly as one job after the other would be placed.
+
+The reference takes a request's jobs in queue order; each goes to the feasible node of the best score (ties: lowest
+node ordinal), which then has less left.  Only the jobs that find a node change anything, and capacity only shrinks,
+so a job that fits on no node now never will.  Two steps alternate until no job is left that fits:
+
+* everywhere at once: the distinct demand vectors that still fit on some node of their request are kept (and, with
+  quotas, the jobs that their user's quota still allows); all other jobs are out for good;
+* a reservation: of each request the next jobs in queue order that passed, about 1,024 at first, twice as many every
+  time, 65,536 at most, are decided one after the other by one task, against the request's nodes in arrays.
+
+The prefix is found from counts per block of 256 queue ranks, so no task ever reads a whole queue, and what a task
+holds is bounded by the prefix and the nodes of one request.  Many requests are decided in parallel; jobs of one request
+that compete for the same nodes cannot be, for the plan would differ.
+
+The queue is ranked and written once.  Every step writes one table of the vectors still open and one of the
+decisions with the nodes' new state (and users' charges) to the shared checkpoint folder, so lineage stays flat and
+a lost executor repeats one step at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from halyard.operators.prefix import running_totals
 from halyard.session import cut_lineage
 
 
+BLOCK = 256                         # queue ranks counted together
+FIRST_PREFIX, MOST = 1024, 65_536   # jobs of a request that a task decides
+
+
+@dataclass(frozen=True)
+class Quota:
+    limit: str          # job column, null: unlimited
+    demand: str | None  # job column, None: one a job
+    charged: str        # name of what the user holds
+
+    def allows(self, charged: Column) -> Column:
+        own = F.lit(1) if self.demand is None else F.col(self.demand)
+        return F.col(self.limit).isNull() | (charged + own <= F.col(self.limit))
+
+
 @dataclass(frozen=True)
 class Dim:
     demand: str    # job column
@@ -72,7 +82,7 @@ def feasible(vectors: DataFrame, state: DataFrame, dims: list[Dim], extra: Colum
     """(demand vector, node) pairs where the residual capacity covers the demand."""
     fits = F.col("request_id") == F.col("_request")
     for d in dims:
-        fits = fits & (d.residual >= F.col(d.demand))
+        fits = fits & (F.col(d.capacity) >= F.col(d.demand) + F.col(d.used))
     if extra is not None:
         fits = fits & extra
     return vectors.join(state.withColumnRenamed("request_id", "_request"), fits).drop("_request")
@@ -95,76 +105,119 @@ def admit(chosen: DataFrame, state: DataFrame, dims: list[Dim], order: list[Colu
         .drop(*[f"cum_{d.demand}" for d in dims], *[f"_res_{d.demand}" for d in dims])
 
 
-def update_state(state: DataFrame, admitted: DataFrame, dims: list[Dim]) -> DataFrame:
-    add = admitted.groupBy("request_id", "node_id").agg(
-        *[F.sum(d.demand).alias(f"_add_{d.demand}") for d in dims], F.count(F.lit(1)).alias("_add_n"))
-    added = {d.used: f"_add_{d.demand}" for d in dims} | {"n_placed": "_add_n"}
-    out = state.join(add, ["request_id", "node_id"], "left")
-    return out.select(*[(F.col(c) + F.coalesce(F.col(added[c]), F.lit(0))).cast(state.schema[c].dataType).alias(c)
-                        if c in added else F.col(c) for c in state.columns])
-
-
-def slots(pairs: DataFrame, dims: list[Dim], score: Column) -> DataFrame:
-    """One row a slot: the vector's nodes by score, each as often as the vector fits, up to ``_pending`` in all."""
-    key = vector_key(dims)
-    units = F.least(*[F.when(F.col(d.demand) > 0, F.floor(d.residual / F.col(d.demand))).otherwise(F.col("_pending")).cast("bigint")
-                      for d in dims], F.col("_pending"))
-    ranked = Window.partitionBy(*key).orderBy(F.col("score").desc(), F.col("node_ordinal").asc())
-    offered = pairs.select(*key, "node_id", "node_ordinal", "_pending", score.alias("score"), units.alias("_units")) \
-        .withColumn("_before", F.coalesce(F.sum("_units").over(ranked.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return offered.where("_before < _pending").select(
-        *key, "node_id", "score",
-        F.explode(F.sequence(F.col("_before") + 1, F.least(F.col("_before") + F.col("_units"), F.col("_pending")))).alias("_slot"))
-
-
-def place_jobs(jobs: DataFrame, nodes_state: DataFrame, dims: list[Dim], order: list[Column],
-               score: Callable[[], Column], extra: Callable[[], Column] | None = None,
-               bonus: Callable[[], Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Place until nothing pending fits; return (placements, final node state).
-
-    ``score`` reads the demand and node columns, ``bonus`` (a job's own part of the score) the job columns.
-    ``placements`` has every job column plus node_id, score and round.
+def reserve(jobs: pa.Table, nodes: pa.Table, schema: pa.Schema, dims: list[Dim], score: Callable, quotas: tuple[Quota, ...]) -> pa.Table:
+    """Decide a request's ``jobs`` (in order of queue_rank) on its ``nodes``; see ``place_jobs`` for the rows that come out."""
+    jobs, nodes = jobs.sort_by("queue_rank"), nodes.sort_by("node_ordinal")
+    wanted = {c: jobs[c].to_pylist() for c in jobs.column_names}
+    node = {c: nodes[c].to_numpy(zero_copy_only=False).copy() for c in nodes.column_names if pa.types.is_primitive(nodes.schema.field(c).type)}
+    is_open, ids, charged = node["_open"].astype(bool), nodes["node_id"].to_pylist(), {}
+    out: dict[str, list] = {c: [] for c in ("queue_rank", "node_id", "score")}
+    for i in range(len(jobs)):
+        job = {c: v[i] for c, v in wanted.items()}
+        fits = is_open
+        for d in dims:
+            fits = fits & (node[d.capacity] >= job[d.demand] + node[d.used])
+        at = np.flatnonzero(fits)
+        if not len(at):
+            continue
+        if quotas:
+            held = charged.setdefault(job["user_id"], [job[q.charged] for q in quotas])
+            after = [h + (1 if q.demand is None else job[q.demand]) for q, h in zip(quotas, held)]
+            if any(job[q.limit] is not None and a > job[q.limit] for q, a in zip(quotas, after)):
+                continue
+            charged[job["user_id"]] = after
+        scores = score(job, {c: v[at] for c, v in node.items()})
+        best = int(np.argmax(scores))  # the first of equals: the lowest ordinal
+        n = int(at[best])
+        for d in dims:
+            node[d.used][n] += job[d.demand]
+        node["n_placed"][n] += 1
+        for c, v in (("queue_rank", job["queue_rank"]), ("node_id", ids[n]), ("score", float(scores[best]))):
+            out[c].append(v)
+    request = (jobs if len(jobs) else nodes)["request_id"][0].as_py() if len(jobs) or len(nodes) else None
+    tables = [pa.table({"kind": ["job"] * len(out["score"]), "request_id": [request] * len(out["score"]), **out})]
+    state = {c: nodes[c] if c not in {d.used for d in dims} | {"n_placed"} else pa.array(node[c]) for c in nodes.column_names}
+    beyond = wanted["_beyond"][0] if len(jobs) else 0
+    until = wanted["_until"][0] if len(jobs) else nodes["_until"][0].as_py()  # without candidates it stands where it stood
+    state |= {"kind": ["node"] * len(nodes), "_beyond": [beyond] * len(nodes), "_until": [until] * len(nodes)}
+    tables.append(pa.table(state))
+    if quotas:
+        tables.append(pa.table({"kind": ["user"] * len(charged), "request_id": [request] * len(charged), "user_id": list(charged),
+                                **{q.charged: [v[k] for v in charged.values()] for k, q in enumerate(quotas)}}))
+    empty = schema.empty_table()
+    return pa.concat_tables([pa.table([t[f.name].cast(f.type) if f.name in t.column_names else pa.nulls(len(t), f.type) for f in schema], schema=schema)
+                             for t in tables] or [empty])
+
+
+def place_jobs(jobs: DataFrame, nodes_state: DataFrame, dims: list[Dim], order: list[Column], score: Callable,
+               extra: Callable[[], Column] | None = None, quotas: tuple[Quota, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Place the jobs of every request one after the other; return (placements, final node state).
+
+    ``score(job, nodes)`` gives the scores of the feasible nodes: ``job`` has the job's values, ``nodes`` numpy arrays of
+    the node columns.  With ``quotas`` a job must also fit its user's limits on top of what the user's placed jobs hold.
+    ``placements`` has every job column plus node_id, score and queue_rank.
     """
     key, job_cols = vector_key(dims), jobs.columns
-    state = cut_lineage(nodes_state, "nodes")
-    queue = cut_lineage(running_totals(jobs, key, order, rank_col="_rank"), "queue")
-    vectors = cut_lineage(demand_vectors(queue, dims).withColumn("_given", F.lit(0).cast("bigint"))
-                          .withColumn("_denied", F.lit(0).cast("bigint")), "vectors")
-    denied, placed = None, []
+    queue = cut_lineage(running_totals(jobs, ["request_id"], order, rank_col="queue_rank"), "queue")
+    exact = [f.name for f in nodes_state.schema if isinstance(f.dataType, T.DecimalType)]
+    nodes_state = nodes_state.withColumns({c: F.col(c).cast("double") for c in exact}) if exact else nodes_state
+    start = nodes_state.withColumn("_open", F.coalesce(extra(), F.lit(False)) if extra else F.lit(True))
+    state = start.withColumn("_until", F.lit(None).cast("long")).withColumn("_beyond", F.lit(0).cast("long"))
+    held = {q.charged: queue.schema[q.demand].dataType if q.demand else T.LongType() for q in quotas}
+    fields = [T.StructField("kind", T.StringType()), T.StructField("queue_rank", T.LongType()), T.StructField("score", T.DoubleType()),
+              *[T.StructField(f.name, f.dataType) for f in state.schema]]
+    if quotas:
+        wide = {T.IntegerType(): T.LongType()}
+        fields += [T.StructField("user_id", jobs.schema["user_id"].dataType), *[T.StructField(c, wide.get(t, t)) for c, t in held.items()]]
+    schema = T.StructType(fields)
+    arrow = to_arrow_schema(schema)
+
+    def decide(chunk: pa.Table, nodes: pa.Table) -> pa.Table:
+        return reserve(chunk, nodes, arrow, dims, score, quotas)
+    open_vectors, rounds, size = demand_vectors(queue, dims).select(*key), [], FIRST_PREFIX
     while True:
-        waiting = vectors.withColumn("_pending", F.col("_jobs") - F.col("_given") + F.col("_denied")).where("_pending > 0")
-        offered = slots(feasible(waiting, state, dims, extra() if extra else None), dims, score()) \
-            .join(vectors.select(*key, "_given", "_denied"), key)
-        fresh = offered.where("_slot > _denied").withColumn("_rank", F.col("_given") + F.col("_slot") - F.col("_denied"))
-        chosen = queue.join(fresh.select(*key, "_rank", "node_id", "score"), [*key, "_rank"]).withColumn("_fresh", F.lit(True))
-        if denied is not None:
-            first = Window.partitionBy(*key).orderBy("_rank")  # at most the last round's slots
-            again = denied.withColumn("_slot", F.row_number().over(first).cast("bigint"))
-            chosen = chosen.unionByName(again.join(offered.where("_slot <= _denied").select(*key, "_slot", "node_id", "score"), [*key, "_slot"])
-                                        .select(*queue.columns, "node_id", "score", F.lit(False).alias("_fresh")))
-        # written once: placements, retries and pointers are read from it
-        decided = cut_lineage(admit(chosen, state, dims, order), "decided")
-        if decided.isEmpty():
+        open_vectors = cut_lineage(feasible(open_vectors, state.where("_open"), dims).select(*key).distinct(), "open")
+        waiting = queue.join(open_vectors, key)
+        if rounds:
+            done = state.groupBy("request_id").agg(F.max("_until").alias("_until"))
+            waiting = waiting.join(done, "request_id").where(F.col("_until").isNull() | (F.col("queue_rank") > F.col("_until"))).drop("_until")
+        if quotas:
+            waiting = _allowed(waiting, rounds, quotas, schema)
+        blocks = waiting.groupBy("request_id", F.floor((F.col("queue_rank") - 1) / BLOCK).alias("_block")).agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy("request_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        prefix = blocks.withColumn("_in", F.coalesce(F.sum("_n").over(before), F.lit(0)) < size).groupBy("request_id") \
+            .agg(((F.max(F.when(F.col("_in"), F.col("_block"))) + 1) * BLOCK).cast("long").alias("_until"),
+                 F.coalesce(F.sum(F.when(~F.col("_in"), F.col("_n"))), F.lit(0)).alias("_beyond"))
+        chunk = waiting.join(prefix, "request_id").where("queue_rank <= _until")
+        decided = cut_lineage(chunk.groupBy("request_id").cogroup(state.groupBy("request_id")).applyInArrow(decide, schema), "decided")
+        rounds.append(decided)
+        state = decided.where("kind = 'node'").select(*state.columns)
+        if decided.agg(F.coalesce(F.sum("_beyond"), F.lit(0))).first()[0] == 0:
             break
-        won = decided.where("admitted")
-        total = F.col("score") + bonus() if bonus else F.col("score")
-        placed.append(won.select(*job_cols, "node_id", total.alias("score"), F.lit(len(placed) + 1).alias("round")))
-        denied = decided.where("not admitted").select(*queue.columns)
-        moved = decided.groupBy(*key).agg(F.count_if("_fresh").alias("_took"), F.count_if(~F.col("admitted")).alias("_no"),
-                                          F.count_if(~F.col("_fresh")).alias("_retried"))
-        # a vector that got no slot has no feasible node any more and drops out
-        pointers = vectors.join(moved, key).select(
-            *key, "_jobs", (F.col("_given") + F.col("_took")).alias("_given"),
-            (F.col("_denied") - F.col("_retried") + F.col("_no")).alias("_denied"))
-        with ThreadPoolExecutor(max_workers=2) as pool:  # two small, independent tables
-            state, vectors = pool.map(cut_lineage, (update_state(state, won, dims), pointers), ("nodes", "vectors"))
-    if not placed:
-        none = jobs.limit(0).crossJoin(nodes_state.limit(0).select("node_id"))
-        return none.select(*job_cols, "node_id", F.lit(0.0).alias("score"), F.lit(0).alias("round")), state
-    out = placed[0]
-    for p in placed[1:]:
-        out = out.unionByName(p)
-    return out, state
+        size = min(2 * size, MOST)
+    won = None
+    for decided in rounds:
+        part = decided.where("kind = 'job'").select("request_id", "queue_rank", "node_id", "score")
+        won = part if won is None else won.unionByName(part)
+    placed = queue.join(won, ["request_id", "queue_rank"]).select(*job_cols, "node_id", "score", "queue_rank")
+    return placed, state.select(*nodes_state.columns)
+
+
+def _allowed(waiting: DataFrame, rounds: list[DataFrame], quotas: tuple[Quota, ...], schema: T.StructType) -> DataFrame:
+    """Jobs that their user's quota allows on top of what it holds, with the amounts held."""
+    names = [q.charged for q in quotas]
+    if rounds:
+        every = None
+        for i, decided in enumerate(rounds):
+            part = decided.where("kind = 'user'").select("request_id", "user_id", F.lit(i).alias("_i"), *names)
+            every = part if every is None else every.unionByName(part)
+        last = every.groupBy("request_id", "user_id").agg(F.max(F.struct("_i", *names)).alias("_u")) \
+            .select("request_id", "user_id", *[f"_u.{c}" for c in names])
+        waiting = waiting.join(last, ["request_id", "user_id"], "left")
+    for q in quotas:
+        have = F.coalesce(F.col(q.charged), F.lit(0)) if rounds else F.lit(0)
+        waiting = waiting.withColumn(q.charged, have.cast(schema[q.charged].dataType)).where(q.allows(F.col(q.charged)))
+    return waiting
 
 
 def still_fitting(jobs: DataFrame, placements: DataFrame, state: DataFrame, dims: list[Dim],

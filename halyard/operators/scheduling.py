@@ -1,12 +1,13 @@
-"""Job scheduling: queue policies, user quotas, placement rounds, node timelines, metrics."""
+"""Job scheduling: queue policies, user quotas, placement, node timelines, metrics."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halyard.functions.scalar import priority_class
-from halyard.operators.placement import Dim, best_node, demand_vectors, feasible, init_state, place_jobs, vector_key
+from halyard.operators.placement import Dim, Quota, best_node, demand_vectors, feasible, init_state, place_jobs, vector_key
 from halyard.operators.prefix import running_max_plus, running_totals
 from halyard.session import cut_lineage
 
@@ -90,6 +91,7 @@ def priority_split(jobs: DataFrame) -> DataFrame:
 QUOTAS = [("max_cpu_cores", "cpu_cores_required", "_cpu"), ("max_memory_gb", "memory_gb_required", "_memory"),
           ("max_concurrent_jobs", "1", "_jobs")]
 USER = ["request_id", "user_id"]
+PLACED_QUOTAS = tuple(Quota(q, None if d == "1" else d, c) for q, d, c in QUOTAS)
 
 
 def charge(jobs: DataFrame, before: DataFrame | None = None) -> DataFrame:
@@ -146,6 +148,15 @@ def score_expr() -> Column:
     return F.coalesce((1.0 - F.abs(cu - mu)) * W_BALANCE + avail * W_AVAIL, F.lit(0.0))
 
 
+def node_scores(job: dict, node: dict) -> np.ndarray:
+    """``score_expr`` over arrays of nodes."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cu = job["cpu_cores_required"] / (node["available_cpu_cores"] - node["used_cpu"])
+        mu = job["memory_gb_required"] / (node["available_memory_gb"] - node["used_memory"])
+        score = (1.0 - np.abs(cu - mu)) * W_BALANCE + np.where(node["n_placed"] == 0, AVAIL_FREE, AVAIL_BUSY) * W_AVAIL
+    return np.where(np.isfinite(score), score, 0.0)  # nothing left of what the job does not need
+
+
 def available_expr() -> Column:
     return F.col("is_available")
 
@@ -162,7 +173,7 @@ def first_choice(jobs: DataFrame, nodes: DataFrame) -> DataFrame:
     return j.join(best_node(pairs, DIMS, score_expr()), vector_key(DIMS))
 
 
-def node_timeline(placed: DataFrame, now: DataFrame, order: list[Column]) -> DataFrame:
+def node_timeline(placed: DataFrame, now: DataFrame) -> DataFrame:
     """start = max(now, earliest start, end of the previous job on the node); max-plus scan.
 
     end_i = S_i + max_{j<=i}(r_j - S_{j-1}) with S the running runtime and r
@@ -174,7 +185,7 @@ def node_timeline(placed: DataFrame, now: DataFrame, order: list[Column]) -> Dat
     t = (placed.crossJoin(F.broadcast(now))
          .withColumn("_d", F.col("estimated_runtime_minutes").cast("bigint") * 60_000_000)
          .withColumn("_rel", rel))
-    scanned = running_max_plus(t, ["request_id", "node_id"], [F.col("round").asc(), *order], "_d", "_rel")
+    scanned = running_max_plus(t, ["request_id", "node_id"], [F.col("queue_rank").asc()], "_d", "_rel")
     ts = lambda us: F.timestamp_micros(us).cast("timestamp_ntz")
     return scanned.select(
         *placed.columns,
@@ -182,35 +193,6 @@ def node_timeline(placed: DataFrame, now: DataFrame, order: list[Column]) -> Dat
         (F.col("_rank") - 1).cast("int").alias("queue_position"))
 
 
-def place_within_quotas(jobs_fair: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Fair-share placement: a job is charged to its user's quota when it gets a node.
-
-    Jobs that fit on some node now go through the quotas (on top of what is charged) and are placed; those
-    that got no node are out, for capacity only shrinks, and what they held of the quota is free again for
-    the jobs that had to be skipped.  Ends when no job is admitted any more.
-    """
-    order, rest, charged, placed, rounds = queue_order("fair_share"), jobs_fair, None, [], 0
-    key = vector_key(DIMS)
-    while True:
-        open_now = feasible(demand_vectors(rest, DIMS), state, DIMS, available_expr()).select(*key).distinct()
-        rest = cut_lineage(rest.join(open_now, key, "left_semi"), "rest")
-        candidates = cut_lineage(quota_admission(rest, charged), "candidates")
-        if candidates.isEmpty():
-            break
-        got, state = place_jobs(candidates, state, DIMS, order, score_expr, extra=available_expr)
-        got = cut_lineage(got.withColumn("round", F.col("round") + F.lit(rounds)), "placed")
-        placed.append(got)
-        rounds += got.agg(F.coalesce(F.max("round"), F.lit(rounds))).first()[0] - rounds
-        charged = cut_lineage(charge(got, charged), "charged")
-        rest = rest.join(candidates.select("request_id", "job_id"), ["request_id", "job_id"], "left_anti")
-    if not placed:
-        return place_jobs(jobs_fair.limit(0), state, DIMS, order, score_expr, extra=available_expr)
-    out = placed[0]
-    for part in placed[1:]:
-        out = out.unionByName(part)
-    return out, state
-
-
 def schedule(jobs: DataFrame, nodes: DataFrame, quotas: DataFrame, policy: str):
     """Schedule one batch table under ``policy``; unknown names use fair share.
 
@@ -219,12 +201,9 @@ def schedule(jobs: DataFrame, nodes: DataFrame, quotas: DataFrame, policy: str):
     if policy not in POLICIES:
         policy = DEFAULT_POLICY
     j = with_fair_key(scheduler_jobs(jobs), quotas)
-    order = queue_order(policy)
-    if policy == "fair_share":
-        placed, state = place_within_quotas(j, scheduler_nodes(nodes))
-    else:
-        placed, state = place_jobs(j, scheduler_nodes(nodes), DIMS, order, score_expr, extra=available_expr)
-    timeline = node_timeline(placed, now_of(jobs), order)
+    limits = PLACED_QUOTAS if policy == "fair_share" else ()  # a job is charged to its user when it gets a node
+    placed, state = place_jobs(j, scheduler_nodes(nodes), DIMS, queue_order(policy), node_scores, extra=available_expr, quotas=limits)
+    timeline = node_timeline(placed, now_of(jobs))
     out = timeline.select(
         "request_id", "job_id", "node_id", "scheduled_start_time", "estimated_completion_time",
         F.col("cpu_cores_required").alias("allocated_cpu_cores"),

@@ -1,64 +1,67 @@
-"""SQL twins of the placement rounds and of the user quotas, for the DuckDB oracle.
+"""SQL twins of the placement and of the user quotas, for the DuckDB oracle.
 
-``placement_ctes`` unrolls rounds as a CTE chain over jobs (not demand
-vectors with pointers): every pending job is ranked among the jobs of its
-demand, nodes offer slots by score, and per-node running demand admits.  Rounds
-after the last useful one place nothing.  ``quota_ctes`` follows the
-one-job-at-a-time rule with a recursive CTE: admit if the user's charged
-amounts and the job stay within the quota, else skip and go on.
+``placement_ctes`` is the one-job-at-a-time loop as a recursive CTE: a step takes the next job of every request's
+queue, scores the request's nodes (lists in ordinal order) and adds the job to the first of the best.
+``quota_ctes`` does the same for the quotas alone: admit if the user's charged amounts and the job stay
+within the quota, else skip and go on.
 """
 
 from __future__ import annotations
 
+import re
 
-def placement_ctes(jobs_cte: str, state_cte: str, dims, order_sql: str, score_sql: str, rounds: int,
-                   extra_sql: str | None = None, tag: str = "pl", bonus_sql: str | None = None, first_round: int = 1) -> str:
+USER_LIMITS = [("max_cpu_cores", "cpu_cores_required", "BIGINT"), ("max_memory_gb", "memory_gb_required", "DOUBLE"), ("max_concurrent_jobs", "1", "BIGINT")]
+
+
+def placement_ctes(jobs_cte: str, state_cte: str, dims, order_sql: str, score_sql: str, extra_sql: str | None = None,
+                   tag: str = "pl", node_cols: tuple[str, ...] = (), quotas: bool = False) -> str:
     """CTE text (starting with ', ') that defines ``{tag}_placements`` and ``{tag}_state``.
 
-    ``dims`` = [(demand, capacity, used, sql_type_of_used)]; ``jobs_cte`` rows carry request_id,
-    job_id and the demand columns; ``state_cte`` rows carry request_id,
-    node_id, node_ordinal, capacities, used columns and n_placed.
+    ``dims`` = [(demand, capacity, used, sql_type_of_used)]; ``jobs_cte`` rows carry request_id, job_id and the demand
+    columns; ``state_cte`` rows carry request_id, node_id, node_ordinal, capacities and ``node_cols``.
+    ``extra_sql`` says which nodes are open.  ``quotas``: a job must fit its user's limits too.
     """
-    out, xs = [], []
-    key = ", ".join(["request_id"] + [d for d, _, _, _ in dims])
-    same = " AND ".join(["j.request_id = o.request_id"] + [f"j.{d} = o.{d}" for d, _, _, _ in dims])
-    cond = " AND ".join([f"s.{c} - s.{u} >= v.{d}" for d, c, u, _ in dims] + ([extra_sql] if extra_sql else []))
-    units = ", ".join(f"CASE WHEN v.{d} > 0 THEN FLOOR((s.{c} - s.{u}) / v.{d}) ELSE v.n END" for d, c, u, _ in dims)
-    sums = ", ".join(f"SUM({d}) OVER (PARTITION BY request_id, node_id ORDER BY {order_sql} "
-                     f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_{d}" for d, _, _, _ in dims)
-    fits = " AND ".join(f"a.cum_{d} <= s.{c} - s.{u}" for d, c, u, _ in dims)
-    drop = ", ".join(["slot"] + [f"cum_{d}" for d, _, _, _ in dims])
-    adds = ", ".join(f"SUM({d}) AS add_{d}" for d, _, _, _ in dims)
-    upd = ", ".join(f"CAST(s.{u} + COALESCE(t.add_{d}, 0) AS {t}) AS {u}" for d, _, u, t in dims)
-    total = f"o.score + {bonus_sql}" if bonus_sql else "o.score"
-    prev_p, prev_s = jobs_cte, state_cte
-    for k in range(1, rounds + 1):
-        f, o, a, x, s, p = (f"{tag}_{c}{k}" for c in "foaxsp")
-        out.append(f"""{f} AS MATERIALIZED (SELECT v.*, s.node_id, s.node_ordinal, {score_sql} AS score,
-    CAST(LEAST({units}, v.n) AS BIGINT) AS units
-  FROM (SELECT {key}, COUNT(*) AS n FROM {prev_p} GROUP BY {key}) v JOIN {prev_s} s ON v.request_id = s.request_id AND {cond})""")
-        out.append(f"""{o} AS MATERIALIZED (SELECT *, COALESCE(SUM(units) OVER (PARTITION BY {key} ORDER BY score DESC, node_ordinal
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM {f})""")
-        out.append(f"""{a} AS MATERIALIZED (SELECT *, {sums} FROM (SELECT j.*, o.node_id, {total} AS score
-    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY {order_sql}) AS slot FROM {prev_p}) j
-    JOIN {o} o ON {same} AND j.slot > o.before AND j.slot <= o.before + o.units) c)""")
-        out.append(f"""{x} AS MATERIALIZED (SELECT a.* EXCLUDE ({drop}), {first_round + k - 1} AS round FROM {a} a JOIN {prev_s} s
-    ON a.request_id = s.request_id AND a.node_id = s.node_id WHERE {fits})""")
-        out.append(f"""{s} AS MATERIALIZED (SELECT s.* EXCLUDE ({', '.join(u for _, _, u, _ in dims)}, n_placed), {upd},
-    s.n_placed + COALESCE(t.add_n, 0) AS n_placed
-  FROM {prev_s} s LEFT JOIN (SELECT request_id, node_id, {adds}, COUNT(*) AS add_n FROM {x} GROUP BY request_id, node_id) t
-    ON s.request_id = t.request_id AND s.node_id = t.node_id)""")
-        out.append(f"{p} AS MATERIALIZED (SELECT * FROM {prev_p} WHERE job_id NOT IN (SELECT job_id FROM {x}))")
-        xs.append(x)
-        prev_p, prev_s = p, s
-    out.append(f"{tag}_placements AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM {x}" for x in xs) + ")")
-    out.append(f"{tag}_state AS MATERIALIZED (SELECT * FROM {prev_s})")
-    return ",\n" + ",\n".join(out)
+    used = [(u, d, t) for d, _, u, t in dims] + [("n_placed", "1", "BIGINT")]
+    charged = [(f"u_{i}", q, d, t) for i, (q, d, t) in enumerate(USER_LIMITS)] if quotas else []
+    fixed = [c for _, c, _, _ in dims] + list(node_cols)
+    score = re.sub(r"\b(" + "|".join(fixed) + r")\b", r"n.\1[i]", score_sql)
+    score = re.sub(r"\b(" + "|".join(u for u, _, _ in used) + r")\b", r"p.\1[i]", score)
+    score = re.sub(r"(?<![.\w])(" + "|".join(d for d, _, _, _ in dims) + r"|priority)\b", r"q.\1", score)
+    fits = " AND ".join(f"n.{c}[i] >= q.{d} + p.{u}[i]" for d, c, u, _ in dims)
+    allowed = "".join(f" AND (q.{q} IS NULL OR p.{u}[q.user_ix] + {d if d == '1' else 'q.' + d} <= q.{q})" for u, q, d, _ in charged)
+    zeros = ", ".join([f"list_transform(range(n), lambda x: CAST(0 AS {t})) AS {u}" for u, _, t in used]
+                      + [f"list_transform(range(n_users), lambda x: CAST(0 AS {t})) AS {u}" for u, _, _, t in charged])
+    grown = ", ".join([f"CASE WHEN best IS NULL THEN {u} ELSE list_transform({u}, lambda x, i: CAST(CASE WHEN i = best THEN x + {d} ELSE x END AS {t})) END"
+                       for u, d, t in used]
+                      + [f"CASE WHEN best IS NULL THEN {u} ELSE list_transform({u}, lambda x, i: CAST(CASE WHEN i = user_ix THEN x + {d} ELSE x END AS {t})) END"
+                         for u, _, d, t in charged])
+    lists = ", ".join(f"LIST({c} ORDER BY node_ordinal) AS {c}" for c in ["node_id", "node_ordinal", *fixed])
+    state = ", ".join([*[f"UNNEST(n.{c}) AS {c}" for c in ["node_id", "node_ordinal", *fixed]], *[f"UNNEST(p.{u}) AS {u}" for u, _, _ in used]])
+    step = ", ".join(["queue_rank", "best", "score", *[u for u, _, _ in used], *[u for u, *_ in charged]])
+    kept = ", ".join(f"p.{u}" for u in [*[u for u, _, _ in used], *[u for u, *_ in charged]])
+    users = ", DENSE_RANK() OVER (PARTITION BY request_id ORDER BY user_id) AS user_ix" if quotas else ""
+    n_users = f"(SELECT COALESCE(MAX(user_ix), 0) FROM {tag}_q q WHERE q.request_id = n.request_id) AS n_users" if quotas else "0 AS n_users"
+    return f""",
+{tag}_q AS MATERIALIZED (SELECT *, ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY {order_sql}) AS queue_rank{users} FROM {jobs_cte}),
+{tag}_n AS MATERIALIZED (SELECT request_id, COUNT(*) AS n, {lists} FROM {state_cte} s WHERE {extra_sql or 'TRUE'} GROUP BY request_id),
+{tag}_step(request_id, {step}) AS (
+  SELECT request_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), {zeros} FROM (SELECT n.*, {n_users} FROM {tag}_n n) m
+  UNION ALL
+  SELECT request_id, queue_rank, best, CASE WHEN best IS NULL THEN NULL ELSE scores[best] END, {grown}
+  FROM (SELECT *, CASE WHEN list_max(scores) IS NULL THEN NULL ELSE CAST(list_position(scores, list_max(scores)) AS BIGINT) END AS best
+    FROM (SELECT q.*, {kept}, list_transform(range(1, n.n + 1), lambda i: CASE WHEN {fits}{allowed} THEN {score} END) AS scores
+      FROM {tag}_step p JOIN {tag}_q q ON q.request_id = p.request_id AND q.queue_rank = p.queue_rank + 1
+      JOIN {tag}_n n ON n.request_id = p.request_id) a) b),
+{tag}_placements AS MATERIALIZED (SELECT q.*, n.node_id[p.best] AS node_id, p.score FROM {tag}_step p
+  JOIN {tag}_q q ON q.request_id = p.request_id AND q.queue_rank = p.queue_rank
+  JOIN {tag}_n n ON n.request_id = p.request_id WHERE p.best IS NOT NULL),
+{tag}_state AS MATERIALIZED (SELECT p.request_id, {state} FROM (SELECT * FROM {tag}_step
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY queue_rank DESC) = 1) p JOIN {tag}_n n ON n.request_id = p.request_id)"""
 
 
 def still_fitting_sql(jobs_cte: str, tag: str, dims, extra_sql: str | None = None) -> str:
     """Jobs not in ``{tag}_placements`` that fit on a node in ``{tag}_state``."""
-    cond = " AND ".join([f"s.{c} - s.{u} >= j.{d}" for d, c, u, _ in dims] + ([extra_sql] if extra_sql else []))
+    cond = " AND ".join([f"s.{c} >= j.{d} + s.{u}" for d, c, u, _ in dims] + ([extra_sql] if extra_sql else []))
     return f"""SELECT j.request_id, j.job_id FROM {jobs_cte} j WHERE j.job_id NOT IN (SELECT job_id FROM {tag}_placements)
   AND EXISTS (SELECT 1 FROM {tag}_state s WHERE s.request_id = j.request_id AND {cond})"""
 

@@ -11,8 +11,6 @@ from halyard.plans.placement_sql import placement_ctes, still_fitting_sql
 from halyard.plans.registry import R, register, round_doubles
 from halyard.sources import fixtures as X
 
-# Rounds that the SQL twins unroll: more than any placement of the test data takes (the engine has no limit).
-TWIN_ROUNDS = 11
 FIX = ("jobs", "nodes")
 # FIXTURES jobs carry no start parameter; allocation times start at this instant.
 ALLOC_START = "2024-02-01 00:00:00"
@@ -42,8 +40,8 @@ SCORE_SQL = {"efficiency": NODE_SCORE_SQL, "throughput": NODE_SCORE_SQL, "power"
 
 def plan_sql(objective: str, tag: str | None = None) -> str:
     tag = tag or f"pl_{objective[:3]}"
-    return placement_ctes("al_jobs", "al_state", SQL_DIMS, ORDER_SQL[objective], SCORE_SQL[objective], TWIN_ROUNDS, tag=tag,
-                          bonus_sql=None if objective == "power" else BONUS_SQL)
+    score = SCORE_SQL[objective] if objective == "power" else f"{SCORE_SQL[objective]} + {BONUS_SQL}"
+    return placement_ctes("al_jobs", "al_state", SQL_DIMS, ORDER_SQL[objective], score, tag=tag, node_cols=("node_efficiency_score",))
 
 
 def summary_sql(objective: str, tag: str | None = None) -> str:
@@ -86,7 +84,7 @@ def summary_select(src: str) -> str:
     return f"SELECT {', '.join(cols)} FROM {src}"
 
 
-PLACEMENT_OUT = ["request_id", "job_id", "node_id", "round"]
+PLACEMENT_OUT = ["request_id", "job_id", "node_id", "queue_rank"]
 
 
 def jobs_nodes(spark, sf):
@@ -265,7 +263,7 @@ def q_pick_objective(spark, sf):
 @register("place_balanced", _ALL_SUMMARIES + """,
 allp AS (SELECT *, 'efficiency' AS objective FROM pe_placements UNION ALL SELECT *, 'throughput' FROM pt_placements
          UNION ALL SELECT *, 'power' FROM pp_placements)
-SELECT a.request_id, a.job_id, a.node_id, a.round, a.objective FROM allp a JOIN pick k
+SELECT a.request_id, a.job_id, a.node_id, a.queue_rank, a.objective FROM allp a JOIN pick k
   ON a.request_id = k.request_id AND a.objective = k.objective""", fixtures=FIX)
 def q_place_balanced(spark, sf):
     j, n = jobs_nodes(spark, sf)

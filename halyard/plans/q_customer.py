@@ -62,8 +62,12 @@ UNION ALL SELECT 'transaction_history', COUNT(*) FROM transactions
 UNION ALL SELECT 'support_tickets', COUNT(*) FROM support_tickets
 UNION ALL SELECT 'product_usage', COUNT(*) FROM product_usage""", fixtures=SRC)
 def q_load_sources(spark, sf):
-    from halyard.sources.ingest import load_summary_table
-    return load_summary_table(sources(spark, sf))
+    """Read the configured source files, one of which is missing, and count them."""
+    from halyard.session import scratch_path
+    from halyard.sources.ingest import load_sources, load_summary_table, write_processed
+    base = scratch_path(spark, "sources")
+    paths = {name: write_processed(df, f"{base}/{name}") for name, df in sources(spark, sf).items()}
+    return load_summary_table(load_sources(spark, paths | {"not_configured": f"{base}/not_configured"}))
 
 
 @register("load_summary", _with_merged(f"""

@@ -10,8 +10,6 @@ from halyard.plans.placement_sql import placement_ctes, quota_ctes
 from halyard.plans.registry import R, register, round_doubles
 from halyard.sources import fixtures as X
 
-# Rounds that the SQL twins unroll, and passes of the fair-share loop: more than the test data takes.
-TWIN_ROUNDS, TWIN_PASSES = 10, 4
 FIX = ("jobs", "nodes", "user_quotas")
 
 SQL_DIMS = [("cpu_cores_required", "available_cpu_cores", "used_cpu", "INT"),
@@ -45,37 +43,15 @@ SCORE_SQL = ("COALESCE((1.0 - ABS(cpu_cores_required / (available_cpu_cores - us
              "(CASE WHEN n_placed = 0 THEN 1.0 ELSE 0.5 END) * 0.4, 0.0)")
 
 
-_OPEN_SQL = " AND ".join(f"s.{c} - s.{u} >= j.{d}" for d, c, u, _ in SQL_DIMS) + " AND s.is_available"
-
-
-def fair_share_sql(tag: str) -> str:
-    """Passes of: jobs that still fit somewhere, quotas on top of what is charged, placement, charge."""
-    out, rest, state, charged, placed = "", "sc_jobs", "sc_state", None, []
-    for k in range(1, TWIN_PASSES + 1):
-        t = f"{tag}{k}"
-        out += f""",
-{t}_open AS MATERIALIZED (SELECT * FROM {rest} j WHERE EXISTS (SELECT 1 FROM {state} s WHERE s.request_id = j.request_id AND {_OPEN_SQL}))"""
-        out += quota_ctes(f"{t}_open", ORDER_SQL["fair_share"], t, charged)
-        out += placement_ctes(f"{t}_fair", state, SQL_DIMS, ORDER_SQL["fair_share"], SCORE_SQL, TWIN_ROUNDS, extra_sql="s.is_available",
-                              tag=t, first_round=1 + (k - 1) * TWIN_ROUNDS)
-        placed.append(f"SELECT * FROM {t}_placements")
-        out += f""",
-{t}_charged AS MATERIALIZED (SELECT request_id, user_id, SUM(cpu_cores_required) AS cpu, SUM(memory_gb_required) AS memory, COUNT(*) AS jobs
-  FROM ({" UNION ALL ".join(placed)}) p GROUP BY request_id, user_id),
-{t}_rest AS MATERIALIZED (SELECT * FROM {t}_open WHERE job_id NOT IN (SELECT job_id FROM {t}_fair))"""
-        rest, state, charged = f"{t}_rest", f"{t}_state", f"{t}_charged"
-    return out + f",\n{tag}_placements AS MATERIALIZED ({' UNION ALL '.join(placed)})"
-
-
 def schedule_sql(policy: str) -> str:
     """CTEs ending in ``{tag}_sched`` (the schedule rows) for ``policy``."""
     tag = f"s_{policy[:4]}"
-    ctes = fair_share_sql(tag) if policy == "fair_share" else placement_ctes(
-        "sc_jobs", "sc_state", SQL_DIMS, ORDER_SQL[policy], SCORE_SQL, TWIN_ROUNDS, extra_sql="s.is_available", tag=tag)
+    ctes = placement_ctes("sc_jobs", "sc_state", SQL_DIMS, ORDER_SQL[policy], SCORE_SQL, extra_sql="s.is_available", tag=tag,
+                          quotas=policy == "fair_share")
     return ctes + f""",
 {tag}_tl AS (SELECT p.*, CAST(SUM(estimated_runtime_minutes) OVER w AS BIGINT) AS cum_min,
        CAST(ROW_NUMBER() OVER w - 1 AS INTEGER) AS queue_position FROM {tag}_placements p
-  WINDOW w AS (PARTITION BY request_id, node_id ORDER BY round, {ORDER_SQL[policy]}
+  WINDOW w AS (PARTITION BY request_id, node_id ORDER BY queue_rank
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 {tag}_sched AS (SELECT request_id, job_id, node_id,
        now + to_minutes(cum_min - estimated_runtime_minutes) AS scheduled_start_time,

@@ -30,7 +30,9 @@ def load_sources(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parq
             reader = reader.option("header", "true").option("inferSchema", "true")
         try:
             out[name] = reader.load(path)
-        except AnalysisException as exc:  # path does not exist
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":  # a wrong schema or format is an error
+                raise
             log.warning("source %s not found at %s: %s", name, path, exc.getMessage() if hasattr(exc, "getMessage") else exc)
     return out
 
