@@ -5,26 +5,33 @@ number.  For each of 48 hash functions the sketch takes the 2 labelled k-mers wi
 keeps them in text order, so two texts agree in an entry if they share both k-mers in the same order: a
 measure that follows edit similarity, not only the set overlap.  Length and number are set for the bound on
 edits: with a fifth of the words replaced at random about half of the 3-word k-mers stay (Jaccard 0.34), an
-entry agrees with chance 0.12 and none of 48 with about 0.002.
+entry agrees with chance 0.12 and none of 48 with about 0.002.  Short texts have too few k-mers for that: texts of up
+to 14 words have besides an entry for every way to delete up to a fifth of their words, and two such texts within
+the bound always agree in one.
 
 Texts that agree in an entry meet in a bucket.  Every member is paired with the bucket's smallest key, so a
-bucket of n texts gives n - 1 candidates, however large it is.  Each candidate is verified over the whole texts:
-the word edit distance, by a bit-parallel alignment inside the band of diagonals that the budget allows, must
-be at most a fifth of the longer text.  Members that the leader fails, as in a bucket of a common passage, meet
-again without it: what the leader lacks of each is sketched, members that agree there form buckets with a
-leader of their own, and so on until no new pair is left.  Texts that only share what an unrelated leader has
-too are not compared with each other.  Connected components of the verified links are the classes.
-
-Exact copies share a 64-bit key of their text and are sketched once per row but compared once.  Null texts
-and texts without a word stand alone.  Texts of fewer than 3 words have one k-mer, all their words.
+bucket of n texts gives n - 1 candidates, however large it is: one shuffle of (entry, key) pairs, sorted, and the first
+key of a run is its leader.  Each candidate is verified over the whole texts: the word edit distance, by a bit-parallel
+alignment inside the band of diagonals that the budget allows, must be at most a fifth of the longer text.  Members that
+the leader fails, as in a bucket of a common passage, meet again without it: what the leader lacks of each is sketched
+(short texts: all their deletions), members that agree there form buckets with a leader of their own, and so on until
+no new pair is left.  Long texts that only share what an unrelated leader has too are not compared with each other.
+Connected components of the verified links are the classes.
+
+Words are compared by 16-bit codes of their hashes: two unequal words pass as equal with chance 1 in 65,536.  Exact copies
+share a 64-bit key of their text and are sketched once per row but compared once; only texts of a candidate are moved.
+Null texts and texts without a word stand alone.  Texts of fewer than 3 words have one k-mer, all their words.
 Repeated rows fall into one class; an empty table gives an empty result.  A null doc_id is allowed.
 """
 
 from __future__ import annotations
 
+from functools import cache
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +43,9 @@ SKETCHES = 48        # hash functions
 LEFT_SKETCHES = 16   # those of what a leader lacks
 ORDERED = 2          # k-mers that each one keeps in text order
 MIN_SIMILARITY = 0.8
-CHUNK = 1 << 15      # k-mers of a text handled at once
+SHORT = 14           # words of a text up to which its deletions are indexed
+CHUNK = 1 << 13      # k-mers of a text handled at once
+MASKS = 1 << 25      # bytes of position masks that an alignment holds
 
 SCHEMA = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("tokens", T.BinaryType()),
                        T.StructField("sketch", T.ArrayType(T.LongType()))])
@@ -97,17 +106,39 @@ def smallest(h: np.ndarray, n: int) -> list[int]:
         p = np.concatenate([place, np.broadcast_to(np.arange(at, min(len(h), at + CHUNK)), (n, v.shape[1] - value.shape[1]))], axis=1)
         pick = np.argpartition(v, min(keep, v.shape[1]) - 1, axis=1)[:, :keep]
         place, value = np.take_along_axis(p, pick, 1), np.take_along_axis(v, pick, 1)
-    out = np.zeros(n, np.uint64)
+    out = _SEEDS[:n, 0].copy()  # entries of different functions differ
     for i in np.sort(place, axis=1).T:
         out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i])
     return out.view(np.int64).tolist()
 
 
+@cache
+def _kept(n: int, gone: int) -> np.ndarray:
+    """Places that stay when ``gone`` of ``n`` are deleted, one row for each way."""
+    return np.array(list(combinations(range(n), n - gone)), np.int64)
+
+
+def deletions(words: np.ndarray) -> list[int]:
+    """An entry for every way to delete at most a fifth of a short text's words."""
+    out = []
+    for gone in range(int(len(words) * (1 - MIN_SIMILARITY) + 1e-9) + 1):
+        h = np.full(1, len(words) - gone, np.uint64)
+        for i in _kept(len(words), gone).T:
+            h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + words[i])
+        out += h.view(np.int64).tolist()
+    return out
+
+
+def entries(words: np.ndarray) -> list[int]:
+    """The bucket values of a text with a word."""
+    return sketch(words) + (deletions(words) if len(words) <= SHORT else [])
+
+
 def _sketch_texts(texts: list) -> pd.DataFrame:
     rows = []
     for t in texts:
         w = word_hashes(t) if t else np.empty(0, np.uint64)
-        rows.append((len(w), (w >> np.uint64(48)).astype("<u2").tobytes(), sketch(w)) if len(w) else (0, b"", []))
+        rows.append((len(w), (w >> np.uint64(48)).astype("<u2").tobytes(), entries(w)) if len(w) else (0, b"", []))
     return pd.DataFrame(rows, columns=SCHEMA.names)
 
 
@@ -124,16 +155,14 @@ def banded_distance(a: list, b: list, budget: int) -> int:
         return budget + 1
     if budget >= m:  # the band covers everything: one vector of all columns, with the same recurrence
         budget = max(n, 1)
-    where: dict = {}
-    for i, x in enumerate(a):
-        where[x] = where.get(x, 0) | (1 << i)
+    mask = _masks(a)
     band = (1 << (2 * budget + 1)) - 1
     up, down = (band >> budget) << budget, 0   # vertical steps of +1 and -1
     top, distance = 2 * budget, budget         # follows the band's last diagonal, then the last column
     if budget > n:
         top, distance = budget + n, n
     for i in range(m):
-        x = where.get(b[i], 0)
+        x = mask(b[i])
         eq = ((x << budget) >> i) & band
         diagonal = ((((eq & up) + up) ^ up) | eq | down) & band
         right, left = (down | ~(diagonal | up)) & band, diagonal & up
@@ -147,6 +176,27 @@ def banded_distance(a: list, b: list, budget: int) -> int:
     return distance
 
 
+def _masks(a: list):
+    """The positions of a value in ``a`` as the bits of a number; the frequent values' numbers are held, within MASKS."""
+    places: dict = {}
+    for i, x in enumerate(a):
+        places.setdefault(x, []).append(i)
+    room = MASKS // (len(a) // 8 + 32)
+    often = places if len(places) <= room else sorted(places, key=lambda x: -len(places[x]))[:room]
+
+    def mask(x) -> int:
+        at = places.get(x)
+        if not at:
+            return 0
+        if len(at) < 8:
+            return sum(1 << i for i in at)
+        bits = np.zeros(at[-1] + 1, bool)
+        bits[at] = True
+        return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    held = {x: mask(x) for x in often}
+    return lambda x: held[x] if x in held else mask(x)
+
+
 def similar(a: bytes, b: bytes) -> bool:
     """Whether the word sequences (16-bit tokens) are within a fifth of the longer one's length in edits."""
     x, y = np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2")
@@ -163,10 +213,11 @@ def similar(a: bytes, b: bytes) -> bool:
 
 
 def left_over(a: bytes, leader: bytes) -> list[int]:
-    """Sketch of the k-mers of ``a`` that its leader lacks (none: empty)."""
-    h, its = (kmers(_mix(np.frombuffer(x, "<u2").astype(np.uint64) + np.uint64(1))) for x in (a, leader))
-    h = h[~np.isin(h, its)]
-    return smallest(h, LEFT_SKETCHES) if len(h) else []
+    """Bucket values of what its leader lacks of ``a``: its other k-mers, and all deletions of a short text."""
+    words, its = (_mix(np.frombuffer(x, "<u2").astype(np.uint64) + np.uint64(1)) for x in (a, leader))
+    h = kmers(words)
+    h = h[~np.isin(h, kmers(its))]
+    return (smallest(h, LEFT_SKETCHES) if len(h) else []) + (deletions(words) if len(words) <= SHORT else [])
 
 
 def sketched(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
@@ -178,33 +229,38 @@ def sketched(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFr
     return cut_lineage(out, "omh")
 
 
+def stars(rows: DataFrame, *within: str) -> DataFrame:
+    """Distinct (leader, key) pairs of ``rows`` (key, value): every bucket member with the bucket's smallest key.
+
+    Buckets are runs of equal value (and equal ``within``) in one sorted shuffle; nothing of a run is held.
+    """
+    run = Window.partitionBy(*within, "value").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.select("key", F.first("key").over(run).alias("first")).where("first <> key") \
+        .select(F.col("first").alias("leader"), "key").distinct()
+
+
 def candidates(rows: DataFrame) -> DataFrame:
-    """Distinct (leader, key) pairs: every bucket member with the bucket's smallest key."""
-    entries = rows.where(F.col("key").isNotNull()).select("key", F.posexplode("sketch").alias("j", "value"))
-    buckets = entries.groupBy("j", "value").agg(F.min("key").alias("leader"), F.max("key").alias("last")) \
-        .where("leader < last").drop("last")
-    return entries.join(buckets, ["j", "value"]).where("leader <> key").select("leader", "key").distinct()
+    return stars(rows.where(F.col("key").isNotNull()).select("key", F.explode("sketch").alias("value")))
 
 
 def links(rows: DataFrame) -> DataFrame:
     """Verified (leader, key) pairs: round by round, members that a leader failed with new leaders."""
-    tokens = cut_lineage(rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.first("tokens").alias("tokens")), "tokens")
+    pairs, seen = cut_lineage(candidates(rows), "pairs"), None
+    met = pairs.select("key").unionByName(pairs.select(F.col("leader").alias("key"))).distinct()
+    # the texts of candidates only, once each; later rounds pair the same texts anew
+    tokens = cut_lineage(rows.select("key", "tokens").join(met, "key").groupBy("key").agg(F.first("tokens").alias("tokens")), "tokens")
 
     @F.pandas_udf(JUDGED)
     def verify(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         ok = [similar(x, y) for x, y in zip(a, b)]
         return pd.DataFrame({"ok": ok, "left": [[] if k else left_over(x, y) for k, x, y in zip(ok, a, b)]}, columns=JUDGED.names)
-    pairs, seen = candidates(rows), None
     while True:
         both = pairs.join(tokens.withColumnRenamed("tokens", "a"), "key") \
             .join(tokens.select(F.col("key").alias("leader"), F.col("tokens").alias("b")), "leader")
         judged = cut_lineage(both.select("leader", "key", verify("a", "b").alias("v")), "judged")
         now = judged.select("leader", "key", "v.ok")
         seen = now if seen is None else seen.unionByName(now)
-        entries = judged.where("not v.ok").select("leader", "key", F.posexplode("v.left").alias("j", "value"))
-        buckets = entries.groupBy("leader", "j", "value").agg(F.min("key").alias("next"), F.max("key").alias("last")) \
-            .where("next < last").drop("last")
-        again = entries.join(buckets, ["leader", "j", "value"]).where("next <> key").select(F.col("next").alias("leader"), "key").distinct()
+        again = stars(judged.where("not v.ok").select(F.col("leader").alias("failed"), "key", F.explode("v.left").alias("value")), "failed")
         pairs = cut_lineage(again.join(seen, ["leader", "key"], "left_anti"), "again")
         if pairs.isEmpty():
             return seen.where("ok").select("leader", "key")
@@ -229,12 +285,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicate_classes(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row a document: doc_id, key, class_key (null key and class for texts without a word)."""
+    """One row a document: doc_id, key, class_key (both null for texts without a word), n_links.
+
+    ``n_links``: verified links of the document's text to other texts; copies of the text itself are not counted.
+    """
     rows = sketched(spark, docs, text)
     found = cut_lineage(links(rows).select(F.col("leader").alias("u"), F.col("key").alias("v")), "links")
-    labels = components(found)
+    ends = found.select(F.col("u").alias("node")).unionByName(found.select(F.col("v").alias("node")))
+    labels = components(found).join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), "node")
     return rows.select("doc_id", "key").join(labels.withColumnRenamed("node", "key"), "key", "left") \
-        .select("doc_id", "key", F.coalesce("label", "key").alias("class_key"))
+        .select("doc_id", "key", F.coalesce("label", "key").alias("class_key"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:

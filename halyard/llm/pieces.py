@@ -32,9 +32,10 @@ _held: dict[type, tuple] = {}
 
 
 def revive(cls: type, *state):
-    """The worker's ``cls(*state)``: one object of a class is held, so that its memories outlast a task and are
-    not held twice when another broadcast brings the same state."""
+    """The worker's ``cls(*state)``: the last object is held, so that its memories outlast a task and are not held
+    twice when another broadcast brings the same state; those of other stages are given up."""
     if cls not in _held or _held[cls][0] != state:
+        _held.clear()
         _held[cls] = state, cls(*state)
     return _held[cls][1]
 

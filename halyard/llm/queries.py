@@ -51,8 +51,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = found.where(F.col("key").isNotNull())
     ids = members.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_rows"))
     alone = found.where(F.col("key").isNull())
-    return members.join(ids, "class_key").select("doc_id", "class_id", "class_rows") \
-        .unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_rows")))
+    return members.join(ids, "class_key").select("doc_id", "class_id", "class_rows", "n_links") \
+        .unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_rows"), "n_links"))
 
 
 @query("op3_license_scan")

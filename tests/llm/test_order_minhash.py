@@ -87,6 +87,50 @@ def test_members_that_a_leader_failed_meet_again(spark):
     assert [tuple(r) for r in O.links(df).collect()] == [(1, 2)]
 
 
+def test_short_texts_within_the_bound_always_meet(spark, make_docs):
+    """Texts of 5 to 14 words with up to a fifth of edits: every pair within the bound is linked, as by all pairs."""
+    rng = random.Random(12)
+    texts = []
+    for n in range(5, 15):
+        for _ in range(12):
+            base = words(rng, n)
+            other = list(base)
+            for _ in range(n // 5):
+                at = rng.randrange(len(other))
+                kind = rng.randrange(3)
+                other[at:at + 1] = [other[at], "ins" + str(rng.random())[2:5]] if kind == 0 and len(other) <= n - 1 else [] if kind == 1 else ["sub" + str(rng.random())[2:5]]
+            texts += [base, other]
+    docs = make_docs([(i, " ".join(t), "en") for i, t in enumerate(texts)])
+    found = {r["doc_id"]: (r["class_key"], r["n_links"]) for r in O.near_duplicate_classes(spark, docs).collect()}
+    for i in range(0, len(texts), 2):
+        a, b = texts[i], texts[i + 1]
+        if distance(a, b) <= int(.2 * max(len(a), len(b)) + 1e-9):
+            assert found[i][0] == found[i + 1][0] and (a == b or found[i][1] > 0), (a, b)
+
+
+def test_recall_by_length():
+    """Entries in common at the bound, by length: pairs of a text and one with a fifth of its words replaced."""
+    rng = random.Random(13)
+    for n in (5, 8, 11, 14, 15, 20, 30, 60, 200):
+        met = 0
+        for _ in range(200):
+            base = words(rng, n)
+            other = list(base)
+            for at in rng.sample(range(n), n // 5):
+                other[at] = "new" + str(rng.random())[2:6]
+            met += bool(set(O.entries(O.word_hashes(" ".join(base)))) & set(O.entries(O.word_hashes(" ".join(other)))))
+        assert met >= (200 if n <= O.SHORT else 180), n
+
+
+def test_masks_are_bounded(monkeypatch):
+    rng = random.Random(14)
+    a = [rng.randint(0, 300) for _ in range(2000)]
+    b = [x for x in a if rng.random() < .95]
+    want = O.banded_distance(a, b, 400)
+    monkeypatch.setattr(O, "MASKS", 4000)
+    assert O.banded_distance(a, b, 400) == want == len(a) - len(b)
+
+
 def test_edges(spark, make_docs, edge_rows, empty_docs):
     docs = make_docs(edge_rows)
     rows = O.near_duplicate_classes(spark, docs).collect()
