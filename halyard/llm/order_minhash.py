@@ -16,7 +16,7 @@ alignment inside the band of diagonals that the budget allows, must be at most a
 the leader fails, as in a bucket of a common passage, meet again without it: what the leader lacks of each is sketched
 (short texts: all their deletions), members that agree there form buckets with a leader of their own, and so on until
 no new pair is left.  Long texts that only share what an unrelated leader has too are not compared with each other.
-Connected components of the verified links are the classes.
+Connected components of the verified links are the classes; a pair that is in one class already is not verified again.
 
 Words are compared by 16-bit codes of their hashes: two unequal words pass as equal with chance 1 in 65,536.  Exact copies
 share a 64-bit key of their text and are sketched once per row but compared once; only texts of a candidate are moved.
@@ -243,9 +243,19 @@ def candidates(rows: DataFrame) -> DataFrame:
     return stars(rows.where(F.col("key").isNotNull()).select("key", F.explode("sketch").alias("value")))
 
 
-def links(rows: DataFrame) -> DataFrame:
-    """Verified (leader, key) pairs: round by round, members that a leader failed with new leaders."""
-    pairs, seen = cut_lineage(candidates(rows), "pairs"), None
+def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs whose two texts are not in one class yet."""
+    a, b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}")) for c in ("leader", "key"))
+    return pairs.join(a, "leader").join(b, "key").where("_leader <> _key").select("leader", "key")
+
+
+def classes(rows: DataFrame) -> DataFrame:
+    """(node, label) of every text that met another: the smallest key of its class.
+
+    First every text is verified against the smallest of its leaders, then all pairs that are not in one class by
+    then, with the members that a leader failed and their new leaders, round by round until no such pair is left.
+    """
+    pairs = cut_lineage(candidates(rows), "pairs")
     met = pairs.select("key").unionByName(pairs.select(F.col("leader").alias("key"))).distinct()
     # the texts of candidates only, once each; later rounds pair the same texts anew
     tokens = cut_lineage(rows.select("key", "tokens").join(met, "key").groupBy("key").agg(F.first("tokens").alias("tokens")), "tokens")
@@ -254,16 +264,26 @@ def links(rows: DataFrame) -> DataFrame:
     def verify(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         ok = [similar(x, y) for x, y in zip(a, b)]
         return pd.DataFrame({"ok": ok, "left": [[] if k else left_over(x, y) for k, x, y in zip(ok, a, b)]}, columns=JUDGED.names)
+
+    labels = tokens.select(F.col("key").alias("node"), F.col("key").alias("label"))
+    now, seen = pairs.groupBy("key").agg(F.min("leader").alias("leader")).select("leader", "key"), None
     while True:
-        both = pairs.join(tokens.withColumnRenamed("tokens", "a"), "key") \
+        both = now.join(tokens.withColumnRenamed("tokens", "a"), "key") \
             .join(tokens.select(F.col("key").alias("leader"), F.col("tokens").alias("b")), "leader")
         judged = cut_lineage(both.select("leader", "key", verify("a", "b").alias("v")), "judged")
-        now = judged.select("leader", "key", "v.ok")
-        seen = now if seen is None else seen.unionByName(now)
+        done = judged.select("leader", "key")
+        seen = done if seen is None else seen.unionByName(done)
+        ends = [labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}")) for c in ("leader", "key")]
+        merged = components(judged.where("v.ok").select("leader", "key").join(ends[0], "leader").join(ends[1], "key")
+                            .select(F.col("_leader").alias("u"), F.col("_key").alias("v")))
+        labels = cut_lineage(labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+                             .select("node", F.coalesce("to", "label").alias("label")), "classes")
         again = stars(judged.where("not v.ok").select(F.col("leader").alias("failed"), "key", F.explode("v.left").alias("value")), "failed")
-        pairs = cut_lineage(again.join(seen, ["leader", "key"], "left_anti"), "again")
+        open_pairs = pairs.unionByName(again).distinct().join(seen, ["leader", "key"], "left_anti")
+        pairs = cut_lineage(across(open_pairs, labels), "again")
+        now = pairs
         if pairs.isEmpty():
-            return seen.where("ok").select("leader", "key")
+            return labels
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -285,16 +305,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicate_classes(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row a document: doc_id, key, class_key (both null for texts without a word), n_links.
-
-    ``n_links``: verified links of the document's text to other texts; copies of the text itself are not counted.
-    """
+    """One row a document: doc_id, key, class_key (both null for texts without a word)."""
     rows = sketched(spark, docs, text)
-    found = cut_lineage(links(rows).select(F.col("leader").alias("u"), F.col("key").alias("v")), "links")
-    ends = found.select(F.col("u").alias("node")).unionByName(found.select(F.col("v").alias("node")))
-    labels = components(found).join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), "node")
+    labels = classes(rows)
     return rows.select("doc_id", "key").join(labels.withColumnRenamed("node", "key"), "key", "left") \
-        .select("doc_id", "key", F.coalesce("label", "key").alias("class_key"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        .select("doc_id", "key", F.coalesce("label", "key").alias("class_key"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
