@@ -1,34 +1,32 @@
 """Structured Streaming versions of the gateway and alerting operators.
 
 Each function takes a *streaming* events DataFrame and returns the final
-table after the stream has consumed its input (see ``runner``).  Alert
-"for" durations (held for k minutes) are evaluated on the small windowed
+table after the stream has consumed its input (see ``runner``).  Counters keep
+only open windows from batch to batch (``delay`` behind the latest event) and
+late rows in a table of their own.  Alert "for" durations (held for k minutes) are evaluated on the small windowed
 result with equi self-joins on shifted window starts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from halyard.functions.scalar import error_flag
 from halyard.operators.gateway import LATENCY_BUCKETS, RATE_LIMIT, RATE_WINDOW_SECONDS, with_service
 from halyard.sources import fixtures as X
-from halyard.streaming.runner import run_append, run_update, with_event_time
+from halyard.streaming.runner import DELAY, run_processor, run_update, run_windows, with_event_time
+from halyard.streaming.stateful import DECIDED, SILENT, RateLimiter, SilenceWatch
 
 # Fixed values that must equal the reference's alert rules.
 ERROR_RATE_PER_S, ERROR_WINDOW_MIN, ERROR_HOLD_MIN = 0.1, 5, 2
 LATENCY_P95_S, LATENCY_HOLD_MIN = 5.0, 2
-DOWN_WINDOW = "1 minute"
 RESTART_WINDOW_MIN, RESTART_HOLD_MIN = 15, 5
 MINUTE = "1 minute"
 
 
-def _start(c: str = "window") -> Column:
-    return F.col(f"{c}.start").cast("timestamp_ntz").alias("window_start")
+def _count(condition: Column) -> tuple[str, Column]:
+    return "sum", F.when(condition, 1).otherwise(0).cast("bigint")
 
 
 def sliding(minutes: DataFrame, keys: list[str], length: int, sums: list[str]) -> DataFrame:
@@ -56,19 +54,16 @@ def held(df: DataFrame, keys: list[str], minutes: int, flag: str = "firing") ->
     return out.withColumn("held", cond).drop(*[f"_h{i}" for i in range(1, minutes + 1)])
 
 
-def stream_request_counters(events: DataFrame, spark=None) -> DataFrame:
+def stream_request_counters(events: DataFrame, spark=None, delay: str = DELAY) -> DataFrame:
     r = with_event_time(with_service(X.gateway_requests(spark, "", src=events)))
-    agg = r.groupBy(F.window("ts", "1 minute"), "service", "method", "status").agg(
-        F.count(F.lit(1)).alias("n_requests"), F.count_if(error_flag(F.col("status"))).alias("n_errors"))
-    out = run_update(agg.select(_start(), "service", "method", "status", "n_requests", "n_errors"),
-                     ["window_start", "service", "method", "status"], "counters")
-    return out
+    aggs = {"n_requests": _count(F.lit(True)), "n_errors": _count(error_flag(F.col("status")))}
+    return run_windows(r, MINUTE, ["service", "method", "status"], aggs, "counters", delay)
 
 
-def stream_error_rate_alert(events: DataFrame, spark=None) -> DataFrame:
+def stream_error_rate_alert(events: DataFrame, spark=None, delay: str = DELAY) -> DataFrame:
     r = with_event_time(X.gateway_requests(spark, "", src=events))
-    agg = r.groupBy(F.window("ts", MINUTE)).agg(F.count_if(error_flag(F.col("status"))).alias("n_errors"))
-    out = sliding(run_update(agg.select(_start(), "n_errors"), ["window_start"], "error-rate"), [], ERROR_WINDOW_MIN, ["n_errors"])
+    minutes = run_windows(r, MINUTE, [], {"n_errors": _count(error_flag(F.col("status")))}, "error-rate", delay)
+    out = sliding(minutes, [], ERROR_WINDOW_MIN, ["n_errors"])
     rate = out.withColumn("error_rate", F.col("n_errors") / 300.0) \
         .withColumn("firing", F.col("error_rate") > ERROR_RATE_PER_S)
     return held(rate, [], ERROR_HOLD_MIN)
@@ -90,34 +85,28 @@ def quantile_from_buckets(q: float, counts: list[str], total: str) -> Column:
     return expr
 
 
-def stream_latency_alert(events: DataFrame, spark=None) -> DataFrame:
+def stream_latency_alert(events: DataFrame, spark=None, delay: str = DELAY) -> DataFrame:
     r = with_event_time(with_service(X.gateway_requests(spark, "", src=events)))
     names = [f"b{i}" for i in range(len(LATENCY_BUCKETS) + 1)]
-    aggs = [F.count_if(F.col("latency_seconds") <= le).alias(names[i]) for i, le in enumerate(LATENCY_BUCKETS)]
-    aggs.append(F.count(F.lit(1)).alias(names[-1]))
-    agg = r.groupBy(F.window("ts", MINUTE), "service").agg(*aggs)
-    out = sliding(run_update(agg.select(_start(), "service", *names), ["window_start", "service"], "latency"),
-                  ["service"], ERROR_WINDOW_MIN, names)
+    aggs = {names[i]: _count(F.col("latency_seconds") <= le) for i, le in enumerate(LATENCY_BUCKETS)} | {names[-1]: _count(F.lit(True))}
+    out = sliding(run_windows(r, MINUTE, ["service"], aggs, "latency", delay), ["service"], ERROR_WINDOW_MIN, names)
     p95 = out.withColumn("p95_seconds", quantile_from_buckets(0.95, names, names[-1]))
     flagged = p95.select("window_start", "service", "p95_seconds",
                          (F.coalesce(F.col("p95_seconds"), F.lit(0.0)) > LATENCY_P95_S).alias("firing"))
     return held(flagged, ["service"], LATENCY_HOLD_MIN)
 
 
-def stream_service_down(events: DataFrame, spark=None) -> DataFrame:
+def stream_service_down(events: DataFrame, spark=None, delay: str = DELAY) -> DataFrame:
     h = with_event_time(X.health_checks(spark, "", src=events))
-    agg = h.groupBy(F.window("ts", DOWN_WINDOW), "service").agg(
-        F.count(F.lit(1)).alias("n_samples"), F.max((F.col("status") == "healthy").cast("int")).alias("max_up"))
-    out = run_update(agg.select(_start(), "service", "n_samples", "max_up"), ["window_start", "service"], "down")
-    return out.withColumn("down", F.col("max_up") == 0)
+    aggs = {"n_samples": _count(F.lit(True)), "max_up": ("max", (F.col("status") == "healthy").cast("int"))}
+    return run_windows(h, MINUTE, ["service"], aggs, "down", delay).withColumn("down", F.col("max_up") == 0)
 
 
-def stream_restart_alert(events: DataFrame, spark=None) -> DataFrame:
+def stream_restart_alert(events: DataFrame, spark=None, delay: str = DELAY) -> DataFrame:
     """Restarts = unhealthy samples; rate over 15 min > 0 held for 5 min."""
     h = with_event_time(X.health_checks(spark, "", src=events))
-    agg = h.groupBy(F.window("ts", MINUTE), "service").agg(F.count_if(F.col("status") != "healthy").alias("restarts"))
-    out = sliding(run_update(agg.select(_start(), "service", "restarts"), ["window_start", "service"], "restarts"),
-                  ["service"], RESTART_WINDOW_MIN, ["restarts"])
+    minutes = run_windows(h, MINUTE, ["service"], {"restarts": _count(F.col("status") != "healthy")}, "restarts", delay)
+    out = sliding(minutes, ["service"], RESTART_WINDOW_MIN, ["restarts"])
     return held(out.withColumn("firing", F.col("restarts") > 0), ["service"], RESTART_HOLD_MIN)
 
 
@@ -131,48 +120,26 @@ def stream_health_state(events: DataFrame, spark=None) -> DataFrame:
 
 
 def stream_rate_limit(events: DataFrame, spark=None, limit: int = RATE_LIMIT,
-                      window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
-    """Accepted-only sliding log per client (rejected requests do not count).
+                      window_seconds: int = RATE_WINDOW_SECONDS, delay: str = DELAY) -> DataFrame:
+    """Accepted-only sliding log per client (rejected requests do not count), decided while the stream runs.
 
-    A decision depends on the client's accepted requests before it in event time, so the stream only logs
-    requests; when the input has ended, the log is decided in event-time order, whatever order files came in.
-    Rows are sorted by (client, time, request) in Spark and pass through one at a time; what is held is one
-    client's accepted times inside the window, never more than ``limit``.
+    A request waits until the watermark has passed it, then its client's requests are decided in event-time order, so
+    they may come in any order within ``delay``.  A client's state is the waiting requests and at most ``limit`` times.
     """
-    win_us = window_seconds * 1_000_000
-    log = run_append(X.gateway_requests(spark, "", src=events).select(
-        "request_id", "client_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us")), "rate-limit")
-
-    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client, accepted = None, []
-        for rows in batches:
-            rejected = []
-            for c, t in zip(rows["client_id"].tolist(), rows["t_us"].tolist()):
-                if c != client:
-                    client, accepted = c, []
-                accepted = [a for a in accepted if t - a < win_us]
-                rejected.append(len(accepted) >= limit)
-                if not rejected[-1]:
-                    accepted.append(t)
-            yield rows.assign(rejected=rejected)
-
-    ordered = log.repartition("client_id").sortWithinPartitions("client_id", "t_us", "request_id")
-    out = ordered.mapInPandas(decide, "request_id long, client_id long, t_us long, rejected boolean")
-    return out.select("request_id", "client_id", F.timestamp_micros("t_us").cast("timestamp_ntz").alias("ts"),
-                      "rejected")
-
-
-def stream_workload_hourly(events: DataFrame, spark=None) -> DataFrame:
-    """Hourly telemetry rows from the event stream; the state is one row an hour and user."""
+    out, _ = run_processor(events, lambda e: X.gateway_requests(spark, "", src=e).select("request_id", "client_id", "ts"), "client_id",
+                           RateLimiter(limit, window_seconds * 1_000_000), DECIDED, delay, name="rate-limit")
+    return out.select("request_id", "client_id", F.timestamp_micros("t_us").cast("timestamp_ntz").alias("ts"), "rejected")
+
+
+def stream_workload_hourly(events: DataFrame, spark=None, delay: str = DELAY) -> DataFrame:
+    """Hourly telemetry rows from the event stream; what is carried is one row an open hour and user."""
     e = with_event_time(events)
-    agg = e.groupBy(F.window("ts", "1 hour"), "user_id").agg(
-        F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("_cents"), F.count(F.lit(1)).alias("_n"),
-        F.max("value").alias("_vmax"), F.sum(F.when(F.col("event_type") == "click", 1).otherwise(0)).alias("_clicks"))
-    users = run_update(agg.select(_start().alias("timestamp_h"), "user_id", "_cents", "_n", "_vmax", "_clicks"),
-                       ["timestamp_h", "user_id"], "hourly")
+    aggs = {"c_cents": ("sum", F.round(F.col("value") * 100).cast("bigint")), "c_n": _count(F.lit(True)), "c_vmax": ("max", F.col("value")),
+            "c_clicks": _count(F.col("event_type") == "click")}
+    users = run_windows(e, "1 hour", ["user_id"], aggs, "hourly", delay).withColumnRenamed("window_start", "timestamp_h")
     out = users.groupBy("timestamp_h").agg(
-        F.sum("_cents").alias("_cents"), F.sum("_n").alias("_n"), F.max("_vmax").alias("_vmax"),
-        F.sum("_clicks").alias("_clicks"), F.count("user_id").alias("_users"))
+        F.sum("c_cents").alias("_cents"), F.sum("c_n").alias("_n"), F.max("c_vmax").alias("_vmax"),
+        F.sum("c_clicks").alias("_clicks"), F.count("user_id").alias("_users"))
     return out.select(
         "timestamp_h",
         F.least(F.col("_cents") / (F.col("_n") * 10000).cast("double"), F.lit(1.0)).alias("cpu_usage"),
@@ -182,20 +149,14 @@ def stream_workload_hourly(events: DataFrame, spark=None) -> DataFrame:
         F.col("_users").cast("bigint").alias("active_jobs"), F.lit(100).alias("cluster_size"))
 
 
-def stream_service_absence(events: DataFrame, spark=None, gap_seconds: int = 60) -> DataFrame:
+def stream_service_absence(events: DataFrame, spark=None, gap_seconds: int = 60, delay: str = DELAY) -> DataFrame:
     """Down intervals: no healthy sample of a service for more than ``gap_seconds``.
 
-    The stream keeps the first and last healthy time of each (service, window of ``gap_seconds``); inside a
-    window no gap can be long enough.  Ordered by window, a gap from one window's last time to the next one's
-    first that exceeds the limit becomes (down_from = last healthy + limit, down_until = next healthy sample).
-    A gap still open at the end of the input is not reported.
+    A timer per service reports the interval while the service is silent (down_until null) and again with its end when
+    a healthy sample comes; the last word on each interval is returned.  One still open at the end stays null.
     """
-    h = with_event_time(X.health_checks(spark, "", src=events).where(F.col("status") == "healthy"))
-    t = F.unix_micros("ts")
-    agg = h.groupBy(F.window("ts", f"{gap_seconds} seconds"), "service").agg(F.min(t).alias("first_us"), F.max(t).alias("last_us"))
-    parts = run_update(agg.select(_start(), "service", "first_us", "last_us"), ["window_start", "service"], "absence")
-    before = F.lag("last_us").over(Window.partitionBy("service").orderBy("window_start"))
-    gaps = parts.select("service", (before + gap_seconds * 1_000_000).alias("from_us"), F.col("first_us").alias("until_us"))
-    return gaps.where("from_us < until_us").select(
-        "service", F.timestamp_micros("from_us").cast("timestamp_ntz").alias("down_from"),
-        F.timestamp_micros("until_us").cast("timestamp_ntz").alias("down_until"))
+    reported, _ = run_processor(events, lambda e: X.health_checks(spark, "", src=e).select("service", "status", "ts"), "service",
+                                SilenceWatch(gap_seconds * 1_000_000), SILENT, delay, name="absence")
+    last = reported.groupBy("service", "from_us").agg(F.max("until_us").alias("until_us"))
+    return last.select("service", F.timestamp_micros("from_us").cast("timestamp_ntz").alias("down_from"),
+                       F.timestamp_micros("until_us").cast("timestamp_ntz").alias("down_until"))
