@@ -13,14 +13,16 @@ differs by at most 1, so windows that cannot reach the budget are skipped withou
 Items are indexed in patterns: a window every 200 characters with the up to 199 characters after it, so each
 window lies in one pattern and a q-gram is indexed at most twice.
 
-Where T would fall below 1 the budget is lowered, down to exact occurrence.  Items of fewer than 8 characters
-never match.  Null texts and items match nothing; an empty benchmark matches nothing.  Equal items are all
+Where T would fall below 1 the budget is lowered, down to exact occurrence.  Items of fewer than 8 characters have no
+q-gram: they match exactly, as whole words.  Null texts and items match nothing; an empty benchmark matches nothing.  Equal items are all
 reported; repeated documents are judged row by row.  Long texts are scanned in pieces that overlap by more
-than an occurrence.
+than an occurrence, and pieces in which very many q-grams are shared (runs of one character) are halved first, so
+that the places held at once are bounded.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,11 +39,14 @@ EDITS = 0.10          # edit budget as a share of the pattern
 LONGEST = 200         # characters of a window
 BLOCK = 20_000        # patterns of a block: bounds what is broadcast at once (about 100 MB)
 PIECE = 1 << 20       # characters of a text scanned at once
+SHARED = 1 << 18      # pairs of places, in the text and in patterns, from which a piece is halved
 TABLE_BITS = 22
 
 HITS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("edits", T.IntegerType()),
                                  T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
 
+WORD = re.compile("[^ ]+")
+
 _K1, _K2, _K4 = (np.uint64(pow(0x9E3779B97F4A7C15, n, 1 << 64)) for n in (1, 2, 4))
 _table: np.ndarray | None = None
 
@@ -91,6 +96,12 @@ class Block:
     """The patterns of some benchmark items and the index of their q-grams."""
 
     def __init__(self, items: list[tuple[int, np.ndarray, np.ndarray]]):
+        self.short: dict[str, list[int]] = {}
+        for i, a, _ in items:
+            if len(a) < Q:
+                self.short.setdefault(_string(a), []).append(i)
+        self.short_words = sorted({s.count(" ") + 1 for s in self.short})
+        items = [x for x in items if len(x[1]) >= Q]
         whole = [np.concatenate([a, after]) for _, a, after in items]
         self.item = [i for i, _, _ in items]
         self.text = [_string(a) for a in whole]
@@ -106,14 +117,28 @@ class Block:
         self.seen = np.zeros(1 << TABLE_BITS, bool)
         self.seen[self.gram >> np.uint64(64 - TABLE_BITS)] = True
 
-    def regions(self, a: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-        """(pattern, first, last, from, to): windows of the pattern, by where they start, that share their threshold
-        of q-grams with one diagonal band, and the part of ``a`` that they and the band span."""
+    def shared(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Places in ``a`` of known q-grams, their entries, and the number of pairs of places."""
         h = qgrams(a)
         at = np.flatnonzero(self.seen[h >> np.uint64(64 - TABLE_BITS)])
         entry = np.minimum(np.searchsorted(self.gram, h[at]), len(self.gram) - 1)
         known = self.gram[entry] == h[at]
         at, entry = at[known], entry[known]
+        return at, entry, int(self.count[entry].sum())
+
+    def words(self, whole: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, first, last) of the short items that stand in a text as whole words."""
+        text = _string(whole)
+        bounds = [m.span() for m in WORD.finditer(text)]
+        for n in self.short_words:
+            for i in range(len(bounds) - n + 1):
+                low, high = bounds[i][0], bounds[i + n - 1][1]
+                for item in self.short.get(text[low:high], ()) if high - low < Q else ():
+                    yield item, int(at[low]), int(at[high - 1])
+
+    def regions(self, a: np.ndarray, at: np.ndarray, entry: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """(pattern, first, last, from, to): windows of the pattern, by where they start, that share their threshold
+        of q-grams with one diagonal band, and the part of ``a`` that they and the band span."""
         if not len(at):
             return
         low, n = self.first[entry], self.count[entry]
@@ -207,15 +232,25 @@ def occurrences(block: Block, p: int, first: int, last: int, region: str) -> tup
 
 def scan(text: str | None, block: Block) -> list[tuple[int, int, int, int]]:
     """Per item found: (item_id, fewest edits of a window, first and last character of all its occurrences)."""
-    if not text or not len(block.gram):
+    if not text or not len(block.gram) and not block.short:
         return []
     whole, at = normal(text)
     found: dict[int, tuple[int, int, int]] = {}
+    for item, begin, end in block.words(whole, at) if block.short else ():
+        was = found.get(item, (0, begin, end))
+        found[item] = (0, min(was[1], begin), max(was[2], end))
     overlap = 4 * LONGEST
-    for start in range(0, max(1, len(whole)), PIECE):
-        a = whole[start:start + PIECE + overlap]
+    pieces = [(start, PIECE) for start in range(0, len(whole), PIECE)][::-1] if len(block.gram) else []
+    while pieces:
+        start, size = pieces.pop()
+        a = whole[start:start + size + overlap]
+        places, entry, pairs = block.shared(a)
+        if pairs > SHARED and size > overlap:
+            half = size // 2
+            pieces += [(start + half, size - half), (start, half)]
+            continue
         done: dict[tuple[int, int, int], int] = {}  # pattern and windows -> end of the last occurrence
-        for p, first, last, low, high in block.regions(a):
+        for p, first, last, low, high in block.regions(a, places, entry):
             if done.get((p, first, last), -1) >= high - int(block.window[p]) // 2:
                 continue
             got = occurrences(block, p, first, last, _string(a[low:high]))
@@ -235,7 +270,7 @@ def patterns(item_id: int, text: str | None) -> Iterator[tuple[int, np.ndarray,
     a = normal(text)[0] if text else np.empty(0, np.uint32)
     a = a[1:] if len(a) and a[0] == 32 else a
     a = a[:-1] if len(a) and a[-1] == 32 else a
-    if len(a) < Q:
+    if not len(a):
         return
     for at in range(0, max(1, len(a) - LONGEST + 1), LONGEST):
         yield item_id, a[at:at + LONGEST], a[at + LONGEST:at + 2 * LONGEST - 1]

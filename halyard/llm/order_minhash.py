@@ -46,6 +46,7 @@ MIN_SIMILARITY = 0.8
 SHORT = 14           # words of a text up to which its deletions are indexed
 CHUNK = 1 << 13      # k-mers of a text handled at once
 MASKS = 1 << 25      # bytes of position masks that an alignment holds
+FEW = 500_000        # rows of keys that may be broadcast: at most 12 MB
 
 SCHEMA = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("tokens", T.BinaryType()),
                        T.StructField("sketch", T.ArrayType(T.LongType()))])
@@ -243,6 +244,11 @@ def candidates(rows: DataFrame) -> DataFrame:
     return stars(rows.where(F.col("key").isNotNull()).select("key", F.explode("sketch").alias("value")))
 
 
+def few(keys: DataFrame, rows: int | None = None) -> DataFrame:
+    """A written table of keys, broadcast if it has FEW rows at most; otherwise a join shuffles both sides."""
+    return F.broadcast(keys) if (keys.count() if rows is None else rows) <= FEW else keys
+
+
 def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs whose two texts are not in one class yet."""
     a, b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}")) for c in ("leader", "key"))
@@ -256,9 +262,9 @@ def classes(rows: DataFrame) -> DataFrame:
     then, with the members that a leader failed and their new leaders, round by round until no such pair is left.
     """
     pairs = cut_lineage(candidates(rows), "pairs")
-    met = pairs.select("key").unionByName(pairs.select(F.col("leader").alias("key"))).distinct()
+    met = cut_lineage(pairs.select("key").unionByName(pairs.select(F.col("leader").alias("key"))).distinct(), "met")
     # the texts of candidates only, once each; later rounds pair the same texts anew
-    tokens = cut_lineage(rows.select("key", "tokens").join(met, "key").groupBy("key").agg(F.first("tokens").alias("tokens")), "tokens")
+    tokens = cut_lineage(rows.select("key", "tokens").join(few(met), "key").groupBy("key").agg(F.first("tokens").alias("tokens")), "tokens")
 
     @F.pandas_udf(JUDGED)
     def verify(a: pd.Series, b: pd.Series) -> pd.DataFrame:
@@ -266,10 +272,11 @@ def classes(rows: DataFrame) -> DataFrame:
         return pd.DataFrame({"ok": ok, "left": [[] if k else left_over(x, y) for k, x, y in zip(ok, a, b)]}, columns=JUDGED.names)
 
     labels = tokens.select(F.col("key").alias("node"), F.col("key").alias("label"))
-    now, seen = pairs.groupBy("key").agg(F.min("leader").alias("leader")).select("leader", "key"), None
+    now, seen = cut_lineage(pairs.groupBy("key").agg(F.min("leader").alias("leader")).select("leader", "key"), "first"), None
     while True:
-        both = now.join(tokens.withColumnRenamed("tokens", "a"), "key") \
-            .join(tokens.select(F.col("key").alias("leader"), F.col("tokens").alias("b")), "leader")
+        n = now.count()
+        leaders = tokens.select(F.col("key").alias("leader"), F.col("tokens").alias("b")).join(few(now.select("leader").distinct(), n), "leader")
+        both = tokens.withColumnRenamed("tokens", "a").join(few(now, n), "key").join(leaders, "leader")
         judged = cut_lineage(both.select("leader", "key", verify("a", "b").alias("v")), "judged")
         done = judged.select("leader", "key")
         seen = done if seen is None else seen.unionByName(done)

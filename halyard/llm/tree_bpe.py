@@ -10,10 +10,12 @@ their bytes stand alone, so that merge would also come first there, and [a, b] w
 halves are encodings, the window is one too, so it is enough that the window's first and last token are
 compatible with the tokens outside; otherwise the window doubles on that side.
 
-Decoding concatenates the tokens' bytes, halves first, up the same kind of tree.
+At the pattern's own boundaries no window is needed: matches, parts and stretches of a text are joined by
+concatenation.  Decoding concatenates the tokens' bytes, halves first, up the same kind of tree.
 
-Null texts count as empty: no ids.  Very long texts are encoded stretch by stretch, very long matches by
-the tree.  Tokens in the text that look like special ones are ordinary text.
+Null and empty texts have no ids.  Very long texts are encoded stretch by stretch; a match of any length is halved
+by the tree.  Tokens in the text that look like special ones are ordinary text.  Repeated rows are encoded alike, an
+empty table gives no rows, and only the text column is read, whatever the others are called.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 from halyard.llm.common import map_text, small_batches
 from halyard.llm.pieces import BLANK_IN_RUN, Memory, Parts, groups, piece_values, revive
 
-LEAF = 24        # bytes merged directly
+LEAF = 6         # bytes merged directly
 NO_RANK = 1 << 30
 
 SCHEMA = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
@@ -126,7 +128,7 @@ class TreeBpe:
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of little-endian ids."""
-        if len(ids) > 1 << 18:
+        if len(ids) > 1 << 14:
             half = len(ids) // 8 * 4
             return self.decode(ids[:half]) + self.decode(ids[half:])
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))

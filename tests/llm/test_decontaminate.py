@@ -82,6 +82,36 @@ def test_pieces_of_long_texts(monkeypatch):
     assert D.scan(doc, block) == want and doc[want[0][2]:want[0][3] + 1].strip() == item
 
 
+def test_short_items_match_as_whole_words():
+    block = D.Block([p for i, t in enumerate(["Hello", "a b", "日本", "x"]) for p in D.patterns(i, t)])
+    assert D.scan("Say: HELLO, world", block) == [(0, 0, 5, 9)]
+    assert D.scan("hello a, B. hello!", block) == [(0, 0, 0, 16), (1, 0, 6, 9)]
+    assert D.scan("othello hellos ab 日本語", block) == []
+    assert [h[0] for h in D.scan("日本 x", block)] == [2, 3]
+
+
+def test_runs_of_one_character_take_little_memory():
+    import tracemalloc
+    block = D.Block(list(D.patterns(1, "a" * 200)) + list(D.patterns(2, "b" * 500)))
+    doc = "a" * 60_000
+    tracemalloc.start()
+    got = D.scan(doc, block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [h[:3] for h in got] == [(1, 0, 0)] and got[0][3] >= len(doc) - 200 and peak < 200 << 20
+
+
+def test_halving_changes_nothing(monkeypatch):
+    rng = random.Random(11)
+    items = [text_of(rng, 50) for _ in range(10)]
+    block = D.Block([p for i, t in enumerate(items) for p in D.patterns(i, t)])
+    doc = " ".join(text_of(rng, 200) + " " + edit(rng, rng.choice(items)[:180], 8) for _ in range(12))
+    want = D.scan(doc, block)
+    monkeypatch.setattr(D, "SHARED", 50)
+    got = D.scan(doc, block)
+    assert want and [(h[0], h[1]) for h in got] == [(h[0], h[1]) for h in want]
+
+
 def test_registered_query_finds_every_exact_passage(spark, sf):
     normal = lambda t: " " + D._string(D.normal(t or "")[0]).strip() + " "
     docs = {r["doc_id"]: normal(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
