@@ -3,8 +3,10 @@
 Two histograms are taken of each whole text: character classes, and common words (a fixed list of frequent
 function words; every other word is one more bin).  They are compared with references, the same histograms
 summed over each language's well-formed documents, by Jensen-Shannon distance (base 2, 0 to 1).  The nearest
-reference counts, so a missing or wrong language label does no harm.  Short texts have noisy histograms, so
-each comparison has a minimum length; a text below it passes that comparison.
+reference by the sum of both distances counts, so a missing or wrong language label does no harm, and a language needs
+a number of documents and words to be a reference, so a few rows of a rare label make none.  A text goes if its
+classes are too far off, if both histograms are off, or, for long texts, if its common words alone are.  Short texts
+have noisy histograms, so each comparison has a minimum length; a text below it passes that comparison.
 
 Base rules: a text fails with under 50 words, or if over half of its words stand in 3-word windows that
 occur twice or more in it.  Windows are compared by a 64-bit hash.
@@ -26,8 +28,12 @@ MIN_CHARS = 200               # word characters from which the histograms are co
 MIN_WORDS_IN_REFERENCE = 100  # words from which a document counts for its language's reference
 MAX_CLASS_DISTANCE = 0.28     # character classes alone
 BOTH_CLASS_DISTANCE = 0.17    # character classes and common words both far off
-BOTH_COMMON_DISTANCE = 0.26
+BOTH_COMMON_DISTANCE = 0.27
 MIN_WORDS_FOR_COMMON = 80     # words from which the common words are compared
+# Common words alone, for long texts: from so many words on, the distance that is too far.
+COMMON_ALONE = ((300, 0.31), (800, 0.25))
+# What a language must have to be a reference: documents that are fit for it, and words in them.
+MIN_REFERENCE_DOCS, MIN_REFERENCE_WORDS = 10, 2000
 
 # Frequent function words of English, French, German and Spanish.
 COMMON_WORDS = {
@@ -107,9 +113,12 @@ def references(measured: DataFrame) -> DataFrame:
     """
     fit = measured.where(F.col("_lang").isNotNull() & (F.col("_q.n_words") >= MIN_WORDS_IN_REFERENCE)
                          & (10 * F.col("_q.n_symbols") < F.col("_q.word_chars")))
-    bins = fit.select(F.col("_lang").alias("lang"), F.posexplode(F.concat("_q.classes", "_q.common"))) \
+    size = F.array(F.lit(1).cast("long"), F.col("_q.n_words"))
+    bins = fit.select(F.col("_lang").alias("lang"), F.posexplode(F.concat(size, "_q.classes", "_q.common"))) \
         .groupBy("lang", "pos").agg(F.sum("col").alias("n"))
     rows = bins.groupBy("lang").agg(F.expr("transform(sort_array(collect_list(struct(pos, n))), x -> x.n)").alias("n")) \
+        .where((F.get("n", F.lit(0)) >= MIN_REFERENCE_DOCS) & (F.get("n", F.lit(1)) >= MIN_REFERENCE_WORDS)) \
+        .withColumn("n", F.slice("n", 3, N_CLASSES + len(COMMON) + 1)) \
         .select("lang", _shares(F.slice("n", 1, N_CLASSES)).alias("classes"),
                 _shares(F.slice("n", N_CLASSES + 1, len(COMMON) + 1)).alias("common"))
     rows = rows.withColumn("classes_terms", _entropy_terms(F.col("classes"))) \
@@ -143,14 +152,19 @@ def judge(measured: DataFrame, refs: DataFrame) -> DataFrame:
     d = d.withColumn("_pc", _shares(F.col("_q.classes"))).withColumn("_pw", _shares(F.col("_q.common")))
     d = d.withColumn("_fc", _entropy_terms(F.col("_pc"))).withColumn("_fw", _entropy_terms(F.col("_pw")))
 
-    def nearest(field: str, p: str, terms: str) -> Column:
-        return F.array_min(F.transform("_refs", lambda r: js_distance(F.col(p), r[field], F.col(terms), r[f"{field}_terms"])))
-    d = d.withColumn("_dc", nearest("classes", "_pc", "_fc")).withColumn("_dw", nearest("common", "_pw", "_fw"))
+    def to(r: Column) -> Column:
+        classes = js_distance(F.col("_pc"), r["classes"], F.col("_fc"), r["classes_terms"])
+        common = js_distance(F.col("_pw"), r["common"], F.col("_fw"), r["common_terms"])
+        return F.struct((classes + common).alias("both"), classes.alias("classes"), common.alias("common"))
+    d = d.withColumn("_near", F.array_min(F.transform("_refs", to)))
+    d = d.withColumn("_dc", F.col("_near.classes")).withColumn("_dw", F.col("_near.common"))
     base = (F.col("_q.n_words") < MIN_WORDS) | \
         (100 * F.col("_q.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_q.n_words"))
     long_enough = (F.col("_q.word_chars") >= MIN_CHARS) & (F.col("_q.n_words") >= MIN_WORDS)
     bad = long_enough & ((F.col("_dc") > MAX_CLASS_DISTANCE)
                          | (F.col("_q.n_words") >= MIN_WORDS_FOR_COMMON) & (F.col("_dc") > BOTH_CLASS_DISTANCE) & (F.col("_dw") > BOTH_COMMON_DISTANCE))
+    for words, distance in COMMON_ALONE:
+        bad = bad | long_enough & (F.col("_q.n_words") >= words) & (F.col("_dw") > distance)
     bad = F.coalesce(bad, F.lit(False))
     return d.select(*cols, F.struct(base.alias("base_failed"), F.col("_dc").alias("class_distance"),
                                     F.col("_dw").alias("common_distance"), (~base & ~bad).alias("kept")).alias("_verdict"))

@@ -105,11 +105,11 @@ def test_halving_changes_nothing(monkeypatch):
     rng = random.Random(11)
     items = [text_of(rng, 50) for _ in range(10)]
     block = D.Block([p for i, t in enumerate(items) for p in D.patterns(i, t)])
-    doc = " ".join(text_of(rng, 200) + " " + edit(rng, rng.choice(items)[:180], 8) for _ in range(12))
+    doc = " ".join(text_of(rng, 200) + " " + edit(rng, rng.choice(items), 8) for _ in range(12))
     want = D.scan(doc, block)
     monkeypatch.setattr(D, "SHARED", 50)
     got = D.scan(doc, block)
-    assert want and [(h[0], h[1]) for h in got] == [(h[0], h[1]) for h in want]
+    assert want and [h[0] for h in got] == [h[0] for h in want]  # the fewest edits may be met in other windows
 
 
 def test_registered_query_finds_every_exact_passage(spark, sf):

@@ -1,6 +1,7 @@
 """Base figures against a plain count, the distances, references, edges."""
 
 import math
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -60,6 +61,24 @@ def test_junk_goes_and_prose_stays(spark, sf):
     assert by.get((1, False), 0) == 0 and by.get((0, True), 0) <= 1
 
 
+def prose(rng, n):
+    """English-like prose: a third common words, invented other ones, capitals and marks."""
+    common, words = "the of and to in is that for it with as on by at are was this".split(), []
+    for i in range(n):
+        words.append(rng.choice(common) if rng.random() < .4 else "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(3, 9))))
+    return ". ".join(" ".join(words[i:i + 12]).capitalize() for i in range(0, n, 12)) + "."
+
+
+def test_salad_goes_and_rare_labels_make_no_reference(make_docs):
+    rng = random.Random(21)
+    salad = ". ".join(" ".join("".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(3, 9))) for _ in range(12)).capitalize() for _ in range(100)) + "."
+    junk = " ".join("".join(rng.choice("ABCDEFGHIJKLMNOP0123456789!?") for _ in range(8)) for _ in range(200))
+    rows = [(i, prose(rng, 400), "en") for i in range(30)] + [(100, salad, "en"), (101, junk, "zz"), (102, junk + " X", "en"), (103, prose(rng, 900), None)]
+    kept = {r["doc_id"]: r["kept"] for *_, r in rows_of(make_docs(rows))}
+    assert all(kept[i] for i in range(30)) and kept[103]
+    assert not kept[100] and not kept[101] and not kept[102]
+
+
 def test_empty_table_and_no_reference(empty_docs, make_docs):
     assert Q.apply_rules(empty_docs).count() == 0
     only = rows_of(make_docs([(1, "word other third " * 20, None)]))
