@@ -1,8 +1,8 @@
 """Churn and workload models on Spark ML, plus the exact feature transforms.
 
 Fits and scoring run on executors (``pyspark.ml``); what reaches the driver
-is model state whose size is bounded by the feature count (category labels,
-coefficients, importances), never the data.
+is model state whose size is bounded by the feature count (coefficients,
+importances), never the data; category values stay in a table.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, UnivariateFeatureSelector, VectorAssembler
+from pyspark.ml.feature import StandardScaler, UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from halyard.functions.scalar import churn_decision, clamp_count, clamp_unit
+from halyard.operators import dictionary as D
 from halyard.operators import metrics as M
 from halyard.operators.customer import NUMERIC_TYPES
 from halyard.operators.prefix import running_totals
@@ -57,34 +58,17 @@ def numeric_columns(df: DataFrame, exclude=(LABEL, KEY)) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in exclude]
 
 
-def _as_label_text(df: DataFrame, cols) -> DataFrame:
-    """Dates/timestamps as ISO text (sorts chronologically); NULL -> '0' like the reference's fill."""
-    out = df
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit("0")))
-    return out
-
-
-def label_encoder(cols) -> StringIndexer:
-    """Sorted-category index per column; unseen categories get the reserved last index."""
-    return StringIndexer(inputCols=list(cols), outputCols=[f"{c}_encoded" for c in cols],
-                         stringOrderType="alphabetAsc", handleInvalid="keep")
-
-
-def label_encode(df: DataFrame, cols=None, model=None):
-    """Replace string columns by ``<col>_encoded``; returns (table, fitted indexer)."""
+def label_encode(df: DataFrame, cols=None, words: DataFrame | None = None):
+    """Replace string columns by ``<col>_encoded``; returns (table, dictionary).  Values that a given dictionary lacks get
+    the index after its last."""
     cols = cols or string_columns(df)
-    text = _as_label_text(df, cols)
-    model = model or label_encoder(cols).fit(text)
-    return model.transform(text).drop(*cols), model
+    words = words if words is not None else D.dictionary(df, cols)
+    return D.encode(df, words, cols).drop(*cols), words
 
 
 def unknown_categories(fitted: DataFrame, new: DataFrame, cols) -> DataFrame:
     """(column, value) pairs present in ``new`` but not in ``fitted``: one pass over each, values as rows."""
-    def values(df: DataFrame) -> DataFrame:
-        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("0")).alias("value")) for c in cols])
-        return df.select(F.explode(pairs).alias("p")).select("p.column", "p.value").distinct()
-    return values(new).join(values(fitted), ["column", "value"], "left_anti")
+    return D.value_pairs(new, cols).join(D.value_pairs(fitted, cols), ["column", "value"], "left_anti")
 
 
 def standard_scale(df: DataFrame, cols=None, stats: DataFrame | None = None):
@@ -127,13 +111,30 @@ def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY, seed: in
 
 # ---- Spark ML pipelines ------------------------------------------------------------------
 
-def churn_feature_pipeline(df: DataFrame, k: int = K_BEST, select: bool = True) -> Pipeline:
-    """Encode strings, assemble numeric + encoded columns, scale, keep the k best by ANOVA F."""
+@dataclass
+class FeatureModel:
+    """The fitted way from customer rows to feature vectors: a dictionary table, then a Spark ML pipeline."""
+    words: DataFrame
+    categories: list[str]
+    pipeline: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(D.encode(df, self.words, self.categories))
+
+    @property
+    def feature_names(self) -> list[str]:
+        """Names of the selected features, in the vector's order."""
+        names = self.pipeline.stages[0].getInputCols()
+        last = self.pipeline.stages[-1]
+        return [names[i] for i in last.selectedFeatures] if hasattr(last, "selectedFeatures") else names
+
+
+def fit_features(df: DataFrame, k: int = K_BEST, select: bool = True) -> FeatureModel:
+    """Encode strings, assemble numeric + encoded columns, scale, keep the k best by ANOVA F; fitted on ``df``."""
     cats = string_columns(df)
     nums = numeric_columns(df)
-    stages = [label_encoder(cats),
-              VectorAssembler(inputCols=nums + [f"{c}_encoded" for c in cats], outputCol="raw_features",
-                              handleInvalid="keep"),
+    words = D.dictionary(df, cats)
+    stages = [VectorAssembler(inputCols=nums + [f"{c}_encoded" for c in cats], outputCol="raw_features", handleInvalid="keep"),
               StandardScaler(inputCol="raw_features", outputCol="scaled_features", withMean=True, withStd=True)]
     if select:
         stages.append(UnivariateFeatureSelector(featuresCol="scaled_features", outputCol="features", labelCol=LABEL,
@@ -141,12 +142,7 @@ def churn_feature_pipeline(df: DataFrame, k: int = K_BEST, select: bool = True)
                       .setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(k))
     else:
         stages[-1].setOutputCol("features")
-    return Pipeline(stages=stages)
-
-
-def prepared_text(df: DataFrame) -> DataFrame:
-    """Make date columns categorical text (ISO order), NULL -> '0'."""
-    return _as_label_text(df, string_columns(df))
+    return FeatureModel(words, cats, Pipeline(stages=stages).fit(D.encode(df, words, cats)))
 
 
 def classifiers(n_rows: int | None = None) -> dict:
@@ -173,7 +169,7 @@ def auc_of(pred: DataFrame) -> DataFrame:
 
 @dataclass
 class ChurnRun:
-    feature_model: PipelineModel
+    feature_model: FeatureModel | None
     models: dict = field(default_factory=dict)
     leaderboard: DataFrame | None = None
     best_name: str | None = None
@@ -272,25 +268,27 @@ def importance_topk(spark: SparkSession, model, feature_names, k: int = TOP_IMPO
     return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(k)
 
 
-def score_customers(feature_model: PipelineModel, model, customers: DataFrame) -> DataFrame:
+def score_customers(feature_model: FeatureModel, model, customers: DataFrame) -> DataFrame:
     """Batch scoring: probability, decision, risk level, confidence."""
-    pred = positive_probability(model.transform(feature_model.transform(prepared_text(customers))))
+    pred = positive_probability(model.transform(feature_model.transform(customers)))
     return churn_decision(pred.select(KEY, "churn_probability"))
 
 
-def save_model(model, path: str, metrics: dict | None = None, version: str = "1.0.0") -> str:
-    """Persist the fitted pipeline; metrics and version go to a JSON side file next to it."""
-    model.write().overwrite().save(f"{path}/model")
+def save_model(features: FeatureModel, model, path: str, metrics: dict | None = None, version: str = "1.0.0") -> str:
+    """Persist dictionary, feature pipeline and model; metrics and version go to a JSON side file next to them."""
+    PipelineModel(stages=[*features.pipeline.stages, model]).write().overwrite().save(f"{path}/model")
+    features.words.write.mode("overwrite").parquet(f"{path}/words")
     spark = SparkSession.getActiveSession()
-    meta = json.dumps({"version": version, "metrics": metrics or {}})
+    meta = json.dumps({"version": version, "metrics": metrics or {}, "categories": features.categories})
     spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
     return path
 
 
-def load_model(path: str, kind=PipelineModel):
+def load_model(path: str) -> tuple[FeatureModel, dict]:
+    """The persisted dictionary with one pipeline of features and model, and the side file."""
     spark = SparkSession.getActiveSession()
-    meta = spark.read.text(f"{path}/meta").first()[0]
-    return kind.load(f"{path}/model"), json.loads(meta)
+    meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+    return FeatureModel(spark.read.parquet(f"{path}/words"), meta["categories"], PipelineModel.load(f"{path}/model")), meta
 
 
 def retrain_gate(current: DataFrame, candidate: DataFrame, metric: str = "validation_auc",

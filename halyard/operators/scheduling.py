@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from halyard.functions.scalar import priority_class
 from halyard.operators.placement import Dim, Quota, best_node, demand_vectors, feasible, init_state, place_jobs, vector_key
@@ -64,23 +67,26 @@ def with_fair_key(jobs: DataFrame, quotas: DataFrame) -> DataFrame:
     return j.withColumn("fair_key", (-F.col("priority") * F.col("user_priority")) / F.col("user_job_count"))
 
 
-def queue_order(policy: str) -> list[Column]:
-    """Documented orders; equal keys keep input (ordinal) order."""
+def sort_keys(policy: str) -> list[Column]:
+    """The documented order of a policy as ascending keys; equal keys keep input (ordinal) order."""
     if policy == "fifo":
-        keys = [F.col("submission_time").asc()]
+        keys = [F.col("submission_time")]
     elif policy == "sjf":
-        keys = [F.col("estimated_runtime_minutes").asc()]
+        keys = [F.col("estimated_runtime_minutes")]
     elif policy == "priority":
-        keys = [F.col("priority").desc(), F.col("submission_time").asc()]
+        keys = [-F.col("priority"), F.col("submission_time")]
     elif policy == "backfill":
         hi = F.col("priority") >= HIGH_PRIORITY
-        keys = [F.when(hi, 0).otherwise(1).asc(),
-                F.when(hi, -F.col("priority")).otherwise(F.col("estimated_runtime_minutes")).asc()]
+        keys = [F.when(hi, 0).otherwise(1), F.when(hi, -F.col("priority")).otherwise(F.col("estimated_runtime_minutes"))]
     elif policy == "fair_share":
-        keys = [F.col("fair_key").asc(), F.col("submission_time").asc()]
+        keys = [F.col("fair_key"), F.col("submission_time")]
     else:
         raise ValueError(policy)
-    return keys + [F.col("job_ordinal").asc()]
+    return [*keys, F.col("job_ordinal")]
+
+
+def queue_order(policy: str) -> list[Column]:
+    return [k.asc() for k in sort_keys(policy)]
 
 
 def priority_split(jobs: DataFrame) -> DataFrame:
@@ -94,51 +100,69 @@ USER = ["request_id", "user_id"]
 PLACED_QUOTAS = tuple(Quota(q, None if d == "1" else d, c) for q, d, c in QUOTAS)
 
 
-def charge(jobs: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """Per user what ``jobs`` take, added to ``before``."""
-    own = jobs.groupBy(*USER).agg(*[F.sum(F.expr(d)).alias(c) for _, d, c in QUOTAS])
-    both = own if before is None else own.unionByName(before)
-    return both.groupBy(*USER).agg(*[F.sum(c).alias(c) for _, _, c in QUOTAS])
+ADMIT_BLOCK, FIRST_ADMITTED, MOST_ADMITTED = 256, 1024, 65_536  # ranks counted together, jobs of a user that a task decides
 
 
-def quota_admission(jobs_fair: DataFrame, charged: DataFrame | None = None) -> DataFrame:
+def quota_admission(jobs_fair: DataFrame) -> DataFrame:
     """Jobs that their user's quota admits one after the other (fair order), skipping those that do not fit.
 
-    Users without a quota row are unlimited.  Per user: jobs that do not fit alone on top of what is charged
-    never will; of the others the longest prefix that fits is admitted and charged, the job after it is
-    skipped, and the rest goes on, until no job is left.  The running sums use the skew-safe prefix operator,
-    so one user holding many jobs does not make one task.
+    Users without a quota row are unlimited.  Jobs that do not fit alone on top of what their user holds never will and
+    are dropped everywhere at once; of the others each user's next ones in order, about 1,024 at first, twice as many
+    every time, are decided one after the other by one task, which holds three numbers.  The prefix comes from counts per
+    block of ranks, so a user with very many jobs is never read by one task as a whole.
     """
-    limits = [F.col(q) for q, _, _ in QUOTAS]
     unlimited = F.lit(True)
-    for q in limits:
-        unlimited = unlimited & q.isNull()
-    admitted = [jobs_fair.where(unlimited)]
-    rest = jobs_fair.where(~unlimited)
+    for q, _, _ in QUOTAS:
+        unlimited = unlimited & F.col(q).isNull()
+    queue = running_totals(jobs_fair.where(~unlimited), USER, queue_order("fair_share"), rank_col="_rank")
+    queue = cut_lineage(queue, "quota")
+    held = {c: "double" if d == "memory_gb_required" else "long" for _, d, c in QUOTAS}
+    fields = ["request_id", "user_id"]
+    schema = T.StructType([T.StructField("kind", T.StringType()), *[queue.schema[c] for c in fields], T.StructField("_rank", T.LongType()),
+                           *[T.StructField(c, T.DoubleType() if t == "double" else T.LongType()) for c, t in held.items()],
+                           T.StructField("_beyond", T.LongType())])
+    arrow, names = to_arrow_schema(schema), list(held)
+
+    def decide(chunk: pa.Table) -> pa.Table:
+        rows = chunk.sort_by("_rank").to_pylist()
+        now, admitted = [rows[0][c] for c in names], []
+        for r in rows:
+            after = [h + (1 if d == "1" else r[d]) for (_, d, _), h in zip(QUOTAS, now)]
+            if all(r[q] is None or a <= r[q] for (q, _, _), a in zip(QUOTAS, after)):
+                now = after
+                admitted.append(r["_rank"])
+        key = {c: rows[0][c] for c in fields}
+        out = [{"kind": "job", **key, "_rank": rank} for rank in admitted]
+        return pa.Table.from_pylist([*out, {"kind": "user", **key, "_rank": rows[0]["_until"], "_beyond": rows[0]["_beyond"], **dict(zip(names, now))}], arrow)
+    rounds, size, users = [], FIRST_ADMITTED, None
     while True:
-        used = rest if charged is None else rest.join(charged, USER, "left")
-        have = {c: F.coalesce(F.col(c), F.lit(0)) if charged is not None else F.lit(0) for _, _, c in QUOTAS}
-        alone = F.lit(True)
+        waiting = queue if users is None else queue.join(users, USER, "left") \
+            .where(F.col("_done").isNull() | (F.col("_rank") > F.col("_done")))
         for q, d, c in QUOTAS:
-            alone = alone & (F.col(q).isNull() | (have[c] + F.expr(d) <= F.col(q)))
-        fitting = used.where(alone).select(*jobs_fair.columns, *[(F.col(q) - have[c]).alias(f"_left{c}") for q, _, c in QUOTAS])
-        run = running_totals(fitting, USER, queue_order("fair_share"), ["cpu_cores_required", "memory_gb_required"], rank_col="_rank")
-        sums = {"_cpu": F.col("cum_cpu_cores_required"), "_memory": F.col("cum_memory_gb_required"), "_jobs": F.col("_rank")}
-        within = F.lit(True)
-        for _, _, c in QUOTAS:
-            within = within & (F.col(f"_left{c}").isNull() | (sums[c] <= F.col(f"_left{c}")))
-        ranked = cut_lineage(run.select(*jobs_fair.columns, "_rank", within.alias("_in")), "quota")
-        taken = ranked.where("_in").select(*jobs_fair.columns)
-        admitted.append(taken)
-        edge = ranked.groupBy(*USER).agg(F.count_if("_in").alias("_edge"))
-        rest = ranked.join(edge, USER).where(F.col("_rank") > F.col("_edge") + 1).select(*jobs_fair.columns)
-        if rest.isEmpty():
+            have = F.lit(0) if users is None else F.coalesce(F.col(c), F.lit(0))
+            waiting = waiting.withColumn(c, have.cast(held[c])).where(F.col(q).isNull() | (F.col(c) + F.expr(d) <= F.col(q)))
+        blocks = waiting.groupBy(*USER, F.floor((F.col("_rank") - 1) / ADMIT_BLOCK).alias("_block")).agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy(*USER).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        prefix = blocks.withColumn("_in", F.coalesce(F.sum("_n").over(before), F.lit(0)) < size).groupBy(*USER) \
+            .agg(((F.max(F.when(F.col("_in"), F.col("_block"))) + 1) * ADMIT_BLOCK).cast("long").alias("_until"),
+                 F.coalesce(F.sum(F.when(~F.col("_in"), F.col("_n"))), F.lit(0)).alias("_beyond"))
+        needed = [*USER, "_rank", *[q for q, _, _ in QUOTAS], *[d for _, d, _ in QUOTAS if d != "1"], *names, "_until", "_beyond"]
+        chunk = waiting.join(prefix, USER).where("_rank <= _until").select(*needed)
+        decided = cut_lineage(chunk.groupBy(*USER).applyInArrow(decide, schema), "admitted")
+        rounds.append(decided)
+        latest = [d.where("kind = 'user'").select(*USER, F.lit(i).alias("_i"), F.col("_rank").alias("_done"), *names) for i, d in enumerate(rounds)]
+        every = latest[0]
+        for part in latest[1:]:
+            every = every.unionByName(part)
+        users = every.groupBy(*USER).agg(F.max(F.struct("_i", "_done", *names)).alias("_u")).select(*USER, "_u._done", *[f"_u.{c}" for c in names])
+        if decided.agg(F.coalesce(F.sum("_beyond"), F.lit(0))).first()[0] == 0:
             break
-        charged = cut_lineage(charge(taken, charged), "charged")
-    out = admitted[0]
-    for part in admitted[1:]:
-        out = out.unionByName(part)
-    return out
+        size = min(2 * size, MOST_ADMITTED)
+    won = rounds[0].where("kind = 'job'").select(*USER, "_rank")
+    for decided in rounds[1:]:
+        won = won.unionByName(decided.where("kind = 'job'").select(*USER, "_rank"))
+    admitted = queue.join(won, [*USER, "_rank"], "left_semi").select(*jobs_fair.columns)
+    return jobs_fair.where(unlimited).unionByName(admitted)
 
 
 def score_expr() -> Column:
@@ -258,9 +282,9 @@ def policy_listing(spark, jobs: DataFrame, quotas: DataFrame) -> DataFrame:
     j = with_fair_key(scheduler_jobs(jobs), quotas)
     out = None
     for p in POLICIES:
-        first = Window.partitionBy("request_id").orderBy(*queue_order(p))
-        rows = j.withColumn("_place", F.row_number().over(first)).where("_place = 1").select(
+        # descending keys are numbers in all policies: the smallest of the negated key is the first
+        rows = j.groupBy("request_id").agg(F.min_by("job_id", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(sort_keys(p))])).alias("first_job")).select(
             F.lit(p).alias("policy"), F.lit(POLICY_DESCRIPTIONS[p]).alias("description"),
-            F.lit(p == DEFAULT_POLICY).alias("is_default"), "request_id", F.col("job_id").alias("first_job"))
+            F.lit(p == DEFAULT_POLICY).alias("is_default"), "request_id", "first_job")
         out = rows if out is None else out.unionByName(rows)
     return out

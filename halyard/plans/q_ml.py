@@ -86,10 +86,9 @@ def q_unknown_categories(spark, sf):
 # ---- pipelines and models (rows-only checks) ------------------------------------------------
 
 def _features(spark, sf, select=True):
-    t = cut_lineage(ML.prepared_text(split_table(spark, sf)), "features")  # every fit reads it again
-    train = t.where("split = 'train'")
-    fm = ML.churn_feature_pipeline(t.drop("split"), select=select).fit(train)
-    return fm, fm.transform(t).persist()
+    t = cut_lineage(split_table(spark, sf), "customers")
+    fm = ML.fit_features(t.where("split = 'train'").drop("split"), select=select)
+    return fm, cut_lineage(fm.transform(t).select("customer_id", "churn", "split", "features"), "features")  # every fit reads it again
 
 
 @register("assemble_features")
@@ -169,12 +168,11 @@ def q_score_customers(spark, sf):
 
 @register("save_load_model")
 def q_save_load_model(spark, sf):
-    from pyspark.ml import PipelineModel
     fm, _, model = _best_rf(spark, sf)
     path = scratch_path(spark, "churn-model")
-    ML.save_model(PipelineModel(stages=[*fm.stages, model]), path, {"model": "random_forest"})
+    ML.save_model(fm, model, path, {"model": "random_forest"})
     loaded, meta = ML.load_model(path)
-    pred = ML.positive_probability(loaded.transform(ML.prepared_text(churn_table(spark, sf))))
+    pred = ML.positive_probability(loaded.transform(churn_table(spark, sf)))
     return pred.select("customer_id", F.round("churn_probability", 4).alias("churn_probability"),
                        F.lit(meta["version"]).alias("model_version"))
 
@@ -194,10 +192,7 @@ def q_metrics_report(spark, sf):
 @register("importance_topk")
 def q_importance_topk(spark, sf):
     fm, _, model = _best_rf(spark, sf)
-    selector = fm.stages[-1]
-    assembled = fm.stages[1].getInputCols()
-    names = [assembled[i] for i in selector.selectedFeatures]
-    return ML.importance_topk(spark, model, names)
+    return ML.importance_topk(spark, model, fm.feature_names)
 
 
 @register("retrain_gate")
