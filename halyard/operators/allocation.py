@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halyard.functions.scalar import add_hours
-from halyard.operators.placement import Dim, best_node, demand_vectors, feasible, init_state, place_jobs, still_fitting, vector_key
+from halyard.operators.dominance import best_nodes, node_counts
+from halyard.operators.placement import Dim, demand_vectors, init_state, place_jobs, still_fitting, vector_key
 from halyard.session import cut_lineage
 
 DIMS = [
@@ -61,38 +62,40 @@ def queue_order(objective: str) -> list[Column]:
     return keys + [F.col("job_ordinal").asc()]
 
 
-def node_score_expr() -> Column:
-    """.4 * (1 - |cpu_util - mem_util|) + .4 * node efficiency, utils after placing (without the job's part)."""
-    cu = (F.col("cpu_cores_required") + F.col("used_cpu")) / F.col("available_cpu_cores")
-    mu = (F.col("memory_gb_required") + F.col("used_memory")) / F.col("available_memory_gb")
-    balance = 1.0 - F.abs(cu - mu)
-    return balance * W_BALANCE + F.col("node_efficiency_score") * W_NODE_EFF
-
-
 def priority_bonus() -> Column:
     """.2 * priority / 10: the job's part of the score, the same on every node."""
     return (F.col("priority") / 10.0) * W_PRIORITY
 
 
-def power_score_expr() -> Column:
-    """Most efficient feasible node first."""
-    return F.col("node_efficiency_score")
+def demand_scores(job: dict, node: dict) -> np.ndarray:
+    """.4 * (1 - |cpu_util - mem_util|) + .4 * node efficiency, utils after placing, over arrays (without the job's part)."""
+    cu = (job["cpu_cores_required"] + node["used_cpu"]) / node["available_cpu_cores"]
+    mu = (job["memory_gb_required"] + node["used_memory"]) / node["available_memory_gb"]
+    return (1.0 - np.abs(cu - mu)) * W_BALANCE + node["node_efficiency_score"] * W_NODE_EFF
+
+
+def demand_bound(job: dict, low: dict, high: dict) -> np.ndarray:
+    """What ``demand_scores`` can be at most between the nodes ``low`` and ``high``."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cpu = [(job["cpu_cores_required"] + a["used_cpu"]) / b["available_cpu_cores"] for a, b in ((low, high), (high, low))]
+        memory = [(job["memory_gb_required"] + a["used_memory"]) / b["available_memory_gb"] for a, b in ((low, high), (high, low))]
+    apart = np.fmax(np.fmax(cpu[0] - memory[1], memory[0] - cpu[1]), 0.0)
+    return (1.0 - apart) * W_BALANCE + high["node_efficiency_score"] * W_NODE_EFF
 
 
 def node_scores(job: dict, node: dict) -> np.ndarray:
-    """``node_score_expr`` with the job's part, over arrays of nodes."""
-    cu = (job["cpu_cores_required"] + node["used_cpu"]) / node["available_cpu_cores"]
-    mu = (job["memory_gb_required"] + node["used_memory"]) / node["available_memory_gb"]
-    return (1.0 - np.abs(cu - mu)) * W_BALANCE + node["node_efficiency_score"] * W_NODE_EFF + (job["priority"] / 10.0) * W_PRIORITY
+    return demand_scores(job, node) + (job["priority"] / 10.0) * W_PRIORITY
 
 
 def power_scores(job: dict, node: dict) -> np.ndarray:
     return node["node_efficiency_score"]
 
 
-def score_for(objective: str):
-    """(score, the job's own part or None)."""
-    return (power_score_expr, None) if objective == "power" else (node_score_expr, priority_bonus)
+INDEX_BY = ["node_efficiency_score"]
+
+
+def power_bound(job: dict, low: dict, high: dict) -> np.ndarray:
+    return high["node_efficiency_score"] + 0.0 * job["cpu_cores_required"]
 
 
 def place(jobs: DataFrame, nodes: DataFrame, objective: str):
@@ -119,18 +122,18 @@ def placement_maximality(jobs: DataFrame, nodes: DataFrame) -> DataFrame:
 def feasible_counts(jobs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Number of feasible nodes per job at empty usage; nodes are counted per demand vector."""
     j = allocation_jobs(jobs)
-    per = feasible(demand_vectors(j, DIMS), allocation_nodes(nodes), DIMS) \
-        .groupBy(*vector_key(DIMS)).agg(F.count(F.lit(1)).alias("n_feasible_nodes"))
+    per = node_counts(demand_vectors(j, DIMS), allocation_nodes(nodes), DIMS)
     return j.join(per, vector_key(DIMS)).select("request_id", "job_id", "n_feasible_nodes")
 
 
 def first_choice(jobs: DataFrame, nodes: DataFrame, objective: str = "efficiency") -> DataFrame:
     """Every job with its best node and score at empty usage."""
     j = allocation_jobs(jobs)
-    score, bonus = score_for(objective)
-    best = best_node(feasible(demand_vectors(j, DIMS), allocation_nodes(nodes), DIMS), DIMS, score())
+    power = objective == "power"
+    best = best_nodes(demand_vectors(j, DIMS), allocation_nodes(nodes), DIMS, power_scores if power else demand_scores,
+                      power_bound if power else demand_bound, INDEX_BY)
     chosen = j.join(best, vector_key(DIMS))
-    return chosen.withColumn("score", F.col("score") + bonus()) if bonus else chosen
+    return chosen if power else chosen.withColumn("score", F.col("score") + priority_bonus())
 
 
 # ---- metrics over a placement -----------------------------------------------------------

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from halyard.operators.dominance import node_counts
 from halyard.operators.prefix import running_totals
 from halyard.session import cut_lineage
 
@@ -82,18 +83,12 @@ def feasible(vectors: DataFrame, state: DataFrame, dims: list[Dim], extra: Colum
     """(demand vector, node) pairs where the residual capacity covers the demand."""
     fits = F.col("request_id") == F.col("_request")
     for d in dims:
-        fits = fits & (F.col(d.capacity) >= F.col(d.demand) + F.col(d.used))
+        fits = fits & (d.residual >= F.col(d.demand))
     if extra is not None:
         fits = fits & extra
     return vectors.join(state.withColumnRenamed("request_id", "_request"), fits).drop("_request")
 
 
-def best_node(pairs: DataFrame, dims: list[Dim], score: Column) -> DataFrame:
-    """Highest score per demand vector; ties go to the lowest node ordinal."""
-    best = F.max(F.struct(score.alias("score"), (-F.col("node_ordinal")).alias("first"), "node_id")).alias("_b")
-    return pairs.groupBy(*vector_key(dims)).agg(best).select(*vector_key(dims), "_b.node_id", "_b.score")
-
-
 def admit(chosen: DataFrame, state: DataFrame, dims: list[Dim], order: list[Column]) -> DataFrame:
     """Jobs whose running demand on their chosen node (queue order) fits its residual capacity."""
     run = running_totals(chosen, ["request_id", "node_id"], order, [d.demand for d in dims])
@@ -116,7 +111,7 @@ def reserve(jobs: pa.Table, nodes: pa.Table, schema: pa.Schema, dims: list[Dim],
         job = {c: v[i] for c, v in wanted.items()}
         fits = is_open
         for d in dims:
-            fits = fits & (node[d.capacity] >= job[d.demand] + node[d.used])
+            fits = fits & (node[d.capacity] - node[d.used] >= job[d.demand])
         at = np.flatnonzero(fits)
         if not len(at):
             continue
@@ -176,7 +171,7 @@ def place_jobs(jobs: DataFrame, nodes_state: DataFrame, dims: list[Dim], order:
         return reserve(chunk, nodes, arrow, dims, score, quotas)
     open_vectors, rounds, size = demand_vectors(queue, dims).select(*key), [], FIRST_PREFIX
     while True:
-        open_vectors = cut_lineage(feasible(open_vectors, state.where("_open"), dims).select(*key).distinct(), "open")
+        open_vectors = cut_lineage(node_counts(open_vectors, state, dims, F.col("_open")).select(*key), "open")
         waiting = queue.join(open_vectors, key)
         if rounds:
             done = state.groupBy("request_id").agg(F.max("_until").alias("_until"))

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from halyard.functions.scalar import priority_class
-from halyard.operators.placement import Dim, Quota, best_node, demand_vectors, feasible, init_state, place_jobs, vector_key
+from halyard.operators.dominance import best_nodes
+from halyard.operators.placement import Dim, Quota, demand_vectors, init_state, place_jobs, vector_key
 from halyard.operators.prefix import running_max_plus, running_totals
 from halyard.session import cut_lineage
 
@@ -165,15 +166,8 @@ def quota_admission(jobs_fair: DataFrame) -> DataFrame:
     return jobs_fair.where(unlimited).unionByName(admitted)
 
 
-def score_expr() -> Column:
-    cu = F.try_divide(F.col("cpu_cores_required"), F.col("available_cpu_cores") - F.col("used_cpu"))
-    mu = F.try_divide(F.col("memory_gb_required"), F.col("available_memory_gb") - F.col("used_memory"))
-    avail = F.when(F.col("n_placed") == 0, AVAIL_FREE).otherwise(AVAIL_BUSY)
-    return F.coalesce((1.0 - F.abs(cu - mu)) * W_BALANCE + avail * W_AVAIL, F.lit(0.0))
-
-
 def node_scores(job: dict, node: dict) -> np.ndarray:
-    """``score_expr`` over arrays of nodes."""
+    """.6 * balance of what is left + .4 * availability, over arrays."""
     with np.errstate(divide="ignore", invalid="ignore"):
         cu = job["cpu_cores_required"] / (node["available_cpu_cores"] - node["used_cpu"])
         mu = job["memory_gb_required"] / (node["available_memory_gb"] - node["used_memory"])
@@ -181,6 +175,28 @@ def node_scores(job: dict, node: dict) -> np.ndarray:
     return np.where(np.isfinite(score), score, 0.0)  # nothing left of what the job does not need
 
 
+INDEX_BY = ["n_placed", "cpu_per_gb"]
+
+
+def with_ratio(state: DataFrame) -> DataFrame:
+    """Node state with the ratio of what is left of cpu and memory, which decides how even a job's shares are."""
+    left = [F.col(c) - F.col(u) for c, u in (("available_cpu_cores", "used_cpu"), ("available_memory_gb", "used_memory"))]
+    return state.withColumn("cpu_per_gb", F.coalesce(F.try_divide(left[0].cast("double"), left[1].cast("double")), F.lit(float("inf"))))
+
+
+def node_bound(job: dict, low: dict, high: dict) -> np.ndarray:
+    """What ``node_scores`` can be at most between the nodes ``low`` and ``high``.
+
+    The shares of cpu and memory differ by |cpu - memory * ratio| / cpu left.
+    """
+    cpu, memory = job["cpu_cores_required"], job["memory_gb_required"]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        off = np.fmax(np.fmax(memory * low["cpu_per_gb"] - cpu, cpu - memory * high["cpu_per_gb"]), 0.0)
+        apart = off / (high["available_cpu_cores"] - low["used_cpu"])
+    apart = np.where(np.isfinite(apart), apart, 0.0)
+    return (1.0 - apart) * W_BALANCE + np.where(low["n_placed"] == 0, AVAIL_FREE, AVAIL_BUSY) * W_AVAIL
+
+
 def available_expr() -> Column:
     return F.col("is_available")
 
@@ -193,8 +209,8 @@ def now_of(jobs: DataFrame) -> DataFrame:
 def first_choice(jobs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Every job with its best node and score at empty usage."""
     j = scheduler_jobs(jobs)
-    pairs = feasible(demand_vectors(j, DIMS), scheduler_nodes(nodes), DIMS, available_expr())
-    return j.join(best_node(pairs, DIMS, score_expr()), vector_key(DIMS))
+    best = best_nodes(demand_vectors(j, DIMS), with_ratio(scheduler_nodes(nodes)), DIMS, node_scores, node_bound, INDEX_BY, available_expr())
+    return j.join(best, vector_key(DIMS))
 
 
 def node_timeline(placed: DataFrame, now: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def placement_ctes(jobs_cte: str, state_cte: str, dims, order_sql: str, score_sq
     score = re.sub(r"\b(" + "|".join(fixed) + r")\b", r"n.\1[i]", score_sql)
     score = re.sub(r"\b(" + "|".join(u for u, _, _ in used) + r")\b", r"p.\1[i]", score)
     score = re.sub(r"(?<![.\w])(" + "|".join(d for d, _, _, _ in dims) + r"|priority)\b", r"q.\1", score)
-    fits = " AND ".join(f"n.{c}[i] >= q.{d} + p.{u}[i]" for d, c, u, _ in dims)
+    fits = " AND ".join(f"n.{c}[i] - p.{u}[i] >= q.{d}" for d, c, u, _ in dims)
     allowed = "".join(f" AND (q.{q} IS NULL OR p.{u}[q.user_ix] + {d if d == '1' else 'q.' + d} <= q.{q})" for u, q, d, _ in charged)
     zeros = ", ".join([f"list_transform(range(n), lambda x: CAST(0 AS {t})) AS {u}" for u, _, t in used]
                       + [f"list_transform(range(n_users), lambda x: CAST(0 AS {t})) AS {u}" for u, _, _, t in charged])
@@ -61,7 +61,7 @@ def placement_ctes(jobs_cte: str, state_cte: str, dims, order_sql: str, score_sq
 
 def still_fitting_sql(jobs_cte: str, tag: str, dims, extra_sql: str | None = None) -> str:
     """Jobs not in ``{tag}_placements`` that fit on a node in ``{tag}_state``."""
-    cond = " AND ".join([f"s.{c} >= j.{d} + s.{u}" for d, c, u, _ in dims] + ([extra_sql] if extra_sql else []))
+    cond = " AND ".join([f"s.{c} - s.{u} >= j.{d}" for d, c, u, _ in dims] + ([extra_sql] if extra_sql else []))
     return f"""SELECT j.request_id, j.job_id FROM {jobs_cte} j WHERE j.job_id NOT IN (SELECT job_id FROM {tag}_placements)
   AND EXISTS (SELECT 1 FROM {tag}_state s WHERE s.request_id = j.request_id AND {cond})"""
 
