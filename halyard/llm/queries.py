@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from halyard.llm import (best_two_fit, decontaminate, html_density, language_id, license_scan, merkle, order_minhash, quality_rules,
-                         token_count, token_store, toxicity, tree_bpe, turn_repair)
+                         sql, token_count, token_store, toxicity, tree_bpe, turn_repair)
 from halyard.llm.common import held_out
 from halyard.session import scratch_path
 from halyard.sources.tables import read_table
@@ -24,11 +24,11 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, oracle: str | None = None):
     def add(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
+        if oracle is not None:
+            ORACLE[name] = oracle
         return fn
     return add
 
@@ -130,7 +130,7 @@ def damaged(turns: DataFrame) -> tuple[DataFrame, Column]:
     return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), "harm", copies), F.col("harm") == 0
 
 
-@query("op11_turn_repair")
+@query("op11_turn_repair", sql.TURN_REPAIR)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, dropped = damaged(read_table(spark, sf_dir, "conversations"))
     fixed = turn_repair.repair(rows, gone=dropped)
@@ -166,7 +166,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_two_fit.placed(spark, rows, capacity)
 
 
-@query("op13_merkle_manifest")
+@query("op13_merkle_manifest", sql.MERKLE)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     fields = ("doc_id", "source", "lang", "n_chars")
