@@ -341,7 +341,12 @@ class WorkloadModel:
 
 def train_workload_model(features: DataFrame, ts: str, model_type: str = "random_forest",
                          targets=WORKLOAD_TARGETS) -> WorkloadModel:
-    """One regressor per target on the chronological train split; metrics on train and test."""
+    """One regressor per target on the chronological train split; metrics on train and test.
+
+    ``model_type`` "auto" takes the regressor that ``auto_select_regressor`` puts first.
+    """
+    if model_type == "auto":
+        model_type = auto_select_regressor(features, ts, targets).orderBy(F.col("cv_r2").desc(), "model").first()["model"]
     cols = workload_feature_columns(features, ts, targets)
     train = features.where(F.col("split") == "train")
     test = features.where(F.col("split") == "test")

@@ -14,8 +14,10 @@ from halyard.operators import allocation as A
 from halyard.operators import customer as C
 from halyard.operators import ml as ML
 from halyard.operators import scheduling as SC
+from halyard.plans import q_allocation as QA
 from halyard.plans import q_customer as QC
 from halyard.plans import q_ml as QM
+from halyard.plans import q_scheduling as QS
 from halyard.plans.registry import R, register, round_doubles
 from halyard.session import cut_lineage, scratch_path
 from halyard.sources import fixtures as X
@@ -162,11 +164,22 @@ def q_workflow_churn(spark, sf):
     return workflow_churn(spark, sf)[0].select("step", "status", "n_rows")
 
 
-@register("workflow_full_optimization")
+# Steps that must succeed, with the rows that each gives: a forecast of 24 hours, the placement, the schedule.
+_SCHEDULED = QS.schedule_sql("fair_share")
+_FORECAST_STEP = "SELECT 'prediction' AS step, 'success' AS status, CAST(24 AS BIGINT) AS n_rows"
+_SCHEDULE_STEP = "SELECT 'scheduling', 'success', COUNT(*) FROM s_fair_sched"
+_PLACED = """,
+allp AS (SELECT *, 'efficiency' AS objective FROM pe_placements UNION ALL SELECT *, 'throughput' FROM pt_placements
+         UNION ALL SELECT *, 'power' FROM pp_placements)"""
+
+
+@register("workflow_full_optimization", QA._ALL_SUMMARIES + _PLACED + QS.BASE_CTES + _SCHEDULED + f"""
+{_FORECAST_STEP} UNION ALL SELECT 'optimization', 'success', COUNT(*) FROM allp a JOIN pick k
+  ON a.request_id = k.request_id AND a.objective = k.objective UNION ALL {_SCHEDULE_STEP}""", fixtures=QS.FIX)
 def q_workflow_full_optimization(spark, sf):
     return workflow_full_optimization(spark, sf)[0].select("step", "status", "n_rows")
 
 
-@register("workflow_forecast_schedule")
+@register("workflow_forecast_schedule", QS.BASE_CTES + _SCHEDULED + f"\n{_FORECAST_STEP} UNION ALL {_SCHEDULE_STEP}", fixtures=QS.FIX)
 def q_workflow_forecast_schedule(spark, sf):
     return workflow_forecast_schedule(spark, sf)[0].select("step", "status", "n_rows")

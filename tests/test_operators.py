@@ -199,6 +199,24 @@ def test_forecast_horizon_and_bounds(spark, sf):
         assert 0 <= r.cpu_usage <= 1 and 0 <= r.memory_usage <= 1 and r.job_queue_length >= 0
 
 
+def test_forecast_of_all_targets_and_of_the_chosen_regressor(spark, sf):
+    from halyard.plans.q_ml import workload_features
+    feats = workload_features(spark, sf)
+    ranked = ML.auto_select_regressor(feats, "timestamp_h", ["cpu_usage"], names=["ridge", "linear"])
+    best = ranked.orderBy(F.col("cv_r2").desc(), "model").first()["model"]
+    real, ML.AUTO_SELECT_CANDIDATES = ML.AUTO_SELECT_CANDIDATES, ["ridge", "linear"]
+    try:
+        wm = ML.train_workload_model(feats, "timestamp_h", "auto", ["cpu_usage"])
+    finally:
+        ML.AUTO_SELECT_CANDIDATES = real
+    assert wm.model_type == best
+    for r in ML.forecast_workload(wm, feats, "timestamp_h", 3).collect():
+        assert 0 <= r.lower <= r.cpu_usage <= r.upper <= 1 and r.memory_usage is None and r.model_version.startswith(best)
+    other = ML.train_workload_model(feats, "timestamp_h", "ridge", ["job_queue_length"])
+    row = ML.forecast_workload(other, feats, "timestamp_h", 1).first()
+    assert row.cpu_usage is None and row.lower is None and row.job_queue_length >= 0
+
+
 def test_ingest_rejects_bad_rows(spark, sf):
     from halyard.plans.workflows import TELEMETRY_SCHEMA, telemetry_requests
     from halyard.sources.ingest import ingest_json
