@@ -1,4 +1,10 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next.
+
+Null, empty and wordless texts go in the first two stages; given to a later stage alone they are kept, as no copy of
+anything and without a passage, and encode to no ids.  Repeated rows are judged alike; of rows equal in doc_id and text the
+near-duplicate stage keeps one.  An empty table passes through every stage.  Further columns of the documents travel along
+under any name, up to the last stage, which returns its own.
+"""
 
 from __future__ import annotations
 
@@ -33,7 +39,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item, or most of 200 characters of one."""
+    """Drop documents that hold a benchmark item, or any 200 consecutive characters of a longer one, within 10 % of edits."""
     return decontaminate.clean(spark, docs, read_table(spark, sf_dir, "benchmark"))
 
 

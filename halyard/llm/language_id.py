@@ -7,7 +7,8 @@ each filter's false-positive rate, decide.
 
 Texts are lower-cased, every run of non-letters becomes one space, and each text is framed by spaces.
 Null texts and texts without a letter are ``und`` with score 0; equal corrected counts go to the language
-that is first by name.  With no training row at all, every text is ``und``.
+that is first by name.  With no training row at all, every text is ``und``.  Repeated rows are predicted alike, row by
+row; an empty table gives no rows; the caller's columns travel as one struct, so their names cannot clash.
 """
 
 from __future__ import annotations

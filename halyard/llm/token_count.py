@@ -5,7 +5,8 @@ proved whole.  A pre-token that is proved whole counts one without any merging;
 the library's model, and a bounded memory keeps their counts.
 
 A text with a special token's string, or with a character that the library and the split pattern may class
-differently, is encoded by the library as it is.  Null texts count as empty: no tokens.
+differently, is encoded by the library as it is.  Null texts count as empty: no tokens.  Repeated rows are counted alike, row by row,
+an empty table gives no rows, and only the text column is read, whatever the others are called.
 """
 
 from __future__ import annotations

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 
 import __spark_entry__ as E
@@ -40,3 +42,20 @@ def test_edges(spark, make_docs, edge_rows, empty_docs):
     assert L.identify(spark, empty_docs).count() == 0
     untaught = L.identify(spark, make_docs([(1, "some words", None)])).first()["_language"]
     assert untaught["lang_pred"] == "und"
+
+
+def test_counts_equal_plain_sets():
+    """Per-language counts of texts' trigrams against sets, and the decision against the largest plain count."""
+    rng = random.Random(4)
+    letters = {"aa": "abcdefgh", "bb": "efghijkl", "cc": "mnopqrst"}
+    word = lambda lang: "".join(rng.choice(letters[lang]) for _ in range(rng.randint(2, 8)))
+    grams = {lang: np.unique(np.concatenate(list(L.trigrams(" ".join(word(lang) for _ in range(400)))))) for lang in letters}
+    sets, filters = {lang: set(g.tolist()) for lang, g in grams.items()}, L.BitSlicedFilters(grams)
+    for _ in range(200):
+        lang = rng.choice(sorted(letters))
+        text = " ".join(word(lang) for _ in range(30)) + " " + " ".join(word(rng.choice(sorted(letters))) for _ in range(5))
+        keys = np.concatenate(list(L.trigrams(text)))
+        plain = [sum(k in sets[x] for k in keys.tolist()) for x in sorted(sets)]
+        got = filters.counts(keys)
+        assert all(p <= g <= p + 2 for p, g in zip(plain, got))  # a filter only ever lets more through
+        assert filters.decide(text)[0] == sorted(sets)[int(np.argmax(plain))]
