@@ -1,11 +1,12 @@
 """License scans by diagonal voting.
 
-Templates are short license phrases.  Every rolling 3-word hash of a text that is a template's hash becomes a
-row (word place, hash, the words), and a Spark join with the template positions gives votes: the offset
-diagonal, place in the text minus place in the template.  Votes are aggregated by (text, template, diagonal);
+Templates are license phrases, whole license texts and the notices that files carry, as a table of (label, text); a
+caller may pass more.  Every rolling 3-word hash of a text that is a template's hash becomes a row (word place, hash, the
+words), and a Spark join with the template positions gives votes: the offset diagonal, place in the text minus place in the template.  Votes are aggregated by (text, template, diagonal);
 neighbouring diagonals (up to 2 apart: a word added or left out) merge into a span.  The join compares the
 words as well as the hash, so every vote is verified; a span counts if it is no longer than one and a half
-templates and its distinct template positions are all of a short template's, or 60 % of a longer one's.
+templates and its distinct template positions are all of a short template's, or 60 % of a longer one's, so a license
+text keeps its label with one word in twenty changed.
 
 A base phrase stands where one diagonal has all of the phrase's votes: its words are consecutive there.
 
@@ -25,6 +26,7 @@ SHORT = 8          # templates of fewer positions must be whole: they differ fro
 COVER = 0.6        # share of a longer template's positions that a span needs
 NEAR = 2           # diagonals that merge
 SPREAD = 1.5       # longest span, in templates
+LISTED = 5_000     # template hashes that are tested inside the row; with more, all k-grams go to the join
 
 # The base phrases and their labels.
 BASE = [("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc")]
@@ -45,6 +47,55 @@ MORE = [
     ("reserved", "all rights reserved"),
 ]
 
+# Whole license texts and file notices.
+TEXTS = [
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,
+subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial
+portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS
+BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided
+that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS
+ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE
+LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,
+WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
+SOFTWARE."""),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND
+CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF
+USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR
+TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+DAMAGE."""),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any
+damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial
+applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be
+misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the
+product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be
+misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."""),
+    ("unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,
+sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by
+any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in
+the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and
+successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software
+under copyright law."""),
+    ("apache-2", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in
+writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either
+express or implied. See the License for the specific language governing permissions and limitations under the License."""),
+    ("gpl-3", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed
+in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with
+this program. If not, see https://www.gnu.org/licenses/."""),
+]
+
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -58,33 +109,44 @@ def lower_ascii(text: Column) -> Column:
     return F.lower(aside)
 
 
-def template_positions(spark: SparkSession) -> DataFrame:
-    """One row a template position: t, label, base, size (positions), at, words."""
-    rows = []
-    for t, (label, phrase) in enumerate(BASE + MORE):
-        words = phrase.split()
-        size = len(words) - K + 1
-        rows += [(t, label, t < len(BASE), size, at, " ".join(words[at:at + K])) for at in range(size)]
-    return spark.createDataFrame(rows, "t int, label string, base boolean, size int, at int, words string") \
-        .withColumn("hash", _hash(F.split("words", " "), F.lit(0)))
+def split_words(text: Column) -> Column:
+    return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), SEPARATORS), lambda w: w != "")
+
+
+def template_positions(spark: SparkSession, more: DataFrame | None = None) -> DataFrame:
+    """One row a template position: t, label, base, size (positions), at, words, hash; written once.
+
+    ``more``: a table (label, text) of further templates; those of fewer than K words have no position.
+    """
+    own = [(t, label, text) for t, (label, text) in enumerate(BASE + MORE + TEXTS)]
+    all_ = spark.createDataFrame(own, "t long, label string, text string")
+    if more is not None:
+        all_ = all_.unionByName(more.select((F.monotonically_increasing_id() + len(own)).alias("t"), "label", "text"))
+    w = all_.select("t", "label", (F.col("t") < len(BASE)).alias("base"), split_words(F.col("text")).alias("w")) \
+        .withColumn("size", F.size("w") - (K - 1)).where("size > 0")
+    p = w.select("t", "label", "base", "size", "w", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("at"))
+    return cut_lineage(p.select("t", "label", "base", "size", "at", F.array_join(F.slice("w", F.col("at") + 1, K), " ").alias("words"))
+                       .withColumn("hash", _hash(F.split("words", " "), F.lit(0))), "templates")
 
 
 def _hash(words: Column, i: Column) -> Column:
     return F.xxhash64(*[F.get(words, i + j) for j in range(K)])
 
 
-def marked(docs: DataFrame, templates: list, text: str = "text") -> DataFrame:
+def marked(docs: DataFrame, templates: list | None, text: str = "text") -> DataFrame:
     """row (unique), doc_id, n_words and the text's k-grams whose hash is a template's; written once.
 
-    The join's filter runs inside the row, over all rolling k-grams (first word, then hash), so only matches
-    become rows.
+    Up to LISTED hashes the join's filter runs inside the row, over all rolling k-grams (first word, then hash), so only
+    matches become rows; without a list (None) every k-gram goes to the join.
     """
-    d = docs.select("doc_id", F.filter(F.split(lower_ascii(F.coalesce(F.col(text), F.lit(""))), SEPARATORS), lambda w: w != "").alias("_w"))
+    d = docs.select("doc_id", split_words(F.col(text)).alias("_w"))
     d = d.withColumn("n_words", F.size("_w").cast("long"))
     places = F.when(F.col("n_words") >= K, F.sequence(F.lit(0), (F.col("n_words") - K).cast("int"))).otherwise(F.array().cast("array<int>"))
-    words, hashes = F.col("_w"), [t["hash"] for t in templates]
-    hits = F.filter(places, lambda i: F.get(words, i).isin(*sorted({t["words"].split()[0] for t in templates})) & _hash(words, i).isin(*hashes))
-    grams = F.transform(hits, lambda i: F.struct(i.alias("place"), F.array_join(F.slice(words, i + 1, K), " ").alias("words")))
+    words = F.col("_w")
+    if templates is not None:
+        hashes, firsts = sorted({t["hash"] for t in templates}), sorted({t["words"].split()[0] for t in templates})
+        places = F.filter(places, lambda i: F.get(words, i).isin(*firsts) & _hash(words, i).isin(*hashes))
+    grams = F.transform(places, lambda i: F.struct(i.alias("place"), F.array_join(F.slice(words, i + 1, K), " ").alias("words")))
     return cut_lineage(d.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_words", grams.alias("grams")), "licenses")
 
 
@@ -92,7 +154,7 @@ def votes(rows: DataFrame, templates: DataFrame) -> DataFrame:
     """Per (row, t, diagonal): the template positions that voted, and the first and last place."""
     grams = rows.select("row", F.explode("grams").alias("g")) \
         .select("row", "g.place", "g.words", _hash(F.split("g.words", " "), F.lit(0)).alias("hash"))
-    joined = grams.join(F.broadcast(templates), ["hash", "words"])  # the templates are this module's list
+    joined = grams.join(templates, ["hash", "words"])  # Spark broadcasts a small template table
     return joined.groupBy("row", "t", "label", "base", "size", (F.col("place") - F.col("at")).alias("diagonal")) \
         .agg(F.collect_set("at").alias("ats"), F.min("place").alias("low"), F.max("place").alias("high"))
 
@@ -109,10 +171,14 @@ def spans(voted: DataFrame) -> DataFrame:
                          (F.col("end") - F.col("first") <= SPREAD * (F.col("size") + K - 1)).alias("close"))
 
 
-def scan(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row a document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    templates = template_positions(spark)
-    rows = marked(docs, templates.select("hash", "words").distinct().collect(), text)
+def scan(spark: SparkSession, docs: DataFrame, text: str = "text", more: DataFrame | None = None) -> DataFrame:
+    """One row a document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
+
+    ``more``: further templates (label, text).
+    """
+    templates = template_positions(spark, more)
+    listed = templates.select("hash", "words").distinct().limit(LISTED + 1).collect()
+    rows = marked(docs, listed if len(listed) <= LISTED else None, text)
     voted = votes(rows, templates)
     whole = voted.where("base and size(ats) = size").groupBy("row").agg(
         F.count(F.lit(1)).alias("n_base"), F.min("diagonal").alias("first_word"), F.max("diagonal").alias("last_word"),

@@ -1,3 +1,4 @@
+import random
 import re
 
 import __spark_entry__ as E
@@ -53,5 +54,32 @@ def test_neighbouring_diagonals_merge(spark, make_docs):
     assert out[2]["labels"] == "" and out[3]["labels"] == "gpl-3"
 
 
+def test_whole_license_texts_with_changed_words(spark, make_docs):
+    """Every license text alone, and inside prose with one word in twenty changed; its beginning alone is not enough."""
+    rng = random.Random(5)
+    rows, want = [], {}
+    for i, (label, text) in enumerate(S.TEXTS):
+        words = text.split()
+        for at in rng.sample(range(len(words)), len(words) // 20):
+            words[at] = "changed" + str(at)
+        rows += [(2 * i, text, "en"), (2 * i + 1, "Some words before. " * 9 + " ".join(words) + " and after it. " * 9, "en")]
+        want |= {2 * i: label, 2 * i + 1: label}
+    rows.append((100, " ".join(dict(S.TEXTS)["zlib"].split()[:40]), "en"))
+    out = {r["doc_id"]: r for r in S.scan(spark, make_docs(rows)).collect()}
+    for i, label in want.items():
+        assert label in out[i]["labels"].split(",") and out[i]["score"] >= 0.6, (i, out[i])
+        assert set(out[i]["labels"].split(",")) <= {label, "apache-2", "gpl-3"}
+    assert out[100]["labels"] == ""
+
+
+def test_further_templates_and_no_list(spark, make_docs, monkeypatch):
+    more = spark.createDataFrame([("own", "these words are the whole of our own license and nothing else is"), ("short", "too short"), ("none", None)], "label string, text string")
+    docs = make_docs([(1, "So: these words are the whole of our own license and nothing else is.", "en"), (2, "under the MIT license", "en"), (3, None, "en")])
+    want = sorted(map(tuple, S.scan(spark, docs, more=more).collect()), key=str)
+    assert [r[6] for r in sorted(want)] == ["own", "mit", ""]
+    monkeypatch.setattr(S, "LISTED", 10)  # every k-gram goes to the join
+    assert sorted(map(tuple, S.scan(spark, docs, more=more).collect()), key=str) == want
+
+
 def test_empty_table(spark, empty_docs):
     assert S.scan(spark, empty_docs).count() == 0
