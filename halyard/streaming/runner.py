@@ -6,8 +6,8 @@ the watermark has passed are appended to the result, once.  Only open windows ar
 endless stream holds the windows of its delay and no more; Spark's own watermark would drop the late rows instead.
 ``run_processor`` drives a stateful processor with event-time timers (append mode, Spark's state store).
 
-A restarted stream goes on: batches are written under their number, so a repeated one replaces itself, and the
-watermark and the open windows are read back from the batch before.  Nothing is collected but one time a batch.
+A stream restarted on its folder goes on: batches are written under their number, so a repeated one replaces itself, and
+the watermark and the open windows are read back from the batch before.  Nothing is collected but a few numbers a batch.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.utils import AnalysisException
 
 from halyard.session import scratch_path
 from halyard.sources.tables import table_path
@@ -76,31 +77,42 @@ class Windows:
     @property
     def late(self) -> DataFrame:
         """What came after its window was closed, with the number of rows (_rows)."""
-        return self._table("late") if any(b[2] for b in self.batches) else self.spark.createDataFrame([], self.schema)
+        return self._table("late")
 
     @property
     def closed(self) -> DataFrame:
-        return self._table("closed") if any(b[4] for b in self.batches) else self.spark.createDataFrame([], self.schema)
+        return self._table("closed")
+
+    def last_batch(self) -> int | None:
+        """The last batch whose watermark is written, in this run or an earlier one."""
+        if self.batches:
+            return self.batches[-1][0]
+        try:
+            return self.spark.read.parquet(f"{self.base}/mark").agg(F.max("batch")).first()[0]
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
 
     def result(self) -> DataFrame:
         """Closed and open windows, late rows added: every row that was read."""
-        every = self.closed.unionByName(self.late)
-        if self.batches:
-            every = every.unionByName(self._table("open", self.batches[-1][0]))
+        last = self.last_batch()
+        every = self.spark.createDataFrame([], self.schema) if last is None else \
+            self.closed.unionByName(self.late).unionByName(self._table("open", last))
         out = self.merged(every)
         return out.select(F.col("_start").cast("timestamp_ntz").alias("window_start"),
                           *[c for c in out.columns if not c.startswith("_")])
 
 
 def windowed(rows: DataFrame, window: str, keys: list[str], aggs: dict[str, tuple[str, Column]], name: str = "windows",
-             delay: str = DELAY) -> Windows:
-    """Drive ``rows`` (with event time ``ts``) to the end of the input.
+             delay: str = DELAY, base: str | None = None) -> Windows:
+    """Drive ``rows`` (with event time ``ts``) to the end of the input; with the ``base`` folder of an earlier run, on from there.
 
     ``aggs``: column -> ("sum", "min" or "max", expression).  The watermark is the latest event time of the batches
     before, less ``delay``; a row is late if its window ended at or before it.
     """
     spark = rows.sparkSession
-    base, span, w = scratch_path(spark, name), micros(delay), F.window("ts", window)
+    base, span, w = base or scratch_path(spark, name), micros(delay), F.window("ts", window)
     part = [getattr(F, how)(c).alias(n) for n, (how, c) in aggs.items()]
     part += [F.count(F.lit(1)).alias("_rows"), F.max(F.unix_micros("ts")).alias("_latest")]
     merges = {n: how for n, (how, _) in aggs.items()} | {"_rows": "sum", "_latest": "max"}
@@ -118,21 +130,17 @@ def windowed(rows: DataFrame, window: str, keys: list[str], aggs: dict[str, tupl
         mark = before["mark"] if before else None
         new = write(counted(df), "part", batch)
         seen = new.agg(F.max("_latest").alias("latest"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first()
-        ended = F.unix_micros("_end") <= F.lit(mark)
-        late = write(new.where(ended), "late", batch) if mark is not None else None
-        carried = new if mark is None else new.where(~ended)
+        ended = F.coalesce(F.unix_micros("_end") <= F.lit(mark), F.lit(False))
+        late = write(new.where(ended), "late", batch)
+        carried = new.where(~ended)
         if batch:
             carried = out.merged(carried.unionByName(out._table("open", batch - 1)))
         after = mark if seen["latest"] is None else max(mark or 0, seen["latest"] - span)
-        done = F.unix_micros("_end") <= F.lit(after)
+        done = F.coalesce(F.unix_micros("_end") <= F.lit(after), F.lit(False))
         carried = write(carried, "carried", batch)
-        shut = write(carried.where(done), "closed", batch) if after is not None else None
-        kept = write(carried.where(~done) if after is not None else carried, "open", batch)
+        shut, kept = write(carried.where(done), "closed", batch), write(carried.where(~done), "open", batch)
         spark.createDataFrame([(after,)], "mark long").coalesce(1).write.mode("overwrite").parquet(f"{base}/mark/batch={batch}")
-
-        def total(t: DataFrame | None, c: Column) -> int:
-            return (t.agg(c).first()[0] or 0) if t is not None else 0
-        out.batches.append((batch, seen["n"], total(late, F.sum("_rows")), total(kept, F.count(F.lit(1))), total(shut, F.count(F.lit(1)))))
+        out.batches.append((batch, seen["n"], late.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0], kept.count(), shut.count()))
     _run(rows.writeStream.foreachBatch(step), f"{base}/ckpt")
     return out
 

@@ -58,6 +58,26 @@ def test_windows_close_and_late_rows_are_kept(spark, feed):
     assert sorted(map(tuple, got.result().select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_a_restarted_stream_goes_on(spark, sf, tmp_path):
+    """Files that come after a stop are added to the windows that were open; the last batch may be repeated."""
+    from halyard.streaming import runner as SR
+    rows = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts").orderBy("ts").collect()
+    schema, folder, base = "event_id long, ts timestamp_ntz", str(tmp_path / "in"), str(tmp_path / "state")
+    got, counts = None, []
+    for part in (rows[:400], rows[400:700], rows[350:360] + rows[700:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = SR.with_event_time(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder))
+        got = SR.windowed(stream, "1 hour", [], {"n": ("sum", F.lit(1).cast("bigint"))}, delay="2 hours", base=base)
+        counts.append(sum(b[1] for b in got.batches))
+        time.sleep(1.1)
+    assert counts == [400, 300, 310] and got.late.agg(F.sum("_rows")).first()[0] == 10
+    want = {}
+    for r in rows + rows[350:360]:
+        hour = r["ts"].replace(minute=0, second=0, microsecond=0)
+        want[hour] = want.get(hour, 0) + 1
+    assert {r["window_start"]: r["n"] for r in got.result().collect()} == want
+
+
 def test_requests_are_decided_while_the_stream_runs(spark, feed):
     from halyard.sources import fixtures as X
     from halyard.streaming import runner as SR
