@@ -145,18 +145,23 @@ def js_distance(p: Column, q: Column, p_terms: Column, q_terms: Column) -> Colum
     return F.sqrt(F.least(F.greatest(divergence, F.lit(0.0)), F.lit(1.0)))
 
 
+def _once(value: Column) -> Column:
+    """A value as a row of its own, so that the optimizer does not write it out again wherever it is used."""
+    return F.explode(F.array(value))
+
+
 def judge(measured: DataFrame, refs: DataFrame) -> DataFrame:
     """Adds the struct ``_verdict`` (base_failed, class_distance, common_distance, kept) to measured rows."""
     cols = measured.columns
     d = measured.join(F.broadcast(refs))  # one row
-    d = d.withColumn("_pc", _shares(F.col("_q.classes"))).withColumn("_pw", _shares(F.col("_q.common")))
+    d = d.withColumn("_pc", _once(_shares(F.col("_q.classes")))).withColumn("_pw", _once(_shares(F.col("_q.common"))))
     d = d.withColumn("_fc", _entropy_terms(F.col("_pc"))).withColumn("_fw", _entropy_terms(F.col("_pw")))
 
     def to(r: Column) -> Column:
         classes = js_distance(F.col("_pc"), r["classes"], F.col("_fc"), r["classes_terms"])
         common = js_distance(F.col("_pw"), r["common"], F.col("_fw"), r["common_terms"])
         return F.struct((classes + common).alias("both"), classes.alias("classes"), common.alias("common"))
-    d = d.withColumn("_near", F.array_min(F.transform("_refs", to)))
+    d = d.withColumn("_near", _once(F.array_min(F.transform("_refs", to))))
     d = d.withColumn("_dc", F.col("_near.classes")).withColumn("_dw", F.col("_near.common"))
     base = (F.col("_q.n_words") < MIN_WORDS) | \
         (100 * F.col("_q.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_q.n_words"))
