@@ -26,6 +26,7 @@ from halyard.operators import dictionary as D
 from halyard.operators import metrics as M
 from halyard.operators.customer import NUMERIC_TYPES
 from halyard.operators.prefix import running_totals
+from halyard.session import cut_lineage
 
 LABEL = "churn"
 KEY = "customer_id"
@@ -253,11 +254,12 @@ def fit_tuned(name: str, cv, train: DataFrame, tune_rows: int | None = None):
 
 
 def evaluate_holdout(model, test: DataFrame) -> dict[str, DataFrame]:
-    pred = positive_probability(model.transform(test)).withColumn("prediction", F.col("prediction").cast("int"))
+    pred = positive_probability(model.transform(test)).select(KEY, LABEL, F.col("prediction").cast("int").alias("prediction"), "churn_probability")
+    pred = cut_lineage(pred, "scored")  # every metric reads it
     return {"auc": M.auc_score(pred, LABEL, "churn_probability"),
             "report": M.classification_report(pred, LABEL, "prediction"),
             "confusion": M.confusion_matrix(pred, LABEL, "prediction"),
-            "predictions": pred.select(KEY, LABEL, "prediction", "churn_probability")}
+            "predictions": pred}
 
 
 def importance_topk(spark: SparkSession, model, feature_names, k: int = TOP_IMPORTANCES) -> DataFrame:
