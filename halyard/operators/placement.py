@@ -139,9 +139,8 @@ def reserve(jobs: pa.Table, nodes: pa.Table, schema: pa.Schema, dims: list[Dim],
     if quotas:
         tables.append(pa.table({"kind": ["user"] * len(charged), "request_id": [request] * len(charged), "user_id": list(charged),
                                 **{q.charged: [v[k] for v in charged.values()] for k, q in enumerate(quotas)}}))
-    empty = schema.empty_table()
     return pa.concat_tables([pa.table([t[f.name].cast(f.type) if f.name in t.column_names else pa.nulls(len(t), f.type) for f in schema], schema=schema)
-                             for t in tables] or [empty])
+                             for t in tables])
 
 
 def place_jobs(jobs: DataFrame, nodes_state: DataFrame, dims: list[Dim], order: list[Column], score: Callable,
