@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 DECIDED = "request_id long, client_id long, t_us long, rejected boolean"
 SILENT = "service string, from_us long, until_us long"
+BATCH = 10_000  # times that go to the state at once
 
 
 def _after(t_us: int) -> int:
@@ -75,27 +77,36 @@ class SilenceWatch(StatefulProcessor):
         self.last = handle.getValueState("last", "t long, reported boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = [t for df in rows for t, status in zip(df["t_us"].tolist(), df["status"].tolist()) if status == "healthy"]
-        if new:
-            self.waiting.appendList([(t,) for t in new])
-            self.handle.registerTimer(_after(min(new)))
+        first = None
+        for df in rows:  # a service may have very many rows in a batch: only a part is held as Python objects
+            new = df.loc[df["status"] == "healthy", "t_us"].to_numpy(np.int64)
+            for at in range(0, len(new), BATCH):
+                self.waiting.appendList([(t,) for t in new[at:at + BATCH].tolist()])
+            if len(new):
+                first = int(new.min()) if first is None else min(first, int(new.min()))
+        if first is not None:
+            self.handle.registerTimer(_after(first))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        times = sorted(t for t, in self.waiting.get())
-        due = [t for t in times if t <= now]
-        if len(due) < len(times):
-            self.waiting.put([(t,) for t in times[len(due):]])
-            self.handle.registerTimer(_after(times[len(due)]))
-        elif times:
+        times = np.fromiter((t for t, in self.waiting.get()), np.int64)  # 8 bytes a time that waits
+        times.sort()
+        due, later = np.split(times, [np.searchsorted(times, now, "right")])
+        if len(later):
+            self.waiting.put([(t,) for t in later[:BATCH].tolist()])
+            for at in range(BATCH, len(later), BATCH):
+                self.waiting.appendList([(t,) for t in later[at:at + BATCH].tolist()])
+            self.handle.registerTimer(_after(int(later[0])))
+        elif len(times):
             self.waiting.clear()
         last, reported = self.last.get() if self.last.exists() else (None, False)
-        out = []
-        for t in due:
-            if last is not None and t - last > self.gap_us:
-                out.append((key[0], last + self.gap_us, t))
-            last, reported = t, False
+        out, ended = [], None
+        if len(due):
+            seen = due if last is None else np.concatenate([[last], due])
+            silent = np.flatnonzero(np.diff(seen) > self.gap_us)
+            ended = seen[silent] + self.gap_us, seen[silent + 1]
+            last, reported = int(due[-1]), False
         if last is not None and not reported:
             if now > last + self.gap_us:
                 out.append((key[0], last + self.gap_us, None))
@@ -104,6 +115,9 @@ class SilenceWatch(StatefulProcessor):
                 self.handle.registerTimer(_after(last + self.gap_us + 1))
         if last is not None:
             self.last.update((last, reported))
+        for at in range(0, len(ended[0]) if ended else 0, BATCH):
+            starts, ends = (t[at:at + BATCH] for t in ended)
+            yield pd.DataFrame({"service": [key[0]] * len(starts), "from_us": starts, "until_us": pd.array(ends, "Int64")})
         if out:
             yield pd.DataFrame(out, columns=["service", "from_us", "until_us"]).astype({"until_us": "Int64"})
 
