@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from halyard.llm.common import small_batches
-from halyard.llm.pieces import AGREED, Memory, Parts, byte_letters, byte_spelling, groups, piece_values, revive
+from halyard.llm.pieces import Memory, Parts, byte_letters, byte_spelling, disagreed, groups, piece_values, revive
 
 BLOCK = 1 << 16  # ids from which a block is closed
 
@@ -98,10 +98,10 @@ class WordEncoder:
         """Little-endian unsigned 32-bit ids of each whole text."""
         out: list[list[bytes]] = [[] for _ in texts]
         plain = []
-        for i, text in enumerate(texts):
+        for i, (text, odd) in enumerate(zip(texts, disagreed(texts))):
             if not text:
                 continue
-            if AGREED.search(text) or any(s in text for s in self.specials):
+            if odd or any(s in text for s in self.specials):
                 out[i].append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
             else:
                 plain.append((i, text.lower()))
