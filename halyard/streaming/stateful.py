@@ -79,7 +79,7 @@ class SilenceWatch(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for df in rows:  # a service may have very many rows in a batch: only a part is held as Python objects
-            new = df.loc[df["status"] == "healthy", "t_us"].to_numpy(np.int64)
+            new = df.loc[df["status"] == "healthy", "t_us"].dropna().to_numpy(np.int64)
             for at in range(0, len(new), BATCH):
                 self.waiting.appendList([(t,) for t in new[at:at + BATCH].tolist()])
             if len(new):
