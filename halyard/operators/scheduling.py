@@ -11,7 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from halyard.functions.scalar import priority_class
 from halyard.operators.dominance import best_nodes
-from halyard.operators.placement import Dim, Quota, demand_vectors, init_state, place_jobs, vector_key
+from halyard.operators.placement import Dim, Likeness, Quota, demand_vectors, init_state, place_jobs, sorted_pair, vector_key
 from halyard.operators.prefix import running_max_plus, running_totals
 from halyard.session import cut_lineage
 
@@ -197,6 +197,27 @@ def node_bound(job: dict, low: dict, high: dict) -> np.ndarray:
     return (1.0 - apart) * W_BALANCE + np.where(low["n_placed"] == 0, AVAIL_FREE, AVAIL_BUSY) * W_AVAIL
 
 
+def left_parts(node: dict) -> dict:
+    """Whether a node is without a job, what it has left of cpu to memory, its cores left, and the shares that a core and a GB are of that."""
+    cpu, memory = node["available_cpu_cores"] - node["used_cpu"], node["available_memory_gb"] - node["used_memory"]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return {"free": node["n_placed"] == 0, "cpu_per_gb": cpu / memory, "cores": cpu, "core": 1.0 / cpu, "gb": 1.0 / memory}
+
+
+def left_bound(job: dict, low: dict, high: dict) -> np.ndarray:
+    """What ``node_scores`` can be at most between the parts ``low`` and ``high``; a score that is no number counts 0."""
+    cpu, memory = job["cpu_cores_required"], job["memory_gb_required"]
+    core, gb = sorted_pair(cpu * low["core"], cpu * high["core"]), sorted_pair(memory * low["gb"], memory * high["gb"])
+    apart = np.maximum(np.maximum(core[0] - gb[1], gb[0] - core[1]), 0.0)
+    off = np.maximum(np.maximum(memory * low["cpu_per_gb"] - cpu, cpu - memory * high["cpu_per_gb"]), 0.0)
+    apart = np.fmax(apart, np.where((low["cores"] > 0) & (memory >= 0), off / high["cores"], 0.0))
+    bound = (1.0 - apart) * W_BALANCE + np.where(high["free"] > 0, AVAIL_FREE, AVAIL_BUSY) * W_AVAIL
+    return np.where((low["cores"] > 0) & np.isfinite(high["gb"]), bound, np.maximum(bound, 0.0))
+
+
+LIKE = Likeness(left_parts, left_bound)
+
+
 def available_expr() -> Column:
     return F.col("is_available")
 
@@ -242,7 +263,7 @@ def schedule(jobs: DataFrame, nodes: DataFrame, quotas: DataFrame, policy: str):
         policy = DEFAULT_POLICY
     j = with_fair_key(scheduler_jobs(jobs), quotas)
     limits = PLACED_QUOTAS if policy == "fair_share" else ()  # a job is charged to its user when it gets a node
-    placed, state = place_jobs(j, scheduler_nodes(nodes), DIMS, queue_order(policy), node_scores, extra=available_expr, quotas=limits)
+    placed, state = place_jobs(j, scheduler_nodes(nodes), DIMS, queue_order(policy), node_scores, LIKE, extra=available_expr, quotas=limits)
     timeline = node_timeline(placed, now_of(jobs))
     out = timeline.select(
         "request_id", "job_id", "node_id", "scheduled_start_time", "estimated_completion_time",
