@@ -135,7 +135,11 @@ class Parts:
         n = sizes[self.which]
         ends = np.cumsum(n)
         ids = np.frombuffer(b"".join(values), "<u4")
-        ids = ids[np.repeat(begins[self.which] - (ends - n), n) + np.arange(int(n.sum()))]
+        total = int(ends[-1]) if len(ends) else 0
+        narrow = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64
+        from_ = np.repeat((begins[self.which] - (ends - n)).astype(narrow), n)
+        from_ += np.arange(total, dtype=narrow)
+        ids = ids[from_]
         at = np.concatenate([[0], ends])[self.offsets]
         return [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
 
