@@ -15,7 +15,8 @@ key of a run is its leader.  Each candidate is verified over the whole texts: th
 alignment inside the band of diagonals that the budget allows, must be at most a fifth of the longer text.  Members that
 the leader fails, as in a bucket of a common passage, meet again without it: what the leader lacks of each is sketched
 (short texts: all their deletions), members that agree there form buckets with a leader of their own, and so on until
-no new pair is left.  Long texts that only share what an unrelated leader has too are not compared with each other.
+no new pair is left.  A text shows each of these values once, however many leaders of one passage failed it.  Long texts
+that only share what an unrelated leader has too are not compared with each other.
 Connected components of the verified links are the classes; a pair that is in one class already is not verified again.
 
 Words are compared by 16-bit codes of their hashes: two unequal words pass as equal with chance 1 in 65,536.  Exact copies
@@ -249,17 +250,17 @@ def few(keys: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(keys) if (keys.count() if rows is None else rows) <= FEW else keys
 
 
-def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose two texts are not in one class yet."""
+def across(pairs: DataFrame, seen: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs not verified yet whose two texts are not in one class either."""
     a, b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}")) for c in ("leader", "key"))
-    return pairs.join(a, "leader").join(b, "key").where("_leader <> _key").select("leader", "key")
+    return pairs.join(seen, ["leader", "key"], "left_anti").join(a, "leader").join(b, "key").where("_leader <> _key").select("leader", "key")
 
 
 def classes(rows: DataFrame) -> DataFrame:
     """(node, label) of every text that met another: the smallest key of its class.
 
     First every text is verified against the smallest of its leaders, then all pairs that are not in one class by
-    then, with the members that a leader failed and their new leaders, round by round until no such pair is left.
+    then, then the members that a leader failed and their new leaders, round by round until no such pair is left.
     """
     pairs = cut_lineage(candidates(rows), "pairs")
     met = cut_lineage(pairs.select("key").unionByName(pairs.select(F.col("leader").alias("key"))).distinct(), "met")
@@ -272,27 +273,45 @@ def classes(rows: DataFrame) -> DataFrame:
         return pd.DataFrame({"ok": ok, "left": [[] if k else left_over(x, y) for k, x, y in zip(ok, a, b)]}, columns=JUDGED.names)
 
     labels = tokens.select(F.col("key").alias("node"), F.col("key").alias("label"))
-    now, seen = cut_lineage(pairs.groupBy("key").agg(F.min("leader").alias("leader")).select("leader", "key"), "first"), None
+    now = cut_lineage(pairs.groupBy("key").agg(F.min("leader").alias("leader")).select("leader", "key"), "first")
+    rest, seen, failed = pairs, None, None
     while True:
         n = now.count()
         leaders = tokens.select(F.col("key").alias("leader"), F.col("tokens").alias("b")).join(few(now.select("leader").distinct(), n), "leader")
         both = tokens.withColumnRenamed("tokens", "a").join(few(now, n), "key").join(leaders, "leader")
         judged = cut_lineage(both.select("leader", "key", verify("a", "b").alias("v")), "judged")
-        done = judged.select("leader", "key")
+        done, lost = judged.select("leader", "key"), judged.where("not v.ok").select("leader", "key", F.col("v.left").alias("left"))
         seen = done if seen is None else seen.unionByName(done)
+        failed = lost if failed is None else failed.unionByName(lost)
         ends = [labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}")) for c in ("leader", "key")]
         merged = components(judged.where("v.ok").select("leader", "key").join(ends[0], "leader").join(ends[1], "key")
                             .select(F.col("_leader").alias("u"), F.col("_key").alias("v")))
         labels = cut_lineage(labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
                              .select("node", F.coalesce("to", "label").alias("label")), "classes")
-        again = stars(judged.where("not v.ok").select(F.col("leader").alias("failed"), "key", F.explode("v.left").alias("value")), "failed")
-        open_pairs = pairs.unionByName(again).distinct().join(seen, ["leader", "key"], "left_anti")
-        pairs = cut_lineage(across(open_pairs, labels), "again")
-        now = pairs
-        if pairs.isEmpty():
+        if rest is not None:  # the other pairs of the first buckets, before what failed meets again
+            now, rest = cut_lineage(across(rest, seen, labels), "again"), None
+            if not now.isEmpty():
+                continue
+        now, failed = cut_lineage(across(meet_again(failed), seen, labels), "again"), None
+        if now.isEmpty():
             return labels
 
 
+def meet_again(failed: DataFrame) -> DataFrame:
+    """``stars`` of the members that a leader failed, by the values of what it lacks of each (leader, key, left).
+
+    Leaders of one passage leave the same of a text, so each text shows a value once, however many leaders failed it (only
+    its own lists are gathered, one a leader).  Values that no other text shows go; for the others the leaders are looked up.
+    """
+    own = failed.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("left"))).alias("left")) \
+        .select("key", F.explode("left").alias("value"))
+    run = Window.partitionBy("value").orderBy("key")
+    shared = own.select("key", "value", F.lag("key").over(run).alias("before"), F.lead("key").over(run).alias("after")) \
+        .where("before is not null or after is not null").select("key", "value")
+    return stars(failed.withColumnRenamed("leader", "failed").join(shared, "key").where(F.expr("array_contains(left, value)"))
+                 .select("failed", "key", "value"), "failed")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each connected component of ``edges`` (u, v).
 

@@ -87,6 +87,27 @@ def test_members_that_a_leader_failed_meet_again(spark):
     assert {tuple(r) for r in O.classes(df).collect()} == {(0, 0), (1, 1), (2, 1)}
 
 
+def test_members_that_a_leader_failed_in_different_rounds_meet_again(spark):
+    """Text 3 is verified against 0 first and against 1 in the next round, text 2 against 1 at once; only 1 has both."""
+    rng = random.Random(15)
+    passage, own = words(rng, 50), words(rng, 50)
+    texts = [(words(rng, 100), [6]), (passage + words(rng, 50), [5]), (passage + own, [5]), (passage + edited(rng, own, .1), [5, 6])]
+    rows = [(k, (O.word_hashes(" ".join(t)) >> O.np.uint64(48)).astype("<u2").tobytes(), s) for k, (t, s) in enumerate(texts)]
+    df = spark.createDataFrame(rows, "key long, tokens binary, sketch array<long>")
+    assert {tuple(r) for r in O.classes(df).collect()} == {(0, 0), (1, 1), (2, 2), (3, 2)}
+
+
+def test_a_value_is_shown_once_however_many_leaders_failed_the_text(spark, monkeypatch):
+    """Ten leaders of one passage leave the same 16 values of each of 200 texts; two of them have two values in common."""
+    left = {k: [k * 100 + i for i in range(16)] for k in range(100, 300)}
+    left[299] = left[100][:2] + left[299][2:]
+    failed = spark.createDataFrame([(b, k, v) for k, v in left.items() for b in range(10)], "leader long, key long, left array<long>")
+    stars, given = O.stars, []
+    monkeypatch.setattr(O, "stars", lambda rows, *within: given.append(rows) or stars(rows, *within))
+    assert {tuple(r) for r in O.meet_again(failed).collect()} == {(100, 299)}
+    assert given[0].count() == 2 * 2 * 10  # two values of two texts with ten leaders; before: 200 * 16 * 10 rows
+
+
 def test_short_texts_within_the_bound_always_meet(spark, make_docs):
     """Texts of 5 to 14 words with up to a fifth of edits: every pair within the bound is linked, as by all pairs."""
     rng = random.Random(12)
