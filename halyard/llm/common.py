@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,10 +57,18 @@ def bounded_sample(df: DataFrame, bound: int, key: Column, strata: Column | None
         .where(point < share).select(*[tagged[c] for c in df.columns])
 
 
+def by_batch(fn: Callable[[list], pd.DataFrame], batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """``fn`` over each batch's list.  What Arrow has freed meanwhile goes back to the system: workers outlive their
+    stage, and every one would keep the most that a batch has taken."""
+    for s in batches:
+        out = fn(s.tolist())
+        pa.default_memory_pool().release_unused()
+        yield out
+
+
 def map_text(text: Column, fn: Callable[[list], pd.DataFrame], schema: T.StructType) -> Column:
     """``fn`` over lists of texts, one Arrow batch at a time, as a struct column."""
     @F.pandas_udf(schema)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in batches:
-            yield fn(s.tolist())
+        yield from by_batch(fn, batches)
     return run(text)
