@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from halyard.llm.common import small_batches
+from halyard.llm.pieces import give_up
 from halyard.session import cut_lineage
 
 Q = 8                 # characters of a q-gram; qgrams() is written for it
@@ -296,6 +297,7 @@ def hits(spark: SparkSession, text: Column, block: Block) -> Column:
 
     @F.pandas_udf(HITS)
     def run(texts: pd.Series) -> pd.Series:
+        give_up()
         return pd.Series([scan(t, shared.value) for t in texts], dtype=object)
     return run(text)
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from halyard.llm.common import bounded_sample, map_text, may_train, packed, small_batches
+from halyard.llm.pieces import give_up
 
 UNDETERMINED = "und"
 DOCS_PER_LANG = 1500     # bound of the training sample, labelled rows of each language
@@ -154,6 +155,7 @@ def predict(spark: SparkSession, text: Column, model: BitSlicedFilters) -> Colum
     shared = spark.sparkContext.broadcast(model)  # 2^19 slots of 8 bytes for every 64 languages
 
     def run(texts: list) -> pd.DataFrame:
+        give_up()
         filters = shared.value
         return pd.DataFrame([filters.decide(t) for t in texts], columns=SCHEMA.names)
     return map_text(text, run, SCHEMA)

@@ -45,6 +45,11 @@ def revive(cls: type, *state):
     return _held[cls][1]
 
 
+def give_up() -> None:
+    """Drop what ``revive`` holds; stages that encode nothing call it, so that no worker carries the memories through them."""
+    _held.clear()
+
+
 class Memory(dict):
     """A dict that fills itself by ``make``.
 

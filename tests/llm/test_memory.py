@@ -5,9 +5,11 @@ import subprocess
 import sys
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import pytest
 
+from halyard.llm import decontaminate, language_id, order_minhash, pieces
 from halyard.llm.common import by_batch
 
 HELD = """
@@ -42,3 +44,15 @@ def test_a_worker_keeps_no_freed_arrow_memory():
 def test_by_batch_gives_each_batch_its_rows():
     frames = list(by_batch(lambda texts: pd.DataFrame({"t": texts}), iter([pd.Series(["a", None]), pd.Series([], dtype=object), pd.Series(["b"])])))
     assert [f["t"].tolist() for f in frames] == [["a", None], [], ["b"]]
+
+
+def test_stages_that_encode_nothing_give_up_memories(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "map_text", lambda text, fn, schema: fn)
+    monkeypatch.setattr(decontaminate.F, "pandas_udf", lambda schema: lambda fn: lambda text: fn)
+    block = next(decontaminate.blocks(spark.createDataFrame([(1, "a passage of the benchmark")], "item_id long, text string")))
+    model = language_id.BitSlicedFilters({"en": np.arange(9, dtype=np.uint64)})
+    texts = ["some words of a text", None]
+    for stage in (language_id.predict(spark, None, model), order_minhash._sketch_texts, lambda t: decontaminate.hits(spark, None, block)(pd.Series(t))):
+        assert pieces.revive(str, "memories") == "memories" and pieces._held
+        assert len(stage(texts)) == 2
+        assert not pieces._held
