@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 DECIDED = "request_id long, client_id long, t_us long, rejected boolean"
 SILENT = "service string, from_us long, until_us long"
-BATCH = 10_000  # times that go to the state at once
+BATCH = 10_000  # runs in one value of the state
+RUNS = 1 << 18  # runs of a service held before they go to the state
 
 
 def _after(t_us: int) -> int:
@@ -65,48 +66,77 @@ class RateLimiter(StatefulProcessor):
         pass
 
 
+def joined(runs: np.ndarray, gap_us: int) -> np.ndarray:
+    """(first, last) of runs, those at most ``gap_us`` apart made one; in order.  Inside a run no two neighbours lie further apart."""
+    runs = runs[np.argsort(runs[:, 0], kind="stable")]
+    last = np.maximum.accumulate(runs[:, 1])
+    apart = runs[1:, 0] - last[:-1] > gap_us
+    some = np.full(min(len(runs), 1), True)
+    return np.column_stack([runs[np.concatenate([some, apart]), 0], last[np.concatenate([apart, some])]])
+
+
 class SilenceWatch(StatefulProcessor):
-    """Reports a service (from, null) once no healthy sample came for ``gap_us``, and (from, until) when one comes again."""
+    """Reports a service (from, null) once no healthy sample came for ``gap_us``, and (from, until) when one comes again.
+
+    Only where a run of samples begins and ends can matter, so runs wait, up to BATCH of them in one value of the state.
+    """
 
     def __init__(self, gap_us: int):
         self.gap_us = gap_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "t long")
+        self.waiting = handle.getListState("waiting", "runs binary")
         self.last = handle.getValueState("last", "t long, reported boolean")
 
+    def _values(self, runs: np.ndarray) -> list[tuple[bytearray]]:
+        return [(bytearray(runs[at:at + BATCH].tobytes()),) for at in range(0, len(runs), BATCH)]
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for df in rows:  # a service may have very many rows in a batch: only a part is held as Python objects
+        first, runs, held = None, [], 0
+        for df in rows:  # a service may have very many rows in a batch: what is held is joined, and stored beyond RUNS
             new = df.loc[df["status"] == "healthy", "t_us"].dropna().to_numpy(np.int64)
-            for at in range(0, len(new), BATCH):
-                self.waiting.appendList([(t,) for t in new[at:at + BATCH].tolist()])
-            if len(new):
-                first = int(new.min()) if first is None else min(first, int(new.min()))
+            if not len(new):
+                continue
+            first = int(new.min()) if first is None else min(first, int(new.min()))
+            runs.append(joined(np.column_stack([new, new]), self.gap_us))
+            held += len(runs[-1])
+            if held > RUNS:
+                runs = [joined(np.concatenate(runs), self.gap_us)]
+                held = len(runs[0])
+                if held > RUNS // 2:
+                    self.waiting.appendList(self._values(runs[0]))
+                    runs, held = [], 0
+        if runs:
+            self.waiting.appendList(self._values(joined(np.concatenate(runs), self.gap_us)))
         if first is not None:
             self.handle.registerTimer(_after(first))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        times = np.fromiter((t for t, in self.waiting.get()), np.int64)  # 8 bytes a time that waits
-        times.sort()
-        due, later = np.split(times, [np.searchsorted(times, now, "right")])
+        stored = [np.frombuffer(value, np.int64).reshape(-1, 2) for value, in self.waiting.get()]  # 16 bytes a run
+        runs = joined(np.concatenate(stored), self.gap_us) if stored else np.empty((0, 2), np.int64)
+        begun = int(np.searchsorted(runs[:, 0], now, "right"))
+        due, later = runs[:begun].copy(), runs[begun:]
+        timers = [int(t) for t in later[:1, 0]]
+        if begun and due[-1, 1] > now:  # the watermark is inside a run: no silence before its end
+            timers = [int(due[-1, 1])]
+            later = np.concatenate([[[now, due[-1, 1]]], later])
+            due[-1, 1] = now
         if len(later):
-            self.waiting.put([(t,) for t in later[:BATCH].tolist()])
-            for at in range(BATCH, len(later), BATCH):
-                self.waiting.appendList([(t,) for t in later[at:at + BATCH].tolist()])
-            self.handle.registerTimer(_after(int(later[0])))
-        elif len(times):
+            self.waiting.put(self._values(later))
+            self.handle.registerTimer(_after(timers[0]))
+        elif len(runs):
             self.waiting.clear()
         last, reported = self.last.get() if self.last.exists() else (None, False)
         out, ended = [], None
         if len(due):
-            seen = due if last is None else np.concatenate([[last], due])
-            silent = np.flatnonzero(np.diff(seen) > self.gap_us)
-            ended = seen[silent] + self.gap_us, seen[silent + 1]
-            last, reported = int(due[-1]), False
+            until, start = due[:, 0], due[:, 1]
+            start, until = (start[:-1], until[1:]) if last is None else (np.concatenate([[last], start[:-1]]), until)
+            silent = until - start > self.gap_us
+            ended = start[silent] + self.gap_us, until[silent]
+            last, reported = int(due[-1, 1]), False
         if last is not None and not reported:
             if now > last + self.gap_us:
                 out.append((key[0], last + self.gap_us, None))
